@@ -123,5 +123,355 @@ FROM ranked k LEFT JOIN title_ratings r ON r.tconst = k.tconst WHERE genre_rank
     }
 
 
+# The converters over raw text. A backslash-N marks NULL; '' is no value for numbers.
+_MARK = "chr(92) || 'N'"
+_DIGITS = "regexp_replace({c}, '([0-9])_([0-9])', '\\1\\2', 'g')"
+_INTEGER = (
+    "CASE WHEN regexp_full_match({c}, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*')"
+    f" THEN try_cast(trim({_DIGITS}) AS int) END"
+)
+_BOOLEAN = (
+    "CASE WHEN lower(trim({c})) IN ('1', 'true', 't', 'yes') THEN true"
+    " WHEN lower(trim({c})) IN ('0', 'false', 'f', 'no') THEN false END"
+)
+
+
+def _text(c: str) -> str:
+    return f"CASE WHEN {c} <> {_MARK} THEN {c} END"
+
+
+def _error(c: str, what: str, value: str) -> str:
+    return (
+        f"WHEN {c} IS NOT NULL AND {c} NOT IN ({_MARK}, '') AND ({value.format(c=c)}) IS NULL"
+        f" THEN concat('invalid {what}: ', chr(39), {c}, chr(39))"
+    )
+
+
+def _dumps() -> dict[str, str]:
+    classified = f"""{duck_ctes("raw_title_basics")}
+, classified AS (
+  SELECT *, CASE WHEN NOT regexp_full_match(tconst, 'tt[0-9]+')
+                THEN concat('invalid tconst: ', chr(39), tconst, chr(39))
+              {_error("isAdult", "boolean", _BOOLEAN)}
+              {_error("startYear", "integer", _INTEGER)}
+              {_error("endYear", "integer", _INTEGER)}
+              {_error("runtimeMinutes", "integer", _INTEGER)} END AS reason
+  FROM raw_title_basics)"""
+    record = f"""tconst, {_text("titleType")} AS title_type, {_text("primaryTitle")} AS primary_title,
+       {_text("originalTitle")} AS original_title, {_BOOLEAN.format(c="isAdult")} AS is_adult,
+       {_INTEGER.format(c="startYear")} AS start_year, {_INTEGER.format(c="endYear")} AS end_year,
+       {_INTEGER.format(c="runtimeMinutes")} AS runtime_minutes,
+       CASE WHEN genres <> {_MARK} THEN
+         list_filter(string_split(genres, ','), lambda x: x <> '') END AS genres"""
+    progress = duck_ctes("source_manifest", "producer_progress")
+    same = """p.source_size_bytes = m.source_size_bytes AND p.source_mtime_ns = m.source_mtime_ns"""
+    return {
+        "normalize_titles": f"{classified} SELECT {record} FROM classified WHERE reason IS NULL",
+        "dead_letter_titles": f"""{classified}
+SELECT source_line, reason,
+       to_json({{'tconst': tconst, 'titleType': titleType, 'primaryTitle': primaryTitle,
+         'originalTitle': originalTitle, 'isAdult': isAdult, 'startYear': startYear,
+         'endYear': endYear, 'runtimeMinutes': runtimeMinutes, 'genres': genres}}) AS raw
+FROM classified WHERE reason IS NOT NULL""",
+        "provenance_titles": f"""{classified}
+SELECT tconst, to_json({{'source_file': 'title.basics.tsv.gz', 'source_line': source_line}}) AS metadata
+FROM classified WHERE reason IS NULL""",
+        "ingest_max_rows": f"""{classified}
+SELECT source_line, {record} FROM classified WHERE reason IS NULL ORDER BY source_line LIMIT 500""",
+        "envelope_titles": f"""{duck_ctes("title_basics")}
+SELECT tconst, 'title_basics' AS table_name, primary_title AS title,
+       cast(start_year AS varchar) AS year, coalesce(len(genres), -1) AS genre_count
+FROM title_basics""",
+        "manifest_status": f"""{progress}
+SELECT m.*, CASE WHEN p.source_file IS NULL THEN 'new' WHEN NOT ({same}) THEN 'changed'
+              WHEN p.completed THEN 'complete' ELSE 'resume' END AS status,
+       CASE WHEN p.source_file IS NULL THEN 1
+            WHEN {same} AND NOT p.completed THEN p.last_line END AS resume_after
+FROM source_manifest m LEFT JOIN producer_progress p ON p.source_file = m.source_file""",
+        "progress_upsert": f"""{progress}
+SELECT source_file, table_name, source_size_bytes, source_mtime_ns,
+       cast(5000 AS bigint) AS last_line, cast(4999 AS bigint) AS rows_enqueued,
+       cast(0 AS bigint) AS malformed_rows, true AS completed, {NOW} AS updated_at
+FROM source_manifest WHERE source_size_bytes > 1010
+UNION ALL
+SELECT * FROM producer_progress
+WHERE source_file NOT IN (SELECT source_file FROM source_manifest WHERE source_size_bytes > 1010)""",
+        "progress_reset": f"""{progress}
+SELECT p.* FROM producer_progress p JOIN source_manifest m ON m.source_file = p.source_file
+WHERE {same}""",
+    }
+
+
+def _messages() -> dict[str, str]:
+    routed = f"""{duck_ctes("ingest_messages", "title_ratings")}
+, opened AS (SELECT id, try_cast(payload AS json) AS doc FROM ingest_messages),
+named AS (
+  SELECT id, coalesce(json_type(doc) = 'OBJECT', false) AS is_object,
+         json_extract_string(doc, '$.table') AS table_name, json_extract(doc, '$.data') AS data
+  FROM opened),
+routed AS (
+  SELECT id, table_name, data,
+         CASE WHEN NOT is_object THEN 'payload must be a JSON object'
+              WHEN table_name IS NULL THEN 'unsupported table: null'
+              WHEN table_name NOT IN ('title_basics', 'name_basics', 'title_ratings', 'title_crew',
+                                      'title_episode', 'title_akas', 'title_principals')
+                THEN concat('unsupported table: ', chr(39), table_name, chr(39))
+              WHEN json_type(data) IS DISTINCT FROM 'OBJECT' THEN 'payload.data must be a JSON object'
+         END AS reason
+  FROM named),
+rated AS (
+  SELECT id, json_extract_string(data, '$.tconst') AS tconst,
+         json_extract_string(data, '$.average_rating') AS given,
+         try_cast(json_extract_string(data, '$.average_rating') AS decimal(38,20)) AS number,
+         cast(json_extract_string(data, '$.num_votes') AS int) AS num_votes
+  FROM routed WHERE reason IS NULL AND table_name = 'title_ratings'),
+ratings AS (
+  SELECT id, tconst, cast(cast(number AS decimal(3,1)) AS double) AS average_rating, num_votes,
+         CASE WHEN tconst IS NULL THEN 'missing required fields: tconst'
+              WHEN NOT regexp_full_match(tconst, 'tt[0-9]+')
+                THEN concat('invalid tconst: ', chr(39), tconst, chr(39))
+              WHEN given IS NOT NULL AND NOT (number BETWEEN 0 AND 10)
+                THEN concat('invalid rating: ', chr(39), given, chr(39)) END AS reason
+  FROM rated),
+crew AS (
+  SELECT id, json_extract_string(data, '$.tconst') AS tconst,
+         list_filter(cast(json_extract(data, '$.directors') AS varchar[]), lambda x: x <> '') AS directors
+  FROM routed WHERE reason IS NULL AND table_name = 'title_crew')"""
+    first = """SELECT tconst, average_rating, num_votes FROM (
+  SELECT *, row_number() OVER (PARTITION BY tconst ORDER BY id) AS k FROM ratings WHERE reason IS NULL)
+WHERE k = 1 AND tconst NOT IN (SELECT tconst FROM title_ratings)"""
+    return {
+        "route_messages": f"{routed} SELECT id, table_name, reason FROM routed",
+        "normalize_messages": f"""{routed}
+SELECT id, CASE WHEN reason IS NULL THEN tconst END AS tconst,
+       CASE WHEN reason IS NULL THEN average_rating END AS average_rating,
+       CASE WHEN reason IS NULL THEN num_votes END AS num_votes, reason FROM ratings""",
+        "normalize_crew_messages": f"{routed} SELECT id, tconst, directors FROM crew",
+        "rejected_messages": f"""{routed}
+SELECT id, concat('[permanent] validation error: ', reason) AS reason
+FROM routed WHERE reason IS NOT NULL
+UNION ALL
+SELECT id, concat('[permanent] validation error: ', reason) FROM ratings WHERE reason IS NOT NULL""",
+        "fanout_counts": f"""{routed}
+SELECT 'title_ratings' AS table_name, count(*) AS accepted FROM ratings WHERE reason IS NULL
+UNION ALL SELECT 'title_crew', count(*) FROM crew""",
+        "upsert_first_wins": f"{routed} {first}",
+        "batch_event": f"""{routed}
+SELECT 'consumer_batch_complete' AS event_type,
+       to_json({{'claimed': (SELECT count(*) FROM routed),
+                'processed': (SELECT count(*) FROM ratings WHERE reason IS NULL)
+                             + (SELECT count(*) FROM crew),
+                'nacked': 0,
+                'invalid': (SELECT count(*) FROM routed WHERE reason IS NOT NULL)
+                           + (SELECT count(*) FROM ratings WHERE reason IS NOT NULL)}}) AS payload,
+       cast(NULL AS varchar) AS source_file, {NOW} AS created_at""",
+    }
+
+
+def _integrity() -> dict[str, str]:
+    parents = duck_ctes("title_principals", "title_basics", "name_basics")
+    referenced = """(tconst IS NULL OR tconst IN (SELECT tconst FROM title_basics))
+  AND (nconst IS NULL OR nconst IN (SELECT nconst FROM name_basics))"""
+    return {
+        "dedupe_principals": f"""{duck_ctes("title_principals")}
+SELECT tconst, ordering, nconst, category FROM (
+  SELECT *, row_number() OVER (PARTITION BY tconst, ordering
+                               ORDER BY nconst NULLS FIRST, category) AS k FROM title_principals)
+WHERE k = 1""",
+        "orphans_principals": f"{parents} SELECT * FROM title_principals WHERE NOT ({referenced})",
+        "insertable_principals": f"{parents} SELECT * FROM title_principals WHERE {referenced}",
+        "constraint_audit": f"""{duck_ctes("message_queue", "title_principals")}
+, broken AS (
+  SELECT id, unnest([
+    CASE WHEN status NOT IN ('pending', 'processing', 'done', 'failed') THEN 'message_queue_status' END,
+    CASE WHEN attempt_count < 0 THEN 'message_queue_attempt_count' END,
+    CASE WHEN max_attempts <= 0 THEN 'message_queue_max_attempts' END,
+    CASE WHEN attempt_count > max_attempts THEN 'message_queue_attempt_limit' END,
+    CASE WHEN status = 'failed' AND failed_at IS NULL THEN 'failed_has_time' END]) AS c
+  FROM message_queue)
+SELECT c AS constraint, cast(id AS varchar) AS key, cast(1 AS bigint) AS violations
+FROM broken WHERE c IS NOT NULL
+UNION ALL
+SELECT 'message_queue_pk', cast(id AS varchar), count(*) FROM message_queue
+GROUP BY id HAVING count(*) > 1
+UNION ALL
+SELECT 'title_principals_natural', concat(tconst, '|', ordering), count(*)
+FROM title_principals GROUP BY tconst, ordering HAVING count(*) > 1""",
+        "events_latest": """
+SELECT event_type, event_id, ts FROM events WHERE event_type = 'error'
+ORDER BY ts DESC, event_id DESC LIMIT 20""",
+    }
+
+
+_QUEUE_COLUMNS = (
+    "id queue_name payload status created_at updated_at attempt_count max_attempts available_at "
+    "processing_started_at completed_at failed_at last_error"
+).split()
+
+
+def _changed(changes: dict[str, str], prefix: str = "") -> str:
+    return ", ".join(
+        f"{changes[c]} AS {c}" if c in changes else f"{prefix}{c}" for c in _QUEUE_COLUMNS
+    )
+
+
+def _case(when: str, value: str, column: str) -> str:
+    return f"CASE WHEN {when} THEN {value} ELSE {column} END"
+
+
+def _queue() -> dict[str, str]:
+    queue = duck_ctes("message_queue")
+    expired = f"status = 'processing' AND processing_started_at <= {NOW} - INTERVAL 30 SECOND"
+    claimable = (
+        "attempt_count < max_attempts AND"
+        f" ((status = 'pending' AND available_at <= {NOW}) OR ({expired}))"
+    )
+    exhausted = f"queue_name = 'q1' AND {expired} AND attempt_count >= max_attempts"
+    expire = {
+        "status": _case(exhausted, "'failed'", "status"),
+        "failed_at": _case(exhausted, NOW, "failed_at"),
+        "processing_started_at": _case(exhausted, "NULL", "processing_started_at"),
+        "last_error": _case(
+            exhausted,
+            "coalesce(nullif(last_error, ''), 'visibility timeout expired after maximum attempts')",
+            "last_error",
+        ),
+        "updated_at": _case(exhausted, NOW, "updated_at"),
+    }
+    claim = f"""claim AS (SELECT id AS cid FROM message_queue
+  WHERE queue_name = 'q1' AND {claimable} ORDER BY id LIMIT 10)"""
+    hit = "cid IS NOT NULL"
+    claimed = {
+        "status": _case(hit, "'processing'", "status"),
+        "attempt_count": _case(hit, "attempt_count + 1", "attempt_count"),
+        "processing_started_at": _case(hit, NOW, "processing_started_at"),
+        "completed_at": _case(hit, "NULL", "completed_at"),
+        "failed_at": _case(hit, "NULL", "failed_at"),
+        "last_error": _case(
+            f"{hit} AND status = 'processing'",
+            "coalesce(nullif(last_error, ''), 'visibility timeout expired; message reclaimed')",
+            "last_error",
+        ),
+        "updated_at": _case(hit, NOW, "updated_at"),
+    }
+    acked = "o_orderkey IS NOT NULL AND status IN ('processing', 'done')"
+    ack = {
+        "status": _case(acked, "'done'", "status"),
+        "completed_at": _case(acked, f"coalesce(completed_at, {NOW})", "completed_at"),
+        "processing_started_at": _case(acked, "NULL", "processing_started_at"),
+        "failed_at": _case(acked, "NULL", "failed_at"),
+        "updated_at": _case(acked, NOW, "updated_at"),
+    }
+    closed = "status IN ('done', 'failed')"
+    final = "(starts_with(coalesce(reason, ''), '[permanent]') OR attempt_count >= max_attempts)"
+    delay = "to_seconds(least(300, cast(pow(2, greatest(attempt_count - 1, 0)) AS int)))"
+    nack = {
+        "status": f"CASE WHEN {closed} THEN status WHEN {final} THEN 'failed' ELSE 'pending' END",
+        "available_at": _case(f"{closed} OR {final}", "available_at", f"{NOW} + {delay}"),
+        "processing_started_at": _case(closed, "processing_started_at", "NULL"),
+        "failed_at": f"""CASE WHEN status = 'failed' THEN coalesce(failed_at, {NOW})
+            WHEN status = 'done' THEN failed_at WHEN {final} THEN {NOW} END""",
+        "last_error": _case(closed, "last_error", "left(coalesce(reason, ''), 4000)"),
+        "updated_at": _case(closed, "updated_at", NOW),
+    }
+    victims = f"""victims AS (
+  SELECT id FROM message_queue WHERE queue_name = 'q1' AND status = 'done'
+    AND completed_at <= {NOW} - INTERVAL 2 MINUTE ORDER BY id LIMIT 5000)"""
+    counts = """count(*) FILTER (WHERE status = 'pending') AS pending,
+       count(*) FILTER (WHERE status = 'processing') AS processing,
+       count(*) FILTER (WHERE status = 'done') AS done,
+       count(*) FILTER (WHERE status = 'failed') AS failed, count(*) AS total,
+       min(created_at) FILTER (WHERE status = 'pending') AS oldest_pending_at"""
+    return {
+        "queue_enqueue": f"""
+SELECT conv_id * 1000 + turn AS id, role AS queue_name, to_json({{'text': text}}) AS payload,
+       'pending' AS status, {NOW} AS created_at, {NOW} AS updated_at, 0 AS attempt_count,
+       5 AS max_attempts, {NOW} AS available_at, cast(NULL AS timestamp) AS processing_started_at,
+       cast(NULL AS timestamp) AS completed_at, cast(NULL AS timestamp) AS failed_at,
+       cast(NULL AS varchar) AS last_error
+FROM conversations WHERE text IS NOT NULL AND trim(role) <> ''""",
+        "queue_expire": f"{queue} SELECT {_changed(expire)} FROM message_queue",
+        "queue_claim": f"""{queue}, {claim}
+SELECT id AS msg_id, payload FROM message_queue JOIN claim ON cid = id""",
+        "queue_claim_all": f"""{queue}
+SELECT queue_name, id, cast(k AS int) AS position FROM (
+  SELECT queue_name, id, row_number() OVER (PARTITION BY queue_name ORDER BY id) AS k
+  FROM message_queue WHERE {claimable}) WHERE k <= 100""",
+        "queue_after_dequeue": f"""{queue}, {claim},
+expired AS (SELECT {_changed(expire)} FROM message_queue)
+SELECT {_changed(claimed)} FROM expired LEFT JOIN claim ON cid = id""",
+        "queue_ack": f"""{queue}
+SELECT {_changed(ack)} FROM message_queue
+LEFT JOIN (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON o_orderkey = id""",
+        "queue_nack": f"""{duck_ctes("message_queue", "queue_ops")}
+SELECT {_changed(nack)} FROM message_queue JOIN (SELECT seq, reason FROM queue_ops) ON seq = id""",
+        "queue_metrics": f"{queue} SELECT queue_name, {counts} FROM message_queue GROUP BY queue_name",
+        "queue_metrics_one": f"""{queue}
+SELECT queue_name, {counts} FROM message_queue WHERE queue_name = 'q3' GROUP BY queue_name""",
+        "queue_inflight": f"""{queue}
+SELECT count(*) AS inflight FROM message_queue
+WHERE queue_name = 'q1' AND status IN ('pending', 'processing')""",
+        "queue_backpressure": f"""{queue}
+, moves AS (
+  SELECT queue_name, created_at AS moved, 1 AS delta FROM message_queue
+  UNION ALL
+  SELECT queue_name, coalesce(completed_at, failed_at, updated_at), -1 FROM message_queue
+  WHERE status IN ('done', 'failed')),
+steps AS (
+  SELECT queue_name, date_trunc('hour', moved) + INTERVAL 1 HOUR AS step_end, sum(delta) AS delta
+  FROM moves WHERE moved IS NOT NULL GROUP BY ALL),
+depths AS (
+  SELECT queue_name, step_end, cast(sum(delta) OVER (PARTITION BY queue_name ORDER BY step_end) AS bigint) AS depth
+  FROM steps)
+SELECT queue_name, step_end, depth,
+       coalesce(last_value(CASE WHEN depth >= 500 THEN true WHEN depth <= 250 THEN false END IGNORE NULLS)
+                OVER (PARTITION BY queue_name ORDER BY step_end), false) AS paused
+FROM depths""",
+        "queue_purge_victims": f"{queue}, {victims} SELECT id FROM victims",
+        "queue_after_purge": f"""{queue}, {victims}
+SELECT * FROM message_queue WHERE id NOT IN (SELECT id FROM victims)""",
+    }
+
+
+def _tables() -> dict[str, str]:
+    basics = duck_ctes("title_basics")
+    opened = "(SELECT unnest(genres) AS value, tconst FROM title_basics)"
+    stats = " UNION ALL ".join(
+        f"""SELECT '{c}' AS column, count(*) AS rows, count(*) - count({c}) AS nulls,
+       count(DISTINCT {c}) AS distinct_values, cast(min({c}) AS varchar) AS smallest,
+       cast(max({c}) AS varchar) AS largest FROM title_ratings"""
+        for c in ("tconst", "average_rating", "num_votes")
+    )
+    return {
+        "array_any_join": f"""{duck_ctes("title_crew", "name_basics")}
+SELECT c.tconst, n.nconst, n.primary_name
+FROM (SELECT DISTINCT tconst, unnest(directors) AS nconst FROM title_crew) c
+JOIN name_basics n ON n.nconst = c.nconst""",
+        "genres_contains_all": f"""{basics}
+SELECT tconst, genres FROM title_basics WHERE list_has_all(genres, ['Drama', 'Comedy'])""",
+        "genres_overlap": f"""{basics}
+SELECT tconst, genres FROM title_basics WHERE list_has_any(genres, ['Film-Noir', 'Western'])""",
+        "json_path_filter": """
+SELECT event_id, props FROM events
+WHERE json_extract_string(try_cast(props AS json), '$.k') = '42'""",
+        "genre_postings": f"""{basics}
+SELECT DISTINCT value, tconst FROM {opened} WHERE value IS NOT NULL""",
+        "genre_posting_counts": f"""{basics}
+SELECT value, count(DISTINCT tconst) AS n FROM {opened} WHERE value IS NOT NULL GROUP BY value""",
+        "column_stats": f"{duck_ctes('title_ratings')} {stats}",
+        "curate_movies": f"""{basics}
+SELECT start_year, tconst, primary_title, genres, runtime_minutes FROM title_basics
+WHERE title_type = 'movie'""",
+        "curate_by_runtime": f"""{basics}
+SELECT runtime_minutes, tconst, primary_title, genres FROM title_basics
+WHERE title_type = 'movie' AND runtime_minutes IS NOT NULL""",
+        "curate_top_votes": f"""{duck_ctes("title_ratings")}
+SELECT num_votes, tconst, cast(average_rating AS double) AS average_rating FROM title_ratings
+WHERE num_votes >= 1000""",
+        "curate_actors": f"""{duck_ctes("title_principals")}
+SELECT nconst, tconst FROM title_principals WHERE category IN ('actor', 'actress')""",
+    }
+
+
 def oracles() -> dict[str, str]:
-    return {**_scenarios()}
+    return {**_scenarios(), **_dumps(), **_messages(), **_integrity(), **_queue(), **_tables()}

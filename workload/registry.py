@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.plans import scenarios
-from workload.views import view
+from marquee.operators import audit, normalize, queue
+from marquee.operators import relational as rel
+from marquee.plans import ingest, scenarios
+from marquee.schemas import DATASETS
+from marquee.sources import layout, manifest, tsv
+from workload.views import AS_OF, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,5 +52,253 @@ def _scenarios() -> dict[str, Query]:
     }
 
 
+BASICS = DATASETS["title_basics"]
+RATINGS = DATASETS["title_ratings"]
+CREW = DATASETS["title_crew"]
+
+
+def _classified(raw: DataFrame) -> DataFrame:
+    return normalize.classify(raw, BASICS)
+
+
+def _normalize_titles(raw: DataFrame) -> DataFrame:
+    return normalize.accepted(_classified(raw)).drop("metadata")
+
+
+def _dead_letters(raw: DataFrame) -> DataFrame:
+    return normalize.dead_letters(_classified(raw), BASICS, "source_line")
+
+
+def _provenance(raw: DataFrame) -> DataFrame:
+    raw = raw.withColumn("source_file", F.lit(BASICS.filename))
+    classified = normalize.classify(raw, BASICS, provenance=True)
+    return normalize.accepted(classified).select("tconst", "metadata")
+
+
+def _max_rows(raw: DataFrame) -> DataFrame:
+    capped = tsv.up_to_accepted(_classified(raw), 500)
+    return normalize.accepted(capped, "source_line").drop("metadata")
+
+
+def _envelopes(title_basics: DataFrame) -> DataFrame:
+    payloads = normalize.to_envelope(title_basics, "title_basics", "tconst")
+    field = lambda path: F.get_json_object("payload", path)
+    return payloads.select(
+        "tconst",
+        field("$.table").alias("table_name"),
+        field("$.data.primary_title").alias("title"),
+        field("$.data.start_year").alias("year"),
+        F.coalesce(F.json_array_length(field("$.data.genres")), F.lit(-1))
+        .cast("bigint")
+        .alias("genre_count"),
+    )
+
+
+def _progress_upsert(source_manifest: DataFrame, producer_progress: DataFrame) -> DataFrame:
+    finished = source_manifest.filter(F.col("source_size_bytes") > 1010).select(
+        "source_file",
+        "table_name",
+        "source_size_bytes",
+        "source_mtime_ns",
+        F.lit(5000).cast("bigint").alias("last_line"),
+        F.lit(4999).cast("bigint").alias("rows_enqueued"),
+        F.lit(0).cast("bigint").alias("malformed_rows"),
+        F.lit(True).alias("completed"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("updated_at"),
+    )
+    return manifest.upsert_progress(producer_progress, finished)
+
+
+def _progress_reset(source_manifest: DataFrame, producer_progress: DataFrame) -> DataFrame:
+    status = manifest.manifest_status(source_manifest, producer_progress)
+    return manifest.reset_progress(producer_progress, status.filter(F.col("status") == "changed"))
+
+
+def _route(messages: DataFrame) -> DataFrame:
+    return normalize.route(messages).select("id", "table_name", "reason")
+
+
+def _normalized(messages: DataFrame, dataset=RATINGS) -> DataFrame:
+    return normalize.normalize_messages(normalize.route(messages), dataset)
+
+
+def _normalize_ratings(messages: DataFrame) -> DataFrame:
+    good = F.col("reason").isNull()
+    return _normalized(messages).select(
+        "id",
+        F.when(good, F.col("record.tconst")).alias("tconst"),
+        F.when(good, F.col("record.average_rating").cast("double")).alias("average_rating"),
+        F.when(good, F.col("record.num_votes")).alias("num_votes"),
+        "reason",
+    )
+
+
+def _normalize_crew(messages: DataFrame) -> DataFrame:
+    rows = normalize.accepted(_normalized(messages, CREW), "id")
+    return rows.select("id", "tconst", "directors")
+
+
+def _rejected(messages: DataFrame) -> DataFrame:
+    return ingest.outcomes(normalize.route(messages)).filter(F.col("reason").isNotNull()).select(
+        "id", "reason"
+    )
+
+
+def _fanout(messages: DataFrame) -> DataFrame:
+    done = ingest.outcomes(normalize.route(messages)).filter(F.col("outcome") == "ack")
+    return done.groupBy("table_name").agg(F.count("*").alias("accepted"))
+
+
+def _first_wins(messages: DataFrame, title_ratings: DataFrame) -> DataFrame:
+    rows = normalize.accepted(_normalized(messages), "id")
+    fresh = rel.without_existing(
+        rel.first_per_key(rows, RATINGS.key, ["id"]), title_ratings, RATINGS.key
+    )
+    return fresh.select("tconst", F.col("average_rating").cast("double").alias("average_rating"), "num_votes")
+
+
+def _dedupe(principals: DataFrame) -> DataFrame:
+    return rel.first_per_key(principals, ["tconst", "ordering"], ["nconst", "category"])
+
+
+def _references(principals, basics, names):
+    return rel.split_orphans(
+        principals, [("tconst", basics, "tconst"), ("nconst", names, "nconst")]
+    )
+
+
+def _audit(message_queue: DataFrame, principals: DataFrame) -> DataFrame:
+    checks = audit.queue_checks() | {
+        "failed_has_time": (F.col("status") != "failed") | F.col("failed_at").isNotNull()
+    }
+    return audit.constraint_audit(
+        [
+            audit.check_violations(message_queue, ["id"], checks),
+            audit.duplicate_keys(message_queue, ["id"], "message_queue_pk"),
+            audit.duplicate_keys(principals, ["tconst", "ordering"], "title_principals_natural"),
+        ]
+    )
+
+
+def _batch_event(messages: DataFrame) -> DataFrame:
+    done = ingest.outcomes(normalize.route(messages))
+    return ingest.batch_event(done, F.lit(AS_OF).cast("timestamp_ntz"))
+
+
+def _events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return ingest.events_latest(events, "error", 20, at="ts", key="event_id").select(
+        "event_type", "event_id", "ts"
+    )
+
+
+def _ingestion() -> dict[str, Query]:
+    raw, messages = "raw_title_basics", "ingest_messages"
+    parents = ("title_principals", "title_basics", "name_basics")
+    progress = ("source_manifest", "producer_progress")
+    return {
+        "normalize_titles": _over(_normalize_titles, raw),
+        "dead_letter_titles": _over(_dead_letters, raw),
+        "provenance_titles": _over(_provenance, raw),
+        "ingest_max_rows": _over(_max_rows, raw),
+        "envelope_titles": _over(_envelopes, "title_basics"),
+        "manifest_status": _over(manifest.manifest_status, *progress),
+        "progress_upsert": _over(_progress_upsert, *progress),
+        "progress_reset": _over(_progress_reset, *progress),
+        "route_messages": _over(_route, messages),
+        "normalize_messages": _over(_normalize_ratings, messages),
+        "normalize_crew_messages": _over(_normalize_crew, messages),
+        "rejected_messages": _over(_rejected, messages),
+        "fanout_counts": _over(_fanout, messages),
+        "upsert_first_wins": _over(_first_wins, messages, "title_ratings"),
+        "dedupe_principals": _over(_dedupe, "title_principals"),
+        "orphans_principals": _over(lambda *t: _references(*t)[1], *parents),
+        "insertable_principals": _over(lambda *t: _references(*t)[0], *parents),
+        "constraint_audit": _over(_audit, "message_queue", "title_principals"),
+        "batch_event": _over(_batch_event, messages),
+        "events_latest": _events_latest,
+    }
+
+
+def _enqueue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        F.col("role").alias("queue_name"),
+        F.when(F.col("text").isNotNull(), F.to_json(F.struct("text"))).alias("payload"),
+    )
+    return queue.enqueue(turns, AS_OF, view(spark, sf_dir, "message_queue"))[0]
+
+
+def _ack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    ids = orders.select(F.col("o_orderkey").alias("id"))
+    return queue.ack(view(spark, sf_dir, "message_queue"), ids, AS_OF)
+
+
+def _nack(message_queue: DataFrame, ops: DataFrame) -> DataFrame:
+    reasons = ops.select(F.col("seq").alias("id"), "reason")
+    return queue.nack(message_queue, reasons, AS_OF)
+
+
+def _queue() -> dict[str, Query]:
+    half_minute = timedelta(seconds=30)
+    q = "message_queue"
+    return {
+        "queue_enqueue": _enqueue,
+        "queue_expire": _over(lambda m: queue.expire_exhausted(m, "q1", half_minute, AS_OF), q),
+        "queue_claim": _over(lambda m: queue.claim(m, "q1", AS_OF), q),
+        "queue_claim_all": _over(lambda m: queue.claim_all_ids(m, AS_OF, n=100), q),
+        "queue_after_dequeue": _over(lambda m: queue.dequeue(m, "q1", AS_OF), q),
+        "queue_ack": _ack,
+        "queue_nack": _over(_nack, q, "queue_ops"),
+        "queue_metrics": _over(queue.metrics, q),
+        "queue_metrics_one": _over(lambda m: queue.metrics(m, "q3"), q),
+        "queue_inflight": _over(lambda m: queue.inflight(m, "q1"), q),
+        "queue_backpressure": _over(
+            lambda m: queue.backpressure(queue.depth_series(m), high=500, low=250), q
+        ),
+        "queue_purge_victims": _over(lambda m: queue.purge_victims(m, "q1", AS_OF), q),
+        "queue_after_purge": _over(lambda m: queue.purge(m, "q1", AS_OF), q),
+    }
+
+
+def _json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "props")
+    return rel.json_contains(events, "props", {"k": 42})
+
+
+def _top_votes(title_ratings: DataFrame) -> DataFrame:
+    top = layout.curate_top_votes(title_ratings)
+    return top.withColumn("average_rating", F.col("average_rating").cast("double"))
+
+
+def _tables() -> dict[str, Query]:
+    b = "title_basics"
+    genres = ["tconst", "genres"]
+    return {
+        "array_any_join": _over(
+            lambda n, c: rel.array_any_join(n, c, "nconst", "directors").select(
+                "tconst", "nconst", "primary_name"
+            ),
+            "name_basics",
+            "title_crew",
+        ),
+        "genres_contains_all": _over(
+            lambda t: rel.with_genres(t, every=["Drama", "Comedy"]).select(*genres), b
+        ),
+        "genres_overlap": _over(
+            lambda t: rel.with_genres(t, some=["Film-Noir", "Western"]).select(*genres), b
+        ),
+        "json_path_filter": _json_path,
+        "genre_postings": _over(lambda t: rel.inverted_index(t, "genres", "tconst"), b),
+        "genre_posting_counts": _over(lambda t: layout.posting_counts(t, "genres", "tconst"), b),
+        "column_stats": _over(lambda t: audit.column_stats(t, exact=True), "title_ratings"),
+        "curate_movies": _over(layout.curate_movies, b),
+        "curate_by_runtime": _over(layout.curate_by_runtime, b),
+        "curate_top_votes": _over(_top_votes, "title_ratings"),
+        "curate_actors": _over(layout.curate_actors, "title_principals"),
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_scenarios()}
+    return {**_scenarios(), **_ingestion(), **_queue(), **_tables()}

@@ -1,4 +1,4 @@
-"""Array expressions: membership sets, unordered pairs, containment and overlap."""
+"""Array expressions: distinct elements, containment and overlap."""
 
 from __future__ import annotations
 
@@ -10,26 +10,8 @@ from pyspark.sql import functions as F
 
 
 def sorted_distinct(array: Column) -> Column:
-    """Distinct non-null elements in byte order."""
-    return F.array_sort(F.array_distinct(F.array_compact(array)))
-
-
-def unordered_pairs(array: Column) -> Column:
-    """Each pair (first, second) of distinct elements of ``array`` once, first < second."""
-    return increasing_pairs(sorted_distinct(array))
-
-
-def increasing_pairs(array: Column) -> Column:
-    """All (first, second) with first < second by value; repeated elements multiply."""
-    return F.flatten(
-        F.transform(
-            array,
-            lambda x: F.transform(
-                F.filter(array, lambda y: x < y),
-                lambda y: F.struct(x.alias("first"), y.alias("second")),
-            ),
-        )
-    )
+    """Distinct non-null elements in byte order, without lambdas, so it is compiled."""
+    return F.sort_array(F.array_except(array, F.array(F.lit(None).cast("string"))))
 
 
 def contains_all(array: Column, values: Iterable[str]) -> Column:

@@ -1,8 +1,9 @@
 """Text and JSON values to typed columns, with the reason when a value is refused.
 
-Each converter returns a pair of columns (value, error); ``error`` is NULL for a good value.
-They work on a ``Raw`` value: its text, and for values that come out of a JSON document also
-the variant itself and its type name. All of it is built-in expressions.
+A converter makes the value of a ``Raw``: its text and, for values that come out of a JSON
+document, what the text does not tell. The value is NULL where the input is
+null, empty or refused; ``error`` tells these apart from the input and the finished value, so
+the conversion itself runs once. All of it is built-in expressions.
 """
 
 from __future__ import annotations
@@ -24,14 +25,13 @@ NCONST = r"^nm[0-9]+\z"
 _BLANKS = " \t\n\r\x0b\x0c"
 _DIGIT_GROUPS = r"(?<=[0-9])_(?=[0-9])"
 
-Converted = tuple[Column, Column]
-
-
 @dataclass(frozen=True)
 class Raw:
+    """``kind`` is the JSON type name, ``items`` the elements of a JSON list."""
+
     text: Column
-    node: Column | None = None
     kind: Column | None = None
+    items: Column | None = None
 
     def is_kind(self, *prefixes: str) -> Column:
         """Whether the JSON type starts with one of ``prefixes``; false for plain text."""
@@ -43,126 +43,104 @@ class Raw:
         return F.coalesce(hit, F.lit(False))
 
 
-def from_json(data: Column, name: str) -> Raw:
-    """Field ``name`` of a variant object. JSON null and an absent field are both NULL."""
-    path = f"$.{name}"
-    node = F.try_variant_get(data, path, "variant")
-    return Raw(F.try_variant_get(data, path, "string"), node, F.schema_of_variant(node))
-
-
 def nullify(text: Column) -> Column:
     return F.when(text != NULL_MARK, text)
 
 
-def _shown(text: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("'"), text, F.lit("'")), F.lit("null"))
-
-
-def _refused(text: Column, what: str) -> Column:
-    return F.concat(F.lit(f"invalid {what}: "), _shown(text))
-
-
 def _given(text: Column) -> Column:
     """Neither null, the null mark nor empty."""
     return text.isNotNull() & ~text.isin(NULL_MARK, "")
 
 
-def _no_error() -> Column:
-    return F.lit(None).cast("string")
-
-
-def text(raw: Raw) -> Converted:
-    return nullify(raw.text), _no_error()
-
-
 def _ungrouped(number: Column) -> Column:
     """``1_000`` as ``1000``; a misplaced underscore stays and fails the cast."""
     return F.when(number.contains("_"), F.regexp_replace(number, _DIGIT_GROUPS, "")).otherwise(number)
 
 
-def integer(raw: Raw) -> Converted:
+def text(raw: Raw) -> Column:
+    return nullify(raw.text)
+
+
+def integer(raw: Raw) -> Column:
     """32-bit integer; a fractional JSON number is cut, fractional text and booleans fail."""
     whole = _ungrouped(raw.text).try_cast("int")
-    if raw.node is not None:
-        cut = F.try_variant_get(raw.node, "$", "double").try_cast("int")
+    if raw.kind is not None:
+        cut = raw.text.try_cast("double").try_cast("int")
         whole = F.when(raw.is_kind("DECIMAL", "DOUBLE"), cut).otherwise(whole)
-    value = F.when(_given(raw.text) & ~raw.is_kind("BOOLEAN"), whole)
-    return value, F.when(_given(raw.text) & value.isNull(), _refused(raw.text, "integer"))
+    return F.when(_given(raw.text) & ~raw.is_kind("BOOLEAN"), whole)
 
 
-def rating(raw: Raw) -> Converted:
+def rating(raw: Raw) -> Column:
     """A decimal from 0 to 10, checked before it is rounded to one place."""
     number = F.when(_given(raw.text), _ungrouped(raw.text).try_cast("decimal(38,28)"))
     in_range = number.between(F.lit(0).cast("decimal(38,28)"), F.lit(10).cast("decimal(38,28)"))
-    value = F.when(in_range, number).cast("decimal(3,1)")
-    return value, F.when(_given(raw.text) & value.isNull(), _refused(raw.text, "rating"))
+    return F.when(in_range, number).cast("decimal(3,1)")
 
 
-def boolean(raw: Raw) -> Converted:
+def boolean(raw: Raw) -> Column:
     word = F.lower(F.btrim(raw.text, F.lit(_BLANKS)))
-    value = F.when(_given(raw.text) & word.isin(*TRUE_WORDS), True).when(
-        _given(raw.text) & word.isin(*FALSE_WORDS), False
-    )
-    return value, F.when(_given(raw.text) & value.isNull(), _refused(raw.text, "boolean"))
+    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 
-def array(raw: Raw) -> Converted:
+def array(raw: Raw) -> Column:
     """A JSON list or comma-separated text; empty parts are dropped, '' is the empty array."""
     parts = F.split(nullify(raw.text), ",", -1)
-    if raw.node is not None:
-        listed = F.try_variant_get(raw.node, "$", "array<string>")
-        parts = F.when(raw.is_kind("ARRAY"), listed).otherwise(parts)
-    return F.filter(parts, lambda part: part != ""), _no_error()
+    if raw.items is not None:
+        parts = F.coalesce(raw.items, parts)
+    return F.filter(parts, lambda part: part != "")
 
 
-def json_text(raw: Raw) -> Converted:
+def json_text(raw: Raw) -> Column:
     """Valid JSON, stored without blanks between tokens."""
     valid = F.try_parse_json(raw.text).isNotNull() & ~raw.is_kind("BOOLEAN")
-    if raw.node is None:
-        compact = compact_json(raw.text)
-    else:
-        compact = F.when(raw.is_kind("ARRAY", "OBJECT"), F.to_json(raw.node)).otherwise(
-            compact_json(raw.text)
-        )
-    value = F.when(_given(raw.text) & valid, compact)
-    return value, F.when(_given(raw.text) & value.isNull(), _refused(raw.text, "JSON"))
+    return F.when(_given(raw.text) & valid, compact_json(raw.text))
 
 
-def metadata(raw: Raw) -> Converted:
+def metadata(raw: Raw) -> Column:
     """A JSON object, given as one or as text holding one; absent means empty."""
-    parsed = F.try_parse_json(raw.text)
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    absent = raw.text.isNull()
-    value = F.when(absent, F.lit("{}")).when(is_object, F.to_json(parsed))
-    return value, F.when(value.isNull(), F.lit("metadata must be a JSON object"))
-
-
-def _identifier(raw: Raw, pattern: str, what: str) -> Converted:
-    value = F.when(raw.text.rlike(pattern), raw.text)
-    return value, F.when(value.isNull(), _refused(raw.text, what))
+    trimmed = F.btrim(raw.text, F.lit(_BLANKS))
+    parsed = F.when(trimmed.startswith("{"), F.try_parse_json(raw.text))
+    return F.when(raw.text.isNull(), F.lit("{}")).otherwise(F.to_json(parsed))
 
 
-def tconst(raw: Raw) -> Converted:
-    return _identifier(raw, TCONST, "tconst")
+def tconst(raw: Raw) -> Column:
+    return F.when(raw.text.rlike(TCONST), raw.text)
 
 
-def nconst(raw: Raw) -> Converted:
-    return _identifier(raw, NCONST, "nconst")
+def nconst(raw: Raw) -> Column:
+    return F.when(raw.text.rlike(NCONST), raw.text)
 
 
-def optional_nconst(raw: Raw) -> Converted:
-    value, error = nconst(raw)
-    return value, F.when(_given(raw.text), error)
+@dataclass(frozen=True)
+class Converter:
+    """``noun`` names the value in errors (None: nothing is refused); ``blank`` tells whether
+    null and empty input pass as NULL; ``needs`` which part of a JSON value besides its text."""
+
+    value: Callable[[Raw], Column]
+    noun: str | None = None
+    blank: bool = True
+    needs: str | None = None
+
+    def error(self, text: str, value: str) -> Column:
+        """Why column ``text`` was refused, or NULL; ``value`` names the finished value."""
+        if self.noun is None:
+            return F.lit(None).cast("string")
+        given = f"AND {text} NOT IN (r'{NULL_MARK}', '')" if self.blank else ""
+        return F.expr(
+            f"""CASE WHEN {value} IS NULL {given}
+                THEN concat("invalid {self.noun}: ", coalesce(concat("'", {text}, "'"), 'null')) END"""
+        )
 
 
-CONVERTERS: dict[str, Callable[[Raw], Converted]] = {
-    "text": text,
-    "integer": integer,
-    "rating": rating,
-    "boolean": boolean,
-    "array": array,
-    "json_text": json_text,
-    "tconst": tconst,
-    "nconst": nconst,
-    "optional_nconst": optional_nconst,
+CONVERTERS: dict[str, Converter] = {
+    "text": Converter(text),
+    "integer": Converter(integer, "integer", needs="kind"),
+    "rating": Converter(rating, "rating"),
+    "boolean": Converter(boolean, "boolean"),
+    "array": Converter(array, needs="items"),
+    "json_text": Converter(json_text, "JSON", needs="kind"),
+    "metadata": Converter(metadata, "metadata", blank=False),
+    "tconst": Converter(tconst, "tconst", blank=False),
+    "nconst": Converter(nconst, "nconst", blank=False),
+    "optional_nconst": Converter(nconst, "nconst"),
 }

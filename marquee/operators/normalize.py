@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions import converters as C
-from marquee.schemas import DATASETS, Dataset
+from marquee.functions.converters import CONVERTERS, Raw
+from marquee.operators.relational import computed
+from marquee.schemas import DATASETS, Dataset, Field
 
 PERMANENT = "[permanent]"
+MAX_ERROR_CHARS = 4000
 
 
-def _first(errors: list[Column]) -> Column:
-    return F.coalesce(*errors) if errors else F.lit(None).cast("string")
+def _error(field: Field, text: str) -> Column:
+    """Why the raw value in column ``text`` does not make a value for ``field``, or NULL."""
+    converter = CONVERTERS[field.converter]
+    value = f"record.{field.target}"
+    error = converter.error(text, value)
+    if field.required and converter.blank:
+        missing = f"required field '{text.rsplit('.', 1)[-1]}' is null"
+        error = F.coalesce(error, F.when(F.col(value).isNull(), F.lit(missing)))
+    return error
 
 
 def classify(raw: DataFrame, dataset: Dataset, provenance: bool = False) -> DataFrame:
@@ -21,17 +30,13 @@ def classify(raw: DataFrame, dataset: Dataset, provenance: bool = False) -> Data
     The reason is the first failing field's in declared order. ``provenance`` records file
     and line in the metadata column.
     """
-    values, errors = [], []
-    for field in dataset.fields:
-        value, error = C.CONVERTERS[field.converter](C.Raw(F.col(field.source)))
-        values.append(value.alias(field.target))
-        errors.append(error)
-        if field.required:
-            missing = F.lit(f"required field '{field.source}' is null")
-            errors.append(F.when(value.isNull(), missing))
+    values = [
+        CONVERTERS[f.converter].value(Raw(F.col(f.source))).alias(f.target) for f in dataset.fields
+    ]
     note = F.to_json(F.struct("source_file", "source_line")) if provenance else F.lit("{}")
-    record = F.struct(*values, note.alias("metadata"))
-    return raw.withColumns({"record": record, "reason": _first(errors)})
+    rows = raw.withColumn("record", F.struct(*values, note.alias("metadata")))
+    errors = [_error(f, f.source) for f in dataset.fields]
+    return computed(rows, {"reason": F.coalesce(*errors)})
 
 
 def accepted(classified: DataFrame, *keep: str) -> DataFrame:
@@ -41,39 +46,53 @@ def accepted(classified: DataFrame, *keep: str) -> DataFrame:
 
 def dead_letters(classified: DataFrame, dataset: Dataset, *keep: str) -> DataFrame:
     """The refused rows: ``keep`` columns, reason and the raw fields as JSON."""
-    raw = F.to_json(F.struct(*(f.source for f in dataset.fields)), {"ignoreNullFields": "false"})
     return classified.filter(F.col("reason").isNotNull()).select(
-        *keep, "reason", raw.alias("raw")
+        *keep, "reason", raw_json(dataset).alias("raw")
     )
 
 
+def raw_json(dataset: Dataset) -> Column:
+    fields = F.struct(*(f.source for f in dataset.fields))
+    return F.to_json(fields, {"ignoreNullFields": "false"})
+
+
+def envelope(table: str, columns: dict[str, Column]) -> Column:
+    """A message payload ``{"table": ..., "data": {...}}``; nulls are written out.
+
+    ``metadata``, JSON text in the tables, travels as an object.
+    """
+    opened = {
+        name: F.parse_json(column) if name == "metadata" else column
+        for name, column in columns.items()
+    }
+    data = F.struct(*(column.alias(name) for name, column in opened.items()))
+    message = F.struct(F.lit(table).alias("table"), data.alias("data"))
+    return F.to_json(message, {"ignoreNullFields": "false"})
+
+
 def to_envelope(records: DataFrame, table: str, *keep: str) -> DataFrame:
-    """Records as message payloads ``{"table": ..., "data": {...}}``; nulls are written out."""
-    columns = [c for c in records.columns if c not in keep]
-    data = F.struct(*columns)
-    if "metadata" in columns:
-        opened = F.parse_json("metadata").alias("metadata")
-        data = F.struct(*(opened if c == "metadata" else F.col(c) for c in columns))
-    envelope = F.struct(F.lit(table).alias("table"), data.alias("data"))
-    return records.select(*keep, F.to_json(envelope, {"ignoreNullFields": "false"}).alias("payload"))
+    """The ``keep`` columns and all others but them as a message payload."""
+    columns = {c: F.col(c) for c in records.columns if c not in keep or c in DATASETS[table].columns}
+    return records.select(*keep, envelope(table, columns).alias("payload"))
 
 
 def route(messages: DataFrame) -> DataFrame:
-    """``messages`` plus ``table_name``, ``data`` (variant) and ``reason`` when unroutable."""
-    parsed = F.try_parse_json("payload")
-    inner = F.try_parse_json(F.try_variant_get(parsed, "$", "string"))
-    opened = messages.withColumn("_doc", parsed).withColumn(
-        "_doc",
-        F.when(F.schema_of_variant("_doc") == "STRING", inner).otherwise(F.col("_doc")),
-    )
-    fields = opened.withColumns(
+    """``messages`` plus ``table_name``, ``data`` (variant) and ``reason`` when unroutable.
+
+    A payload that is a JSON string is read as the document that string holds.
+    """
+    blanks = F.lit(" \t\r\n")
+    quoted = F.try_variant_get(F.try_parse_json("payload"), "$", "string")
+    text = F.when(F.ltrim("payload", blanks).startswith('"'), quoted).otherwise(F.col("payload"))
+    texts = computed(messages, {"_text": F.ltrim(text, blanks)})
+    docs = computed(texts, {"_doc": F.try_parse_json("_text")})
+    parts = computed(
+        docs,
         {
-            "_is_object": F.coalesce(
-                F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False)
-            ),
+            "_is_object": F.col("_doc").isNotNull() & F.col("_text").startswith("{"),
             "table_name": F.try_variant_get("_doc", "$.table", "string"),
             "data": F.try_variant_get("_doc", "$.data", "variant"),
-        }
+        },
     )
     known = F.coalesce(F.col("table_name").isin(*DATASETS), F.lit(False))
     shown = F.coalesce(F.concat(F.lit("'"), F.col("table_name"), F.lit("'")), F.lit("null"))
@@ -83,37 +102,71 @@ def route(messages: DataFrame) -> DataFrame:
         .when(~known, F.concat(F.lit("unsupported table: "), shown))
         .when(~holds_object, F.lit("payload.data must be a JSON object"))
     )
-    return fields.withColumn("reason", reason).drop("_doc", "_is_object")
+    return computed(parts, {"reason": reason}).drop("_text", "_doc", "_is_object")
 
 
-def message_record(dataset: Dataset) -> tuple[Column, Column]:
-    """(record, reason) columns for a routed message's ``data`` as a row of ``dataset``."""
-    raws = {f.target: C.from_json(F.col("data"), f.target) for f in dataset.fields}
-    required = [f.target for f in dataset.fields if f.required]
-    absent = F.array_compact(
-        F.array(*(F.when(raws[name].text.isNull(), F.lit(name)) for name in required))
+def normalize_messages(messages: DataFrame) -> DataFrame:
+    """``messages`` plus ``table_name``, ``record`` and ``reason``, for all tables at once.
+
+    ``record`` holds every field any table declares (equal names convert alike); the reason
+    looks only at the fields of the message's own table. So one pass serves all tables.
+    """
+    fields = {f.target: f for d in DATASETS.values() for f in d.fields}
+    needs = {n: CONVERTERS[f.converter].needs for n, f in fields.items()}
+
+    def found(name: str, kind: str) -> Column:
+        """The field of a routed message whose table declares it."""
+        tables = [d.table for d in DATASETS.values() if name in d.columns]
+        return F.when(F.col("table_name").isin(*tables), F.try_variant_get("data", f"$.{name}", kind))
+
+    texts = [found(n, "string").alias(n) for n in fields]
+    note_text = F.try_variant_get("data", "$.metadata", "string").alias("metadata")
+    kinds = [
+        F.schema_of_variant(found(n, "variant")).alias(n) for n in fields if needs[n] == "kind"
+    ]
+    items = [
+        F.array_compact(found(n, "array<string>")).alias(n) for n in fields if needs[n] == "items"
+    ]
+    raws = route(messages).withColumns(
+        {"_text": F.struct(*texts, note_text), "_kind": F.struct(*kinds), "_items": F.struct(*items)}
     )
-    listed = F.concat(F.lit("missing required fields: "), F.array_join(absent, ", "))
-    values, errors = [], [F.when(F.size(absent) > 0, listed)]
-    for field in dataset.fields:
-        value, error = C.CONVERTERS[field.converter](raws[field.target])
-        values.append(value.alias(field.target))
-        errors.append(error)
-        if field.required:
-            missing = F.lit(f"required field '{field.target}' is null")
-            errors.append(F.when(value.isNull(), missing))
-    note, note_error = C.metadata(C.from_json(F.col("data"), "metadata"))
-    return F.struct(*values, note.alias("metadata")), _first([*errors, note_error])
-
-
-def normalize_messages(routed: DataFrame, dataset: Dataset) -> DataFrame:
-    """Messages routed to ``dataset`` plus ``record`` and the final ``reason``."""
-    mine = routed.filter(F.col("reason").isNull() & (F.col("table_name") == dataset.table))
-    record, reason = message_record(dataset)
-    return mine.withColumns({"record": record, "reason": reason})
-
-
-def rejected(classified: DataFrame, *keep: str) -> DataFrame:
-    """Refused messages with the reason a permanent nack carries."""
-    reason = F.left(F.concat(F.lit(f"{PERMANENT} validation error: "), "reason"), F.lit(4000))
-    return classified.filter(F.col("reason").isNotNull()).select(*keep, reason.alias("reason"))
+
+    def raw(name: str) -> Raw:
+        return Raw(
+            F.col(f"_text.{name}"),
+            F.col(f"_kind.{name}") if needs[name] == "kind" else None,
+            F.col(f"_items.{name}") if needs[name] == "items" else None,
+        )
+
+    values = [CONVERTERS[f.converter].value(raw(n)).alias(n) for n, f in fields.items()]
+    note = CONVERTERS["metadata"].value(Raw(F.col("_text.metadata")))
+    rows = raws.withColumn("record", F.struct(*values, note.alias("metadata")))
+    errors = {f: _error(f, f"_text.{f.target}") for d in DATASETS.values() for f in d.fields}
+    reason = F.col("_unroutable")
+    for dataset in DATASETS.values():
+        refused = F.coalesce(_absent(dataset), *(errors[f] for f in dataset.fields))
+        reason = F.coalesce(reason, F.when(F.col("table_name") == dataset.table, refused))
+    note_error = F.when(F.col("record.metadata").isNull(), F.lit("metadata must be a JSON object"))
+    return computed(
+        rows.withColumnRenamed("reason", "_unroutable"),
+        {"reason": F.coalesce(reason, note_error)},
+    ).drop("_unroutable", "_text", "_kind", "_items", "data")
+
+
+def _absent(dataset: Dataset) -> Column:
+    required = [f.target for f in dataset.fields if f.required]
+    absent = F.concat_ws(", ", *(F.when(F.col(f"_text.{n}").isNull(), F.lit(n)) for n in required))
+    return F.when(absent != "", F.concat(F.lit("missing required fields: "), absent))
+
+
+def accepted_messages(normalized: DataFrame, dataset: Dataset, *keep: str) -> DataFrame:
+    """The typed rows of one table, with the columns of ``keep`` in front."""
+    mine = (F.col("table_name") == dataset.table) & F.col("reason").isNull()
+    columns = [f"record.{c}" for c in (*dataset.columns, "metadata")]
+    return normalized.filter(mine).select(*keep, *columns)
+
+
+def permanent_reason() -> Column:
+    """The reason a permanent nack carries, NULL for an accepted message."""
+    text = F.concat(F.lit(f"{PERMANENT} validation error: "), F.col("reason"))
+    return F.left(text, F.lit(MAX_ERROR_CHARS))

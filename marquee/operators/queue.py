@@ -14,7 +14,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.relational import lowest_n, small_side, top_n_per_group
+from marquee.operators.relational import BROADCAST_ROWS, lowest_n, top_n_per_group
+from marquee.session import count_up_to
 
 # Fixed values of the queue protocol.
 MAX_BATCH = 10_000
@@ -227,9 +228,10 @@ def _no_null_ids(ids: DataFrame) -> DataFrame:
 def ack(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column) -> DataFrame:
     """Mark messages done. Only processing or done ones change; unknown ids do nothing."""
     now = _moment(as_of, queue)
+    small = count_up_to(ids, BROADCAST_ROWS) is not None
     acked = _no_null_ids(ids.select("id")).distinct().withColumn("_acked", F.lit(True))
     out = _set(
-        queue.join(small_side(acked), "id", "left"),
+        queue.join(F.broadcast(acked) if small else acked, "id", "left"),
         F.col("_acked") & F.col("status").isin("processing", "done"),
         {
             "status": F.lit("done"),
@@ -258,6 +260,7 @@ def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -
     as one nack: a permanent one wins, then the smallest text.
     """
     now = _moment(as_of, queue)
+    small = count_up_to(reasons, BROADCAST_ROWS) is not None
     given = _no_null_ids(reasons).select("id", F.coalesce("reason", F.lit("")).alias("_reason"))
     rank = F.struct(~F.col("_reason").startswith(PERMANENT), F.col("_reason"))
     given = given.groupBy("id").agg(F.min(rank).getField("_reason").alias("_reason"))
@@ -269,7 +272,7 @@ def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -
     failed_at = F.when(
         F.col("status") == "failed", F.coalesce("failed_at", now)
     ).when(F.col("status") == "done", F.col("failed_at")).when(final, now)
-    marked = queue.join(small_side(given), "id", "left")
+    marked = queue.join(F.broadcast(given) if small else given, "id", "left")
     out = _set(
         marked,
         nacked,

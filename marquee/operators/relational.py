@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.arrays import contains_all, contains_any
+from marquee.functions.arrays import contains_all, contains_any, sorted_distinct
 from marquee.functions.json import variant_contains
 from marquee.session import count_up_to
 
@@ -24,6 +24,17 @@ def small_side(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if count_up_to(df, bound) is not None else df
 
 
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` plus ``columns``, each evaluated once per row.
+
+    A filter on a computed column is otherwise pushed below its projection, and the whole
+    expression runs again there for every use. The one-row generator keeps it above; worth
+    it for parsing and conversions, not for cheap expressions.
+    """
+    packed = F.struct(*(column.alias(name) for name, column in columns.items()))
+    return df.select("*", F.inline(F.array(packed)))
+
+
 def array_any_join(
     left: DataFrame, right: DataFrame, key: str, array: str, how: str = "inner"
 ) -> DataFrame:
@@ -36,6 +47,24 @@ def array_any_join(
     return left.join(members, key, how)
 
 
+def unordered_pairs(df: DataFrame, array: str, first: str, second: str) -> DataFrame:
+    """A row per pair of distinct non-null elements of each row's array, first < second."""
+    rest = [c for c in df.columns if c != array]
+    firsts = df.withColumn("_all", sorted_distinct(F.col(array))).select(
+        *rest, "_all", F.posexplode("_all").alias("_at", first)
+    )
+    later = F.slice("_all", F.col("_at") + 2, F.size("_all"))
+    return firsts.select(*rest, first, F.explode(later).alias(second))
+
+
+def increasing_pairs(df: DataFrame, array: str, first: str, second: str) -> DataFrame:
+    """As ``unordered_pairs`` on the array as it is: repeated elements give repeated pairs."""
+    rest = [c for c in df.columns if c != array]
+    firsts = df.select(*rest, array, F.explode(array).alias(first))
+    pairs = firsts.select(*rest, first, F.explode(array).alias(second))
+    return pairs.filter(F.col(first) < F.col(second))
+
+
 def top_n_per_group(
     df: DataFrame,
     group: Sequence[str],
@@ -109,14 +138,18 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
-def without_existing(batch: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
+def without_existing(
+    batch: DataFrame, target: DataFrame, key: Sequence[str], rows: int | None = None
+) -> DataFrame:
     """Rows of ``batch`` whose key ``target`` does not hold yet.
 
-    The target is cut to the batch's keys first. A small batch is broadcast against it, so
-    the target is only scanned; a large one makes this an ordinary shuffled semi join.
+    With ``rows``, the caller's count of the batch, small enough, the batch's keys are
+    broadcast and the target is only scanned; otherwise both sides shuffle their keys.
     """
-    keys = small_side(batch.select(*key).distinct())
-    existing = target.select(*key).join(keys, list(key), "left_semi")
+    existing = target.select(*key)
+    if rows is not None and rows <= BROADCAST_ROWS:
+        keys = F.broadcast(batch.select(*key).distinct())
+        existing = existing.join(keys, list(key), "left_semi")
     return batch.join(existing, list(key), "left_anti")
 
 
@@ -160,4 +193,5 @@ def with_genres(df: DataFrame, every: Sequence[str] = (), some: Sequence[str] =
 
 def json_contains(df: DataFrame, col: str, pattern: dict) -> DataFrame:
     """Rows whose JSON text column contains ``pattern`` (see ``variant_contains``)."""
-    return df.filter(variant_contains(F.try_parse_json(col), pattern))
+    parsed = computed(df, {"_doc": F.try_parse_json(col)})
+    return parsed.filter(variant_contains(F.col("_doc"), pattern)).drop("_doc")

@@ -5,26 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.normalize import PERMANENT, message_record
-from marquee.schemas import DATASETS
+from marquee.operators.normalize import permanent_reason
 
 
-def outcomes(routed: DataFrame) -> DataFrame:
-    """(id, table_name, outcome, reason) of every routed message in one pass.
+def outcomes(normalized: DataFrame) -> DataFrame:
+    """(id, table_name, outcome, reason) of every message.
 
     ``ack`` for a message that makes a valid record, ``permanent`` with the nack reason for
     one that never will.
     """
-    reason = F.col("reason")
-    for dataset in DATASETS.values():
-        _, refusal = message_record(dataset)
-        reason = F.coalesce(reason, F.when(F.col("table_name") == dataset.table, refusal))
-    text = F.left(F.concat(F.lit(f"{PERMANENT} validation error: "), reason), F.lit(4000))
-    return routed.select(
+    good = F.col("reason").isNull()
+    return normalized.select(
         "id",
         "table_name",
-        F.when(reason.isNull(), F.lit("ack")).otherwise(F.lit("permanent")).alias("outcome"),
-        text.alias("reason"),
+        F.when(good, F.lit("ack")).otherwise(F.lit("permanent")).alias("outcome"),
+        permanent_reason().alias("reason"),
     )
 
 

@@ -11,9 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.arrays import increasing_pairs, unordered_pairs
 from marquee.functions.numeric import exact_avg, exact_stddev, median
-from marquee.operators.relational import top_n_per_group
+from marquee.operators.relational import increasing_pairs, top_n_per_group, unordered_pairs
 
 # The spellings of series types, and the acting categories.
 SERIES_TYPES = ("tvSeries", "tvMiniSeries", "tvseries", "tvminiseries")
@@ -213,7 +212,7 @@ def s5a(
         .groupBy("nconst")
         .agg(
             F.count("*").alias("distinct_genre_count"),
-            F.array_sort(F.collect_list("genre")).alias("genres"),
+            F.sort_array(F.collect_list("genre")).alias("genres"),
         )
         .filter(F.col("distinct_genre_count") > more_than)
     )
@@ -239,7 +238,7 @@ def s5b(
         .agg(
             F.count("genre").alias("genre_count"),
             F.concat(
-                F.array_sort(F.collect_list("genre")),
+                F.sort_array(F.collect_list("genre")),
                 F.coalesce(null_tail, F.array().cast("array<string>")),
             ).alias("genres_list"),
         )
@@ -323,11 +322,10 @@ def s6b(
 
 def s7a(title_basics: DataFrame, n: int = 20) -> DataFrame:
     """Most common unordered genre pairs over movies."""
+    movies = _movies(title_basics).filter(F.size("genres") >= 2).select("genres")
     return (
-        _movies(title_basics)
-        .filter(F.size("genres") >= 2)
-        .select(F.explode(unordered_pairs(F.col("genres"))).alias("pair"))
-        .groupBy(F.col("pair.first").alias("genre_1"), F.col("pair.second").alias("genre_2"))
+        unordered_pairs(movies, "genres", "genre_1", "genre_2")
+        .groupBy("genre_1", "genre_2")
         .agg(F.count("*").alias("movie_count"))
         .orderBy(F.desc("movie_count"), "genre_1", "genre_2")
         .limit(n)
@@ -337,10 +335,10 @@ def s7a(title_basics: DataFrame, n: int = 20) -> DataFrame:
 def s7b(title_basics: DataFrame, title_ratings: DataFrame, n: int = 20) -> DataFrame:
     """Most common pairs over movies with a rating row; repeated genres count repeatedly."""
     movies = _movies(title_basics).filter(F.size("genres") >= 2).select("tconst", "genres")
+    rated = movies.join(title_ratings.select("tconst", "average_rating"), "tconst")
     return (
-        movies.join(title_ratings.select("tconst", "average_rating"), "tconst")
-        .select(F.explode(increasing_pairs(F.col("genres"))).alias("pair"), "average_rating")
-        .groupBy(F.col("pair.first").alias("genre1"), F.col("pair.second").alias("genre2"))
+        increasing_pairs(rated.drop("tconst"), "genres", "genre1", "genre2")
+        .groupBy("genre1", "genre2")
         .agg(
             F.count("*").alias("pair_count"),
             exact_avg(F.col("average_rating")).alias("avg_rating"),

@@ -118,13 +118,11 @@ def _route(messages: DataFrame) -> DataFrame:
     return normalize.route(messages).select("id", "table_name", "reason")
 
 
-def _normalized(messages: DataFrame, dataset=RATINGS) -> DataFrame:
-    return normalize.normalize_messages(normalize.route(messages), dataset)
-
-
 def _normalize_ratings(messages: DataFrame) -> DataFrame:
+    rows = normalize.normalize_messages(messages)
+    routed = ~F.coalesce(F.col("reason").rlike("^(payload|unsupported)"), F.lit(False))
     good = F.col("reason").isNull()
-    return _normalized(messages).select(
+    return rows.filter(routed & (F.col("table_name") == "title_ratings")).select(
         "id",
         F.when(good, F.col("record.tconst")).alias("tconst"),
         F.when(good, F.col("record.average_rating").cast("double")).alias("average_rating"),
@@ -133,28 +131,34 @@ def _normalize_ratings(messages: DataFrame) -> DataFrame:
     )
 
 
+def _ratings(messages: DataFrame) -> DataFrame:
+    return normalize.accepted_messages(normalize.normalize_messages(messages), RATINGS, "id")
+
+
 def _normalize_crew(messages: DataFrame) -> DataFrame:
-    rows = normalize.accepted(_normalized(messages, CREW), "id")
+    rows = normalize.accepted_messages(normalize.normalize_messages(messages), CREW, "id")
     return rows.select("id", "tconst", "directors")
 
 
+def _outcomes(messages: DataFrame) -> DataFrame:
+    return ingest.outcomes(normalize.normalize_messages(messages))
+
+
 def _rejected(messages: DataFrame) -> DataFrame:
-    return ingest.outcomes(normalize.route(messages)).filter(F.col("reason").isNotNull()).select(
-        "id", "reason"
-    )
+    return _outcomes(messages).filter(F.col("outcome") == "permanent").select("id", "reason")
 
 
 def _fanout(messages: DataFrame) -> DataFrame:
-    done = ingest.outcomes(normalize.route(messages)).filter(F.col("outcome") == "ack")
+    done = _outcomes(messages).filter(F.col("outcome") == "ack")
     return done.groupBy("table_name").agg(F.count("*").alias("accepted"))
 
 
 def _first_wins(messages: DataFrame, title_ratings: DataFrame) -> DataFrame:
-    rows = normalize.accepted(_normalized(messages), "id")
-    fresh = rel.without_existing(
-        rel.first_per_key(rows, RATINGS.key, ["id"]), title_ratings, RATINGS.key
+    first = rel.first_per_key(_ratings(messages), RATINGS.key, ["id"])
+    fresh = rel.without_existing(first, title_ratings, RATINGS.key)
+    return fresh.select(
+        "tconst", F.col("average_rating").cast("double").alias("average_rating"), "num_votes"
     )
-    return fresh.select("tconst", F.col("average_rating").cast("double").alias("average_rating"), "num_votes")
 
 
 def _dedupe(principals: DataFrame) -> DataFrame:
@@ -181,8 +185,7 @@ def _audit(message_queue: DataFrame, principals: DataFrame) -> DataFrame:
 
 
 def _batch_event(messages: DataFrame) -> DataFrame:
-    done = ingest.outcomes(normalize.route(messages))
-    return ingest.batch_event(done, F.lit(AS_OF).cast("timestamp_ntz"))
+    return ingest.batch_event(_outcomes(messages), F.lit(AS_OF).cast("timestamp_ntz"))
 
 
 def _events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,37 +138,53 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
+def _held_keys(
+    target: DataFrame, key: Sequence[str], batch: DataFrame, batch_key: Sequence[str], rows: int | None
+) -> DataFrame:
+    """Keys of ``target``, cut to those in ``batch`` when that is counted and small.
+
+    The batch's keys are broadcast then, so the target is scanned without a shuffle.
+    """
+    held = target.select(*key)
+    if rows is None or rows > BROADCAST_ROWS:
+        return held
+    wanted = batch.select(*(F.col(b).alias(k) for b, k in zip(batch_key, key))).distinct()
+    return held.join(F.broadcast(wanted), list(key), "left_semi")
+
+
 def without_existing(
     batch: DataFrame, target: DataFrame, key: Sequence[str], rows: int | None = None
 ) -> DataFrame:
     """Rows of ``batch`` whose key ``target`` does not hold yet.
 
-    With ``rows``, the caller's count of the batch, small enough, the batch's keys are
-    broadcast and the target is only scanned; otherwise both sides shuffle their keys.
+    ``rows`` is the caller's count (or bound) of the batch. A small batch leaves the target
+    unshuffled; otherwise both sides shuffle their keys.
     """
-    existing = target.select(*key)
-    if rows is not None and rows <= BROADCAST_ROWS:
-        keys = F.broadcast(batch.select(*key).distinct())
-        existing = existing.join(keys, list(key), "left_semi")
-    return batch.join(existing, list(key), "left_anti")
+    return batch.join(_held_keys(target, key, batch, key, rows), list(key), "left_anti")
 
 
-def with_parent_flag(child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str) -> DataFrame:
+def with_parent_flag(
+    child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str, rows: int | None = None
+) -> DataFrame:
     """``child`` plus a boolean: the reference is NULL or ``parent`` holds it (pk unique)."""
-    keys = parent.select(F.col(pk).alias("_pk"), F.lit(True).alias("_hit"))
+    keys = _held_keys(parent, [pk], child, [fk], rows)
+    keys = keys.select(F.col(pk).alias("_pk"), F.lit(True).alias("_hit"))
     joined = child.join(keys, F.col(fk) == F.col("_pk"), "left")
     ok = F.col(fk).isNull() | F.col("_hit").isNotNull()
     return joined.withColumn(flag, ok).drop("_pk", "_hit")
 
 
 def split_orphans(
-    child: DataFrame, references: Sequence[tuple[str, DataFrame, str]]
+    child: DataFrame, references: Sequence[tuple[str, DataFrame, str]], rows: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(insertable, orphans): rows whose references all exist, and the others."""
+    """(insertable, orphans): rows whose references all exist, and the others.
+
+    ``references`` are (column, parent, parent key); ``rows`` as in ``without_existing``.
+    """
     marked = child
     flags = [f"_ref{i}" for i in range(len(references))]
     for flag, (fk, parent, pk) in zip(flags, references):
-        marked = with_parent_flag(marked, fk, parent, pk, flag)
+        marked = with_parent_flag(marked, fk, parent, pk, flag, rows)
     ok = F.lit(True)
     for flag in flags:
         ok = ok & F.col(flag)

@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import logging
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.normalize import permanent_reason
+from marquee.operators import normalize
+from marquee.operators import relational as rel
+from marquee.schemas import DATASETS, PRODUCER_PROGRESS, Dataset
+from marquee.sources import manifest, tsv
+from marquee.sources.store import Store
+
+log = logging.getLogger("marquee")
 
 
 def outcomes(normalized: DataFrame) -> DataFrame:
@@ -19,7 +30,7 @@ def outcomes(normalized: DataFrame) -> DataFrame:
         "id",
         "table_name",
         F.when(good, F.lit("ack")).otherwise(F.lit("permanent")).alias("outcome"),
-        permanent_reason().alias("reason"),
+        normalize.permanent_reason().alias("reason"),
     )
 
 
@@ -45,3 +56,158 @@ def events_latest(
     """The ``n`` latest events of a type."""
     mine = events.filter(F.col("event_type") == event_type)
     return mine.orderBy(F.desc(at), F.desc(key)).limit(n)
+
+
+@dataclass(frozen=True)
+class Produced:
+    """What a run did with one source."""
+
+    source_file: str
+    table: str
+    enqueued: int
+    malformed: int
+    completed: bool
+
+
+PRODUCED = "id BIGINT, source_line BIGINT, payload STRING, reason STRING, raw STRING, refused BOOLEAN"
+
+
+def produce(
+    spark: SparkSession,
+    data_dir: str,
+    store_dir: str,
+    as_of: datetime,
+    selectors: Sequence[str] = (),
+    provenance: bool = False,
+    max_rows: int = 0,
+    restart: bool = False,
+    partitions: int | None = None,
+) -> list[Produced]:
+    """Turn the dump files of a folder into queued messages.
+
+    Per source, lines after the recorded one are converted and written once, accepted rows
+    as messages and refused ones as dead letters side by side (``refused`` is the partition
+    column); then progress and an event row are recorded. A crash in between repeats that
+    source's run into the same folder. A source that changed since it was read raises unless
+    ``restart``; a completed one is skipped. ``max_rows`` caps the accepted rows of a source.
+    """
+    store = Store(spark, store_dir)
+    names = [n for d in DATASETS.values() for n in (d.filename, d.plain_filename)]
+    files = manifest.scan_manifest(spark, data_dir).filter(F.col("source_file").isin(*names))
+    listing = {row.source_file: row for row in files.collect()}  # at most two per dataset
+    sources = tsv.select_sources(list(listing), selectors)
+    done = []
+    for number, (dataset, name) in enumerate(sources):
+        progress, version = store.snapshot("progress", PRODUCER_PROGRESS)
+        if restart:
+            progress = manifest.reset_progress(progress, [name])
+        mine = files.filter(F.col("source_file") == name)
+        state = manifest.manifest_status(mine, progress).head()
+        if state.status == "changed":
+            raise ValueError(f"{name} changed since it was read; check it, then restart it")
+        if state.status == "complete":
+            log.info("skipping %s: already read to its end", name)
+            continue
+        before = progress.filter(F.col("source_file") == name).head()
+        run = f"source={name}/after={state.resume_after}"
+        completed = _produce_rows(
+            store, dataset, f"{data_dir.rstrip('/')}/{name}", run, state.resume_after,
+            list(DATASETS).index(dataset.table), provenance, max_rows, partitions,
+        )
+        rows = spark.read.schema(PRODUCED).parquet(f"{store.path('produced')}/{run}")
+        counts = rows.agg(
+            F.count_if(~F.col("refused")).alias("enqueued"),
+            F.count_if("refused").alias("malformed"),
+            F.coalesce(F.max("source_line"), F.lit(state.resume_after)).alias("last_line"),
+        ).head()
+        update = spark.createDataFrame(
+            [(
+                name, dataset.table, listing[name].source_size_bytes, listing[name].source_mtime_ns,
+                counts.last_line, (before.rows_enqueued if before else 0) + counts.enqueued,
+                (before.malformed_rows if before else 0) + counts.malformed, completed, as_of,
+            )],
+            PRODUCER_PROGRESS,
+        )
+        event = update.select(
+            F.lit("producer_file_checkpoint").alias("event_type"),
+            F.to_json(
+                F.struct(
+                    F.col("table_name").alias("table"),
+                    F.lit(counts.enqueued).alias("run_enqueued"),
+                    F.lit(counts.malformed).alias("run_malformed"),
+                    F.col("rows_enqueued").alias("total_enqueued"),
+                    "completed",
+                )
+            ).alias("payload"),
+            "source_file",
+            F.col("updated_at").alias("created_at"),
+        )
+        store.write_run(event.coalesce(1), "events", f"producer/{run}")
+        merged = manifest.upsert_progress(progress, update).coalesce(1)
+        store.write_snapshot(merged, "progress", version + 1)
+        done.append(Produced(name, dataset.table, counts.enqueued, counts.malformed, completed))
+    return done
+
+
+def _produce_rows(
+    store: Store,
+    dataset: Dataset,
+    path: str,
+    run: str,
+    after: int,
+    number: int,
+    provenance: bool,
+    max_rows: int,
+    partitions: int | None,
+) -> bool:
+    """Convert and write one source's rows after a line; whether it was read to its end."""
+    raw = tsv.read_tsv(store.spark, path, dataset, partitions)
+    classified = normalize.classify(raw.filter(F.col("source_line") > after), dataset, provenance)
+    capped = tsv.up_to_accepted(classified, max_rows)
+    refused = F.col("reason").isNotNull()
+    record = {c: F.col(f"record.{c}") for c in (*dataset.columns, "metadata")}
+    out = capped.select(
+        # Unique without a shared counter, and ordered by load order and line.
+        (F.lit(number).cast("bigint") * (1 << 40) + F.col("source_line")).alias("id"),
+        "source_line",
+        F.when(~refused, normalize.envelope(dataset.table, record)).alias("payload"),
+        "reason",
+        F.when(refused, normalize.raw_json(dataset)).alias("raw"),
+        refused.alias("refused"),
+    )
+    target = f"{store.path('produced')}/{run}"
+    out.write.mode("overwrite").partitionBy("refused").parquet(target)
+    if not max_rows:
+        return True
+    last = store.spark.read.schema(PRODUCED).parquet(target).agg(F.max("source_line")).head()[0]
+    return raw.filter(F.col("source_line") > (last or after)).isEmpty()
+
+
+def dead_letter_log(store: Store) -> DataFrame:
+    """Refused rows of all runs: source, line, reason and raw fields."""
+    rows = store.read("produced", f"{PRODUCED}, source STRING, after BIGINT")
+    return rows.filter("refused").select(
+        F.col("source").alias("source_file"), "source_line", "reason", "raw"
+    )
+
+
+def land(
+    batch: DataFrame,
+    dataset: Dataset,
+    target: DataFrame,
+    parents: Callable[[str], DataFrame] | None = None,
+    rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows to insert, ids to retry) for one table's accepted messages (id, columns).
+
+    The first message of a key wins and keys the target holds are left alone. With
+    ``parents`` (table name to rows) messages whose parents are missing are retried; the
+    others of the batch are not held up by them.
+    """
+    insertable, orphans = batch, batch.limit(0)
+    if parents and dataset.references:
+        references = [(fk, parents(table), pk) for fk, table, pk in dataset.references]
+        insertable, orphans = rel.split_orphans(batch, references, rows)
+    first = rel.first_per_key(insertable, dataset.key, ["id"])
+    fresh = rel.without_existing(first, target, dataset.key, rows)
+    return fresh.select(*dataset.columns, "metadata"), orphans.select("id")

@@ -49,16 +49,6 @@ def manifest_status(manifest: DataFrame, progress: DataFrame) -> DataFrame:
     )
 
 
-def require_unchanged(status: DataFrame) -> DataFrame:
-    """``status`` itself; running it raises if a source changed since it was last read."""
-    message = F.concat(
-        F.col("source_file"),
-        F.lit(" changed since the previous run; reset its progress after checking the new file"),
-    )
-    checked = F.when(F.col("status") == "changed", F.raise_error(message))
-    return status.withColumn("status", checked.otherwise(F.col("status")))
-
-
 def upsert_progress(progress: DataFrame, updates: DataFrame) -> DataFrame:
     """Progress with ``updates`` replacing rows of the same source; the latest update wins."""
     both = progress.withColumn("_new", F.lit(0)).unionByName(updates.withColumn("_new", F.lit(1)))

@@ -473,5 +473,69 @@ SELECT nconst, tconst FROM title_principals WHERE category IN ('actor', 'actress
     }
 
 
+def _streams() -> dict[str, str]:
+    ops = duck_ctes("queue_ops").replace("WITH ", "WITH RECURSIVE ", 1)
+    half_minute = "INTERVAL 30 SECOND"
+    delay = "to_seconds(least(300, cast(pow(2, greatest(attempts - 1, 0)) AS int)))"
+    expired = "coalesce(nullif(last_error, ''), 'visibility timeout expired after maximum attempts')"
+    reclaimed = "coalesce(nullif(last_error, ''), 'visibility timeout expired; message reclaimed')"
+
+    def settled(at: str) -> str:
+        over = f"(status = 'processing' AND attempts >= 5 AND started_at + {half_minute} <= {at})"
+        return f"""id, CASE WHEN {over} THEN 'failed' ELSE status END AS status, attempts, available_at,
+    CASE WHEN NOT coalesce({over}, false) THEN started_at END AS started_at, completed_at,
+    CASE WHEN {over} THEN started_at + {half_minute} ELSE failed_at END AS failed_at,
+    CASE WHEN {over} THEN {expired} ELSE last_error END AS last_error"""
+
+    return {
+        "queue_lifecycle": f"""{ops},
+steps AS (
+  SELECT id, op, op_at, reason, row_number() OVER (PARTITION BY id ORDER BY op_at, seq) AS k
+  FROM queue_ops),
+life AS (
+  SELECT id, cast(0 AS bigint) AS k, 'pending' AS status, 0 AS attempts, op_at AS available_at,
+         cast(NULL AS timestamp) AS started_at, cast(NULL AS timestamp) AS completed_at,
+         cast(NULL AS timestamp) AS failed_at, cast(NULL AS varchar) AS last_error
+  FROM steps WHERE k = 1
+  UNION ALL
+  SELECT id, k,
+         CASE WHEN does = 'claim' THEN 'processing' WHEN does = 'ack' THEN 'done'
+              WHEN does = 'fail' THEN 'failed' WHEN does = 'retry' THEN 'pending' ELSE status END,
+         CASE WHEN does = 'claim' THEN attempts + 1 ELSE attempts END,
+         CASE WHEN does = 'retry' THEN op_at + {delay} ELSE available_at END,
+         CASE WHEN does = 'claim' THEN op_at WHEN does = 'none' THEN started_at END,
+         CASE WHEN does = 'claim' THEN NULL WHEN does = 'ack' THEN coalesce(completed_at, op_at)
+              ELSE completed_at END,
+         CASE WHEN does = 'fail' THEN op_at WHEN does = 'none' THEN failed_at END,
+         CASE WHEN does = 'claim' AND status = 'processing' THEN {reclaimed}
+              WHEN does IN ('fail', 'retry') THEN left(coalesce(reason, ''), 4000) ELSE last_error END
+  FROM (
+    SELECT *, CASE
+        WHEN op = 'claim' AND attempts < 5
+             AND ((status = 'pending' AND available_at <= op_at)
+                  OR (status = 'processing' AND started_at + {half_minute} <= op_at)) THEN 'claim'
+        WHEN op = 'ack' AND status IN ('processing', 'done') THEN 'ack'
+        WHEN op = 'nack' AND status IN ('pending', 'processing')
+          THEN CASE WHEN starts_with(coalesce(reason, ''), '[permanent]') OR attempts >= 5
+                    THEN 'fail' ELSE 'retry' END
+        ELSE 'none' END AS does
+    FROM (SELECT steps.k, op, op_at, reason, {settled("op_at").replace("id,", "life.id,", 1)}
+          FROM life JOIN steps ON steps.id = life.id AND steps.k = life.k + 1)))
+SELECT {settled("timestamp'2024-03-01 00:00:00'")}
+FROM life WHERE (id, k) IN (SELECT id, max(k) FROM steps GROUP BY id)""",
+        "stream_ingest": _messages()["upsert_first_wins"].replace(
+            "AND tconst NOT IN (SELECT tconst FROM title_ratings)", ""
+        ),
+    }
+
+
 def oracles() -> dict[str, str]:
-    return {**_scenarios(), **_dumps(), **_messages(), **_integrity(), **_queue(), **_tables()}
+    return {
+        **_scenarios(),
+        **_dumps(),
+        **_messages(),
+        **_integrity(),
+        **_queue(),
+        **_tables(),
+        **_streams(),
+    }

@@ -12,8 +12,11 @@ from marquee.operators import audit, normalize, queue
 from marquee.operators import relational as rel
 from marquee.plans import ingest, scenarios
 from marquee.schemas import DATASETS
+from marquee.session import shared_dir
 from marquee.sources import layout, manifest, tsv
-from workload.views import AS_OF, table, view
+from marquee.streaming import ingest as stream_ingest
+from marquee.streaming import lifecycle
+from workload.views import AS_OF, stream_view, table, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -303,5 +306,39 @@ def _tables() -> dict[str, Query]:
     }
 
 
+def _lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "lifecycle")
+    changes = lifecycle.lifecycle(stream_view(spark, sf_dir, "queue_ops"))
+    (
+        changes.writeStream.format("parquet")
+        .option("path", f"{folder}/changes")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    written = spark.read.schema(lifecycle.TRANSITIONS).parquet(f"{folder}/changes")
+    state = lifecycle.current_state(written, F.lit("2024-03-01 00:00:00"))
+    times = ["available_at", "started_at", "completed_at", "failed_at"]
+    return state.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "ingest")
+    messages = stream_view(spark, sf_dir, "ingest_messages")
+    # The messages hold ratings and crews only, so there are no titles to refer to.
+    stream_ingest.run_ingest(
+        messages, f"{folder}/store", f"{folder}/checkpoint", references=False
+    ).awaitTermination()
+    landed = stream_ingest.table(spark, f"{folder}/store", "title_ratings")
+    return landed.select(
+        "tconst", F.col("average_rating").cast("double").alias("average_rating"), "num_votes"
+    )
+
+
+def _streams() -> dict[str, Query]:
+    return {"queue_lifecycle": _lifecycle, "stream_ingest": _stream_ingest}
+
+
 def queries() -> dict[str, Query]:
-    return {**_scenarios(), **_ingestion(), **_queue(), **_tables()}
+    return {**_scenarios(), **_ingestion(), **_queue(), **_tables(), **_streams()}

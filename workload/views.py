@@ -218,7 +218,7 @@ FROM nation WHERE n_nationkey < 15"""
 def _queue_ops(d: Dialect) -> str:
     """Eight consecutive events act on one message: claims, acks, nacks and plain ticks."""
     return f"""
-SELECT {d.div("event_id", 8)} AS id, event_id AS seq, ts AS at,
+SELECT {d.div("event_id", 8)} AS id, event_id AS seq, ts AS op_at,
        CASE event_type WHEN 'view' THEN 'claim' WHEN 'click' THEN 'claim'
             WHEN 'error' THEN 'nack' WHEN 'purchase' THEN 'ack' ELSE 'tick' END AS op,
        CASE WHEN event_type = 'error' AND event_id % 31 = 0 THEN '[permanent] bad'
@@ -262,6 +262,18 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text)
 
 
+def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The named view of one supplied table as a stream over that table's files."""
+    spec = VIEWS[name]
+    (source,) = spec.sources
+    schema = table(spark, sf_dir, source).schema
+    # A pattern, because the file source takes a single file only as one.
+    files = f"{sf_dir}/{source[:-1]}[{source[-1]}].parquet"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(files)
+    text = spec.text(SPARK).replace("{", "{{").replace("}", "}}")
+    return spark.sql(text.replace(f"FROM {source}", "FROM {source}"), source=stream)
+
+
 def duck_ctes(*names: str) -> str:
     """``WITH`` clause defining the named views over the raw tables for DuckDB."""
     return "WITH " + ",\n".join(f"{name} AS ({VIEWS[name].text(DUCK)})" for name in names)

@@ -220,16 +220,18 @@ def dequeue(
     return apply_claim(expire_exhausted(queue, name, timeout, as_of), ids, as_of)
 
 
-def _no_null_ids(ids: DataFrame) -> DataFrame:
-    checked = F.when(F.col("id").isNull(), F.raise_error(F.lit("message id must not be null")))
-    return ids.withColumn("id", checked.otherwise(F.col("id")).cast("bigint"))
+def _small_ids(ids: DataFrame) -> bool:
+    """Whether the ids are few enough to broadcast; raises on a null one."""
+    if not ids.filter(F.col("id").isNull()).isEmpty():
+        raise ValueError("message id must not be null")
+    return count_up_to(ids, BROADCAST_ROWS) is not None
 
 
 def ack(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column) -> DataFrame:
     """Mark messages done. Only processing or done ones change; unknown ids do nothing."""
     now = _moment(as_of, queue)
-    small = count_up_to(ids, BROADCAST_ROWS) is not None
-    acked = _no_null_ids(ids.select("id")).distinct().withColumn("_acked", F.lit(True))
+    small = _small_ids(ids)
+    acked = ids.select("id").distinct().withColumn("_acked", F.lit(True))
     out = _set(
         queue.join(F.broadcast(acked) if small else acked, "id", "left"),
         F.col("_acked") & F.col("status").isin("processing", "done"),
@@ -260,8 +262,8 @@ def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -
     as one nack: a permanent one wins, then the smallest text.
     """
     now = _moment(as_of, queue)
-    small = count_up_to(reasons, BROADCAST_ROWS) is not None
-    given = _no_null_ids(reasons).select("id", F.coalesce("reason", F.lit("")).alias("_reason"))
+    small = _small_ids(reasons)
+    given = reasons.select("id", F.coalesce("reason", F.lit("")).alias("_reason"))
     rank = F.struct(~F.col("_reason").startswith(PERMANENT), F.col("_reason"))
     given = given.groupBy("id").agg(F.min(rank).getField("_reason").alias("_reason"))
     nacked = F.col("_reason").isNotNull()

@@ -1,9 +1,10 @@
 """Text and JSON values to typed columns, with the reason when a value is refused.
 
 A converter makes the value of a ``Raw``: its text and, for values that come out of a JSON
-document, what the text does not tell. The value is NULL where the input is
-null, empty or refused; ``error`` tells these apart from the input and the finished value, so
-the conversion itself runs once. All of it is built-in expressions.
+document, what the text does not tell. The value is NULL where the input is null, empty or
+refused; ``error`` tells these apart from the input and the finished value, so the conversion
+itself runs once. All are SQL expressions over column names: built-ins only, and one
+expression per field to hand to Spark.
 """
 
 from __future__ import annotations
@@ -11,104 +12,96 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from marquee.functions.json import COMPACT
 
-from marquee.functions.json import compact_json
+# Fixed values and patterns of the dump format, as SQL literals.
+NULL_MARK = r"r'\N'"
+TRUE_WORDS = "('1', 'true', 't', 'yes')"
+FALSE_WORDS = "('0', 'false', 'f', 'no')"
+TCONST = r"r'^tt[0-9]+\z'"
+NCONST = r"r'^nm[0-9]+\z'"
+BLANKS = r"' \t\n\r\u000B\u000C'"
+DIGIT_GROUPS = "r'(?<=[0-9])_(?=[0-9])'"
 
-# Fixed values and patterns of the dump format.
-NULL_MARK = r"\N"
-TRUE_WORDS = ("1", "true", "t", "yes")
-FALSE_WORDS = ("0", "false", "f", "no")
-TCONST = r"^tt[0-9]+\z"
-NCONST = r"^nm[0-9]+\z"
-_BLANKS = " \t\n\r\x0b\x0c"
-_DIGIT_GROUPS = r"(?<=[0-9])_(?=[0-9])"
 
 @dataclass(frozen=True)
 class Raw:
-    """``kind`` is the JSON type name, ``items`` the elements of a JSON list."""
+    """Names of columns: the text, the JSON type name, the elements of a JSON list."""
 
-    text: Column
-    kind: Column | None = None
-    items: Column | None = None
+    text: str
+    kind: str | None = None
+    items: str | None = None
 
-    def is_kind(self, *prefixes: str) -> Column:
-        """Whether the JSON type starts with one of ``prefixes``; false for plain text."""
-        if self.kind is None:
-            return F.lit(False)
-        hit = F.lit(False)
-        for prefix in prefixes:
-            hit = hit | self.kind.startswith(prefix)
-        return F.coalesce(hit, F.lit(False))
 
+def _given(text: str) -> str:
+    """Not the null mark nor empty; NULL, so not true, for NULL."""
+    return f"{text} NOT IN ({NULL_MARK}, '')"
 
-def nullify(text: Column) -> Column:
-    return F.when(text != NULL_MARK, text)
 
-
-def _given(text: Column) -> Column:
-    """Neither null, the null mark nor empty."""
-    return text.isNotNull() & ~text.isin(NULL_MARK, "")
+def _ungrouped(number: str) -> str:
+    """``1_000`` as ``1000``; a misplaced underscore stays and fails the cast."""
+    return f"if(contains({number}, '_'), regexp_replace({number}, {DIGIT_GROUPS}, ''), {number})"
 
 
-def _ungrouped(number: Column) -> Column:
-    """``1_000`` as ``1000``; a misplaced underscore stays and fails the cast."""
-    return F.when(number.contains("_"), F.regexp_replace(number, _DIGIT_GROUPS, "")).otherwise(number)
+def nullify(text: str) -> str:
+    return f"CASE WHEN {text} <> {NULL_MARK} THEN {text} END"
 
 
-def text(raw: Raw) -> Column:
+def text(raw: Raw) -> str:
     return nullify(raw.text)
 
 
-def integer(raw: Raw) -> Column:
+def integer(raw: Raw) -> str:
     """32-bit integer; a fractional JSON number is cut, fractional text and booleans fail."""
-    whole = _ungrouped(raw.text).try_cast("int")
-    if raw.kind is not None:
-        cut = raw.text.try_cast("double").try_cast("int")
-        whole = F.when(raw.is_kind("DECIMAL", "DOUBLE"), cut).otherwise(whole)
-    return F.when(_given(raw.text) & ~raw.is_kind("BOOLEAN"), whole)
+    whole = f"try_cast({_ungrouped(raw.text)} AS int)"
+    if raw.kind:
+        cut = f"try_cast(try_cast({raw.text} AS double) AS int)"
+        fraction = f"startswith({raw.kind}, 'DECIMAL') OR startswith({raw.kind}, 'DOUBLE')"
+        whole = f"CASE WHEN {fraction} THEN {cut} WHEN {raw.kind} <> 'BOOLEAN' THEN {whole} END"
+    return f"CASE WHEN {_given(raw.text)} THEN {whole} END"
 
 
-def rating(raw: Raw) -> Column:
+def rating(raw: Raw) -> str:
     """A decimal from 0 to 10, checked before it is rounded to one place."""
-    number = F.when(_given(raw.text), _ungrouped(raw.text).try_cast("decimal(38,28)"))
-    in_range = number.between(F.lit(0).cast("decimal(38,28)"), F.lit(10).cast("decimal(38,28)"))
-    return F.when(in_range, number).cast("decimal(3,1)")
+    number = f"try_cast({_ungrouped(raw.text)} AS decimal(38,28))"
+    in_range = f"{number} BETWEEN cast(0 AS decimal(38,28)) AND cast(10 AS decimal(38,28))"
+    return f"CASE WHEN {_given(raw.text)} AND {in_range} THEN cast({number} AS decimal(3,1)) END"
 
 
-def boolean(raw: Raw) -> Column:
-    word = F.lower(F.btrim(raw.text, F.lit(_BLANKS)))
-    return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
+def boolean(raw: Raw) -> str:
+    word = f"lower(btrim({raw.text}, {BLANKS}))"
+    return f"CASE WHEN {word} IN {TRUE_WORDS} THEN true WHEN {word} IN {FALSE_WORDS} THEN false END"
 
 
-def array(raw: Raw) -> Column:
+def array(raw: Raw) -> str:
     """A JSON list or comma-separated text; empty parts are dropped, '' is the empty array."""
-    parts = F.split(nullify(raw.text), ",", -1)
-    if raw.items is not None:
-        parts = F.coalesce(raw.items, parts)
-    return F.filter(parts, lambda part: part != "")
+    parts = f"split({nullify(raw.text)}, ',', -1)"
+    if raw.items:
+        parts = f"coalesce({raw.items}, {parts})"
+    return f"filter({parts}, part -> part <> '')"
 
 
-def json_text(raw: Raw) -> Column:
+def json_text(raw: Raw) -> str:
     """Valid JSON, stored without blanks between tokens."""
-    valid = F.try_parse_json(raw.text).isNotNull() & ~raw.is_kind("BOOLEAN")
-    return F.when(_given(raw.text) & valid, compact_json(raw.text))
+    valid = f"{_given(raw.text)} AND try_parse_json({raw.text}) IS NOT NULL"
+    if raw.kind:
+        valid += f" AND {raw.kind} <> 'BOOLEAN'"
+    return f"CASE WHEN {valid} THEN {COMPACT.format(raw.text)} END"
 
 
-def metadata(raw: Raw) -> Column:
+def metadata(raw: Raw) -> str:
     """A JSON object, given as one or as text holding one; absent means empty."""
-    trimmed = F.btrim(raw.text, F.lit(_BLANKS))
-    parsed = F.when(trimmed.startswith("{"), F.try_parse_json(raw.text))
-    return F.when(raw.text.isNull(), F.lit("{}")).otherwise(F.to_json(parsed))
+    is_object = f"startswith(btrim({raw.text}, {BLANKS}), '{{')"
+    parsed = f"to_json(try_parse_json({raw.text}))"
+    return f"CASE WHEN {raw.text} IS NULL THEN '{{}}' WHEN {is_object} THEN {parsed} END"
 
 
-def tconst(raw: Raw) -> Column:
-    return F.when(raw.text.rlike(TCONST), raw.text)
+def tconst(raw: Raw) -> str:
+    return f"CASE WHEN {raw.text} RLIKE {TCONST} THEN {raw.text} END"
 
 
-def nconst(raw: Raw) -> Column:
-    return F.when(raw.text.rlike(NCONST), raw.text)
+def nconst(raw: Raw) -> str:
+    return f"CASE WHEN {raw.text} RLIKE {NCONST} THEN {raw.text} END"
 
 
 @dataclass(frozen=True)
@@ -116,20 +109,18 @@ class Converter:
     """``noun`` names the value in errors (None: nothing is refused); ``blank`` tells whether
     null and empty input pass as NULL; ``needs`` which part of a JSON value besides its text."""
 
-    value: Callable[[Raw], Column]
+    value: Callable[[Raw], str]
     noun: str | None = None
     blank: bool = True
     needs: str | None = None
 
-    def error(self, text: str, value: str) -> Column:
+    def error(self, text: str, value: str) -> str:
         """Why column ``text`` was refused, or NULL; ``value`` names the finished value."""
         if self.noun is None:
-            return F.lit(None).cast("string")
-        given = f"AND {text} NOT IN (r'{NULL_MARK}', '')" if self.blank else ""
-        return F.expr(
-            f"""CASE WHEN {value} IS NULL {given}
-                THEN concat("invalid {self.noun}: ", coalesce(concat("'", {text}, "'"), 'null')) END"""
-        )
+            return "cast(NULL AS string)"
+        given = f" AND {_given(text)}" if self.blank else ""
+        shown = f"""coalesce(concat("'", {text}, "'"), 'null')"""
+        return f"CASE WHEN {value} IS NULL{given} THEN concat('invalid {self.noun}: ', {shown}) END"
 
 
 CONVERTERS: dict[str, Converter] = {

@@ -56,10 +56,6 @@ def variant_contains(doc: Column, pattern: dict[str, Any], path: str = "$") -> C
     return F.coalesce(reduce(lambda a, b: a & b, parts, doc.isNotNull()), F.lit(False))
 
 
-# Fixed pattern: a JSON string literal (kept) or blanks outside any string (dropped).
-_JSON_BLANKS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s+'
-
-
-def compact_json(text: Column) -> Column:
-    """JSON text without blanks between tokens; key order and numbers stay as written."""
-    return F.regexp_replace(text, _JSON_BLANKS, "$1")
+# Drops blanks between the tokens of JSON text; key order and numbers stay as written. The
+# pattern (a fixed value) matches a whole string literal, which is kept, or blanks outside one.
+COMPACT = r'''regexp_replace({}, r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s+', '$1')'''

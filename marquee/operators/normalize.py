@@ -13,30 +13,32 @@ PERMANENT = "[permanent]"
 MAX_ERROR_CHARS = 4000
 
 
-def _error(field: Field, text: str) -> Column:
+def _error(field: Field, text: str) -> str:
     """Why the raw value in column ``text`` does not make a value for ``field``, or NULL."""
     converter = CONVERTERS[field.converter]
     value = f"record.{field.target}"
     error = converter.error(text, value)
     if field.required and converter.blank:
-        missing = f"required field '{text.rsplit('.', 1)[-1]}' is null"
-        error = F.coalesce(error, F.when(F.col(value).isNull(), F.lit(missing)))
+        missing = f'"required field \'{text.rsplit(".", 1)[-1]}\' is null"'
+        error = f"coalesce({error}, CASE WHEN {value} IS NULL THEN {missing} END)"
     return error
 
 
+def _struct(fields: dict[str, str]) -> str:
+    return f"struct({', '.join(f'{value} AS {name}' for name, value in fields.items())})"
+
+
 def classify(raw: DataFrame, dataset: Dataset, provenance: bool = False) -> DataFrame:
     """``raw`` plus ``record`` (the typed row) and ``reason`` (why it is refused, or NULL).
 
     The reason is the first failing field's in declared order. ``provenance`` records file
     and line in the metadata column.
     """
-    values = [
-        CONVERTERS[f.converter].value(Raw(F.col(f.source))).alias(f.target) for f in dataset.fields
-    ]
-    note = F.to_json(F.struct("source_file", "source_line")) if provenance else F.lit("{}")
-    rows = raw.withColumn("record", F.struct(*values, note.alias("metadata")))
-    errors = [_error(f, f.source) for f in dataset.fields]
-    return computed(rows, {"reason": F.coalesce(*errors)})
+    values = {f.target: CONVERTERS[f.converter].value(Raw(f.source)) for f in dataset.fields}
+    values["metadata"] = "to_json(struct(source_file, source_line))" if provenance else "'{}'"
+    rows = raw.withColumn("record", F.expr(_struct(values)))
+    errors = ", ".join(_error(f, f.source) for f in dataset.fields)
+    return computed(rows, {"reason": F.expr(f"coalesce({errors})")})
 
 
 def accepted(classified: DataFrame, *keep: str) -> DataFrame:
@@ -114,49 +116,50 @@ def normalize_messages(messages: DataFrame) -> DataFrame:
     fields = {f.target: f for d in DATASETS.values() for f in d.fields}
     needs = {n: CONVERTERS[f.converter].needs for n, f in fields.items()}
 
-    def found(name: str, kind: str) -> Column:
+    def found(name: str, kind: str) -> str:
         """The field of a routed message whose table declares it."""
-        tables = [d.table for d in DATASETS.values() if name in d.columns]
-        return F.when(F.col("table_name").isin(*tables), F.try_variant_get("data", f"$.{name}", kind))
-
-    texts = [found(n, "string").alias(n) for n in fields]
-    note_text = F.try_variant_get("data", "$.metadata", "string").alias("metadata")
-    kinds = [
-        F.schema_of_variant(found(n, "variant")).alias(n) for n in fields if needs[n] == "kind"
-    ]
-    items = [
-        F.array_compact(found(n, "array<string>")).alias(n) for n in fields if needs[n] == "items"
-    ]
+        tables = ", ".join(f"'{d.table}'" for d in DATASETS.values() if name in d.columns)
+        get = f"try_variant_get(data, '$.{name}', '{kind}')"
+        return f"CASE WHEN table_name IN ({tables}) THEN {get} END"
+
+    texts = {n: found(n, "string") for n in fields}
+    texts["metadata"] = "try_variant_get(data, '$.metadata', 'string')"
+    kinds = {
+        n: f"schema_of_variant({found(n, 'variant')})" for n in fields if needs[n] == "kind"
+    }
+    items = {
+        n: f"array_compact({found(n, 'array<string>')})" for n in fields if needs[n] == "items"
+    }
     raws = route(messages).withColumns(
-        {"_text": F.struct(*texts, note_text), "_kind": F.struct(*kinds), "_items": F.struct(*items)}
+        {"_text": F.expr(_struct(texts)), "_kind": F.expr(_struct(kinds)), "_items": F.expr(_struct(items))}
     )
 
     def raw(name: str) -> Raw:
         return Raw(
-            F.col(f"_text.{name}"),
-            F.col(f"_kind.{name}") if needs[name] == "kind" else None,
-            F.col(f"_items.{name}") if needs[name] == "items" else None,
+            f"_text.{name}",
+            f"_kind.{name}" if needs[name] == "kind" else None,
+            f"_items.{name}" if needs[name] == "items" else None,
         )
 
-    values = [CONVERTERS[f.converter].value(raw(n)).alias(n) for n, f in fields.items()]
-    note = CONVERTERS["metadata"].value(Raw(F.col("_text.metadata")))
-    rows = raws.withColumn("record", F.struct(*values, note.alias("metadata")))
-    errors = {f: _error(f, f"_text.{f.target}") for d in DATASETS.values() for f in d.fields}
-    reason = F.col("_unroutable")
-    for dataset in DATASETS.values():
-        refused = F.coalesce(_absent(dataset), *(errors[f] for f in dataset.fields))
-        reason = F.coalesce(reason, F.when(F.col("table_name") == dataset.table, refused))
-    note_error = F.when(F.col("record.metadata").isNull(), F.lit("metadata must be a JSON object"))
+    values = {n: CONVERTERS[f.converter].value(raw(n)) for n, f in fields.items()}
+    values["metadata"] = CONVERTERS["metadata"].value(Raw("_text.metadata"))
+    rows = raws.withColumn("record", F.expr(_struct(values)))
+    refused = " ".join(
+        f"WHEN '{d.table}' THEN coalesce({_absent(d)}, {', '.join(_error(f, f'_text.{f.target}') for f in d.fields)})"
+        for d in DATASETS.values()
+    )
+    note_error = "CASE WHEN record.metadata IS NULL THEN 'metadata must be a JSON object' END"
+    reason = f"coalesce(_unroutable, CASE table_name {refused} END, {note_error})"
     return computed(
-        rows.withColumnRenamed("reason", "_unroutable"),
-        {"reason": F.coalesce(reason, note_error)},
+        rows.withColumnRenamed("reason", "_unroutable"), {"reason": F.expr(reason)}
     ).drop("_unroutable", "_text", "_kind", "_items", "data")
 
 
-def _absent(dataset: Dataset) -> Column:
+def _absent(dataset: Dataset) -> str:
     required = [f.target for f in dataset.fields if f.required]
-    absent = F.concat_ws(", ", *(F.when(F.col(f"_text.{n}").isNull(), F.lit(n)) for n in required))
-    return F.when(absent != "", F.concat(F.lit("missing required fields: "), absent))
+    names = ", ".join(f"CASE WHEN _text.{n} IS NULL THEN '{n}' END" for n in required)
+    listed = f"concat_ws(', ', {names})"
+    return f"CASE WHEN {listed} <> '' THEN concat('missing required fields: ', {listed}) END"
 
 
 def accepted_messages(normalized: DataFrame, dataset: Dataset, *keep: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.functions.converters import CONVERTERS, Raw
-from marquee.functions.json import compact_json
+from marquee.functions.json import COMPACT
 from marquee.operators.normalize import accepted_messages, classify, normalize_messages
 from marquee.operators.relational import json_contains
 from marquee.schemas import DATASETS
@@ -17,8 +17,8 @@ BAD = object()
 def convert(spark, name, texts):
     converter = CONVERTERS[name]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
-    values = rows.withColumn("v", converter.value(Raw(F.col("t"))))
-    out = values.withColumn("e", converter.error("t", "v")).orderBy("i").collect()
+    values = rows.withColumn("v", F.expr(converter.value(Raw("t"))))
+    out = values.withColumn("e", F.expr(converter.error("t", "v"))).orderBy("i").collect()
     return [BAD if r.e is not None else r.v for r in out], [r.e for r in out]
 
 
@@ -68,7 +68,7 @@ def test_null_input_has_a_reason(spark):
 
 def test_compact_json_takes_long_strings(spark):
     text = json.dumps({"k": "a\\\"b " * 50_000, "l": [1, 2]}, indent=2)
-    row = spark.createDataFrame([(text,)], "t STRING").select(compact_json(F.col("t"))).head()
+    row = spark.createDataFrame([(text,)], "t STRING").select(F.expr(COMPACT.format("t"))).head()
     assert row[0] == json.dumps(json.loads(text), separators=(",", ":"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import normalize
 from marquee.operators import relational as rel
-from marquee.schemas import DATASETS, PRODUCER_PROGRESS, Dataset
+from marquee.schemas import DATASETS, EVENT_LOG, PRODUCER_PROGRESS, Dataset
 from marquee.sources import manifest, tsv
 from marquee.sources.store import Store
 
@@ -82,6 +82,7 @@ def produce(
     max_rows: int = 0,
     restart: bool = False,
     partitions: int | None = None,
+    prefer_plain: bool = False,
 ) -> list[Produced]:
     """Turn the dump files of a folder into queued messages.
 
@@ -90,14 +91,17 @@ def produce(
     column); then progress and an event row are recorded. A crash in between repeats that
     source's run into the same folder. A source that changed since it was read raises unless
     ``restart``; a completed one is skipped. ``max_rows`` caps the accepted rows of a source.
+
+    A gzip file is decompressed by one task and then spread over ``partitions``; large dumps
+    are better plain.
     """
     store = Store(spark, store_dir)
     names = [n for d in DATASETS.values() for n in (d.filename, d.plain_filename)]
     files = manifest.scan_manifest(spark, data_dir).filter(F.col("source_file").isin(*names))
     listing = {row.source_file: row for row in files.collect()}  # at most two per dataset
-    sources = tsv.select_sources(list(listing), selectors)
+    sources = tsv.select_sources(list(listing), selectors, prefer_plain)
     done = []
-    for number, (dataset, name) in enumerate(sources):
+    for dataset, name in sources:
         progress, version = store.snapshot("progress", PRODUCER_PROGRESS)
         if restart:
             progress = manifest.reset_progress(progress, [name])
@@ -142,7 +146,7 @@ def produce(
             "source_file",
             F.col("updated_at").alias("created_at"),
         )
-        store.write_run(event.coalesce(1), "events", f"producer/{run}")
+        store.write_run(event.coalesce(1), "events", f"writer=producer/batch={name}-{state.resume_after}")
         merged = manifest.upsert_progress(progress, update).coalesce(1)
         store.write_snapshot(merged, "progress", version + 1)
         done.append(Produced(name, dataset.table, counts.enqueued, counts.malformed, completed))
@@ -183,6 +187,11 @@ def _produce_rows(
     return raw.filter(F.col("source_line") > (last or after)).isEmpty()
 
 
+def event_log(store: Store) -> DataFrame:
+    """The events of all producer and consumer batches."""
+    return store.read("events", f"{EVENT_LOG}, writer STRING, batch STRING").drop("writer", "batch")
+
+
 def dead_letter_log(store: Store) -> DataFrame:
     """Refused rows of all runs: source, line, reason and raw fields."""
     rows = store.read("produced", f"{PRODUCED}, source STRING, after BIGINT")

@@ -20,11 +20,14 @@ log = logging.getLogger("marquee")
 _IN_PARTITION = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
-def select_sources(available: Sequence[str], selectors: Sequence[str] = ()) -> list[tuple[Dataset, str]]:
-    """(dataset, file name) pairs to load, in load order, gzip preferred over plain.
-
-    ``selectors`` are table names or file names (either spelling); an unknown one raises, a
-    missing file is logged and skipped.
+def select_sources(
+    available: Sequence[str], selectors: Sequence[str] = (), prefer_plain: bool = False
+) -> list[tuple[Dataset, str]]:
+    """(dataset, file name) pairs to load, in load order.
+
+    Where both exist the gzip file is taken, or with ``prefer_plain`` the plain one, which
+    many tasks can read at once. ``selectors`` are table names or file names (either
+    spelling); an unknown one raises, a missing file is logged and skipped.
     """
     known = {
         name: dataset
@@ -41,7 +44,7 @@ def select_sources(available: Sequence[str], selectors: Sequence[str] = ()) -> l
             continue
         present = [n for n in (dataset.filename, dataset.plain_filename) if n in available]
         if present:
-            chosen.append((dataset, present[0]))
+            chosen.append((dataset, present[-1 if prefer_plain else 0]))
         else:
             log.warning("dataset file is missing: %s", dataset.filename)
     return chosen

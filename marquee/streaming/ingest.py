@@ -112,7 +112,7 @@ def consume(
             here,
         )
         event = batch_event(written, F.current_timestamp())
-        store.write_run(event, "events", f"consumer/{here}")
+        store.write_run(event, "events", f"writer=consumer/batch={run}-{epoch}")
     finally:
         normalized.unpersist()
 

@@ -13,6 +13,7 @@ from marquee.schemas import DATASETS
 from marquee.sources import layout, manifest, tsv
 from marquee.sources.store import Store
 from marquee.streaming import ingest as stream
+from marquee.streaming.produce import run_produce
 
 NOW = datetime(2024, 1, 1)
 
@@ -119,8 +120,10 @@ def test_produce_writes_messages_and_dead_letters(spark, dumps, tmp_path):
         ("title.ratings.tsv", 4): "invalid rating: 'NaN'",
     }
     assert ingest.produce(spark, dumps, root, NOW) == []  # both complete
-    events = store.read("events", "event_type STRING, payload STRING, source_file STRING")
-    assert events.filter("event_type = 'producer_file_checkpoint'").count() == 2
+    events = {r.source_file: json.loads(r.payload) for r in ingest.event_log(store).collect()}
+    assert events["title.ratings.tsv"] == {
+        "table": "title_ratings", "run_enqueued": 2, "run_malformed": 2, "total_enqueued": 2, "completed": True
+    }
 
 
 def test_produce_resumes_after_the_cap(spark, dumps, tmp_path):
@@ -144,6 +147,16 @@ def test_changed_source_raises_until_restarted(spark, dumps, tmp_path):
     assert again[0].enqueued == 3 and len(queued(spark, root)) == 3
 
 
+def test_watching_a_folder(spark, dumps, tmp_path):
+    root, checkpoint = str(tmp_path / "store"), str(tmp_path / "cp")
+    run_produce(spark, dumps, root, checkpoint).awaitTermination()
+    assert len(queued(spark, root)) == 6
+    write(dumps, "title.episode.tsv", EPISODES)
+    write(dumps, "notes.txt", ["not a dump"])
+    run_produce(spark, dumps, root, checkpoint).awaitTermination()
+    assert len(queued(spark, root)) == 7
+
+
 def test_manifest_and_reset(spark, dumps):
     files = manifest.scan_manifest(spark, dumps)
     assert {r.source_file for r in files.collect()} == {"title.basics.tsv.gz", "title.ratings.tsv"}
@@ -177,6 +190,9 @@ def test_dumps_to_tables(spark, dumps, tmp_path):
     assert stream.table(spark, root, "title_episode").count() == 1
     assert ("title_ratings", "retry", 1) in outcomes(spark, root)  # tt404 has no title yet
 
+    kinds = {r.event_type for r in ingest.event_log(Store(spark, root)).collect()}
+    assert kinds == {"producer_file_checkpoint", "consumer_batch_complete"}
+
     # A second run without news does nothing; the parent arriving lets the orphan in.
     consume_all(spark, root, tmp_path)
     assert titles.count() == 4

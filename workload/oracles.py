@@ -202,6 +202,93 @@ WHERE {same}""",
     }
 
 
+_RATING = "try_cast(nullif({c}, 'NaN') AS decimal(38,20))"
+_RATING = f"CASE WHEN {_RATING} BETWEEN 0 AND 10 THEN cast(cast({_RATING} AS decimal(3,1)) AS double) END"
+_JSON = "CASE WHEN json_valid({c}) THEN cast(json_extract({c}, '$') AS varchar) END"
+_LIST = f"CASE WHEN {{c}} <> {_MARK} THEN list_filter(string_split({{c}}, ','), lambda x: x <> '') END"
+
+
+def _field(source: str, kind: str) -> tuple[str, str]:
+    """(value, error) of one dump field by the name of its converter."""
+    if kind in ("tconst", "nconst"):
+        ok = f"regexp_full_match({source}, '{'tt' if kind == 'tconst' else 'nm'}[0-9]+')"
+        value = f"CASE WHEN {ok} THEN {source} END"
+        refused = f"WHEN NOT ({ok}) THEN concat('invalid {kind}: ', chr(39), {source}, chr(39))"
+        return value, refused
+    if kind == "text":
+        return _text(source), ""
+    if kind == "array":
+        return _LIST.format(c=source), ""
+    value, noun = {
+        "integer": (_INTEGER, "integer"),
+        "required": (_INTEGER, "integer"),
+        "rating": (_RATING, "rating"),
+        "boolean": (_BOOLEAN, "boolean"),
+        "json": (_JSON, "JSON"),
+        "optional": ("CASE WHEN regexp_full_match({c}, 'nm[0-9]+') THEN {c} END", "nconst"),
+    }[kind]
+    value = f"CASE WHEN {source} NOT IN ({_MARK}, '') THEN {value.format(c=source)} END"
+    refused = (
+        f"WHEN {source} NOT IN ({_MARK}, '') AND ({value}) IS NULL"
+        f" THEN concat('invalid {noun}: ', chr(39), {source}, chr(39))"
+    )
+    if kind == "required":
+        refused += f" WHEN ({value}) IS NULL THEN concat('required field ', chr(39), '{source}', chr(39), ' is null')"
+    return value, refused
+
+
+def _dump(view: str, fields: str) -> str:
+    """Typed columns and reason of every row; ``fields`` lists source, target and converter."""
+    specs = [line.split() for line in fields.strip().splitlines()]
+    parts = [(target, *_field(source, kind)) for source, target, kind in specs]
+    values = ", ".join(f"CASE WHEN reason IS NULL THEN {value} END AS {target}" for target, value, _ in parts)
+    reason = " ".join(error for _, _, error in parts)
+    return f"""{duck_ctes(view)}
+, classified AS (SELECT *, CASE {reason} END AS reason FROM {view})
+SELECT source_line, {values}, reason FROM classified"""
+
+
+def _other_dumps() -> dict[str, str]:
+    return {
+        "normalize_name_basics": _dump("raw_name_basics", """
+            nconst nconst nconst
+            primaryName primary_name text
+            birthYear birth_year integer
+            deathYear death_year integer
+            primaryProfession primary_profession array
+            knownForTitles known_for_titles array"""),
+        "normalize_title_ratings": _dump("raw_title_ratings", """
+            tconst tconst tconst
+            averageRating average_rating rating
+            numVotes num_votes integer"""),
+        "normalize_title_crew": _dump("raw_title_crew", """
+            tconst tconst tconst
+            directors directors array
+            writers writers array"""),
+        "normalize_title_episode": _dump("raw_title_episode", """
+            tconst tconst tconst
+            parentTconst parent_tconst tconst
+            seasonNumber season_number integer
+            episodeNumber episode_number integer"""),
+        "normalize_title_akas": _dump("raw_title_akas", """
+            titleId title_id tconst
+            ordering ordering required
+            title title text
+            region region text
+            language language text
+            types types array
+            attributes attributes array
+            isOriginalTitle is_original_title boolean"""),
+        "normalize_title_principals": _dump("raw_title_principals", """
+            tconst tconst tconst
+            ordering ordering required
+            nconst nconst optional
+            category category text
+            job job text
+            characters characters json"""),
+    }
+
+
 def _messages() -> dict[str, str]:
     routed = f"""{duck_ctes("ingest_messages", "title_ratings")}
 , opened AS (SELECT id, try_cast(payload AS json) AS doc FROM ingest_messages),
@@ -533,6 +620,7 @@ def oracles() -> dict[str, str]:
     return {
         **_scenarios(),
         **_dumps(),
+        **_other_dumps(),
         **_messages(),
         **_integrity(),
         **_queue(),

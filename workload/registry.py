@@ -68,6 +68,23 @@ def _normalize_titles(raw: DataFrame) -> DataFrame:
     return normalize.accepted(_classified(raw)).drop("metadata")
 
 
+def _normalize_dump(table_name: str) -> Query:
+    """Every row of a dump: its typed columns, or why it is refused."""
+    dataset = DATASETS[table_name]
+
+    def run(raw: DataFrame) -> DataFrame:
+        good = F.col("reason").isNull()
+        typed = [
+            F.when(good, F.col(f"record.{f.target}")).cast(
+                "double" if f.converter == "rating" else f.type
+            ).alias(f.target)
+            for f in dataset.fields
+        ]
+        return normalize.classify(raw, dataset).select("source_line", *typed, "reason")
+
+    return _over(run, f"raw_{table_name}")
+
+
 def _dead_letters(raw: DataFrame) -> DataFrame:
     return normalize.dead_letters(_classified(raw), BASICS, "source_line")
 
@@ -85,15 +102,13 @@ def _max_rows(raw: DataFrame) -> DataFrame:
 
 def _envelopes(title_basics: DataFrame) -> DataFrame:
     payloads = normalize.to_envelope(title_basics, "title_basics", "tconst")
-    field = lambda path: F.get_json_object("payload", path)
-    return payloads.select(
+    shape = "table STRING, data STRUCT<primary_title: STRING, start_year: STRING, genres: ARRAY<STRING>>"
+    return payloads.select("tconst", F.from_json("payload", shape).alias("m")).select(
         "tconst",
-        field("$.table").alias("table_name"),
-        field("$.data.primary_title").alias("title"),
-        field("$.data.start_year").alias("year"),
-        F.coalesce(F.json_array_length(field("$.data.genres")), F.lit(-1))
-        .cast("bigint")
-        .alias("genre_count"),
+        F.col("m.table").alias("table_name"),
+        F.col("m.data.primary_title").alias("title"),
+        F.col("m.data.start_year").alias("year"),
+        F.coalesce(F.size("m.data.genres"), F.lit(-1)).cast("bigint").alias("genre_count"),
     )
 
 
@@ -204,6 +219,7 @@ def _ingestion() -> dict[str, Query]:
     progress = ("source_manifest", "producer_progress")
     return {
         "normalize_titles": _over(_normalize_titles, raw),
+        **{f"normalize_{t}": _normalize_dump(t) for t in DATASETS if t != "title_basics"},
         "dead_letter_titles": _over(_dead_letters, raw),
         "provenance_titles": _over(_provenance, raw),
         "ingest_max_rows": _over(_max_rows, raw),

@@ -176,6 +176,81 @@ SELECT event_id + 2 AS source_line,
 FROM events"""
 
 
+_MARK = "concat(chr(92), 'N')"
+
+
+def _raw_name_basics(d: Dialect) -> str:
+    return f"""
+SELECT c_custkey + 2 AS source_line,
+       CASE WHEN c_custkey % 50 = 3 THEN concat('tt', cast(c_custkey AS string))
+            WHEN c_custkey % 70 = 5 THEN {_MARK}
+            ELSE concat('nm', cast(c_custkey AS string)) END AS nconst,
+       c_name AS primaryName,
+       CASE WHEN c_custkey % 9 = 0 THEN {_MARK} WHEN c_custkey % 31 = 0 THEN 'unknown'
+            ELSE cast(1900 + c_custkey % 100 AS string) END AS birthYear,
+       CASE WHEN c_custkey % 4 = 0 THEN '' ELSE {_MARK} END AS deathYear,
+       concat(lower(c_mktsegment), ',,actor') AS primaryProfession,
+       CASE WHEN c_custkey % 5 = 0 THEN {_MARK}
+            ELSE concat('tt', cast(c_custkey AS string), ',tt7') END AS knownForTitles
+FROM customer"""
+
+
+def _raw_title_ratings(d: Dialect) -> str:
+    tenths = "((o_orderkey * 37) % 101)"
+    return f"""
+SELECT o_orderkey + 2 AS source_line, concat('tt', cast(o_orderkey AS string)) AS tconst,
+       CASE WHEN o_orderkey % 83 = 0 THEN 'NaN' WHEN o_orderkey % 79 = 0 THEN '10.01'
+            WHEN o_orderkey % 77 = 0 THEN '8.25' WHEN o_orderkey % 73 = 0 THEN '1e1'
+            WHEN o_orderkey % 71 = 0 THEN '' WHEN o_orderkey % 67 = 0 THEN '-0.1'
+            ELSE concat(cast({d.div(tenths, 10)} AS string), '.', cast({tenths} % 10 AS string)) END AS averageRating,
+       cast(cast(floor(o_totalprice) AS bigint) AS string) AS numVotes
+FROM orders"""
+
+
+def _raw_title_crew(d: Dialect) -> str:
+    return f"""
+SELECT o_orderkey + 2 AS source_line, concat('tt', cast(o_orderkey AS string)) AS tconst,
+       concat('nm', cast(o_custkey AS string), ',nm', cast(o_custkey % 100 AS string)) AS directors,
+       CASE WHEN o_orderkey % 3 = 0 THEN {_MARK} WHEN o_orderkey % 3 = 1 THEN '' ELSE 'nm1,' END AS writers
+FROM orders"""
+
+
+def _raw_title_episode(d: Dialect) -> str:
+    return f"""
+SELECT l_orderkey * 10 + l_linenumber AS source_line,
+       concat('tt9', cast(l_orderkey * 10 + l_linenumber AS string)) AS tconst,
+       CASE WHEN l_partkey % 97 = 0 THEN {_MARK}
+            ELSE concat('tt', cast(l_orderkey AS string)) END AS parentTconst,
+       CASE WHEN l_quantity = 50 THEN {_MARK} WHEN l_partkey % 89 = 0 THEN 'S1'
+            ELSE cast(l_linenumber - 1 AS string) END AS seasonNumber,
+       cast(l_linenumber AS string) AS episodeNumber
+FROM lineitem"""
+
+
+def _raw_title_akas(d: Dialect) -> str:
+    return f"""
+SELECT doc_id + 2 AS source_line, concat('tt', cast(doc_id % 400 AS string)) AS titleId,
+       CASE WHEN doc_id % 29 = 0 THEN '' ELSE cast(doc_id AS string) END AS ordering, text AS title,
+       upper(lang) AS region, CASE WHEN doc_id % 3 = 0 THEN {_MARK} ELSE lang END AS language,
+       CASE WHEN doc_id % 2 = 0 THEN 'display' ELSE {_MARK} END AS types, source AS attributes,
+       CASE WHEN doc_id % 37 = 0 THEN 'y' WHEN doc_id % 5 = 0 THEN {_MARK}
+            WHEN doc_id % 5 = 1 THEN 'True' ELSE '0' END AS isOriginalTitle
+FROM documents"""
+
+
+def _raw_title_principals(d: Dialect) -> str:
+    return f"""
+SELECT l_orderkey * 10 + l_linenumber AS source_line,
+       concat('tt', cast(l_orderkey AS string)) AS tconst, cast(l_linenumber AS string) AS ordering,
+       CASE WHEN l_partkey % 71 = 0 THEN '' WHEN l_partkey % 73 = 0 THEN {_MARK}
+            WHEN l_partkey % 79 = 0 THEN 'x1' ELSE concat('nm', cast(l_partkey AS string)) END AS nconst,
+       CASE WHEN l_quantity <= 10 THEN 'actor' ELSE 'writer' END AS category, {_MARK} AS job,
+       CASE WHEN l_partkey % 11 = 0 THEN {_MARK} WHEN l_partkey % 83 = 0 THEN '["cut'
+            WHEN l_partkey % 2 = 0 THEN concat('[ "Role ', cast(l_suppkey AS string), '" , "A  B" ]')
+            ELSE '["Self"]' END AS characters
+FROM lineitem"""
+
+
 def _ingest_messages(d: Dialect) -> str:
     key = d.div("event_id", 3)
     return f"""
@@ -242,6 +317,12 @@ VIEWS: dict[str, View] = {
     "title_akas": View(("documents",), _title_akas),
     "message_queue": View(("events",), _message_queue),
     "raw_title_basics": View(("events",), _raw_title_basics),
+    "raw_name_basics": View(("customer",), _raw_name_basics),
+    "raw_title_ratings": View(("orders",), _raw_title_ratings),
+    "raw_title_crew": View(("orders",), _raw_title_crew),
+    "raw_title_episode": View(("lineitem",), _raw_title_episode),
+    "raw_title_akas": View(("documents",), _raw_title_akas),
+    "raw_title_principals": View(("lineitem",), _raw_title_principals),
     "ingest_messages": View(("events",), _ingest_messages),
     "source_manifest": View(("nation",), _source_manifest),
     "producer_progress": View(("nation",), _producer_progress),

@@ -14,8 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.relational import BROADCAST_ROWS, lowest_n, top_n_per_group
-from marquee.session import count_up_to
+from marquee.operators.relational import is_small, lowest_n, top_n_per_group
 
 # Fixed values of the queue protocol.
 MAX_BATCH = 10_000
@@ -220,11 +219,18 @@ def dequeue(
     return apply_claim(expire_exhausted(queue, name, timeout, as_of), ids, as_of)
 
 
-def _small_ids(ids: DataFrame) -> bool:
-    """Whether the ids are few enough to broadcast; raises on a null one."""
-    if not ids.filter(F.col("id").isNull()).isEmpty():
+def _small_ids(ids: DataFrame, text: Column | None = None) -> bool:
+    """Whether ids (and their text) are few enough to broadcast, from one pass over them.
+
+    A null id raises.
+    """
+    width = F.sum(F.octet_length(text)) if text is not None else F.lit(0)
+    rows, nulls, size = ids.agg(
+        F.count("*"), F.count_if(F.col("id").isNull()), F.coalesce(width, F.lit(0))
+    ).head()
+    if nulls:
         raise ValueError("message id must not be null")
-    return count_up_to(ids, BROADCAST_ROWS) is not None
+    return is_small(rows, size)
 
 
 def ack(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column) -> DataFrame:
@@ -262,8 +268,9 @@ def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -
     as one nack: a permanent one wins, then the smallest text.
     """
     now = _moment(as_of, queue)
-    small = _small_ids(reasons)
-    given = reasons.select("id", F.coalesce("reason", F.lit("")).alias("_reason"))
+    text = F.left(F.coalesce("reason", F.lit("")), F.lit(MAX_ERROR_CHARS))
+    small = _small_ids(reasons, text)
+    given = reasons.select("id", text.alias("_reason"))
     rank = F.struct(~F.col("_reason").startswith(PERMANENT), F.col("_reason"))
     given = given.groupBy("id").agg(F.min(rank).getField("_reason").alias("_reason"))
     nacked = F.col("_reason").isNotNull()
@@ -287,9 +294,7 @@ def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -
             ),
             "processing_started_at": F.when(~open_, F.col("processing_started_at")),
             "failed_at": failed_at,
-            "last_error": F.when(~open_, F.col("last_error")).otherwise(
-                F.left("_reason", F.lit(MAX_ERROR_CHARS))
-            ),
+            "last_error": F.when(~open_, F.col("last_error")).otherwise(F.col("_reason")),
             "updated_at": F.when(~open_, F.col("updated_at")).otherwise(now),
         },
     )

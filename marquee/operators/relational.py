@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 
 from marquee.functions.arrays import contains_all, contains_any, sorted_distinct
 from marquee.functions.json import variant_contains
-from marquee.session import count_up_to
 
 # A broadcast needs a counted side; beyond this many rows the join shuffles both sides.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 # Spark keeps only the first n rows per group before the shuffle up to this n
 # (spark.sql.optimizer.windowGroupLimitThreshold); beyond it hot groups need salts.
 GROUP_LIMIT_ROWS = 1000
 
 
-def small_side(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` hinted for broadcast if a count shows at most ``bound`` rows, else unchanged."""
-    return F.broadcast(df) if count_up_to(df, bound) is not None else df
+def is_small(rows: int, size: int = 0) -> bool:
+    """Whether a side of so many rows, with ``size`` bytes of text, may be broadcast."""
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` (of narrow rows) hinted for broadcast if a count shows it small, else as is."""
+    return F.broadcast(df) if is_small(df.count()) else df
 
 
 def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -72,7 +77,7 @@ def top_n_per_group(
     n: int,
     rank: str = "rank",
     salt_by: Sequence[str] = (),
-    salts: int = 32,
+    salts: int = 4096,
 ) -> DataFrame:
     """The first ``n`` rows of each group, ranked from 1.
 
@@ -109,6 +114,8 @@ def lowest_n(df: DataFrame, key: str, n: int, direct: int = 10_000) -> DataFrame
     edge = (
         df.groupBy(bucket.alias("_range"))
         .agg(F.count("*").alias("_rows"))
+        .orderBy("_range")
+        .limit(n)  # no range is empty, so more are never needed
         .withColumn("_before", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
         .filter(F.col("_before") < n)
         .agg(F.max("_range").alias("_range"), F.max("_before").alias("_before"))
@@ -146,7 +153,7 @@ def _held_keys(
     The batch's keys are broadcast then, so the target is scanned without a shuffle.
     """
     held = target.select(*key)
-    if rows is None or rows > BROADCAST_ROWS:
+    if rows is None or not is_small(rows):
         return held
     wanted = batch.select(*(F.col(b).alias(k) for b, k in zip(batch_key, key))).distinct()
     return held.join(F.broadcast(wanted), list(key), "left_semi")

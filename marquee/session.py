@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -42,9 +42,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="marquee-")
     return f"{base.rstrip('/')}/{name}-{os.urandom(6).hex()}"
-
-
-def count_up_to(df: DataFrame, bound: int) -> int | None:
-    """The row count when it is at most ``bound``, else None; stops reading once past it."""
-    n = df.limit(bound + 1).count()
-    return n if n <= bound else None

@@ -24,6 +24,7 @@ from marquee.sources.store import Store
 log = logging.getLogger("marquee")
 
 OUTCOMES = "id BIGINT, table_name STRING, outcome STRING, reason STRING, attempts INT"
+REFUSED = "refused"
 WAITING = "id BIGINT, payload STRING, attempts INT"
 
 Writer = Callable[[DataFrame, str, str], None]
@@ -67,7 +68,11 @@ def consume(
     references: bool = True,
     write: Writer | None = None,
 ) -> None:
-    """Land one batch of messages (id, payload) and record what became of each."""
+    """Land one batch of messages (id, payload) and record what became of each.
+
+    The parsed batch is written once, split by target table, and everything after reads its
+    part of that: nothing is parsed again, for another table or after a lost executor.
+    """
     write = write or store.write_run
     here = f"run={run}/epoch={epoch}"
     _refuse_lost_checkpoint(store, run, epoch)
@@ -76,45 +81,45 @@ def consume(
     claimed = batch.select("id", "payload", F.lit(0).alias("attempts")).unionByName(
         again.select("id", "payload", "attempts")
     )
-    # One parse for all tables below; rebuilt from the batch if an executor is lost.
-    normalized = normalize.normalize_messages(claimed).persist()
-    try:
-        present = normalized.groupBy("table_name", F.col("reason").isNull().alias("good")).count()
-        counts = {r.table_name: r["count"] for r in present.collect() if r.good}  # 7 tables
-        refused = normalized.filter(F.col("reason").isNotNull())
-        outcomes = refused.select(
-            "id",
-            "table_name",
-            F.lit("permanent").alias("outcome"),
-            normalize.permanent_reason().alias("reason"),
-            (F.col("attempts") + 1).alias("attempts"),
-        )
-        store.write_run(outcomes, "outcomes", f"{here}/part=refused")
-        for dataset in DATASETS.values():
-            if dataset.table not in counts:
-                continue
-            mine = normalize.accepted_messages(normalized, dataset, "id", "attempts")
-            try:
-                retry = _land_table(
-                    mine, dataset, store, run, epoch, references, counts[dataset.table], write
-                )
-            except Exception as error:  # one table failing must not lose the others
-                log.exception("landing %s failed; its messages are retried", dataset.table)
-                text = f"landing error: {error}"[:MAX_ERROR_CHARS]
-                retry = mine.select("id", F.lit(text).alias("reason"))
-            done = mine.select("id", "attempts").join(retry, "id", "left")
-            store.write_run(_outcomes(done, dataset.table), "outcomes", f"{here}/part={dataset.table}")
-        written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{here}")
-        retries = written.filter(F.col("outcome") == "retry").select("id", "attempts")
-        store.write_run(
-            normalized.select("id", "payload").join(retries, "id").select("id", "payload", "attempts"),
-            "waiting",
-            here,
+    part = F.when(F.col("reason").isNull(), F.col("table_name")).otherwise(F.lit(REFUSED))
+    parsed = normalize.normalize_messages(claimed).withColumn("part", part)
+    inbox = f"{store.path('inbox')}/{here}"
+    parsed.write.mode("overwrite").partitionBy("part").parquet(inbox)
+    parsed = store.spark.read.schema(parsed.schema).parquet(inbox)
+
+    counts = {r.part: r["count"] for r in parsed.groupBy("part").count().collect()}  # 8 parts
+    outcomes = parsed.filter(F.col("part") == REFUSED).select(
+        "id",
+        "table_name",
+        F.lit("permanent").alias("outcome"),
+        normalize.permanent_reason().alias("reason"),
+        (F.col("attempts") + 1).alias("attempts"),
+    )
+    store.write_run(outcomes, "outcomes", f"{here}/part={REFUSED}")
+    for dataset in DATASETS.values():
+        if dataset.table not in counts:
+            continue
+        mine = normalize.accepted_messages(
+            parsed.filter(F.col("part") == dataset.table), dataset, "id", "attempts"
         )
-        event = batch_event(written, F.current_timestamp())
-        store.write_run(event, "events", f"writer=consumer/batch={run}-{epoch}")
-    finally:
-        normalized.unpersist()
+        try:
+            rows = counts[dataset.table]
+            retry = _land_table(mine, dataset, store, run, epoch, references, rows, write)
+        except Exception as error:  # one table failing must not lose the others
+            log.exception("landing %s failed; its messages are retried", dataset.table)
+            text = f"landing error: {error}"[:MAX_ERROR_CHARS]
+            retry = mine.select("id", F.lit(text).alias("reason"))
+        done = mine.select("id", "attempts").join(retry, "id", "left")
+        store.write_run(_outcomes(done, dataset.table), "outcomes", f"{here}/part={dataset.table}")
+    written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{here}")
+    retries = written.filter(F.col("outcome") == "retry").select("id", "attempts")
+    store.write_run(
+        parsed.select("id", "payload").join(retries, "id").select("id", "payload", "attempts"),
+        "waiting",
+        here,
+    )
+    event = batch_event(written, F.current_timestamp())
+    store.write_run(event, "events", f"writer=consumer/batch={run}-{epoch}")
 
 
 def _land_table(mine, dataset, store, run, epoch, references, rows, write) -> DataFrame:

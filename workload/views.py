@@ -344,13 +344,16 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named view of one supplied table as a stream over that table's files."""
+    """The named view of one supplied table as a stream over that table's files.
+
+    The files of a finished table are in no order of time or id, so they come as one batch.
+    """
     spec = VIEWS[name]
     (source,) = spec.sources
     schema = table(spark, sf_dir, source).schema
     # A pattern, because the file source takes a single file only as one.
     files = f"{sf_dir}/{source[:-1]}[{source[-1]}].parquet"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(files)
+    stream = spark.readStream.schema(schema).parquet(files)
     text = spec.text(SPARK).replace("{", "{{").replace("}", "}}")
     return spark.sql(text.replace(f"FROM {source}", "FROM {source}"), source=stream)
 

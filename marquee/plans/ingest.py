@@ -51,7 +51,7 @@ def batch_event(done: DataFrame, at: Column) -> DataFrame:
 
 
 def events_latest(
-    events: DataFrame, event_type: str, n: int, at: str = "created_at", key: str = "id"
+    events: DataFrame, event_type: str, n: int, at: str = "created_at", key: str = "source_file"
 ) -> DataFrame:
     """The ``n`` latest events of a type."""
     mine = events.filter(F.col("event_type") == event_type)

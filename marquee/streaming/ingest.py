@@ -30,16 +30,20 @@ WAITING = "id BIGINT, payload STRING, attempts INT"
 Writer = Callable[[DataFrame, str, str], None]
 
 
-def produced_messages(spark: SparkSession, store_dir: str, files_per_batch: int = 64) -> DataFrame:
-    """Stream of the messages ``plans.ingest.produce`` wrote, a bounded number of files at a
-    time: that bound is the back-pressure."""
-    return (
-        spark.readStream.schema(f"{PRODUCED}, source STRING, after BIGINT")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(Store(spark, store_dir).path("produced"))
-        .filter("NOT refused")
-        .select("id", "payload")
-    )
+def produced_messages(
+    spark: SparkSession, store_dir: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of the messages ``plans.ingest.produce`` wrote.
+
+    Landing a batch passes once over the keys of its tables and their parents, however small
+    the batch, so by default everything that waits makes one batch. ``files_per_batch``
+    bounds it where latency or back-pressure matters more.
+    """
+    reader = spark.readStream.schema(f"{PRODUCED}, source STRING, after BIGINT")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    produced = reader.parquet(Store(spark, store_dir).path("produced"))
+    return produced.filter("NOT refused").select("id", "payload")
 
 
 def landed(store: Store, dataset: Dataset, run: str, epoch: int, inclusive: bool) -> DataFrame:

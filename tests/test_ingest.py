@@ -167,7 +167,7 @@ def test_manifest_and_reset(spark, dumps):
 
 
 def consume_all(spark, root, tmp_path, **kw):
-    messages = stream.produced_messages(spark, root, kw.pop("files", 64))
+    messages = stream.produced_messages(spark, root, kw.pop("files", None))
     query = stream.run_ingest(messages, root, str(tmp_path / "checkpoint"), **kw)
     query.awaitTermination()
 

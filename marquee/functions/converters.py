@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from marquee.functions.json import COMPACT
+from marquee.functions.json import COMPACT, bracketed, document, is_document
 
 # Fixed values and patterns of the dump format, as SQL literals.
 NULL_MARK = r"r'\N'"
@@ -83,7 +83,7 @@ def array(raw: Raw) -> str:
 
 def json_text(raw: Raw) -> str:
     """Valid JSON, stored without blanks between tokens."""
-    valid = f"{_given(raw.text)} AND try_parse_json({raw.text}) IS NOT NULL"
+    valid = f"{_given(raw.text)} AND {is_document(raw.text)}"
     if raw.kind:
         valid += f" AND {raw.kind} <> 'BOOLEAN'"
     return f"CASE WHEN {valid} THEN {COMPACT.format(raw.text)} END"
@@ -92,7 +92,7 @@ def json_text(raw: Raw) -> str:
 def metadata(raw: Raw) -> str:
     """A JSON object, given as one or as text holding one; absent means empty."""
     is_object = f"startswith(btrim({raw.text}, {BLANKS}), '{{')"
-    parsed = f"to_json(try_parse_json({raw.text}))"
+    parsed = f"to_json({document(raw.text, bracketed(raw.text))})"
     return f"CASE WHEN {raw.text} IS NULL THEN '{{}}' WHEN {is_object} THEN {parsed} END"
 
 

@@ -56,6 +56,26 @@ def variant_contains(doc: Column, pattern: dict[str, Any], path: str = "$") -> C
     return F.coalesce(reduce(lambda a, b: a & b, parts, doc.isNotNull()), F.lit(False))
 
 
+
+def bracketed(text: str) -> str:
+    """SQL for ``text`` parsed as the first of two list elements, the second being its hash.
+
+    The JSON parser stops after one value and would take ``{} x`` for ``{}``. With the text
+    inside a list, anything after its value either fails or displaces the hash.
+    """
+    return f"try_parse_json(concat('[', {text}, '\n,', xxhash64({text}), ']'))"
+
+
+def is_document(text: str, parsed: str | None = None) -> str:
+    """SQL for whether ``text`` is one JSON value; ``parsed`` is its ``bracketed`` form."""
+    return f"try_variant_get({parsed or bracketed(text)}, '$[1]', 'bigint') = xxhash64({text})"
+
+
+def document(text: str, parsed: str) -> str:
+    """SQL for the value in ``parsed``, NULL if ``text`` is not one JSON value."""
+    return f"CASE WHEN {is_document(text, parsed)} THEN try_variant_get({parsed}, '$[0]', 'variant') END"
+
+
 # Drops blanks between the tokens of JSON text; key order and numbers stay as written. The
 # pattern (a fixed value) matches a whole string literal, which is kept, or blanks outside one.
 COMPACT = r'''regexp_replace({}, r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|\s+', '$1')'''

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.converters import CONVERTERS, Raw
+from marquee.functions.json import bracketed, document
 from marquee.operators.relational import computed
 from marquee.schemas import DATASETS, Dataset, Field
 
@@ -87,7 +88,8 @@ def route(messages: DataFrame) -> DataFrame:
     quoted = F.try_variant_get(F.try_parse_json("payload"), "$", "string")
     text = F.when(F.ltrim("payload", blanks).startswith('"'), quoted).otherwise(F.col("payload"))
     texts = computed(messages, {"_text": F.ltrim(text, blanks)})
-    docs = computed(texts, {"_doc": F.try_parse_json("_text")})
+    docs = computed(texts, {"_parsed": F.expr(bracketed("_text"))})
+    docs = computed(docs, {"_doc": F.expr(document("_text", "_parsed"))})
     parts = computed(
         docs,
         {
@@ -104,7 +106,7 @@ def route(messages: DataFrame) -> DataFrame:
         .when(~known, F.concat(F.lit("unsupported table: "), shown))
         .when(~holds_object, F.lit("payload.data must be a JSON object"))
     )
-    return computed(parts, {"reason": reason}).drop("_text", "_doc", "_is_object")
+    return computed(parts, {"reason": reason}).drop("_text", "_parsed", "_doc", "_is_object")
 
 
 def normalize_messages(messages: DataFrame) -> DataFrame:

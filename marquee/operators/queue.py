@@ -14,6 +14,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.json import is_document
 from marquee.operators.relational import is_small, lowest_n, top_n_per_group
 
 # Fixed values of the queue protocol.
@@ -70,7 +71,7 @@ def enqueue(
             F.lit("queue name must not be null or empty"),
         )
         .when(F.col("payload").isNull(), F.lit("payload must not be null"))
-        .when(F.try_parse_json("payload").isNull(), F.lit("payload must be JSON"))
+        .when(~F.coalesce(F.expr(is_document("payload")), F.lit(False)), F.lit("payload must be JSON"))
     )
     checked = messages.withColumn("reason", reason)
     fresh = {

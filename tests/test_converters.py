@@ -45,11 +45,12 @@ CASES = {
     "json_text": [
         ("\\N", None), ("", None), ('[ "a" , "b c" ]', '["a","b c"]'),
         ('{"b": 1, "a": "x\\" y"}', '{"b":1,"a":"x\\" y"}'), ("[1", BAD), ("x", BAD),
+        ("[1] x", BAD), ("[1]]", BAD), ("1,2", BAD), ("{}}", BAD), ("null", "null"), (" 5 ", "5"),
     ],
     "tconst": [("tt1", "tt1"), ("tt", BAD), ("nm1", BAD), ("tt1\n", BAD), ("\\N", BAD), (None, BAD)],
     "nconst": [("nm01", "nm01"), ("tt1", BAD), ("", BAD)],
     "optional_nconst": [("\\N", None), ("", None), (None, None), ("nm7", "nm7"), ("x", BAD)],
-    "metadata": [(None, "{}"), ('{"a": 1}', '{"a":1}'), ("[1]", BAD), ("x", BAD), ('"{}"', BAD)],
+    "metadata": [(None, "{}"), ('{"a": 1}', '{"a":1}'), ("[1]", BAD), ("x", BAD), ('"{}"', BAD), ("{} x", BAD)],
 }
 
 
@@ -129,7 +130,7 @@ def test_json_values_convert_by_type(spark):
 def test_message_routing_reasons(spark):
     out = messages(
         spark,
-        "[1]", "{", "", '{"unexpected":true}', '{"table":"nope","data":{}}',
+        "[1]", "{", '{"table":"title_crew","data":{"tconst":"tt1"}} x', '{"unexpected":true}', '{"table":"nope","data":{}}',
         '{"table":"title_crew","data":"{}"}', '{"table":"title_principals","data":{"ordering":1}}',
         '{"table":"title_principals","data":{}}', '{"table":5,"data":{}}',
         '{"table":"title_principals","data":{"tconst":"tt1","ordering":1,"characters":["A b"]}}',
@@ -144,7 +145,7 @@ def test_message_routing_reasons(spark):
 
 
 def test_json_containment(spark):
-    docs = ['{"a":{"b":1},"t":["x","y"],"s":"v"}', '{"a":{"b":"1"}}', '{"t":["x"]}', "[", None, "{}"]
+    docs = ['{"a":{"b":1},"t":["x","y"],"s":"v"}', '{"a":{"b":"1"}}', '{"t":["x"]}', "[", None, "{}", "{}]"]
     rows = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i INT, d STRING")
 
     def hits(pattern):

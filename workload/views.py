@@ -16,6 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 AS_OF = "2024-01-15 00:00:00"
 
@@ -330,17 +331,32 @@ VIEWS: dict[str, View] = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def _schema(spark: SparkSession, path: str) -> StructType:
+    """Schema of a supplied table, read from a file footer once per process."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return _schemas[path]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def _project(spark: SparkSession, spec: View, sources: dict[str, DataFrame]) -> DataFrame:
+    text = spec.text(SPARK).replace("{", "{{").replace("}", "}}")
+    for source in sources:
+        text = text.replace(f"FROM {source}", f"FROM {{{source}}}")
+    return spark.sql(text, **sources)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The named view as a DataFrame; nothing is registered in the session."""
+    """The named view as a DataFrame."""
     spec = VIEWS[name]
-    text = spec.text(SPARK)
-    for source in spec.sources:
-        text = text.replace(f"FROM {source}", f"FROM parquet.`{sf_dir}/{source}.parquet`")
-    return spark.sql(text)
+    return _project(spark, spec, {s: table(spark, sf_dir, s) for s in spec.sources})
 
 
 def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -350,12 +366,10 @@ def stream_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     spec = VIEWS[name]
     (source,) = spec.sources
-    schema = table(spark, sf_dir, source).schema
+    schema = _schema(spark, f"{sf_dir}/{source}.parquet")
     # A pattern, because the file source takes a single file only as one.
     files = f"{sf_dir}/{source[:-1]}[{source[-1]}].parquet"
-    stream = spark.readStream.schema(schema).parquet(files)
-    text = spec.text(SPARK).replace("{", "{{").replace("}", "}}")
-    return spark.sql(text.replace(f"FROM {source}", "FROM {source}"), source=stream)
+    return _project(spark, spec, {source: spark.readStream.schema(schema).parquet(files)})
 
 
 def duck_ctes(*names: str) -> str:

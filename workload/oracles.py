@@ -173,7 +173,7 @@ SELECT source_line, reason,
          'originalTitle': originalTitle, 'isAdult': isAdult, 'startYear': startYear,
          'endYear': endYear, 'runtimeMinutes': runtimeMinutes, 'genres': genres}}) AS raw
 FROM classified WHERE reason IS NOT NULL""",
-        "provenance_titles": f"""{classified}
+        "provenance": f"""{classified}
 SELECT tconst, to_json({{'source_file': 'title.basics.tsv.gz', 'source_line': source_line}}) AS metadata
 FROM classified WHERE reason IS NULL""",
         "ingest_max_rows": f"""{classified}

@@ -221,7 +221,7 @@ def _ingestion() -> dict[str, Query]:
         "normalize_titles": _over(_normalize_titles, raw),
         **{f"normalize_{t}": _normalize_dump(t) for t in DATASETS if t != "title_basics"},
         "dead_letter_titles": _over(_dead_letters, raw),
-        "provenance_titles": _over(_provenance, raw),
+        "provenance": _over(_provenance, raw),
         "ingest_max_rows": _over(_max_rows, raw),
         "envelope_titles": _over(_envelopes, "title_basics"),
         "manifest_status": _over(manifest.manifest_status, *progress),

@@ -145,18 +145,17 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
-def _held_keys(
+def _held(
     target: DataFrame, key: Sequence[str], batch: DataFrame, batch_key: Sequence[str], rows: int | None
 ) -> DataFrame:
-    """Keys of ``target``, cut to those in ``batch`` when that is counted and small.
+    """Rows of ``target``, cut to the keys in ``batch`` when that is counted and small.
 
     The batch's keys are broadcast then, so the target is scanned without a shuffle.
     """
-    held = target.select(*key)
     if rows is None or not is_small(rows):
-        return held
+        return target
     wanted = batch.select(*(F.col(b).alias(k) for b, k in zip(batch_key, key))).distinct()
-    return held.join(F.broadcast(wanted), list(key), "left_semi")
+    return target.join(F.broadcast(wanted), list(key), "left_semi")
 
 
 def without_existing(
@@ -167,14 +166,15 @@ def without_existing(
     ``rows`` is the caller's count (or bound) of the batch. A small batch leaves the target
     unshuffled; otherwise both sides shuffle their keys.
     """
-    return batch.join(_held_keys(target, key, batch, key, rows), list(key), "left_anti")
+    held = _held(target.select(*key), key, batch, key, rows)
+    return batch.join(held, list(key), "left_anti")
 
 
 def with_parent_flag(
     child: DataFrame, fk: str, parent: DataFrame, pk: str, flag: str, rows: int | None = None
 ) -> DataFrame:
     """``child`` plus a boolean: the reference is NULL or ``parent`` holds it (pk unique)."""
-    keys = _held_keys(parent, [pk], child, [fk], rows)
+    keys = _held(parent.select(pk), [pk], child, [fk], rows)
     keys = keys.select(F.col(pk).alias("_pk"), F.lit(True).alias("_hit"))
     joined = child.join(keys, F.col(fk) == F.col("_pk"), "left")
     ok = F.col(fk).isNull() | F.col("_hit").isNotNull()

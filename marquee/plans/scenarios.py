@@ -261,6 +261,7 @@ def s6a(
     """Series with the most distinct numbered seasons.
 
     Episodes are folded per series before any join, so one endless series is one row there.
+    Ratings do not affect the order and join the top rows only.
     """
     seasons = (
         title_episode.filter(F.col("parent_tconst").isNotNull())
@@ -273,19 +274,13 @@ def s6a(
         )
     )
     series = title_basics.filter(F.col("title_type").isin(*series_types))
+    order = [F.desc("season_count"), F.desc("episode_count"), F.asc("tconst")]
+    top = series.select("tconst", "primary_title").join(seasons, "tconst").orderBy(*order).limit(n)
+    ratings = title_ratings.select("tconst", F.col("average_rating").cast("double"))
     return (
-        series.select("tconst", "primary_title")
-        .join(seasons, "tconst")
-        .join(title_ratings.select("tconst", "average_rating"), "tconst", "left")
-        .orderBy(F.desc("season_count"), F.desc("episode_count"), "tconst")
-        .limit(n)
-        .select(
-            "tconst",
-            "primary_title",
-            "season_count",
-            "episode_count",
-            F.col("average_rating").cast("double").alias("average_rating"),
-        )
+        top.join(ratings, "tconst", "left")
+        .select("tconst", "primary_title", "season_count", "episode_count", "average_rating")
+        .orderBy(*order)
     )
 
 
@@ -310,13 +305,12 @@ def s6b(
     ratings = title_ratings.select(
         "tconst", F.col("average_rating").cast("double").alias("avg_rating")
     )
+    order = [F.desc_nulls_first("total_seasons"), F.asc("tconst")]
+    top = series.select("tconst", "primary_title").join(episodes, "tconst").orderBy(*order).limit(n)
     return (
-        series.select("tconst", "primary_title")
-        .join(episodes, "tconst")
-        .join(ratings, "tconst", "left")
-        .orderBy(F.desc_nulls_first("total_seasons"), "tconst")
-        .limit(n)
+        top.join(ratings, "tconst", "left")
         .select("tconst", "primary_title", "total_seasons", "total_episodes", "avg_rating")
+        .orderBy(*order)
     )
 
 

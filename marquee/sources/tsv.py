@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators.relational import lowest_n, small_side
 from marquee.schemas import DATASETS, Dataset
+from marquee.session import shared_dir
 
 log = logging.getLogger("marquee")
 
@@ -103,8 +104,11 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .drop("_rows")
-        .persist()  # one row per split: counted for the broadcast check, then joined
     )
+    # One row per split, written so that counting and joining it do not read the file again.
+    written = shared_dir(spark, "splits")
+    splits.write.parquet(written)
+    splits = spark.read.schema(splits.schema).parquet(written)
     line = F.col("_offset") + F.col("_at") - F.col("_first") + 1
     return at.join(small_side(splits), ["source_file", "_split"]).select(
         "source_file", line.alias("source_line"), "value"

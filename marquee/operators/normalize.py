@@ -74,8 +74,9 @@ def envelope(table: str, columns: dict[str, Column]) -> Column:
 
 
 def to_envelope(records: DataFrame, table: str, *keep: str) -> DataFrame:
-    """The ``keep`` columns and all others but them as a message payload."""
-    columns = {c: F.col(c) for c in records.columns if c not in keep or c in DATASETS[table].columns}
+    """The ``keep`` columns and a message payload made of the table's columns."""
+    known = (*DATASETS[table].columns, "metadata")
+    columns = {c: F.col(c) for c in records.columns if c in known}
     return records.select(*keep, envelope(table, columns).alias("payload"))
 
 

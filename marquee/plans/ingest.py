@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators import normalize
@@ -69,6 +69,7 @@ class Produced:
     completed: bool
 
 
+SOURCES = "number INT, source_file STRING, source_size_bytes BIGINT, source_mtime_ns BIGINT"
 PRODUCED = "id BIGINT, source_line BIGINT, payload STRING, reason STRING, raw STRING, refused BOOLEAN"
 
 
@@ -113,17 +114,20 @@ def produce(
             log.info("skipping %s: already read to its end", name)
             continue
         before = progress.filter(F.col("source_file") == name).head()
-        run = f"source={name}/after={state.resume_after}"
-        completed = _produce_rows(
-            store, dataset, f"{data_dir.rstrip('/')}/{name}", run, state.resume_after,
-            list(DATASETS).index(dataset.table), provenance, max_rows, partitions,
-        )
-        rows = spark.read.schema(PRODUCED).parquet(f"{store.path('produced')}/{run}")
+        number = _source_number(store, listing[name])
+        run = f"source={number}/after={state.resume_after}"
+        target = f"{store.path('produced')}/{run}"
+        raw = tsv.read_tsv(spark, f"{data_dir.rstrip('/')}/{name}", dataset, partitions)
+        raw = raw.filter(F.col("source_line") > state.resume_after)
+        messages = _messages(raw, dataset, number, provenance, max_rows)
+        messages.write.mode("overwrite").partitionBy("refused").parquet(target)
+        rows = spark.read.schema(PRODUCED).parquet(target)
         counts = rows.agg(
             F.count_if(~F.col("refused")).alias("enqueued"),
             F.count_if("refused").alias("malformed"),
             F.coalesce(F.max("source_line"), F.lit(state.resume_after)).alias("last_line"),
         ).head()
+        completed = not max_rows or raw.filter(F.col("source_line") > counts.last_line).isEmpty()
         update = spark.createDataFrame(
             [(
                 name, dataset.table, listing[name].source_size_bytes, listing[name].source_mtime_ns,
@@ -146,32 +150,40 @@ def produce(
             "source_file",
             F.col("updated_at").alias("created_at"),
         )
-        store.write_run(event.coalesce(1), "events", f"writer=producer/batch={name}-{state.resume_after}")
+        store.write_run(event.coalesce(1), "events", f"writer=producer/batch={number}-{state.resume_after}")
         merged = manifest.upsert_progress(progress, update).coalesce(1)
         store.write_snapshot(merged, "progress", version + 1)
         done.append(Produced(name, dataset.table, counts.enqueued, counts.malformed, completed))
     return done
 
 
-def _produce_rows(
-    store: Store,
-    dataset: Dataset,
-    path: str,
-    run: str,
-    after: int,
-    number: int,
-    provenance: bool,
-    max_rows: int,
-    partitions: int | None,
-) -> bool:
-    """Convert and write one source's rows after a line; whether it was read to its end."""
-    raw = tsv.read_tsv(store.spark, path, dataset, partitions)
-    classified = normalize.classify(raw.filter(F.col("source_line") > after), dataset, provenance)
-    capped = tsv.up_to_accepted(classified, max_rows)
+def _source_number(store: Store, source: Row) -> int:
+    """The number of a source in this state (name, size, time); a new state gets a new one.
+
+    It is kept before anything is written under it, so a repeated run finds it again.
+    """
+    known, version = store.snapshot("sources", SOURCES)
+    identity = (source.source_file, source.source_size_bytes, source.source_mtime_ns)
+    size, time = F.col("source_size_bytes"), F.col("source_mtime_ns")
+    same = known.filter(F.col("source_file") == identity[0])
+    same = same.filter((size == identity[1]) & (time == identity[2])).head()
+    if same:
+        return same.number
+    number = version + 1
+    added = store.spark.createDataFrame([(number, *identity)], SOURCES)
+    store.write_snapshot(known.unionByName(added).coalesce(1), "sources", number)
+    return number
+
+
+def _messages(
+    raw: DataFrame, dataset: Dataset, number: int, provenance: bool, max_rows: int
+) -> DataFrame:
+    """Raw rows as messages, or as dead letters where ``refused``."""
+    classified = normalize.classify(raw, dataset, provenance)
     refused = F.col("reason").isNotNull()
     record = {c: F.col(f"record.{c}") for c in (*dataset.columns, "metadata")}
-    out = capped.select(
-        # Unique without a shared counter, and ordered by load order and line.
+    return tsv.up_to_accepted(classified, max_rows).select(
+        # Unique and in order of source and line, without a counter the tasks would share.
         (F.lit(number).cast("bigint") * (1 << 40) + F.col("source_line")).alias("id"),
         "source_line",
         F.when(~refused, normalize.envelope(dataset.table, record)).alias("payload"),
@@ -179,12 +191,6 @@ def _produce_rows(
         F.when(refused, normalize.raw_json(dataset)).alias("raw"),
         refused.alias("refused"),
     )
-    target = f"{store.path('produced')}/{run}"
-    out.write.mode("overwrite").partitionBy("refused").parquet(target)
-    if not max_rows:
-        return True
-    last = store.spark.read.schema(PRODUCED).parquet(target).agg(F.max("source_line")).head()[0]
-    return raw.filter(F.col("source_line") > (last or after)).isEmpty()
 
 
 def event_log(store: Store) -> DataFrame:
@@ -194,9 +200,10 @@ def event_log(store: Store) -> DataFrame:
 
 def dead_letter_log(store: Store) -> DataFrame:
     """Refused rows of all runs: source, line, reason and raw fields."""
-    rows = store.read("produced", f"{PRODUCED}, source STRING, after BIGINT")
-    return rows.filter("refused").select(
-        F.col("source").alias("source_file"), "source_line", "reason", "raw"
+    rows = store.read("produced", f"{PRODUCED}, source INT, after BIGINT").filter("refused")
+    sources = store.snapshot("sources", SOURCES)[0].withColumnRenamed("number", "source")
+    return rows.join(F.broadcast(sources), "source").select(  # a row per dump ever read
+        "source_file", "source_line", "reason", "raw"
     )
 
 

@@ -39,7 +39,7 @@ def produced_messages(
     the batch, so by default everything that waits makes one batch. ``files_per_batch``
     bounds it where latency or back-pressure matters more.
     """
-    reader = spark.readStream.schema(f"{PRODUCED}, source STRING, after BIGINT")
+    reader = spark.readStream.schema(f"{PRODUCED}, source INT, after BIGINT")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     produced = reader.parquet(Store(spark, store_dir).path("produced"))
@@ -112,11 +112,12 @@ def consume(
         except Exception as error:  # one table failing must not lose the others
             log.exception("landing %s failed; its messages are retried", dataset.table)
             text = f"landing error: {error}"[:MAX_ERROR_CHARS]
-            retry = mine.select("id", F.lit(text).alias("reason"))
+            retry = mine.select("id").distinct().withColumn("reason", F.lit(text))
         done = mine.select("id", "attempts").join(retry, "id", "left")
         store.write_run(_outcomes(done, dataset.table), "outcomes", f"{here}/part={dataset.table}")
     written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{here}")
-    retries = written.filter(F.col("outcome") == "retry").select("id", "attempts")
+    retry = written.filter(F.col("outcome") == "retry")
+    retries = retry.groupBy("id").agg(F.max("attempts").alias("attempts"))
     store.write_run(
         parsed.select("id", "payload").join(retries, "id").select("id", "payload", "attempts"),
         "waiting",
@@ -137,7 +138,7 @@ def _land_table(mine, dataset, store, run, epoch, references, rows, write) -> Da
         mine.drop("attempts"), dataset, target, parents if references else None, rows
     )
     write(fresh, f"tables/{dataset.table}", f"run={run}/epoch={epoch}")
-    return orphans.select("id", F.lit("a referenced row is missing").alias("reason"))
+    return orphans.distinct().select("id", F.lit("a referenced row is missing").alias("reason"))
 
 
 def _outcomes(done: DataFrame, name: str) -> DataFrame:

@@ -145,6 +145,25 @@ def test_changed_source_raises_until_restarted(spark, dumps, tmp_path):
         ingest.produce(spark, dumps, root, NOW, ["title_ratings"])
     again = ingest.produce(spark, dumps, root, NOW, ["title_ratings"], restart=True)
     assert again[0].enqueued == 3 and len(queued(spark, root)) == 3
+    ids = Store(spark, root).read("produced", ingest.PRODUCED).select("id")
+    assert ids.count() == ids.distinct().count()  # queued again under ids of their own
+
+
+def test_repeated_run_replaces_its_messages(spark, dumps, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+
+    def crash(*_):
+        raise OSError("lost before progress was kept")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(manifest, "upsert_progress", crash)
+        with pytest.raises(OSError):
+            ingest.produce(spark, dumps, root, NOW, ["title_basics"])
+    ingest.produce(spark, dumps, root, NOW, ["title_ratings"])
+    ingest.produce(spark, dumps, root, NOW, ["title_basics"])
+    rows = Store(spark, root).read("produced", ingest.PRODUCED)
+    assert rows.count() == 11 and rows.select("id").distinct().count() == 11
+    assert ingest.dead_letter_log(Store(spark, root)).count() == 5
 
 
 def test_watching_a_folder(spark, dumps, tmp_path):

@@ -2,6 +2,8 @@
 
 A queue is a snapshot of message rows. Every transition takes the snapshot and ``as_of``
 (the moment it happens; nothing reads the clock) and returns the next snapshot or a result.
+With ``changed_only`` a transition returns just the rows it touched, to be merged into a table
+that can update in place instead of being written anew; ``merge`` does it on frames.
 Where a transition touches chosen messages, the chosen ids are joined to the snapshot: a
 claim holds at most 10 000 of them, so that side is broadcast and the snapshot is read in one
 pass without a shuffle; acks and nacks are broadcast only after a count.
@@ -93,9 +95,13 @@ def enqueue(
     return rows, checked.filter(F.col("reason").isNotNull())
 
 
-def _set(queue: DataFrame, when: Column, changes: dict[str, Column]) -> DataFrame:
+def _set(
+    queue: DataFrame, when: Column, changes: dict[str, Column], changed_only: bool
+) -> DataFrame:
     """``queue`` with ``changes`` applied to the rows where ``when`` is true."""
     hit = F.coalesce(when, F.lit(False))
+    if changed_only:
+        queue, hit = queue.filter(hit), F.lit(True)
     return queue.select(
         *(
             F.when(hit, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c)
@@ -105,7 +111,11 @@ def _set(queue: DataFrame, when: Column, changes: dict[str, Column]) -> DataFram
 
 
 def expire_exhausted(
-    queue: DataFrame, name: str, timeout: timedelta, as_of: datetime | str | Column
+    queue: DataFrame,
+    name: str,
+    timeout: timedelta,
+    as_of: datetime | str | Column,
+    changed_only: bool = False,
 ) -> DataFrame:
     """Fail timed-out messages of queue ``name`` that have no attempts left."""
     now = _moment(as_of, queue)
@@ -125,6 +135,7 @@ def expire_exhausted(
             "last_error": F.coalesce(F.nullif("last_error", F.lit("")), F.lit(EXPIRED)),
             "updated_at": now,
         },
+        changed_only,
     )
 
 
@@ -179,7 +190,9 @@ def claim_all_ids(
     )
 
 
-def apply_claim(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+def apply_claim(
+    queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column, changed_only: bool = False
+) -> DataFrame:
     """The snapshot after the claimed ``ids`` (at most 10 000) went to processing."""
     now = _moment(as_of, queue)
     marked = queue.join(
@@ -200,6 +213,7 @@ def apply_claim(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column
             ),
             "updated_at": now,
         },
+        changed_only,
     )
     return out.select(*queue.columns)
 
@@ -210,13 +224,17 @@ def dequeue(
     as_of: datetime | str | Column,
     n: int = 10,
     timeout: timedelta = timedelta(seconds=30),
+    changed_only: bool = False,
 ) -> DataFrame:
     """The snapshot after a dequeue: exhausted messages failed, claimed ones processing.
 
     The two sets are disjoint (attempts left or not), so the ids come from the snapshot as
-    given and the read of it stays shared.
+    given.
     """
     ids = claim_ids(queue, name, as_of, n, timeout)
+    if changed_only:
+        expired = expire_exhausted(queue, name, timeout, as_of, changed_only=True)
+        return expired.unionByName(apply_claim(queue, ids, as_of, changed_only=True))
     return apply_claim(expire_exhausted(queue, name, timeout, as_of), ids, as_of)
 
 
@@ -234,7 +252,9 @@ def _small_ids(ids: DataFrame, text: Column | None = None) -> bool:
     return is_small(rows, size)
 
 
-def ack(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+def ack(
+    queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column, changed_only: bool = False
+) -> DataFrame:
     """Mark messages done. Only processing or done ones change; unknown ids do nothing."""
     now = _moment(as_of, queue)
     small = _small_ids(ids)
@@ -249,6 +269,7 @@ def ack(queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column) -> Dat
             "failed_at": _null(queue, "failed_at"),
             "updated_at": now,
         },
+        changed_only,
     )
     return out.select(*queue.columns)
 
@@ -260,7 +281,9 @@ def backoff(attempts: Column) -> Column:
     return F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
-def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -> DataFrame:
+def nack(
+    queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column, changed_only: bool = False
+) -> DataFrame:
     """Give messages back, or fail them for good.
 
     ``reasons`` holds (id, reason). A permanent reason or no attempts left fails the
@@ -298,10 +321,16 @@ def nack(queue: DataFrame, reasons: DataFrame, as_of: datetime | str | Column) -
             "last_error": F.when(~open_, F.col("last_error")).otherwise(F.col("_reason")),
             "updated_at": F.when(~open_, F.col("updated_at")).otherwise(now),
         },
+        changed_only,
     )
     return out.select(*queue.columns)
 
 
+def merge(queue: DataFrame, changed: DataFrame) -> DataFrame:
+    """``queue`` with the rows of ``changed`` in place of those of the same id."""
+    return queue.join(changed.select("id"), "id", "left_anti").select(*queue.columns).unionByName(changed)
+
+
 def metrics(queue: DataFrame, name: str | None = None) -> DataFrame:
     """Message counts by status and the oldest pending message, per queue."""
     rows = queue if name is None else queue.filter(F.col("queue_name") == name)

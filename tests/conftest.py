@@ -10,6 +10,6 @@ from marquee.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, app="marquee-tests")
+    session = local_session(8, app="marquee-tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()

@@ -220,3 +220,21 @@ def test_backpressure_holds_between_marks(spark):
     )
     flags = q.backpressure(depths, high=20, low=10).orderBy("step_end").collect()
     assert [r.paused for r in flags] == [False, True, True, True, False, False, False, True]
+
+
+def test_changed_rows_merge_into_the_full_result(spark, empty):
+    rows = push(spark, empty, *((i, "ab"[i % 2], "{}") for i in range(20)))
+    rows = rows.withColumn("max_attempts", F.when(F.col("id") < 4, 1).otherwise(5))
+    rows = q.dequeue(rows, "a", at(0), 6)
+    given = reasons(spark, *((i, "x") for i in range(5, 12)))
+    transitions = [
+        lambda r, **kw: q.expire_exhausted(r, "a", timedelta(seconds=30), at(60), **kw),
+        lambda r, **kw: q.dequeue(r, "a", at(60), 5, **kw),
+        lambda r, **kw: q.ack(r, ids(spark, 0, 6, 7, 99), at(60), **kw),
+        lambda r, **kw: q.nack(r, given, at(60), **kw),
+    ]
+    for step in transitions:
+        changed = step(rows, changed_only=True)
+        assert 0 < changed.count() < 20
+        merged = q.merge(rows, changed)
+        assert sorted(merged.collect(), key=lambda r: r.id) == sorted(step(rows).collect(), key=lambda r: r.id)

@@ -83,3 +83,23 @@ def test_small_batch_does_not_shuffle_the_target(spark, credits, small_partition
     out = rel.without_existing(batch, titles(spark), ["tconst"], rows=1000)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [tconst" in plan and "LeftSemi, BuildRight" in plan
+
+
+def test_reference_check_splits_the_null_references(spark, credits, small_partitions):
+    fk = F.when(F.col("tconst") != "tt0", F.col("tconst")).alias("tconst")
+    child = credits.select(fk, "ordering", "job", "category")
+    good, bad = rel.split_orphans(child, [("tconst", titles(spark).filter("tconst <> 'tt1'"), "tconst")])
+    rows, plan = final_plan(good.groupBy("category").agg(F.count("*"), F.max("job")))
+    assert "skew=true" in plan
+    assert rows[0][1] + bad.count() == N
+
+
+def test_membership_join_splits_the_hot_member(spark, credits, small_partitions):
+    crew = credits.select(
+        F.concat(F.lit("x"), F.col("job")).alias("title"),
+        F.array(F.regexp_replace("tconst", "tt", "nm"), F.lit(None).cast("string")).alias("people"),
+    )
+    names = spark.range(N).select(F.concat(F.lit("nm"), "id").alias("nconst"), F.lit("n").alias("name"))
+    joined = rel.array_any_join(names, crew, "nconst", "people")
+    rows, plan = final_plan(joined.groupBy("name").agg(F.count("*"), F.max("title")))
+    assert "skew=true" in plan and rows[0][1] == N

@@ -20,7 +20,11 @@ TRUE_WORDS = "('1', 'true', 't', 'yes')"
 FALSE_WORDS = "('0', 'false', 'f', 'no')"
 TCONST = r"r'^tt[0-9]+\z'"
 NCONST = r"r'^nm[0-9]+\z'"
-BLANKS = r"' \t\n\r\u000B\u000C'"
+# All characters the dump's producer strips as blanks around booleans.
+BLANKS = (
+    r"' \t\n\r\u000B\u000C\u001C\u001D\u001E\u001F\u0085\u00A0\u1680\u2000\u2001\u2002\u2003\u2004"
+    r"\u2005\u2006\u2007\u2008\u2009\u200A\u2028\u2029\u202F\u205F\u3000'"
+)
 DIGIT_GROUPS = "r'(?<=[0-9])_(?=[0-9])'"
 
 
@@ -62,8 +66,11 @@ def integer(raw: Raw) -> str:
 
 
 def rating(raw: Raw) -> str:
-    """A decimal from 0 to 10, checked before it is rounded to one place."""
-    number = f"try_cast({_ungrouped(raw.text)} AS decimal(38,28))"
+    """A decimal from 0 to 10, checked before it is rounded to one place.
+
+    Underscores are ignored wherever they stand.
+    """
+    number = f"try_cast(replace({raw.text}, '_', '') AS decimal(38,28))"
     in_range = f"{number} BETWEEN cast(0 AS decimal(38,28)) AND cast(10 AS decimal(38,28))"
     return f"CASE WHEN {_given(raw.text)} AND {in_range} THEN cast({number} AS decimal(3,1)) END"
 

@@ -93,8 +93,8 @@ def produce(
     source's run into the same folder. A source that changed since it was read raises unless
     ``restart``; a completed one is skipped. ``max_rows`` caps the accepted rows of a source.
 
-    A gzip file is decompressed by one task and then spread over ``partitions``; large dumps
-    are better plain.
+    A gzip file is decompressed by one task and spread after that (over ``partitions``, or as
+    its size suggests); large dumps are better plain.
     """
     store = Store(spark, store_dir)
     names = [n for d in DATASETS.values() for n in (d.filename, d.plain_filename)]

@@ -120,13 +120,15 @@ def read_tsv(
 ) -> DataFrame:
     """One dump file as (source_file, source_line, the declared source columns as text).
 
-    The header is line 1. ``partitions`` spreads a gzip file, which arrives as one task, over
-    that many before the columns are parsed.
+    The header is line 1. A gzip file arrives as one task and is spread, over ``partitions`` or
+    as its size suggests, before the columns are parsed.
     """
     positions = check_header(header_of(spark, path), dataset, path.rsplit("/", 1)[-1])
     lines = numbered_lines(spark, path).filter(F.col("source_line") > 1)
     if partitions:
-        lines = lines.repartition(partitions)
+        lines = lines.repartition(partitions, "source_line")
+    elif path.endswith(".gz"):
+        lines = lines.repartition("source_line")
     return lines.select(
         "source_file", "source_line", *source_columns(F.col("value"), positions, dataset)
     )

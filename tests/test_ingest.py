@@ -297,6 +297,11 @@ def test_layouts(spark, tmp_path):
     assert movies.filter("start_year = 1991").count() == 6 and movies.count() == 30
     layout.write_by_runtime(titles, str(tmp_path / "runtime"))
     assert spark.read.parquet(str(tmp_path / "runtime")).count() == 30
+    layout.write_top_votes(titles.selectExpr("tconst", "runtime_minutes * 100 AS num_votes", "1.0 AS average_rating"), str(tmp_path / "votes"))
+    assert spark.read.parquet(str(tmp_path / "votes")).count() == 50
+    credits = titles.selectExpr("tconst", "tconst AS nconst", "if(runtime_minutes < 7, 'actress', 'writer') AS category")
+    layout.write_actors(credits, str(tmp_path / "actors"))
+    assert spark.read.parquet(str(tmp_path / "actors")).count() == 7
     layout.write_inverted_index(titles, "genres", "tconst", str(tmp_path / "index"))
     assert spark.read.parquet(str(tmp_path / "index")).filter("value = 'G1'").count() == 20
 

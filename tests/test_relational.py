@@ -207,6 +207,20 @@ def test_top_k_needs_no_global_sort(spark):
     assert "TakeOrderedAndProject" in text
 
 
-def test_filters_reach_the_scan(spark):
-    text = plan(S.s2a(view(spark, SF, "title_basics"), view(spark, SF, "title_ratings")))
-    assert "o_custkey" in text and "o_clerk" not in text and "BatchEvalPython" not in text
+def test_filters_and_columns_reach_the_scan(spark, titles, ratings, tmp_path):
+    titles.write.parquet(str(tmp_path / "titles"))
+    ratings.write.parquet(str(tmp_path / "ratings"))
+    stored = [spark.read.parquet(str(tmp_path / t)) for t in ("titles", "ratings")]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    text = plan(S.s2a(*stored))
+    assert "GreaterThanOrEqual(num_votes,1000)" in text and "EqualTo(title_type,movie)" in text
+    yearly = plan(S.s4a(*stored))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(start_year,2000)" in yearly
+    assert "genres" not in yearly and "num_votes" not in yearly and "runtime" not in yearly
+
+
+def test_scenarios_stay_in_the_jvm(spark):
+    names = ("title_principals", "name_basics", "title_basics")
+    for df in (S.s5a(*(view(spark, SF, n) for n in names)), S.s7a(view(spark, SF, "title_basics"))):
+        assert "Python" not in plan(df)

@@ -202,9 +202,7 @@ def dead_letter_log(store: Store) -> DataFrame:
     """Refused rows of all runs: source, line, reason and raw fields."""
     rows = store.read("produced", f"{PRODUCED}, source INT, after BIGINT").filter("refused")
     sources = store.snapshot("sources", SOURCES)[0].withColumnRenamed("number", "source")
-    return rows.join(F.broadcast(sources), "source").select(  # a row per dump ever read
-        "source_file", "source_line", "reason", "raw"
-    )
+    return rows.join(sources, "source").select("source_file", "source_line", "reason", "raw")
 
 
 def land(

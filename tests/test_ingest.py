@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from marquee.operators import relational as rel
 from marquee.plans import ingest
 from marquee.schemas import DATASETS
 from marquee.sources import layout, manifest, tsv
@@ -232,7 +233,9 @@ def rating(tconst, votes):
     return {"table": "title_ratings", "data": {"tconst": tconst, "average_rating": 5, "num_votes": votes}}
 
 
-def test_repeated_batch_changes_nothing(spark, tmp_path):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_repeated_batch_changes_nothing(spark, tmp_path, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(rel, "BROADCAST_ROWS", broadcast_rows)
     store = Store(spark, str(tmp_path))
     batch = batch_of(spark, rating("tt1", 1), rating("tt1", 2), rating("tt2", 3), {"table": "x"})
     later = batch_of(spark, rating("tt2", 9), rating("tt3", 4))

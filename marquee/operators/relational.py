@@ -133,14 +133,14 @@ def lowest_n(df: DataFrame, key: str, n: int, direct: int = 10_000) -> DataFrame
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by ``order`` (which must be total within a key).
+    """One row per key, the first by ``order``; the other columns break ties.
 
     An aggregate, not a window: repeats fold inside the map tasks, so a key holding a third
     of the rows reaches its reducer as one row per task.
     """
-    rest = [c for c in df.columns if c not in key]
-    first = F.min_by(F.struct(*rest), F.struct(*order)) if rest else F.lit(None)
-    return df.groupBy(*key).agg(first.alias("_first")).select(
+    rest = [c for c in df.columns if c not in key and c not in order]
+    first = F.min(F.struct(*order, *rest)).alias("_first")
+    return df.groupBy(*key).agg(first).select(
         *(F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in df.columns)
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -33,14 +32,11 @@ def local_session(cores: int | str = "*", app: str = "marquee", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for ``name`` below ``spark.checkpoint.dir``.
+    """A fresh folder for ``name`` below ``spark.checkpoint.dir``, which all executors share.
 
-    The cluster names that folder; a temporary one is made only where the setting is
-    absent and Spark runs on this machine alone.
+    Where the setting is absent, the folder given to ``SparkContext.setCheckpointDir`` counts.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="marquee-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{os.urandom(6).hex()}"

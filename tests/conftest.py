@@ -9,7 +9,11 @@ from marquee.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, app="marquee-tests", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = local_session(8, app="marquee-tests", **settings)
     yield session
     session.stop()

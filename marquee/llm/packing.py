@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark import TaskContext
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import rows_mapped, running_base, written
-from marquee.llm.tokens import encoder, slices
+from marquee.llm.tokens import Cut, encoder, slices
 
 TOKENS = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 
@@ -18,7 +18,7 @@ TOKENS = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 def pack(
     docs: DataFrame,
     vocabulary: str,
-    cut: Callable[[str], list[str]],
+    cut: Cut,
     end_id: int,
     window: int = 4096,
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark import TaskContext
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm.common import rows_mapped, running_base
-from marquee.llm.tokens import encoder, slices
+from marquee.llm.tokens import Cut, encoder, slices
 
 MAGIC = b"MQTOKEN"
 INDEX = (
@@ -64,7 +64,7 @@ def _filesystem(folder: str):
 
 
 def write_records(
-    docs: DataFrame, folder: str, vocabulary: str, cut: Callable[[str], list[str]], end_id: int
+    docs: DataFrame, folder: str, vocabulary: str, cut: Cut, end_id: int
 ) -> DataFrame:
     """Write the ids of all texts below ``folder`` (shared by all executors); the index.
 

@@ -12,62 +12,93 @@ from marquee.llm.common import memo
 
 #: Words a worker remembers for one vocabulary; forgotten all at once, then learnt anew.
 MEMO_WORDS = 1_000_000
-_CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
+# Texts of ASCII and Latin letters, with spaces and line breaks as their only blanks, can be
+# parted by a plain pattern whose classes are spelt out; others go through the tokenizer whole.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
+_NUMBERS = "0-9²³¹¼-¾"
+_OTHER = f"[^ \n{_LETTERS}{_NUMBERS}]+"
+_UNUSUAL = re.compile(r"[^\n\x20-\x7e¡-ſ]")
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+_SPACED = re.compile(
+    f"{_ENDINGS}| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?{_OTHER}|[ \n]+(?![^ \n])|[ \n]+"
+)
+_BARE = re.compile(f"{_ENDINGS}|[{_LETTERS}]+|[{_NUMBERS}]|{_OTHER}")
 
-def whole(text: str) -> list[str]:
-    """No cut: right for every vocabulary."""
-    return [text] if text else []
+#: The words that a vocabulary's tokenizer parts a text into, or None to leave it to that.
+Cut = Callable[[str], list[str] | None]
 
 
-def at_spaces(text: str) -> list[str]:
-    """Cuts for byte-level vocabularies whose words carry the space before them.
+def whole(text: str) -> None:
+    """Right for every vocabulary."""
+    return None
 
-    A single space between two non-blank characters always begins a word, and so does a line
-    break alone between them; longer or leading blanks stay within their piece.
-    """
-    words = text.split()
-    if len("".join(words)) + len(words) - 1 == len(text):  # all blanks stand alone
-        pieces = text.replace("\n", " \n").split(" ")
-        return [pieces[0], *(p if p[0] == "\n" else " " + p for p in pieces[1:])]
-    pieces = _CLEAN_SPACE.split(text)
-    return [p for p in (pieces[0], *(" " + p for p in pieces[1:])) if p]
 
+def at_spaces(text: str) -> list[str] | None:
+    """Words of byte-level vocabularies that carry the space before them."""
+    return None if _UNUSUAL.search(text) else _SPACED.findall(text)
+
+
+def at_blanks(text: str) -> list[str] | None:
+    """Words of byte-level vocabularies in lower case that drop blanks."""
+    return None if _UNUSUAL.search(text) else _BARE.findall(text.lower())
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: itself if it can be seen."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Memo(dict):
+    """Values by key, computed when first asked for."""
+
+    def __init__(self, compute: Callable[[str], bytes]):
+        self.compute = compute
 
-def at_blanks(text: str) -> list[str]:
-    """Cuts for vocabularies that drop blanks."""
-    return [p for p in text.replace("\n", " ").split(" ") if p]
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        value = self[key] = self.compute(key)
+        return value
 
 
 class Encoder:
-    """Ids of texts as bytes (little-endian, ``width`` bytes each), remembering pieces."""
+    """Ids of texts as bytes (little-endian, ``width`` bytes each).
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]]):
+    Words repeat, so each new one is merged once by the vocabulary's model and remembered.
+    """
+
+    def __init__(self, path: str, cut: Cut):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.cut = cut
         self.width = id_width(self.tokenizer.get_vocab_size())
         self.dtype = f"<u{self.width}"
-        self.cut = cut
-        self.known: dict[str, bytes] = {}
+        letters, model = _byte_letters(), self.tokenizer.model
+
+        def word(text: str) -> bytes:
+            octets = text.encode().decode("latin-1").translate(letters)
+            return self._bytes([token.id for token in model.tokenize(octets)])
+
+        self.words = _Memo(word)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.dtype).tobytes()
 
     def ids(self, texts: list[str | None], end_id: int) -> Iterator[bytes]:
         """For each text (None: empty) its ids and ``end_id``."""
-        pieces = [self.cut(text or "") for text in texts]
-        if len(self.known) > MEMO_WORDS:
-            self.known.clear()
-        new = list(set().union(*pieces) - self.known.keys())
-        for at in range(0, len(new), 1024):
-            some = new[at : at + 1024]
-            for piece, e in zip(
-                some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            ):
-                self.known[piece] = np.array(e.ids, dtype=self.dtype).tobytes()
-        end = np.array([end_id], dtype=self.dtype).tobytes()
-        for own in pieces:
-            yield b"".join(map(self.known.__getitem__, own)) + end
+        end, known = self._bytes([end_id]), self.words.__getitem__
+        for text in texts:
+            own = self.cut(text or "")
+            if own is None:
+                yield self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) + end
+            else:
+                yield b"".join(map(known, own)) + end
 
 
 def id_width(vocabulary: int) -> int:
@@ -75,7 +106,7 @@ def id_width(vocabulary: int) -> int:
     return 2 if vocabulary <= 1 << 16 else 4
 
 
-def encoder(path: str, cut: Callable[[str], list[str]]) -> Encoder:
+def encoder(path: str, cut: Cut) -> Encoder:
     """The worker's encoder for a vocabulary file."""
     loaded = memo().setdefault("encoders", {})
     key = (path, cut.__name__)

@@ -53,16 +53,16 @@ def _cells(docs: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column
         shares = [i / levels for i in range(1, levels)]
         row = docs.agg(*(F.percentile_approx(d, shares).alias(d) for d in numeric)).head()
         cuts = {d: sorted(set(row[d] or [])) for d in numeric}
-    cells = []
-    for d in dimensions:
+
+    def cell(d: str) -> Column:
         if d in cuts:
             bounds = F.array(*(F.lit(v) for v in cuts[d] or [0]))
-            column = F.col(d)
-            cell = F.size(F.filter(bounds, lambda bound, column=column: bound < column))
+            place = F.size(F.filter(bounds, lambda bound: bound < F.col(d)))
         else:
-            cell = F.pmod(F.xxhash64(d), F.lit(levels))
-        cells.append(F.when(F.col(d).isNull(), F.lit(0)).otherwise(cell).cast("long"))
-    return cells
+            place = F.pmod(F.xxhash64(d), F.lit(levels))
+        return F.when(F.col(d).isNull(), F.lit(0)).otherwise(place).cast("long")
+
+    return [cell(d) for d in dimensions]
 
 
 def assign_shards(

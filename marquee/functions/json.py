@@ -6,10 +6,19 @@ import json
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def keep_last_key(spark: SparkSession) -> None:
+    """Of equal keys in a JSON object the last counts, whatever the session says otherwise.
+
+    Spark reads the setting when a query runs, so operators that parse JSON set it for their
+    session: no answer hangs on the caller's settings.
+    """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def _step(path: str, name: str) -> str:
     escaped = name.replace("\\", "\\\\").replace("'", "\\'")
     return f"{path}['{escaped}']"

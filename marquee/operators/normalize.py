@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.converters import CONVERTERS, Raw
-from marquee.functions.json import bracketed, document
+from marquee.functions.json import bracketed, document, keep_last_key
 from marquee.operators.relational import computed
 from marquee.schemas import DATASETS, Dataset, Field
 
@@ -35,6 +35,7 @@ def classify(raw: DataFrame, dataset: Dataset, provenance: bool = False) -> Data
     The reason is the first failing field's in declared order. ``provenance`` records file
     and line in the metadata column.
     """
+    keep_last_key(raw.sparkSession)
     values = {f.target: CONVERTERS[f.converter].value(Raw(f.source)) for f in dataset.fields}
     values["metadata"] = "to_json(struct(source_file, source_line))" if provenance else "'{}'"
     rows = raw.withColumn("record", F.expr(_struct(values)))
@@ -75,6 +76,7 @@ def envelope(table: str, columns: dict[str, Column]) -> Column:
 
 def to_envelope(records: DataFrame, table: str, *keep: str) -> DataFrame:
     """The ``keep`` columns and a message payload made of the table's columns."""
+    keep_last_key(records.sparkSession)
     known = (*DATASETS[table].columns, "metadata")
     columns = {c: F.col(c) for c in records.columns if c in known}
     return records.select(*keep, envelope(table, columns).alias("payload"))
@@ -85,6 +87,7 @@ def route(messages: DataFrame) -> DataFrame:
 
     A payload that is a JSON string is read as the document that string holds.
     """
+    keep_last_key(messages.sparkSession)
     blanks = F.lit(" \t\r\n")
     quoted = F.try_variant_get(F.try_parse_json("payload"), "$", "string")
     text = F.when(F.ltrim("payload", blanks).startswith('"'), quoted).otherwise(F.col("payload"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.arrays import contains_all, contains_any, sorted_distinct
-from marquee.functions.json import bracketed, document, variant_contains
+from marquee.functions.json import bracketed, document, keep_last_key, variant_contains
 
 # A broadcast needs a counted side; beyond this many rows the join shuffles both sides.
 BROADCAST_ROWS = 100_000
@@ -216,6 +216,7 @@ def with_genres(df: DataFrame, every: Sequence[str] = (), some: Sequence[str] =
 
 def json_contains(df: DataFrame, col: str, pattern: dict) -> DataFrame:
     """Rows whose JSON text column contains ``pattern`` (see ``variant_contains``)."""
+    keep_last_key(df.sparkSession)
     parsed = computed(df, {"_parsed": F.expr(bracketed(col))})
     docs = computed(parsed, {"_doc": F.expr(document(col, "_parsed"))})
     return docs.filter(variant_contains(F.col("_doc"), pattern)).drop("_parsed", "_doc")

@@ -35,11 +35,12 @@ def outcomes(normalized: DataFrame) -> DataFrame:
 
 
 def batch_event(done: DataFrame, at: Column) -> DataFrame:
-    """One event-log row with the counters of a consumed batch."""
+    """One event-log row with the counters of a consumed batch; the others add up to claimed."""
     counters = F.struct(
         F.count("*").alias("claimed"),
         F.count_if(F.col("outcome") == "ack").alias("processed"),
         F.count_if(F.col("outcome") == "retry").alias("nacked"),
+        F.count_if(F.col("outcome") == "failed").alias("failed"),
         F.count_if(F.col("outcome") == "permanent").alias("invalid"),
     )
     return done.agg(F.to_json(counters).alias("payload")).select(

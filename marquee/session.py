@@ -18,8 +18,6 @@ def local_session(cores: int | str = "*", app: str = "marquee", **conf: str) ->
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
-        # The last of several equal keys in a JSON object wins, instead of an error.
-        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     }
     settings.update(conf)

@@ -1,7 +1,8 @@
 """The message life cycle as a stateful stream, one small state per message.
 
 Operations (claim, ack, nack, tick) of a message apply in time order within each batch; a
-timer fails a message whose last attempt ran out. Messages are independent, so the work
+timer fails a message whose last attempt ran out. No operation is dropped: one that arrives
+late, however far behind the watermark, applies when it arrives. Messages are independent, so the work
 spreads over them, and the files admitted per trigger bound what one batch brings for any
 single message.
 """
@@ -31,7 +32,9 @@ _SECOND = 1_000_000  # times are microseconds
 
 STATE = """status STRING, attempts INT, available_at BIGINT, started_at BIGINT,
     completed_at BIGINT, failed_at BIGINT, last_error STRING"""
-TRANSITIONS = f"id BIGINT, seq BIGINT, at BIGINT, op STRING, {STATE}"
+# ``step`` counts a message's transitions in the order in which they applied.
+KEPT = f"{STATE}, step BIGINT"
+TRANSITIONS = f"id BIGINT, seq BIGINT, at BIGINT, op STRING, {KEPT}"
 
 
 class Message(NamedTuple):
@@ -98,17 +101,26 @@ class LifecycleProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.message = handle.getValueState("message", STATE)
+        self.message = handle.getValueState("message", KEPT)
+
+    def stored(self) -> tuple[Message | None, int]:
+        if not self.message.exists():
+            return None, 0
+        *message, step = self.message.get()
+        return Message(*message), step
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        old = Message(*self.message.get()) if self.message.exists() else None
+        old, step = self.stored()
         now = old
         for row in sorted(rows, key=lambda r: (r.at_us, r.seq)):
             last = now
             now = advance(now or enqueued(row.at_us), row.op, row.at_us, row.reason, self.timeout)
             if now != last:  # a message's first operation always shows
-                yield Row(id=key[0], seq=row.seq, at=row.at_us, op=row.op, **now._asdict())
-        self.message.update(tuple(now))
+                step += 1
+                yield Row(
+                    id=key[0], seq=row.seq, at=row.at_us, op=row.op, **now._asdict(), step=step
+                )
+        self.message.update((*now, step))
         before, after = (deadline(m, self.timeout) if m else None for m in (old, now))
         if before != after:
             if before is not None:
@@ -117,18 +129,25 @@ class LifecycleProcessor(StatefulProcessor):
                 self.handle.registerTimer(_timer(after))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        old = Message(*self.message.get())
+        old, step = self.stored()
         now = settle(old, timerValues.getCurrentWatermarkInMs() * 1000, self.timeout)
         if now != old:
-            self.message.update(tuple(now))
-            yield Row(id=key[0], seq=None, at=now.failed_at, op="expire", **now._asdict())
+            self.message.update((*now, step + 1))
+            yield Row(
+                id=key[0], seq=None, at=now.failed_at, op="expire", **now._asdict(), step=step + 1
+            )
 
     def close(self) -> None:
         pass
 
 
 def lifecycle(ops: DataFrame, timeout_seconds: int = 30, lateness: str = "10 minutes") -> DataFrame:
-    """Stream of state changes for a stream of operations (id, seq, op_at, op, reason)."""
+    """Stream of state changes for a stream of operations (id, seq, op_at, op, reason).
+
+    ``id`` is unique over all queues. ``lateness`` is how long timers wait for late operations;
+    it refuses none: the watermarked column ends before the grouping, so nothing is filtered
+    by it.
+    """
     # Workers need not have this package installed.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     ops.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -137,6 +156,7 @@ def lifecycle(ops: DataFrame, timeout_seconds: int = 30, lateness: str = "10 min
     ).withColumn("at_us", F.unix_micros("op_at"))
     return (
         timed.withWatermark("op_at", lateness)
+        .drop("op_at")
         .groupBy("id")
         .transformWithState(
             LifecycleProcessor(timeout_seconds * _SECOND), TRANSITIONS, "Append", "EventTime"
@@ -150,7 +170,7 @@ def current_state(transitions: DataFrame, as_of: Column, timeout_seconds: int =
     A deadline that passed before ``as_of`` counts whether or not its timer ran already.
     """
     rest = [c for c in transitions.columns if c != "id"]
-    last = F.max_by(F.struct(*rest), F.struct("at", F.coalesce("seq", F.lit(1 << 62))))
+    last = F.max_by(F.struct(*rest), "step")
     state = transitions.groupBy("id").agg(last.alias("s")).select("id", "s.*")
     due = F.col("started_at") + timeout_seconds * _SECOND
     over = (

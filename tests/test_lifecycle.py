@@ -63,3 +63,32 @@ def test_stream_equals_fold_across_batches(spark, tmp_path):
     }
     assert got == expected
     assert changes.filter("op = 'expire'").count() > 0
+
+
+def test_late_operations_apply_when_they_arrive(spark, tmp_path):
+    """An ack far behind the watermark still finishes its message."""
+    folder, schema = str(tmp_path / "ops"), "id BIGINT, seq BIGINT, us BIGINT, op STRING, reason STRING"
+    t = 1_700_000_000 * SECOND
+    batches = [
+        [(1, 1, t, "claim", None), (2, 2, t, "claim", None)],
+        [(3, 3, t + 7200 * SECOND, "claim", None)],
+        [(4, 4, t + 10_800 * SECOND, "claim", None)],
+        [(1, 5, t + 20 * SECOND, "ack", None), (2, 6, t + 25 * SECOND, "nack", "boom")],
+    ]
+    source = None
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(schema).parquet(folder)
+        frame = source.select("id", "seq", F.timestamp_micros("us").alias("op_at"), "op", "reason")
+        (
+            L.lifecycle(frame, lateness="1 second").writeStream.format("parquet")
+            .option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "cp"))
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    changes = spark.read.schema(L.TRANSITIONS).parquet(str(tmp_path / "out"))
+    state = L.current_state(changes, F.timestamp_micros(F.lit(t + 20_000 * SECOND)))
+    assert {r.id: r.status for r in state.collect()} == {
+        1: "done", 2: "pending", 3: "processing", 4: "processing"
+    }
+    assert changes.groupBy("id").agg(F.max("step")).count() == 4

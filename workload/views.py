@@ -84,35 +84,40 @@ FROM orders"""
 
 
 def _title_ratings(d: Dialect) -> str:
+    """Ratings of partly filled orders are of titles that no other view has (tt0...)."""
     return """
-SELECT concat('tt', cast(o_orderkey AS string)) AS tconst,
+SELECT concat(CASE WHEN o_orderstatus = 'P' THEN 'tt0' ELSE 'tt' END, cast(o_orderkey AS string)) AS tconst,
        CASE WHEN o_orderkey % 101 <> 0
             THEN cast(cast(10 + (o_orderkey * 37) % 91 AS decimal(6,1)) * cast(0.1 AS decimal(2,1))
                       AS decimal(3,1)) END AS average_rating,
        cast(floor(o_totalprice / 100) AS int) AS num_votes
-FROM orders WHERE o_orderstatus <> 'P'"""
+FROM orders"""
 
 
 def _name_basics(d: Dialect) -> str:
+    """Some people are known by an id that no other view refers to (nm0...)."""
     return """
-SELECT concat('nm1', cast(c_custkey AS string)) AS nconst, c_name AS primary_name
-FROM customer WHERE c_acctbal >= 0
+SELECT concat(CASE WHEN c_acctbal < 0 THEN 'nm01' ELSE 'nm1' END, cast(c_custkey AS string)) AS nconst,
+       c_name AS primary_name
+FROM customer
 UNION ALL
-SELECT concat('nm2', cast(p_partkey AS string)) AS nconst, p_name AS primary_name
-FROM part WHERE p_size <> 1"""
+SELECT concat(CASE WHEN p_size = 1 THEN 'nm02' ELSE 'nm2' END, cast(p_partkey AS string)) AS nconst,
+       p_name AS primary_name
+FROM part"""
 
 
 def _title_crew(d: Dialect) -> str:
     own = "concat('nm1', cast(o_custkey AS string))"
     busy = "concat('nm1', cast(o_custkey % 100 AS string))"
     return f"""
-SELECT concat('tt', cast(o_orderkey AS string)) AS tconst,
+SELECT concat(CASE WHEN year(o_orderdate) = 1996 THEN 'tt0' ELSE 'tt' END,
+              cast(o_orderkey AS string)) AS tconst,
        CASE WHEN o_orderkey % 41 = 0 THEN {d.null_strings()}
             WHEN o_orderkey % 43 = 0 THEN {d.no_strings()}
             WHEN o_orderkey % 11 = 0 THEN {d.array(own, "NULL", own)}
             WHEN o_orderkey % 3 = 0 THEN {d.array(own, busy)}
             ELSE {d.array(own)} END AS directors
-FROM orders WHERE year(o_orderdate) <> 1996"""
+FROM orders"""
 
 
 def _title_principals(d: Dialect) -> str:
@@ -284,13 +289,14 @@ FROM nation"""
 
 def _producer_progress(d: Dialect) -> str:
     return f"""
-SELECT concat(lower(n_name), '.tsv.gz') AS source_file, 'title_basics' AS table_name,
+SELECT concat(CASE WHEN n_nationkey < 15 THEN '' ELSE 'old-' END, lower(n_name), '.tsv.gz') AS source_file,
+       'title_basics' AS table_name,
        cast(1000 + n_nationkey + CASE WHEN n_nationkey % 5 = 0 THEN 1 ELSE 0 END AS bigint) AS source_size_bytes,
        cast(n_nationkey * 10 AS bigint) AS source_mtime_ns,
        cast(1 + n_nationkey * 100 AS bigint) AS last_line, cast(n_nationkey * 99 AS bigint) AS rows_enqueued,
        cast(n_nationkey AS bigint) AS malformed_rows, n_nationkey % 3 = 0 AS completed,
        {d.timestamp("2024-01-01 00:00:00")} AS updated_at
-FROM nation WHERE n_nationkey < 15"""
+FROM nation"""
 
 
 def _queue_ops(d: Dialect) -> str:

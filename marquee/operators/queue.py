@@ -157,7 +157,7 @@ def claim_ids(
     """Ids of the ``n`` lowest claimable messages of one queue."""
     ready = queue.filter((F.col("queue_name") == _named(name)))
     ready = ready.filter(_claimable(timeout, _moment(as_of, queue))).select("id")
-    return ready.orderBy("id").limit(_batch(n))
+    return lowest_n(ready, "id", _batch(n))
 
 
 def claim(
@@ -191,13 +191,21 @@ def claim_all_ids(
 
 
 def apply_claim(
-    queue: DataFrame, ids: DataFrame, as_of: datetime | str | Column, changed_only: bool = False
+    queue: DataFrame,
+    ids: DataFrame,
+    as_of: datetime | str | Column,
+    changed_only: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
-    """The snapshot after the claimed ``ids`` (at most 10 000) went to processing."""
+    """The snapshot after the claimed ``ids`` went to processing.
+
+    ``rows`` is the caller's bound on their number; only a small one is hinted for broadcast.
+    """
     now = _moment(as_of, queue)
-    marked = queue.join(
-        F.broadcast(ids.select("id", F.lit(True).alias("_claimed"))), "id", "left"
-    )
+    claimed = ids.select("id", F.lit(True).alias("_claimed"))
+    if rows is not None and is_small(rows):
+        claimed = F.broadcast(claimed)
+    marked = queue.join(claimed, "id", "left")
     reclaimed = F.coalesce(F.nullif("last_error", F.lit("")), F.lit(RECLAIMED))
     out = _set(
         marked,
@@ -234,8 +242,8 @@ def dequeue(
     ids = claim_ids(queue, name, as_of, n, timeout)
     if changed_only:
         expired = expire_exhausted(queue, name, timeout, as_of, changed_only=True)
-        return expired.unionByName(apply_claim(queue, ids, as_of, changed_only=True))
-    return apply_claim(expire_exhausted(queue, name, timeout, as_of), ids, as_of)
+        return expired.unionByName(apply_claim(queue, ids, as_of, True, n))
+    return apply_claim(expire_exhausted(queue, name, timeout, as_of), ids, as_of, rows=n)
 
 
 def _small_ids(ids: DataFrame, text: Column | None = None) -> bool:

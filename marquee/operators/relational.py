@@ -100,11 +100,11 @@ def top_n_per_group(
     return ranked.filter(F.col(rank) <= n)
 
 
-def lowest_n(df: DataFrame, key: str, n: int, direct: int = 10_000) -> DataFrame:
+def lowest_n(df: DataFrame, key: str, n: int, direct: int = 100) -> DataFrame:
     """The ``n`` rows with the smallest values of the unique, non-negative long ``key``.
 
-    Small n is a plain top-n. A large n would merge n rows of every task in one place, so
-    there the cut-off comes from a histogram of key ranges and only the one range that
+    Up to ``direct`` it is a plain top-n, which merges n rows of every task in one place; beyond
+    that the cut-off comes from a histogram of key ranges and only the one range that
     crosses it, at most 65536 rows, is ranked.
     """
     if n <= direct:

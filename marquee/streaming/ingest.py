@@ -11,7 +11,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,9 +71,12 @@ def consume(
     run: str = "main",
     references: bool = True,
     write: Writer | None = None,
+    as_of: Column | None = None,
 ) -> None:
     """Land one batch of messages (id, payload) and record what became of each.
 
+    The batch's event is dated ``as_of``, or by the clock.
+
     The parsed batch is written once, split by target table, and everything after reads its
     part of that: nothing is parsed again, for another table or after a lost executor.
     """
@@ -123,7 +126,7 @@ def consume(
         "waiting",
         here,
     )
-    event = batch_event(written, F.current_timestamp())
+    event = batch_event(written, F.current_timestamp() if as_of is None else as_of)
     store.write_run(event, "events", f"writer=consumer/batch={run}-{epoch}")
 
 

@@ -162,7 +162,8 @@ def _union(column: pd.Series) -> pd.Series:
 
 def n_hit(hit: str = "hit") -> str:
     """SQL for the number of hit words."""
-    return f"aggregate({hit}, struct(0L AS n, -1L AS sign), (a, x) -> struct(a.n + a.sign * x AS n, -a.sign AS sign)).n"
+    step = "struct(a.n + a.sign * x AS n, -a.sign AS sign)"
+    return f"aggregate({hit}, struct(0L AS n, -1L AS sign), (a, x) -> {step}).n"
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, size: int = 10, spans: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import with_row_key, written
+from marquee.llm.common import BLANK, with_row_key, written
 from marquee.llm.spans import Kind, all_spans, overlaps
 
 _DIGITS = "regexp_replace(x.m, '[^0-9]', '')"
@@ -57,9 +57,10 @@ def _with_context(spans: str) -> str:
         f"substring(coalesce(text, ''), greatest(1, x.start - {CONTEXT_CHARS - 1}),"
         f" least({CONTEXT_CHARS}, x.start))"
     )
-    words = rf"regexp_extract({before}, r'([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$', 1)"
+    word = BLANK.replace("[", "[^") + "+"
+    words = f"regexp_extract({before}, r'({word}{BLANK}+{word}){BLANK}*$', 1)"
     return f"""transform({spans}, x -> struct(x.ord AS ord, x.start AS start, x.end AS end,
-        lower(x.m) AS instance, lower(regexp_replace({words}, r'[\\x20\\x09-\\x0D]+', ' ')) AS context))"""
+        lower(x.m) AS instance, lower(regexp_replace({words}, r'{BLANK}+', ' ')) AS context))"""
 
 
 def _bootstrap(

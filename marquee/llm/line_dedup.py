@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import BLANK, arrow_schema, lower_ascii, with_row_key, written
+from marquee.llm.common import BLANKS, arrow_schema, lower_ascii, with_row_key, written
 
 LINE = ["h1", "h2", "d", "t", "pos"]
 #: kind 0: a line to drop; 1: a line whose hash goes on in another partition; 2: the number of
@@ -27,7 +27,7 @@ def lines(docs: DataFrame, min_chars: int) -> DataFrame:
     split = keyed.select(
         "d", "t", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line")
     )
-    key = F.regexp_replace(lower_ascii(F.col("line")), f"^{BLANK}+|{BLANK}+$", "")
+    key = F.btrim(lower_ascii(F.col("line")), F.lit(BLANKS))
     split = split.select("d", "t", "pos", key.alias("key")).filter(F.length("key") >= min_chars)
     return split.select(
         F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "d", "t", "pos"
@@ -198,7 +198,7 @@ def _kept(texts: pd.Series, bitmaps: pd.Series) -> pd.DataFrame:
         if bitmap is None:
             rows.append((text, (text or "").count("\n") + 1, 0))
             continue
-        own = text.split("\n")
+        own = (text or "").split("\n")
         bits = np.unpackbits(np.frombuffer(zlib.decompress(bitmap), dtype=np.uint8))
         keep = np.ones(len(own), dtype=bool)
         n = min(len(bits), len(own))

@@ -102,6 +102,9 @@ def odd_documents():
     ]
     docs += [(350, "has a short, ITEM inside"), (351, "pre " + " ".join(near[60:75]) + " post"),
              (352, "x" + " ".join(near[50:59])), (353, " ".join(near[50:60]).upper().replace(" ", "--"))]
+    # A blank before a line end that is none here stays part of the line's key.
+    docs += [(360 + i, f"{prose(15)}\nshut {end}") for i, end in enumerate(["\x85", "\u2028"] * 6)]
+    docs += [(372 + i, f"{prose(15)}\nshut{end}") for i, end in enumerate(["\x85", "\u2028"] * 6)]
     labels = [(i, 1, 0) for i in range(60)] + [(205, 0, 0), (203, 0, None), (9999, 0, 1), (None, 1, 0),
               (3, 0, 1), (4, None, None)]
     turns = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, "system", "s [INST]"),

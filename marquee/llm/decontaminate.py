@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import rows_mapped, with_row_key, written
+from marquee.llm.common import memo, rows_mapped, with_row_key, written
 
 #: ASCII: letters are lowered, digits kept, all else parts words. Bytes beyond are word bytes.
 _TABLE = bytes(
@@ -77,9 +78,13 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[objec
 def _hits(docs: DataFrame, items: list[tuple], size: int) -> DataFrame:
     """doc_id, n_words, hit (runs of hit words as first, end) and items for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
+    block = uuid.uuid4().hex
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        ngrams = Ngrams(shared.value, size)
+        held = memo()  # a worker builds a block's windows once, and holds those of one block
+        if held.get("ngrams", (None,))[0] != block:
+            held["ngrams"] = (block, Ngrams(shared.value, size))
+        ngrams = held["ngrams"][1]
         for *rest, text in rows:
             own = words(text)
             hit, ids = ngrams.scan(own)

@@ -4,19 +4,25 @@ The stream's checkpoint takes the place of claiming: each batch is handed out un
 finished. Everything a batch writes goes to folders named after it, and the tables it
 compares with leave that batch out, so a repeated batch replaces its own output and nothing
 else. There is one writer per store.
+
+A message to retry waits until it is due. The stream's next batch takes what is due by then, and
+``retry_due`` and ``drain`` do without new input: they are further rounds of the stream's last
+batch, and the next batch goes on from the last of them.
 """
 
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import normalize
-from marquee.operators.queue import DEFAULT_ATTEMPTS, MAX_ERROR_CHARS
+from marquee.operators.queue import DEFAULT_ATTEMPTS, MAX_ERROR_CHARS, backoff
 from marquee.plans.ingest import PRODUCED, batch_event, land
 from marquee.schemas import DATASETS, Dataset
 from marquee.sources.store import Store
@@ -25,7 +31,9 @@ log = logging.getLogger("marquee")
 
 OUTCOMES = "id BIGINT, table_name STRING, outcome STRING, reason STRING, attempts INT"
 REFUSED = "refused"
-WAITING = "id BIGINT, payload STRING, attempts INT"
+#: What waits after a round. A row without an id marks the round, so that it shows when none does.
+WAITING = "id BIGINT, payload STRING, attempts INT, available_at TIMESTAMP"
+ROUND = "run STRING, epoch BIGINT, round INT"
 
 Writer = Callable[[DataFrame, str, str], None]
 
@@ -46,12 +54,14 @@ def produced_messages(
     return produced.filter("NOT refused").select("id", "payload")
 
 
-def landed(store: Store, dataset: Dataset, run: str, epoch: int, inclusive: bool) -> DataFrame:
-    """Rows of a table as of batch ``epoch`` of ``run``: without it, or with it included."""
-    schema = f"{_ddl(dataset)}, run STRING, epoch BIGINT"
-    rows = store.read(f"tables/{dataset.table}", schema)
-    last = epoch if inclusive else epoch - 1
-    return rows.filter((F.col("run") != run) | (F.col("epoch") <= last))
+def landed(
+    store: Store, dataset: Dataset, run: str, epoch: int, turn: int, inclusive: bool
+) -> DataFrame:
+    """Rows of a table as of a round of a batch of ``run``: without it, or with it included."""
+    rows = store.read(f"tables/{dataset.table}", f"{_ddl(dataset)}, {ROUND}")
+    last = turn if inclusive else turn - 1
+    earlier = (F.col("epoch") < epoch) | ((F.col("epoch") == epoch) & (F.col("round") <= last))
+    return rows.filter((F.col("run") != run) | earlier)
 
 
 def _ddl(dataset: Dataset) -> str:
@@ -60,8 +70,17 @@ def _ddl(dataset: Dataset) -> str:
 
 def table(spark: SparkSession, store_dir: str, name: str) -> DataFrame:
     """All landed rows of a table."""
-    rows = Store(spark, store_dir).read(f"tables/{name}", f"{_ddl(DATASETS[name])}, run STRING, epoch BIGINT")
-    return rows.drop("run", "epoch")
+    rows = Store(spark, store_dir).read(f"tables/{name}", f"{_ddl(DATASETS[name])}, {ROUND}")
+    return rows.drop("run", "epoch", "round")
+
+
+def _waiting(store: Store, run: str, epoch: int, turn: int) -> DataFrame:
+    """What waits before a round: after the round before, or the last one of the batch before."""
+    rows = store.read(
+        f"waiting/run={run}/epoch={epoch if turn else epoch - 1}", f"{WAITING}, round INT"
+    )
+    last = turn - 1 if turn else rows.agg(F.max("round")).head()[0]
+    return rows.filter((F.col("round") == last) & F.col("id").isNotNull()).drop("round")
 
 
 def consume(
@@ -72,21 +91,23 @@ def consume(
     references: bool = True,
     write: Writer | None = None,
     as_of: Column | None = None,
+    turn: int = 0,
 ) -> None:
     """Land one batch of messages (id, payload) and record what became of each.
 
-    The batch's event is dated ``as_of``, or by the clock.
+    Messages that wait and are due at ``as_of`` (by default, now) join the batch; the others
+    wait on. ``turn`` numbers the rounds of a batch, of which the stream's own is 0.
 
     The parsed batch is written once, split by target table, and everything after reads its
     part of that: nothing is parsed again, for another table or after a lost executor.
     """
     write = write or store.write_run
-    here = f"run={run}/epoch={epoch}"
+    now = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of.cast("timestamp")
+    here = f"run={run}/epoch={epoch}/round={turn}"
     _refuse_lost_checkpoint(store, run, epoch)
-    waiting = store.read("waiting", f"{WAITING}, run STRING, epoch BIGINT")
-    again = waiting.filter((F.col("run") == run) & (F.col("epoch") == epoch - 1))
+    waiting = _waiting(store, run, epoch, turn)
     claimed = batch.select("id", "payload", F.lit(0).alias("attempts")).unionByName(
-        again.select("id", "payload", "attempts")
+        waiting.filter(F.col("available_at") <= now).drop("available_at")
     )
     part = F.when(F.col("reason").isNull(), F.col("table_name")).otherwise(F.lit(REFUSED))
     parsed = normalize.normalize_messages(claimed).withColumn("part", part)
@@ -111,7 +132,8 @@ def consume(
         )
         try:
             rows = counts[dataset.table]
-            retry = _land_table(mine, dataset, store, run, epoch, references, rows, write)
+            place = (run, epoch, turn)
+            retry = _land_table(mine, dataset, store, place, references, rows, write)
         except Exception as error:  # one table failing must not lose the others
             log.exception("landing %s failed; its messages are retried", dataset.table)
             text = f"landing error: {error}"[:MAX_ERROR_CHARS]
@@ -121,26 +143,78 @@ def consume(
     written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{here}")
     retry = written.filter(F.col("outcome") == "retry")
     retries = retry.groupBy("id").agg(F.max("attempts").alias("attempts"))
-    store.write_run(
-        parsed.select("id", "payload").join(retries, "id").select("id", "payload", "attempts"),
-        "waiting",
-        here,
-    )
-    event = batch_event(written, F.current_timestamp() if as_of is None else as_of)
-    store.write_run(event, "events", f"writer=consumer/batch={run}-{epoch}")
+    again = parsed.select("id", "payload").join(retries, "id")
+    again = again.withColumn("available_at", now + backoff(F.col("attempts")))
+    mark = store.spark.createDataFrame([(None, None, None, None)], WAITING)
+    later = waiting.filter(F.col("available_at") > now)
+    store.write_run(mark.unionByName(again).unionByName(later), "waiting", here)
+    name = f"{run}-{epoch}-{turn}" if turn else f"{run}-{epoch}"
+    store.write_run(batch_event(written, now), "events", f"writer=consumer/batch={name}")
+
+
+def retry_due(
+    spark: SparkSession,
+    store_dir: str,
+    run: str = "main",
+    references: bool = True,
+    write: Writer | None = None,
+    as_of: datetime | None = None,
+) -> datetime | None:
+    """Consume the messages that wait and are due, without new input.
+
+    Returns when the next one is due (UTC), or None if nothing waits any more. Not to be called
+    while the stream runs; a batch that was broken off must be finished by the stream first.
+    """
+    store = Store(spark, store_dir)
+    now = as_of or datetime.now(timezone.utc)
+    place = F.struct("epoch", "round")
+    rounds = store.read(f"waiting/run={run}", f"{WAITING}, epoch BIGINT, round INT")
+    last = rounds.agg(F.max(place)).head()[0]
+    if last is None:
+        return None
+    begun = store.read(f"inbox/run={run}", "id BIGINT, epoch BIGINT, round INT, part STRING")
+    begun = begun.agg(F.max("epoch")).head()[0]
+    if begun is not None and begun > last["epoch"]:
+        raise ValueError(f"batch {begun} of run {run!r} is not finished; run the stream first")
+    if (due := _next_due(store, run, last["epoch"], last["round"] + 1)) is None or due > now:
+        return due
+    nothing = spark.createDataFrame([], "id BIGINT, payload STRING")
+    turn = last["round"] + 1
+    consume(nothing, last["epoch"], store, run, references, write, F.lit(now), turn)
+    return _next_due(store, run, last["epoch"], turn + 1)
+
+
+def _next_due(store: Store, run: str, epoch: int, turn: int) -> datetime | None:
+    first = F.unix_micros(F.min("available_at"))
+    micros = _waiting(store, run, epoch, turn).agg(first).head()[0]
+    return None if micros is None else datetime.fromtimestamp(micros / 1e6, timezone.utc)
+
+
+def drain(
+    spark: SparkSession,
+    store_dir: str,
+    run: str = "main",
+    references: bool = True,
+    write: Writer | None = None,
+    sleep: Callable[[float], None] = time.sleep,
+) -> None:
+    """Retry what waits, each message when it is due, until all are in or have failed."""
+    while (due := retry_due(spark, store_dir, run, references, write)) is not None:
+        sleep(max(0.1, (due - datetime.now(timezone.utc)).total_seconds()))
 
 
-def _land_table(mine, dataset, store, run, epoch, references, rows, write) -> DataFrame:
+def _land_table(mine, dataset, store, place, references, rows, write) -> DataFrame:
     """Insert one table's rows; (id, reason) of the messages to retry."""
+    run, epoch, turn = place
 
     def parents(name: str) -> DataFrame:
-        return landed(store, DATASETS[name], run, epoch, inclusive=True)
+        return landed(store, DATASETS[name], *place, inclusive=True)
 
-    target = landed(store, dataset, run, epoch, inclusive=False)
+    target = landed(store, dataset, *place, inclusive=False)
     fresh, orphans = land(
         mine.drop("attempts"), dataset, target, parents if references else None, rows
     )
-    write(fresh, f"tables/{dataset.table}", f"run={run}/epoch={epoch}")
+    write(fresh, f"tables/{dataset.table}", f"run={run}/epoch={epoch}/round={turn}")
     return orphans.distinct().select("id", F.lit("a referenced row is missing").alias("reason"))
 
 
@@ -163,11 +237,13 @@ def _outcomes(done: DataFrame, name: str) -> DataFrame:
 
 def _refuse_lost_checkpoint(store: Store, run: str, epoch: int) -> None:
     """A new checkpoint counts from 0 again and would replace batches that are done."""
-    seen = store.read("outcomes", "run STRING, epoch BIGINT, part STRING")
-    last = seen.filter(F.col("run") == run).agg(F.max("epoch")).head()[0]
-    if last is not None and last > epoch:
+    # Every batch begins with its inbox and writes what waits after it. Only the next batch's
+    # folders are listed, however many there are.
+    begun = store.read(f"inbox/run={run}/epoch={epoch + 1}", "id BIGINT, round INT, part STRING")
+    done = store.read(f"waiting/run={run}/epoch={epoch + 1}", f"{WAITING}, round INT")
+    if not (begun.isEmpty() and done.isEmpty()):
         raise ValueError(
-            f"run {run!r} already has batch {last}; give a new checkpoint a new run name"
+            f"run {run!r} already has batch {epoch + 1}; give a new checkpoint a new run name"
         )
 
 
@@ -178,12 +254,13 @@ def run_ingest(
     run: str = "main",
     references: bool = True,
     write: Writer | None = None,
+    as_of: Column | None = None,
 ) -> StreamingQuery:
-    """Consume what is there now, batch by batch, and stop."""
+    """Consume what is there now, batch by batch, and stop; ``drain`` retries what waits then."""
     store = Store(messages.sparkSession, store_dir)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        consume(batch, epoch, store, run, references, write)
+        consume(batch, epoch, store, run, references, write, as_of)
 
     return (
         messages.writeStream.foreachBatch(each)

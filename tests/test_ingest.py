@@ -3,7 +3,8 @@
 import gzip
 import json
 import os
-from datetime import datetime
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -258,10 +259,14 @@ def test_one_failing_table_does_not_stop_the_others(spark, tmp_path):
         store.write_run(df, name, run)
 
     batch = batch_of(spark, rating("tt1", 1), crew)
-    stream.consume(batch, 0, store, references=False, write=write_run)
+    at = F.lit("2024-01-01 00:00:00")
+    stream.consume(batch, 0, store, references=False, write=write_run, as_of=at)
     assert stream.table(spark, store.root, "title_crew").count() == 1
     assert outcomes(spark, store.root) == [("title_crew", "ack", 1), ("title_ratings", "retry", 1)]
-    stream.consume(batch.limit(0), 1, store, references=False)
+    stream.consume(batch.limit(0), 1, store, references=False, as_of=at)
+    assert stream.table(spark, store.root, "title_ratings").isEmpty()  # not due yet
+    later = F.lit("2024-01-01 00:00:01")
+    stream.consume(batch.limit(0), 2, store, references=False, as_of=later)
     assert stream.table(spark, store.root, "title_ratings").count() == 1
 
 
@@ -269,12 +274,68 @@ def test_messages_fail_after_five_attempts(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     batch = batch_of(spark, rating("tt1", 1))
     for epoch in range(6):
-        stream.consume(batch if epoch == 0 else batch.limit(0), epoch, store)
+        at = F.lit(NOW + timedelta(hours=epoch))
+        stream.consume(batch if epoch == 0 else batch.limit(0), epoch, store, as_of=at)
     assert outcomes(spark, store.root) == [
         *(("title_ratings", "failed", 5),), *(("title_ratings", "retry", n) for n in (1, 2, 3, 4))
     ]
 
 
+def test_retries_need_no_new_input(spark, dumps, tmp_path):
+    root = str(tmp_path / "store")
+    ingest.produce(spark, dumps, root, NOW)
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    consume_all(spark, root, tmp_path, as_of=F.lit(start))
+    due = stream.retry_due(spark, root, as_of=start)
+    assert due == start + timedelta(seconds=1)  # too early: nothing ran
+    waits = [1]
+    while due is not None:  # no parent ever comes
+        now, due = due, stream.retry_due(spark, root, as_of=due)
+        waits += [(due - now).total_seconds()] if due else []
+    assert waits == [1, 2, 4, 8]
+    ratings = [o for o in outcomes(spark, root) if o[0] == "title_ratings" and o[1] != "ack"]
+    wanted = [("title_ratings", "failed", 5), *(("title_ratings", "retry", n) for n in (1, 2, 3, 4))]
+    assert [o for o in ratings if o[1] != "permanent"] == wanted
+    assert stream.retry_due(spark, root) is None
+    # The stream goes on after the rounds, and repeating its last batch leaves them alone.
+    before = stream.table(spark, root, "title_basics").count()
+    write(dumps, "title.basics.tsv.gz", BASICS + ["tt404\tmovie\tLate\tLate\t0\t2001\t\\N\t90\t\\N"])
+    ingest.produce(spark, dumps, root, NOW, ["title_basics"], restart=True)
+    consume_all(spark, root, tmp_path)
+    assert stream.table(spark, root, "title_basics").count() == before + 1
+
+
+def test_drain_lands_a_late_parent(spark, tmp_path):
+    store, slept = Store(spark, str(tmp_path)), []
+    title = {"table": "title_basics", "data": {"tconst": "tt1", "title_type": "movie"}}
+    stream.consume(batch_of(spark, rating("tt1", 1)), 0, store)
+
+    def parent_comes(seconds):
+        if not slept:
+            parent = spark.createDataFrame([(9, json.dumps(title))], "id BIGINT, payload STRING")
+            stream.consume(parent, 0, store, run="other")
+        slept.append(seconds)
+        time.sleep(seconds)
+
+    stream.drain(spark, store.root, sleep=parent_comes)
+    assert stream.table(spark, store.root, "title_ratings").count() == 1
+    assert stream.table(spark, store.root, "title_basics").count() == 1
+
+
+def test_broken_off_batch_goes_first(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    batch = batch_of(spark, rating("tt1", 1))
+    stream.consume(batch, 0, store)
+
+    def broken(df, name, run):
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        stream.consume(batch_of(spark, rating("tt2", 1)), 1, store, references=False, write=broken)
+    with pytest.raises(ValueError, match="not finished"):
+        stream.retry_due(spark, store.root)
+
+
 def test_streaming_lands_what_one_batch_would(spark, tmp_path):
     folder = str(tmp_path / "in")
     for part in range(4):

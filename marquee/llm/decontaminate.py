@@ -66,8 +66,11 @@ class Ngrams:
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
-    """The benchmark in blocks of about ``block_bytes`` of text, split by a hash of the item."""
-    texts = benchmark.select("item_id", "text")
+    """The benchmark in blocks of about ``block_bytes`` of text, split by a hash of the item.
+
+    Repeated items count once, so that copies of one can't fill a block.
+    """
+    texts = benchmark.select("item_id", "text").distinct()
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     n = -(-total // block_bytes)
     for block in range(n):

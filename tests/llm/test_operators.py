@@ -332,6 +332,14 @@ def test_blocks_give_one_blocks_answer(spark, odd):
     assert shape(whole) == shape(split)
 
 
+def test_copies_of_an_item_fill_no_block(spark):
+    items = [(7, "one two three")] * 500 + [(i, f"word{i} more") for i in range(20)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    blocks = list(decontaminate._blocks(benchmark, 100))
+    assert sorted(item for block in blocks for item in block) == sorted(set(items))
+    assert len(blocks) == 3
+
+
 def test_spans_or_documents_go(spark):
     docs = spark.createDataFrame(
         [(1, "Keep, one TWO-three é four! end", "x"), (2, "one two three", "y"), (3, None, "z")],

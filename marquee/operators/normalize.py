@@ -12,6 +12,8 @@ from marquee.schemas import DATASETS, Dataset, Field
 
 PERMANENT = "[permanent]"
 MAX_ERROR_CHARS = 4000
+# The parser's limit is on its own form of a document, a few times its text at most.
+LARGE_BYTES = 16 << 20
 
 
 def _error(field: Field, text: str) -> str:
@@ -106,7 +108,11 @@ def route(messages: DataFrame) -> DataFrame:
     shown = F.coalesce(F.concat(F.lit("'"), F.col("table_name"), F.lit("'")), F.lit("null"))
     holds_object = F.coalesce(F.schema_of_variant("data").startswith("OBJECT"), F.lit(False))
     reason = (
-        F.when(~F.col("_is_object"), F.lit("payload must be a JSON object"))
+        F.when(
+            F.col("_doc").isNull() & (F.octet_length("payload") >= LARGE_BYTES),
+            F.lit("payload is too large for the parser, or not JSON"),
+        )
+        .when(~F.col("_is_object"), F.lit("payload must be a JSON object"))
         .when(~known, F.concat(F.lit("unsupported table: "), shown))
         .when(~holds_object, F.lit("payload.data must be a JSON object"))
     )

@@ -74,6 +74,44 @@ SOURCES = "number INT, source_file STRING, source_size_bytes BIGINT, source_mtim
 PRODUCED = "id BIGINT, source_line BIGINT, payload STRING, reason STRING, raw STRING, refused BOOLEAN"
 
 
+@dataclass(frozen=True)
+class Marks:
+    """Production pauses at ``high`` messages in flight and goes on at ``low``."""
+
+    high: int
+    low: int
+
+    def __post_init__(self):
+        if not 0 <= self.low < self.high:
+            raise ValueError("low water must be non-negative and below high water")
+
+
+PRESSURE = "paused BOOLEAN"
+
+
+def in_flight(store: Store) -> int:
+    """Messages queued and not yet landed, failed or refused, by the counts in the event log."""
+
+    def counted(name: str) -> Column:
+        return F.coalesce(F.get_json_object("payload", f"$.{name}").cast("bigint"), F.lit(0))
+
+    left = counted("run_enqueued") - counted("processed") - counted("failed") - counted("invalid")
+    return event_log(store).agg(F.sum(left)).head()[0] or 0
+
+
+def _room(store: Store, marks: Marks) -> int:
+    """How many more messages may be queued: none from the high mark on, down to the low one."""
+    depth = in_flight(store)
+    state, version = store.snapshot("pressure", PRESSURE)
+    before = version > 0 and state.head().paused
+    paused = depth >= marks.high or (before and depth > marks.low)
+    if paused != before:
+        log.info("production %s at %d messages in flight", "pauses" if paused else "goes on", depth)
+        now = store.spark.createDataFrame([(paused,)], PRESSURE)
+        store.write_snapshot(now, "pressure", version + 1)
+    return 0 if paused else marks.high - depth
+
+
 def produce(
     spark: SparkSession,
     data_dir: str,
@@ -85,6 +123,8 @@ def produce(
     restart: bool = False,
     partitions: int | None = None,
     prefer_plain: bool = False,
+    marks: Marks | None = None,
+    wait: Callable[[], None] | None = None,
 ) -> list[Produced]:
     """Turn the dump files of a folder into queued messages.
 
@@ -94,6 +134,11 @@ def produce(
     source's run into the same folder. A source that changed since it was read raises unless
     ``restart``; a completed one is skipped. ``max_rows`` caps the accepted rows of a source.
 
+    With ``marks`` a run queues no more than there is room for, and a source takes as many runs
+    as it needs. Each run reads the source's lines again, so ``high`` should be a good part of a
+    source. While production is paused, ``wait`` is called until there is room again; without
+    it the job ends there, and the next call goes on.
+
     A gzip file is decompressed by one task and spread after that (over ``partitions``, or as
     its size suggests); large dumps are better plain.
     """
@@ -102,62 +147,96 @@ def produce(
     files = manifest.scan_manifest(spark, data_dir).filter(F.col("source_file").isin(*names))
     listing = {row.source_file: row for row in files.collect()}  # at most two per dataset
     sources = tsv.select_sources(list(listing), selectors, prefer_plain)
-    done = []
+    done: list[Produced] = []
     for dataset, name in sources:
-        progress, version = store.snapshot("progress", PRODUCER_PROGRESS)
-        if restart:
-            progress = manifest.reset_progress(progress, [name])
-        mine = files.filter(F.col("source_file") == name)
-        state = manifest.manifest_status(mine, progress).head()
-        if state.status == "changed":
-            raise ValueError(f"{name} changed since it was read; check it, then restart it")
-        if state.status == "complete":
-            log.info("skipping %s: already read to its end", name)
-            continue
-        before = progress.filter(F.col("source_file") == name).head()
-        number = _source_number(store, listing[name])
-        run = f"source={number}/after={state.resume_after}"
-        target = f"{store.path('produced')}/{run}"
-        raw = tsv.read_tsv(spark, f"{data_dir.rstrip('/')}/{name}", dataset, partitions)
-        raw = raw.filter(F.col("source_line") > state.resume_after)
-        messages = _messages(raw, dataset, number, provenance, max_rows)
-        messages.write.mode("overwrite").partitionBy("refused").parquet(target)
-        rows = spark.read.schema(PRODUCED).parquet(target)
-        counts = rows.agg(
-            F.count_if(~F.col("refused")).alias("enqueued"),
-            F.count_if("refused").alias("malformed"),
-            F.coalesce(F.max("source_line"), F.lit(state.resume_after)).alias("last_line"),
-        ).head()
-        completed = not max_rows or raw.filter(F.col("source_line") > counts.last_line).isEmpty()
-        update = spark.createDataFrame(
-            [(
-                name, dataset.table, listing[name].source_size_bytes, listing[name].source_mtime_ns,
-                counts.last_line, (before.rows_enqueued if before else 0) + counts.enqueued,
-                (before.malformed_rows if before else 0) + counts.malformed, completed, as_of,
-            )],
-            PRODUCER_PROGRESS,
-        )
-        event = update.select(
-            F.lit("producer_file_checkpoint").alias("event_type"),
-            F.to_json(
-                F.struct(
-                    F.col("table_name").alias("table"),
-                    F.lit(counts.enqueued).alias("run_enqueued"),
-                    F.lit(counts.malformed).alias("run_malformed"),
-                    F.col("rows_enqueued").alias("total_enqueued"),
-                    "completed",
-                )
-            ).alias("payload"),
-            "source_file",
-            F.col("updated_at").alias("created_at"),
-        )
-        store.write_run(event.coalesce(1), "events", f"writer=producer/batch={number}-{state.resume_after}")
-        merged = manifest.upsert_progress(progress, update).coalesce(1)
-        store.write_snapshot(merged, "progress", version + 1)
-        done.append(Produced(name, dataset.table, counts.enqueued, counts.malformed, completed))
+        left, first = max_rows, restart
+        while True:
+            cap = left
+            if marks:
+                while not (room := _room(store, marks)):
+                    if wait is None:
+                        return done
+                    wait()
+                cap = min(left, room) if left else room
+            mine = files.filter(F.col("source_file") == name)
+            run = _produce_run(
+                store, mine, listing[name], dataset, data_dir, as_of, provenance, cap, first, partitions
+            )
+            if run is None:
+                break
+            done.append(run)
+            left, first = left - run.enqueued, False
+            if run.completed or cap == 0 or (max_rows and left <= 0):
+                break
     return done
 
 
+def _produce_run(
+    store: Store,
+    files: DataFrame,
+    source: Row,
+    dataset: Dataset,
+    data_dir: str,
+    as_of: datetime,
+    provenance: bool,
+    max_rows: int,
+    restart: bool,
+    partitions: int | None,
+) -> Produced | None:
+    """One run over one source, from where the last one ended; None if that was its end."""
+    spark, name = store.spark, source.source_file
+    progress, version = store.snapshot("progress", PRODUCER_PROGRESS)
+    if restart:
+        progress = manifest.reset_progress(progress, [name])
+    state = manifest.manifest_status(files, progress).head()
+    if state.status == "changed":
+        raise ValueError(f"{name} changed since it was read; check it, then restart it")
+    if state.status == "complete":
+        log.info("skipping %s: already read to its end", name)
+        return None
+    before = progress.filter(F.col("source_file") == name).head()
+    number = _source_number(store, source)
+    run = f"source={number}/after={state.resume_after}"
+    target = f"{store.path('produced')}/{run}"
+    raw = tsv.read_tsv(spark, f"{data_dir.rstrip('/')}/{name}", dataset, partitions)
+    raw = raw.filter(F.col("source_line") > state.resume_after)
+    messages = _messages(raw, dataset, number, provenance, max_rows)
+    messages.write.mode("overwrite").partitionBy("refused").parquet(target)
+    rows = spark.read.schema(PRODUCED).parquet(target)
+    counts = rows.agg(
+        F.count_if(~F.col("refused")).alias("enqueued"),
+        F.count_if("refused").alias("malformed"),
+        F.coalesce(F.max("source_line"), F.lit(state.resume_after)).alias("last_line"),
+    ).head()
+    completed = not max_rows or raw.filter(F.col("source_line") > counts.last_line).isEmpty()
+    update = spark.createDataFrame(
+        [(
+            name, dataset.table, source.source_size_bytes, source.source_mtime_ns,
+            counts.last_line, (before.rows_enqueued if before else 0) + counts.enqueued,
+            (before.malformed_rows if before else 0) + counts.malformed, completed, as_of,
+        )],
+        PRODUCER_PROGRESS,
+    )
+    event = update.select(
+        F.lit("producer_file_checkpoint").alias("event_type"),
+        F.to_json(
+            F.struct(
+                F.col("table_name").alias("table"),
+                F.lit(counts.enqueued).alias("run_enqueued"),
+                F.lit(counts.malformed).alias("run_malformed"),
+                F.col("rows_enqueued").alias("total_enqueued"),
+                "completed",
+            )
+        ).alias("payload"),
+        "source_file",
+        F.col("updated_at").alias("created_at"),
+    )
+    store.write_run(event.coalesce(1), "events", f"writer=producer/batch={number}-{state.resume_after}")
+    merged = manifest.upsert_progress(progress, update).coalesce(1)
+    store.write_snapshot(merged, "progress", version + 1)
+    return Produced(name, dataset.table, counts.enqueued, counts.malformed, completed)
+
+
 def _source_number(store: Store, source: Row) -> int:
     """The number of a source in this state (name, size, time); a new state gets a new one.
 

@@ -32,6 +32,22 @@ class Store:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def exists(self, name: str) -> bool:
+        """Whether something was written there, if only no rows."""
+        try:
+            self.spark.read.schema("id BIGINT").parquet(self.path(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
+    def clear(self, name: str) -> None:
+        """Remove all rows below a folder; the folder stays, without files to list or read."""
+        nothing = self.spark.createDataFrame([], "id BIGINT, part INT")
+        writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("part").parquet(self.path(name))
+
     def write_run(self, df: DataFrame, name: str, run: str) -> None:
         """Write one run's rows; a repeated run replaces what it wrote before."""
         df.write.mode("overwrite").parquet(f"{self.path(name)}/{run}")

@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,6 +35,8 @@ OUTCOMES = "id BIGINT, table_name STRING, outcome STRING, reason STRING, attempt
 REFUSED = "refused"
 #: What waits after a round. A row without an id marks the round, so that it shows when none does.
 WAITING = "id BIGINT, payload STRING, attempts INT, available_at TIMESTAMP"
+#: Messages that never land, kept as they came.
+REJECTED = "id BIGINT, payload STRING, outcome STRING, reason STRING"
 ROUND = "run STRING, epoch BIGINT, round INT"
 
 Writer = Callable[[DataFrame, str, str], None]
@@ -134,7 +138,10 @@ def consume(
             rows = counts[dataset.table]
             place = (run, epoch, turn)
             retry = _land_table(mine, dataset, store, place, references, rows, write)
-        except Exception as error:  # one table failing must not lose the others
+        except AnalysisException:
+            raise  # a fault of the job, not of its data or the store
+        except (PySparkException, Py4JJavaError, OSError) as error:
+            # One table failing must not lose the others.
             log.exception("landing %s failed; its messages are retried", dataset.table)
             text = f"landing error: {error}"[:MAX_ERROR_CHARS]
             retry = mine.select("id").distinct().withColumn("reason", F.lit(text))
@@ -145,6 +152,9 @@ def consume(
     retries = retry.groupBy("id").agg(F.max("attempts").alias("attempts"))
     again = parsed.select("id", "payload").join(retries, "id")
     again = again.withColumn("available_at", now + backoff(F.col("attempts")))
+    ended = written.filter(F.col("outcome").isin("permanent", "failed"))
+    rejected = parsed.select("id", "payload").join(ended, "id")
+    store.write_run(rejected.select("id", "payload", "outcome", "reason"), "rejected", here)
     mark = store.spark.createDataFrame([(None, None, None, None)], WAITING)
     later = waiting.filter(F.col("available_at") > now)
     store.write_run(mark.unionByName(again).unionByName(later), "waiting", here)
@@ -237,16 +247,53 @@ def _outcomes(done: DataFrame, name: str) -> DataFrame:
 
 def _refuse_lost_checkpoint(store: Store, run: str, epoch: int) -> None:
     """A new checkpoint counts from 0 again and would replace batches that are done."""
-    # Every batch begins with its inbox and writes what waits after it. Only the next batch's
-    # folders are listed, however many there are.
-    begun = store.read(f"inbox/run={run}/epoch={epoch + 1}", "id BIGINT, round INT, part STRING")
-    done = store.read(f"waiting/run={run}/epoch={epoch + 1}", f"{WAITING}, round INT")
-    if not (begun.isEmpty() and done.isEmpty()):
+    # Every batch begins with its inbox, which a purge empties but leaves. Only the next batch's
+    # folder is looked for, however many there are.
+    if store.exists(f"inbox/run={run}/epoch={epoch + 1}"):
         raise ValueError(
             f"run {run!r} already has batch {epoch + 1}; give a new checkpoint a new run name"
         )
 
 
+def purge(store: Store, epochs: Iterable[int], run: str = "main") -> None:
+    """Remove the payloads that finished batches of a run still hold.
+
+    Neither the last batch nor the one before may be among ``epochs``. Outcomes stay, and so do
+    messages that never landed (``rejected``).
+    """
+    for epoch in epochs:
+        for name in ("inbox", "waiting"):
+            if store.exists(folder := f"{name}/run={run}/epoch={epoch}"):
+                store.clear(folder)
+
+
+def purge_produced(spark: SparkSession, store_dir: str, run: str = "main") -> int:
+    """Remove the queued messages of producer runs that ended; returns how many runs.
+
+    A run of ``produce`` has ended when each of its messages landed, failed or was refused, in a
+    batch before the last one begun: the stream will not ask for those again. Dead letters stay.
+    """
+    store = Store(spark, store_dir)
+    outcomes = store.read("outcomes", f"{OUTCOMES}, run STRING, epoch BIGINT").filter(
+        (F.col("run") == run) & (F.col("outcome") != "retry")
+    )
+    begun = store.read(f"inbox/run={run}", "id BIGINT, epoch BIGINT, round INT, part STRING")
+    last = begun.agg(F.max("epoch")).head()[0] or 0
+    queued = store.read("produced", f"{PRODUCED}, source INT, after BIGINT").filter("NOT refused")
+    ended = outcomes.filter(F.col("epoch") < last).select("id", F.lit(1).alias("ended"))
+    runs = (
+        queued.select("id", "source", "after")
+        .join(ended.distinct(), "id", "left")
+        .groupBy("source", "after")
+        .agg(F.count_if(F.col("ended").isNull()).alias("open"))
+        .filter("open = 0")
+        .collect()  # a row per run of the producer
+    )
+    for row in runs:
+        store.clear(f"produced/source={row.source}/after={row.after}/refused=false")
+    return len(runs)
+
+
 def run_ingest(
     messages: DataFrame,
     store_dir: str,
@@ -255,12 +302,19 @@ def run_ingest(
     references: bool = True,
     write: Writer | None = None,
     as_of: Column | None = None,
+    purge_every: int = 20,
 ) -> StreamingQuery:
-    """Consume what is there now, batch by batch, and stop; ``drain`` retries what waits then."""
+    """Consume what is there now, batch by batch, and stop; ``drain`` retries what waits then.
+
+    Every ``purge_every`` batches (0: never) the payloads of the batches before are removed.
+    """
     store = Store(messages.sparkSession, store_dir)
 
     def each(batch: DataFrame, epoch: int) -> None:
         consume(batch, epoch, store, run, references, write, as_of)
+        if purge_every and epoch % purge_every == 0:
+            # The last two batches stay: one may be repeated, and needs what waits after the other.
+            purge(store, range(max(0, epoch - 1 - purge_every), epoch - 1), run)
 
     return (
         messages.writeStream.foreachBatch(each)

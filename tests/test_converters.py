@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.converters import CONVERTERS, Raw
 from marquee.functions.json import COMPACT
-from marquee.operators.normalize import accepted_messages, classify, normalize_messages
+from marquee.operators.normalize import LARGE_BYTES, accepted_messages, classify, normalize_messages
 from marquee.operators.relational import json_contains
 from marquee.schemas import DATASETS
 
@@ -157,3 +157,10 @@ def test_json_containment(spark):
     assert hits({"t": ["y", "x"], "s": "v"}) == [0]
     assert hits({}) == [0, 1, 2, 5]
     assert hits({"s": None}) == []
+
+
+def test_large_payloads_have_a_reason_of_their_own(spark):
+    broken = "{" + " " * LARGE_BYTES
+    good = '{"table":"title_crew","data":{"tconst":"tt1"' + " " * LARGE_BYTES + "}}"
+    out = messages(spark, broken, good).orderBy("id").select("reason").collect()
+    assert [r.reason for r in out] == ["payload is too large for the parser, or not JSON", None]

@@ -336,6 +336,110 @@ def test_broken_off_batch_goes_first(spark, tmp_path):
         stream.retry_due(spark, store.root)
 
 
+def test_production_pauses_at_high_water_and_resumes_at_low(spark, dumps, tmp_path):
+    root, store = str(tmp_path / "store"), Store(spark, str(tmp_path / "store"))
+    marks = ingest.Marks(3, 0)
+    shape = lambda runs: [(r.table, r.enqueued, r.completed) for r in runs]
+    assert shape(ingest.produce(spark, dumps, root, NOW, marks=marks)) == [("title_basics", 3, False)]
+    assert ingest.in_flight(store) == 3
+    assert ingest.produce(spark, dumps, root, NOW, marks=marks) == []
+    consume_all(spark, root, tmp_path)
+    assert ingest.in_flight(store) == 0
+    assert shape(ingest.produce(spark, dumps, root, NOW, marks=marks)) == [
+        ("title_basics", 1, True), ("title_ratings", 2, True)
+    ]
+    write(dumps, "title.episode.tsv", EPISODES)
+    assert ingest.produce(spark, dumps, root, NOW, marks=marks) == []
+    consume_all(spark, root, tmp_path)
+    assert ingest.in_flight(store) == 1  # the orphan waits
+    assert ingest.produce(spark, dumps, root, NOW, marks=marks) == []  # below high, not yet at low
+    assert shape(ingest.produce(spark, dumps, root, NOW, marks=ingest.Marks(3, 1))) == [
+        ("title_episode", 1, True)
+    ]
+    with pytest.raises(ValueError, match="low water"):
+        ingest.Marks(3, 3)
+
+
+def test_production_waits_for_the_consumer(spark, dumps, tmp_path):
+    root, waits = str(tmp_path / "store"), []
+
+    def wait():
+        waits.append(ingest.in_flight(Store(spark, root)))
+        consume_all(spark, root, tmp_path)
+
+    options = {"marks": ingest.Marks(2, 0), "wait": wait, "selectors": ["title_basics"]}
+    runs = ingest.produce(spark, dumps, root, NOW, **options)
+    assert [(r.enqueued, r.malformed, r.completed) for r in runs] == [(2, 0, False), (2, 3, True)]
+    assert waits == [2]
+    assert len(queued(spark, root)) == 4
+
+
+def test_watching_with_marks_waits(spark, dumps, tmp_path):
+    root = str(tmp_path / "store")
+    wait = lambda: consume_all(spark, root, tmp_path, references=False)
+    run_produce(
+        spark, dumps, root, str(tmp_path / "cp"), wait=wait, marks=ingest.Marks(2, 1)
+    ).awaitTermination()
+    assert len(queued(spark, root)) == 6
+
+
+def test_purge_keeps_what_is_needed(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    bad = {"table": "x"}
+    for epoch in range(4):
+        batch = batch_of(spark, rating(f"tt{epoch}", 1), bad)
+        stream.consume(batch, epoch, store, references=False)
+    stream.purge(store, range(0, 2))
+    inbox = store.read("inbox", "id BIGINT, run STRING, epoch BIGINT, round INT, part STRING")
+    assert sorted({r.epoch for r in inbox.collect()}) == [2, 3]
+    stream.consume(batch, 3, store, references=False)  # the last batch can still be repeated
+    assert stream.table(spark, store.root, "title_ratings").count() == 4
+    assert len(outcomes(spark, store.root)) == 8
+    rejected = store.read("rejected", stream.REJECTED).collect()
+    assert [(json.loads(r.payload), r.outcome) for r in rejected] == [(bad, "permanent")] * 4
+    with pytest.raises(ValueError, match="new checkpoint"):
+        stream.consume(batch, 0, store, references=False)
+    assert stream.retry_due(spark, store.root) is None
+
+
+def test_stream_purges_as_it_goes(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "store")
+    for part in range(5):
+        batch_of(spark, rating(f"tt{part}", 1)).coalesce(1).write.mode("append").parquet(folder)
+    messages = spark.readStream.schema("id BIGINT, payload STRING").option("maxFilesPerTrigger", 1).parquet(folder)
+    query = stream.run_ingest(messages, root, str(tmp_path / "cp"), references=False, purge_every=2)
+    query.awaitTermination()
+    assert stream.table(spark, root, "title_ratings").count() == 5
+    inbox = Store(spark, root).read("inbox", "id BIGINT, epoch BIGINT, round INT, part STRING")
+    assert {r.epoch for r in inbox.collect()} == {3, 4}
+
+
+def test_ended_producer_runs_are_purged(spark, dumps, tmp_path):
+    root = str(tmp_path / "store")
+    ingest.produce(spark, dumps, root, NOW)
+    consume_all(spark, root, tmp_path)
+    assert stream.purge_produced(spark, root) == 0  # the last batch may be repeated
+    write(dumps, "title.episode.tsv", EPISODES)
+    ingest.produce(spark, dumps, root, NOW)
+    consume_all(spark, root, tmp_path, as_of=F.lit(NOW))  # the orphan is not due
+    dead = ingest.dead_letter_log(Store(spark, root)).count()
+    assert stream.purge_produced(spark, root) == 1
+    assert sorted({table for table, _ in queued(spark, root)}) == ["title_episode", "title_ratings"]
+    assert ingest.dead_letter_log(Store(spark, root)).count() == dead
+    write(dumps, "title.crew.tsv", ["tconst\tdirectors\twriters", "tt1\tnm1\t\\N"])
+    ingest.produce(spark, dumps, root, NOW)
+    consume_all(spark, root, tmp_path)
+    assert stream.table(spark, root, "title_crew").count() == 1
+
+
+def test_faults_of_the_job_are_raised(spark, tmp_path):
+    def wrong(df, name, run):
+        raise TypeError("no such argument")
+
+    with pytest.raises(TypeError):
+        stream.consume(batch_of(spark, rating("tt1", 1)), 0, Store(spark, str(tmp_path)), references=False, write=wrong)
+
+
 def test_streaming_lands_what_one_batch_would(spark, tmp_path):
     folder = str(tmp_path / "in")
     for part in range(4):

@@ -389,3 +389,15 @@ def test_threshold_spares_the_good_held_out(spark):
     assert bad.agg(F.avg(F.col("kept").cast("int"))).head()[0] < 0.6
     none = quality.judge(docs, labels.limit(0))
     assert none.filter("kept = base_failed").isEmpty()
+
+
+def test_most_bad_rows_that_pass_the_base_rules_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    learn, held = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
+    judged = quality.judge(docs, learn).filter("NOT base_failed").select("doc_id", "kept")
+    shares = held.join(judged, "doc_id").agg(
+        F.expr("avg(int(NOT kept)) FILTER (WHERE quality = 0)").alias("bad"),
+        F.expr("avg(int(NOT kept)) FILTER (WHERE quality = 1 AND toxic = 0)").alias("good"),
+    ).head()
+    assert shares.bad > 0.5 and shares.good < 0.01, shares

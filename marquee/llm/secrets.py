@@ -23,25 +23,29 @@ BASE = (
     Kind("access", "AKIA[A-Z0-9]{16}", "AKIA[A-Z0-9]{16,}"),
     Kind("hex", "[0-9a-f]{24}", "[0-9a-f]{24,}"),
 )
+#: A name may follow others, as in DB_USER and dbUser.
+_BEFORE = r"(?<![A-Za-z0-9_])(?:[A-Za-z0-9_]*(?:_|(?-i:[a-z0-9](?=[A-Z]))))?"
+_SIGN = r"[\"']?\x20*[:=]\x20*[\"']?"
 #: Weak candidates alone mean nothing: names of accounts, mixed tokens, addresses of services.
 WEAK = (
     Kind(
         "linked_id",
         "(?i)access|client|account|user|login",
-        r"(?i)\b(?:access_?key(?:_?id)?|client_?id|account(?:_?id)?|user(?:_?name)?|login)"
-        r"[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,64}",
+        rf"(?i){_BEFORE}(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|account(?:[_-]?id)?"
+        rf"|user(?:[_-]?name)?|login){_SIGN}[A-Za-z0-9_.@-]{{3,}}",
     ),
     Kind(
         "linked_secret",
         "[A-Za-z0-9+/_-]{20}",
-        r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,}={0,2}",
+        r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}",
         "x.m rlike '[0-9]' AND x.m rlike '[A-Z]' AND x.m rlike '[a-z]'",
     ),
     Kind(
         "linked_endpoint",
         "://|(?i)host|endpoint|server",
         r"(?i)(?:(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*+://[^\x20\x09-\x0D\"'<>]+"
-        r"|\b(?:host(?:name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9.-]+(?::[0-9]+)?)",
+        rf"|{_BEFORE}(?:host(?:name)?|endpoint|server){_SIGN}"
+        r"(?![a-z][a-z0-9+.-]*+://)[a-z0-9.-]+(?::[0-9]+)?)",
     ),
 )
 KINDS = [k.name for k in (*BASE, *WEAK)]
@@ -57,9 +61,11 @@ def _role() -> Column:
     return F.element_at(names, F.col("span.ord") + 1)
 
 
-def _near(parts: DataFrame, others: DataFrame, scope: int) -> DataFrame:
+def _near(parts: DataFrame, others: DataFrame, scope: int, disjoint: bool) -> DataFrame:
     """Those of ``parts`` with one of ``others`` at most ``scope`` characters away.
 
+    ``disjoint``: an overlapping one does not count.
+
     An interval join: both sides stand in the cells of ``scope`` characters they touch, the
     parts widened by the scope, and meet by document and cell. It is a semi join, so that no
     pairs are made however many parts a document holds.
@@ -82,6 +88,8 @@ def _near(parts: DataFrame, others: DataFrame, scope: int) -> DataFrame:
         & (F.col("first") <= F.col("span.end") + scope)
         & (F.col("last") >= F.col("span.start") - scope)
     )
+    if disjoint:
+        meets &= (F.col("first") >= F.col("span.end")) | (F.col("last") <= F.col("span.start"))
     return wide.join(there, meets, "left_semi").drop("cell").distinct()
 
 
@@ -117,7 +125,10 @@ def scan(docs: DataFrame, scope: int = 400) -> DataFrame:
     for role, needs in NEEDS.items():
         own = parts.filter((F.col("role") == role) & (F.col("span.ord") >= len(BASE)))
         for need in needs:
-            own = _near(own, parts.filter(F.col("role") == need), scope)
+            # The value of ``login=`` may look like a secret, but is no second part to itself; an
+            # address may hold both parts.
+            others = parts.filter(F.col("role") == need)
+            own = _near(own, others, scope, disjoint=role != "endpoint")
         linked = own if linked is None else linked.unionByName(own)
     by_row = linked.groupBy("d", "t").agg(F.collect_set("span").alias("linked"))
     return seen.join(by_row, ["d", "t"], "left").select(

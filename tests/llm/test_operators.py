@@ -141,6 +141,38 @@ def test_weak_candidates_need_their_parts(spark):
         assert all(texts[r.doc_id][s.start : s.end] == s.m for s in r.linked)
 
 
+def test_parts_in_assignments_are_linked(spark):
+    key, long = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "g1" * 50
+    texts = {
+        "env": f"AWS_ACCESS_KEY_ID=ASIAIOSFODNN7EXAMPLE\nAWS_SECRET_ACCESS_KEY={key}\n",
+        "host": "DB_HOST=db.example.com:5432\nDB_USER=admin\nDB_PASSWORD=hunter22\n",
+        "ini": f"[default]\naws_access_key_id = ASIAIOSFODNN7EXAMPLE\naws_secret_access_key = {key}",
+        "json": f'{{"dbUser": "admin", "dbHost": "db.example.com", "key": "{key}"}}',
+        "long": f"CLIENT_ID={long}\nKEY={key}",
+        "url": f"DB_HOST=https://db.example.com/x USER=admin KEY={key}",
+        "self": "login=aZ3bcdefghijklmnopqrstu9",
+        "other": f"superuser=admin {key}",
+    }
+    rows = list(enumerate(texts.values()))
+    found = {r.doc_id: r.linked for r in secrets.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    got = {
+        name: sorted((secrets.KINDS[s.ord].removeprefix("linked_"), s.m) for s in found[i])
+        for i, name in enumerate(texts)
+    }
+    assert got == {
+        "env": [("id", "AWS_ACCESS_KEY_ID=ASIAIOSFODNN7EXAMPLE"), ("secret", key)],
+        "host": [("endpoint", "DB_HOST=db.example.com:5432"), ("id", "DB_USER=admin")],
+        "ini": [("id", "aws_access_key_id = ASIAIOSFODNN7EXAMPLE"), ("secret", key)],
+        "json": [
+            ("endpoint", 'dbHost": "db.example.com'), ("id", 'dbUser": "admin'), ("secret", key)
+        ],
+        "long": [("id", f"CLIENT_ID={long}"), ("secret", key)],
+        "url": [("endpoint", "https://db.example.com/x"), ("id", "USER=admin"), ("secret", key)],
+        "self": [],
+        "other": [],
+    }
+
+
 def test_many_parts_in_one_document_make_no_pairs(spark):
     text = " ".join(f"login=user{i} aZ3bcdefghijklmnopqrst{i:05d}" for i in range(2000))
     row = secrets.scan(spark.createDataFrame([(1, text)], DOCS)).head()

@@ -64,14 +64,15 @@ def _with_context(spans: str) -> str:
 
 
 def _bootstrap(
-    graph: DataFrame, rounds: int, support: int, precision: float, confidence: float
+    graph: DataFrame, support: int, precision: float, confidence: float
 ) -> DataFrame:
     """(instance, kind) found by patterns, from ``graph`` (context, instance, kind or null).
 
     A round scores every context for every kind by the share of its instances that are known to
     be of it, takes those with ``support`` known instances and ``precision``, and scores unknown
     instances by the chance that not all their accepted contexts err. The best kind with
-    ``confidence`` makes an instance known to the next round. The graph's edges are distinct, so
+    ``confidence`` makes an instance known to the next round. Rounds go on until one finds nothing
+    new; each adds an instance that was unknown, so they end. The graph's edges are distinct, so
     a word pair before a third of all identifiers is folded before it is counted.
     """
     edges = graph.select("context", "instance").distinct()
@@ -79,7 +80,7 @@ def _bootstrap(
         graph.filter("kind IS NOT NULL").select("instance", "kind").distinct(), "known"
     )
     seeds, sizes = known, edges.groupBy("context").agg(F.count("*").alias("total"))
-    for _ in range(rounds):
+    while True:
         patterns = (
             edges.join(known, "instance")
             .groupBy("context", "kind")
@@ -108,7 +109,6 @@ def _bootstrap(
 
 def scan(
     docs: DataFrame,
-    rounds: int = 2,
     support: int = 3,
     precision: float = 0.6,
     confidence: float = 0.8,
@@ -150,7 +150,7 @@ def scan(
     marks = seen.filter("size(marks) > 0").select("d", "t", F.explode("marks").alias("mark"))
     marks = marks.select("d", "t", "mark.*").filter("context <> ''").distinct()
     marks = written(marks.withColumn("kind", F.expr(f"IF(ord < {len(BASE)}, ord, NULL)")), "marks")
-    names = _bootstrap(marks, rounds, support, precision, confidence)
+    names = _bootstrap(marks, support, precision, confidence)
     discovered = (
         marks.filter("kind IS NULL")
         .drop("kind")

@@ -397,6 +397,20 @@ def test_contexts_discover_identifiers(spark, docs):
     assert names(341) == []
 
 
+def test_contexts_are_followed_to_the_end(spark):
+    # Past the first hop, seeds are too few for support without the instances of the hop before.
+    hops = 5
+    texts = [f"before hop0 seed{i}@mail.example.com" for i in range(6)]
+    texts += [f"before hop{k} seed{i}at{k}@ex.org" for k in range(1, hops) for i in range(2)]
+    for k in range(hops):
+        for i in range(3):
+            texts += [f"before hop{k} id{k}x{i}12345", f"before hop{k + 1} id{k}x{i}12345"]
+    rows = personal.scan(spark.createDataFrame(list(enumerate(texts)), DOCS), confidence=0.5)
+    found = {r.doc_id for r in rows.collect() if r.discovered}
+    unseen = {i for i, text in enumerate(texts) if "@" not in text}
+    assert found == unseen
+
+
 # --- quality ---
 
 

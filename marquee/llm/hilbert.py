@@ -66,19 +66,26 @@ def _cells(docs: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column
 
 
 def assign_shards(
-    docs: DataFrame, dimensions: Sequence[str], shards: int, bits: int = 6, keys: Sequence[str] = ()
+    docs: DataFrame,
+    dimensions: Sequence[str],
+    shards: int,
+    bits: int = 6,
+    keys: Sequence[str] = (),
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """``keys`` of all rows with their curve position, shard (0 to shards - 1) and slot in it.
 
+    ``carried``: further columns, which take no part in the order.
+
     Rows are sorted by curve position, then by ``keys``, and cut into runs whose lengths differ
-    by one at most. Only keys and positions are shuffled. A null dimension counts as 0; rows
+    by one at most. Only keys, positions and what is carried are shuffled. A null dimension counts as 0; rows
     that agree in all keys are interchangeable; an empty table gives no rows. Sorted partitions
     number their rows, and running sums over the written partitions make the numbers global.
     """
     axes = ", ".join(f"a{i}" for i in range(len(dimensions)))
     curve = hilbert_index(f"array({axes})", len(dimensions), bits)
     cells = [c.alias(f"a{i}") for i, c in enumerate(_cells(docs, dimensions, bits))]
-    kept = F.struct(*keys).alias("own")
+    kept = F.struct(*keys, *carried).alias("own")
     placed = docs.select(kept, *cells).select("own", curve.alias("curve"))
     order = ["curve", *(f"own.{k}" for k in keys)]
     ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -87,6 +94,7 @@ def assign_shards(
             {"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}
         ).withColumn("row", F.col("row").bitwiseAND((1 << 33) - 1)),
         "curve",
+        compression="zstd",
     )
     totals = numbered.groupBy("part").agg(F.count("*").alias("total"))
     based = running_base(totals, "part", "total", "base")  # as many rows as partitions
@@ -107,12 +115,41 @@ def assign_shards(
     )
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, key: str, folder: str) -> None:
-    """Write whole rows as one folder a shard, in slot order; ``key`` must be unique in both."""
-    (
-        docs.join(assigned.select(key, "shard", "slot"), key)
-        .repartitionByRange("shard", "slot")
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
-        .parquet(folder)
+def _write(placed: DataFrame, folder: str) -> None:
+    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(
+        folder, compression="zstd"
     )
+
+
+def cut_shards(
+    docs: DataFrame,
+    dimensions: Sequence[str],
+    shards: int,
+    folder: str,
+    bits: int = 6,
+    keys: Sequence[str] = (),
+    row: str = "row",
+) -> DataFrame:
+    """Write the struct column ``row`` of all rows as one folder a shard; the files, to be read.
+
+    They hold ``row``, curve_position and slot, each file in slot order. Rows travel with their
+    positions, so nulls and repeated rows are rows like others.
+    """
+    assigned = assign_shards(docs, dimensions, shards, bits, keys, carried=[row])
+    placed = assigned.select(row, "curve_position", "slot", "shard")
+    _write(placed, folder)
+    return docs.sparkSession.read.schema(placed.schema).parquet(folder)
+
+
+def write_shards(docs: DataFrame, assigned: DataFrame, key: str, folder: str) -> None:
+    """Write whole rows as one folder a shard, in slot order, by a ``key`` of both tables.
+
+    Null is a key. A repeated key does not tell which row is meant and is refused; ``cut_shards``
+    needs no key.
+    """
+    again = assigned.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    if not again.isEmpty():
+        raise ValueError(f"{key} is not unique; use cut_shards")
+    places = assigned.select(F.col(key).alias("its_key"), "shard", "slot")
+    joined = docs.join(places, F.col(key).eqNullSafe(F.col("its_key"))).drop("its_key")
+    _write(joined.repartitionByRange("shard", "slot"), folder)

@@ -52,18 +52,19 @@ SHARDS = 24
 
 
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        "n_chars",
-        "lang",
-        "source",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
-    )
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)) + 8
+    digest = [
+        F.col("row.doc_id").alias("doc_id"),
+        size.cast("long").alias("size"),
+        F.crc32(F.coalesce("row.text", F.lit("")).cast("binary")).alias("text_crc32"),
+    ]
+    dimensions = ["n_chars", "lang", "source"]
+    rows = table(spark, sf_dir, "documents").select(F.struct("*").alias("row"))
+    docs = rows.select("row", *digest, *(F.col(f"row.{d}").alias(d) for d in dimensions))
+    folder = shared_dir(spark, "shards")
     keys = ["doc_id", "size", "text_crc32"]
-    assigned = hilbert.assign_shards(docs, ["n_chars", "lang", "source"], SHARDS, keys=keys)
-    return assigned.select(
-        *keys,
+    return hilbert.cut_shards(docs, dimensions, SHARDS, folder, keys=keys).select(
+        *digest,
         F.lit("rows").alias("law"),
         "shard",
         "slot",

@@ -20,6 +20,7 @@ from marquee.llm import (
     packing,
     personal,
     quality,
+    queries,
     secrets,
     simhash,
     token_records,
@@ -110,6 +111,39 @@ def test_shards_are_written_and_prune(spark):
     assert spans.agg(F.avg(F.col("x") * F.col("y"))).head()[0] < 0.25 * 49 * 39
 
 
+def test_shards_hold_null_and_repeated_ids(spark):
+    ids = [None, None, 1, 1, 1, *range(2, 300)]
+    data = [(d, i % 7 if d != 1 else 3, f"t{i % 9}") for i, d in enumerate(ids)]
+    data += data[-2:]
+    rows = spark.createDataFrame(data, "doc_id long, x long, text string")
+    docs = rows.select(F.struct("*").alias("row"), "*")
+    folder = shared_dir(spark, "shards")
+    hilbert.cut_shards(docs, ["x"], 4, folder, keys=["doc_id"])
+    back = spark.read.parquet(folder)
+    assert Counter(map(tuple, back.select("row.*").collect())) == Counter(data)
+    for s, own in back.groupBy("shard").agg(F.sort_array(F.collect_list("slot"))).collect():
+        assert own == list(range(len(own))) and len(own) in (76, 77)
+    assigned = hilbert.assign_shards(rows, ["x"], 4, keys=["doc_id"])
+    with pytest.raises(ValueError, match="not unique"):
+        hilbert.write_shards(rows, assigned, "doc_id", shared_dir(spark, "shards"))
+    few = rows.filter("doc_id > 1 AND doc_id < 20").unionByName(rows.limit(1))
+    assigned = hilbert.assign_shards(few, ["x"], 4, keys=["doc_id"])
+    hilbert.write_shards(few, assigned, "doc_id", folder := shared_dir(spark, "shards"))
+    kept = spark.read.parquet(folder).select("doc_id", "x", "text").collect()
+    assert Counter(map(tuple, kept)) == Counter(map(tuple, few.collect()))
+
+
+def test_op2_writes_whole_rows(spark, odd, monkeypatch):
+    folders = []
+    whole = lambda s, n: folders.append(shared_dir(s, n)) or folders[-1]
+    monkeypatch.setattr("marquee.llm.queries.shared_dir", whole)
+    queries.op2_hilbert_shards(spark, odd[0])
+    docs = spark.read.parquet(f"{odd[0]}/documents.parquet")
+    back = spark.read.parquet(folders[0]).select("row.*")
+    assert back.columns == docs.columns
+    assert back.exceptAll(docs).isEmpty() and docs.exceptAll(back).isEmpty()
+
+
 # --- secrets ---
 
 

@@ -8,7 +8,9 @@ import types
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +67,22 @@ def running_base(totals: DataFrame, part: str, total: str, base: str) -> DataFra
     )
 
 
+def table_of_bits(hashes: DataFrame, column: str, bits: int) -> Broadcast[bytes]:
+    """A broadcast table of 2 ** ``bits`` bits, those set that the top bits of a hash name.
+
+    Its size is fixed: the driver receives at most a word of 64 bits for each 64 of the table.
+    """
+    place = F.shiftrightunsigned(F.col(column), 64 - bits)
+    words = (
+        hashes.groupBy(F.shiftright(place, 6).cast("int").alias("at"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned({column}, {64 - bits}) & 63))")).alias("word"))
+    )
+    table = np.zeros(1 << (bits - 6), dtype="<i8")
+    for batch in words.toArrow().to_batches():
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return hashes.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
 def memo() -> dict[str, Any]:
     """A dictionary that lives as long as the Python worker, for loaded files and caches.
 

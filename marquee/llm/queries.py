@@ -13,8 +13,11 @@ from marquee.llm import (
     hilbert,
     line_dedup,
     packing,
+    periodic,
     personal,
+    phrases,
     quality,
+    radix,
     secrets,
     simhash,
     token_records,
@@ -167,6 +170,56 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_radix_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = {"text_sha256": F.sha2(radix.normalised(), 256)}
+    found = radix.exact_copies(_documents(spark, sf_dir), digest)
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+#: The contract's change of texts: of every tenth document, what follows word ``a`` repeats.
+#: ``array(x)`` binds x once; a column named in a lambda would be worked out for each word.
+PLANTED = r"""
+IF(crc32(cast(cast(doc_id AS string) AS binary)) % 10 = 0,
+   transform(
+     array(struct(
+       filter(split(text, '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
+       crc32(cast(cast(doc_id AS string) AS binary)) div 10 AS g)),
+     x -> IF(size(x.words) = 0, '', array_join(transform(
+       array(struct(
+         x.words AS words,
+         cast(x.g % size(x.words) AS int) AS a,
+         1 + cast((size(x.words) - x.g % size(x.words)) div (3 + x.g % 8) AS int) AS p)),
+       y -> array_join(transform(y.words, (w, i) ->
+         IF(i < y.a, w, y.words[y.a + (i - y.a) % y.p])), ' ')), '')))[0],
+   text)"""
+
+#: The run of the greatest exact length / period; runs are in the order that settles ties.
+BEST = """
+IF(size(runs) = 0, NULL, aggregate(runs, runs[0], (best, x) ->
+  IF(x.length * best.period > best.length * x.period, x, best)))"""
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).withColumn("text", F.expr(PLANTED))
+    found = periodic.periodic_runs(docs, min_length=24).withColumn("best", F.expr(BEST))
+    lines = "transform(runs, x -> concat(x.start, ',', x.length, ',', x.period, '\n'))"
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(f"array_join({lines}, '')"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(docs, max_words=3, min_count=10, cover=50, top=2000)
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -181,6 +234,9 @@ def queries() -> dict[str, Query]:
             op8_decontaminate,
             op9_personal,
             op10_quality,
+            op11_radix_copies,
+            op12_periodic_runs,
+            op13_phrases,
         )
     }
 
@@ -204,5 +260,71 @@ FROM keyed GROUP BY doc_id
 """
 
 
+OP11_SQL = """
+WITH plain AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS body
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY body) AS keep_id,
+       count(*) OVER (PARTITION BY body) AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(body) AS text_sha256
+FROM plain
+"""
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, row_number() OVER () AS row,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS piece_no, piece FROM pieces),
+words AS (
+  SELECT lang, piece_no,
+         unnest(list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '')) AS w1,
+         generate_subscripts(list_filter(string_split_regex(piece, '[\x20\x09]+'),
+                             lambda w: w <> ''), 1) AS pos
+  FROM numbered),
+windows AS (
+  SELECT lang, w1, lead(w1, 1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3
+  FROM words WINDOW piece AS (PARTITION BY piece_no ORDER BY pos)),
+total AS (SELECT lang, count(*) AS n FROM windows GROUP BY lang),
+one AS (SELECT lang, w1, count(*) AS f FROM windows GROUP BY ALL),
+two AS (SELECT lang, w1, w2, count(*) AS f FROM windows WHERE w2 IS NOT NULL GROUP BY ALL),
+three AS (
+  SELECT lang, w1, w2, w3, count(*) AS f FROM windows
+  WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+pair AS (
+  SELECT two.lang, two.w1 || ' ' || two.w2 AS phrase, two.f AS a, x.f AS l, y.f AS r
+  FROM two JOIN one x ON x.lang = two.lang AND x.w1 = two.w1
+           JOIN one y ON y.lang = two.lang AND y.w1 = two.w2
+  WHERE two.f >= 10
+    AND NOT EXISTS (SELECT 1 FROM three t WHERE t.lang = two.lang AND t.w1 = two.w1
+                    AND t.w2 = two.w2 AND 100 * t.f >= 50 * two.f)
+    AND NOT EXISTS (SELECT 1 FROM three t WHERE t.lang = two.lang AND t.w2 = two.w1
+                    AND t.w3 = two.w2 AND 100 * t.f >= 50 * two.f)),
+cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a,
+         x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2
+  FROM three t
+  JOIN one x ON x.lang = t.lang AND x.w1 = t.w1
+  JOIN two yz ON yz.lang = t.lang AND yz.w1 = t.w2 AND yz.w2 = t.w3
+  JOIN two xy ON xy.lang = t.lang AND xy.w1 = t.w1 AND xy.w2 = t.w2
+  JOIN one z ON z.lang = t.lang AND z.w1 = t.w3),
+scored AS (
+  SELECT lang, phrase, a, l, r, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM pair
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END,
+         CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+  FROM (SELECT *, (1000000::HUGEINT * a * a) // (l1::HUGEINT * r1) AS s1,
+               (1000000::HUGEINT * a * a) // (l2::HUGEINT * r2) AS s2 FROM cuts)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM scored)
+SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": OP7_SQL}
+    return {"op7_line_dedup": OP7_SQL, "op11_radix_copies": OP11_SQL, "op13_phrases": OP13_SQL}

@@ -129,27 +129,48 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def found(text: str, pattern: str) -> str:
-    """SQL for array<struct<start, end, m>>: matches of ``pattern`` in column ``text``.
+def found(text: str, pattern: str, shown: str, kind: str) -> str:
+    """SQL for an array of ``kind``: what ``shown`` makes of each match of ``pattern`` in ``text``.
 
-    Leftmost, not overlapping; code points from 0, end exclusive. The text between the matches
-    gives the positions, so a match must not be empty.
+    Matches are leftmost and do not overlap. ``shown`` sees start and end (code points from 0, end
+    exclusive), m, and the texts before and after, up to the third match of ``pattern`` to that
+    side. The text between the matches gives the positions, so a match must not be empty.
+
+    An array grows by copies, so positions are added up in blocks of about the root of the
+    number of matches, first over the blocks, then within each.
     """
     quoted = "r'" + pattern.replace("'", r"\x27") + "'"
-    return f"""aggregate(
-        zip_with(
-            regexp_extract_all({text}, {quoted}, 0), split({text}, {quoted}, -1),
-            (m, gap) -> struct(m, char_length(gap) AS gap)),
-        struct(0 AS at, array_repeat(struct(0 AS start, 0 AS end, '' AS m), 0) AS spans),
-        (done, x) -> IF(x.m IS NULL, done, struct(
-            done.at + x.gap + char_length(x.m) AS at,
-            concat(done.spans, array(struct(
-                done.at + x.gap AS start, done.at + x.gap + char_length(x.m) AS end, x.m AS m)))
-            AS spans)),
-        done -> done.spans)"""
-
-
-def found_if(text: str, pattern: str, hint: str, keep: str = "true") -> str:
+    block = "sequence(b * z.block, least((b + 1) * z.block, size(z.ms)) - 1)"
+    width = "char_length(z.gaps[i]) + char_length(z.ms[i])"
+    left = [f"coalesce(get(z.gaps, i - {k}), ''), coalesce(get(z.ms, i - {k}), '')" for k in (2, 1)]
+    right = [f"get(z.ms, i + {k}), get(z.gaps, i + {k + 1})" for k in (1, 2)]
+    for name, sql in {
+        "x.start": "(done.at + char_length(z.gaps[i]))",
+        "x.end": f"(done.at + {width})",
+        "x.before": f"concat({', '.join(left)}, z.gaps[i])",
+        "x.after": f"concat_ws('', z.gaps[i + 1], {', '.join(right)})",
+        "x.m": "z.ms[i]",
+    }.items():
+        shown = shown.replace(name, sql)
+    nothing = f"from_json('[]', 'array<{kind}>')"
+    blocks = "sequence(0, (size(z.ms) - 1) div z.block)"
+    return f"""flatten(transform(
+      transform(
+        array(struct(regexp_extract_all({text}, {quoted}, 0) AS ms, split({text}, {quoted}, -1) AS gaps)),
+        z -> struct(z.ms AS ms, z.gaps AS gaps, int(ceil(sqrt(greatest(size(z.ms), 1)))) AS block)),
+      z -> IF(size(z.ms) = 0, {nothing}, flatten(zip_with(
+        {blocks},
+        aggregate({blocks}, struct(0 AS at, array_repeat(0, 0) AS all),
+          (sum, b) -> struct(
+            sum.at + aggregate({block}, 0, (w, i) -> w + {width}) AS at,
+            concat(sum.all, array(sum.at)) AS all),
+          sum -> sum.all),
+        (b, at) -> aggregate({block}, struct(at AS at, {nothing} AS found),
+          (done, i) -> struct(done.at + {width} AS at, concat(done.found, array({shown})) AS found),
+          done -> done.found))))))"""
+
+
+def found_if(text: str, pattern: str, hint: str, shown: str, kind: str, keep: str = "true") -> str:
     """``found`` for texts that match the cheap ``hint``; else empty. ``keep``: on each x."""
-    return f"""filter(IF({text} rlike r'{hint}', {found(text, pattern)},
-        array_repeat(struct(0 AS start, 0 AS end, '' AS m), 0)), x -> {keep})"""
+    return f"""filter(IF({text} rlike r'{hint}', {found(text, pattern, shown, kind)},
+        from_json('[]', 'array<{kind}>')), x -> {keep})"""

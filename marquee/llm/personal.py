@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import BLANK, with_row_key, written
-from marquee.llm.spans import Kind, all_spans, overlaps
+from marquee.llm.spans import Kind, all_spans, apart
 
 _DIGITS = "regexp_replace(x.m, '[^0-9]', '')"
 _LUHN = f"""aggregate(sequence(1, char_length({_DIGITS})), 0, (s, i) -> s +
@@ -40,49 +40,69 @@ BASE = (
         f"char_length({_DIGITS}) BETWEEN 9 AND 15",
     ),
 )
-#: What may be an identifier: a run of 8 to 64 characters with five digits or more.
-CANDIDATE = Kind(
-    "candidate",
-    "[0-9][A-Za-z0-9@._%+-]{4}",
-    r"(?<![A-Za-z0-9@._%+-])[A-Za-z0-9@._%+-]{8,64}+(?![A-Za-z0-9@._%+-])",
-    f"char_length({_DIGITS}) >= 5",
+_SIGN = "A-Za-z0-9@._%+()/-"
+#: What may be an identifier: words that hold a digit, or a point, low line or @ between letters,
+#: of any length, each alone and as many as stand in a row, one blank between them.
+_PART = rf"(?=[A-Za-z@._%+()/-]*+[0-9]|[A-Za-z0-9]++[._@][A-Za-z0-9])[A-Za-z0-9+(](?:[{_SIGN}]*[A-Za-z0-9)])?"
+_HINT = "[0-9]|[A-Za-z0-9][._@][A-Za-z0-9]"
+CANDIDATES = (
+    Kind("row", _HINT, rf"(?<![{_SIGN}]){_PART}(?:\x20{_PART})++"),
+    Kind("word", _HINT, rf"(?<![{_SIGN}]){_PART}"),
 )
 KINDS = [k.name for k in BASE] + [f"context_{k.name}" for k in BASE]
-CONTEXT_CHARS = 48
+#: How many words to a side make a context.
+CONTEXT_WORDS = 3
 
+_WORD = BLANK.replace("[", "[^") + "++"
+_MORE = rf"(?:{BLANK}++{_WORD}){{0,{CONTEXT_WORDS - 1}}}"
+#: The words next to a match, no further than the third match of its kind, joined by \x20.
+#: Words are entered at their start only, or a long one would take quadratic time.
+_BEFORE = rf"regexp_extract(x.before, r'((?<!{BLANK.replace('[', '[^')}){_WORD}{_MORE}){BLANK}*+$', 1)"
+_AFTER = rf"regexp_extract(x.after, r'^{BLANK}*+({_WORD}{_MORE})', 1)"
+_CONTEXTS = (
+    f", lower(regexp_replace({_BEFORE}, r'{BLANK}+', ' ')) AS left"
+    f", lower(regexp_replace({_AFTER}, r'{BLANK}+', ' ')) AS right"
+)
+
+
+def _contexts() -> Column:
+    """(near, context) pairs of a mark: its one, two and three words to the left and right.
+
+    ``near`` names the side and its nearest word: contexts that share it say one thing, not three.
+    """
+    sides = []
+    for side, nearest in (("left", -1), ("right", 1)):
+        words = f"split({side}, ' ')"
+        part = f"slice({words}, -k, k)" if side == "left" else f"slice({words}, 1, k)"
+        sides.append(
+            f"""IF({side} = '', {_NO_CONTEXTS}, transform(sequence(1, size({words})), k -> struct(
+                concat('{side} ', element_at({words}, {nearest})) AS near,
+                concat('{side} ', array_join({part}, ' ')) AS context)))"""
+        )
+    return F.expr(f"concat({', '.join(sides)})")
 
-def _with_context(spans: str) -> str:
-    """SQL: the spans with their instance and context, the two words before, in lower case."""
-    before = (
-        f"substring(coalesce(text, ''), greatest(1, x.start - {CONTEXT_CHARS - 1}),"
-        f" least({CONTEXT_CHARS}, x.start))"
-    )
-    word = BLANK.replace("[", "[^") + "+"
-    words = f"regexp_extract({before}, r'({word}{BLANK}+{word}){BLANK}*$', 1)"
-    return f"""transform({spans}, x -> struct(x.ord AS ord, x.start AS start, x.end AS end,
-        lower(x.m) AS instance, lower(regexp_replace({words}, r'{BLANK}+', ' ')) AS context))"""
+
+_NO_CONTEXTS = "from_json('[]', 'array<struct<near:string,context:string>>')"
 
 
 def _bootstrap(
-    graph: DataFrame, support: int, precision: float, confidence: float
+    known: DataFrame, graph: DataFrame, support: int, precision: float, confidence: float
 ) -> DataFrame:
-    """(instance, kind) found by patterns, from ``graph`` (context, instance, kind or null).
+    """(instance, kind) found by patterns, from ``known`` (instance, kind) seeds and ``graph``
+    (near, context, instance), whose rows are distinct.
 
     A round scores every context for every kind by the share of its instances that are known to
     be of it, takes those with ``support`` known instances and ``precision``, and scores unknown
-    instances by the chance that not all their accepted contexts err. The best kind with
-    ``confidence`` makes an instance known to the next round. Rounds go on until one finds nothing
-    new; each adds an instance that was unknown, so they end. The graph's edges are distinct, so
-    a word pair before a third of all identifiers is folded before it is counted.
+    instances by the chance that not all their accepted contexts err; of contexts that share
+    their nearest word the most precise counts. The best kind with ``confidence`` makes an
+    instance known to the next round. Rounds go on until one finds nothing new; each adds an
+    instance that was unknown, so they end. A context before a third of all identifiers is folded
+    in the map tasks before it is counted.
     """
-    edges = graph.select("context", "instance").distinct()
-    known = written(
-        graph.filter("kind IS NOT NULL").select("instance", "kind").distinct(), "known"
-    )
-    seeds, sizes = known, edges.groupBy("context").agg(F.count("*").alias("total"))
+    seeds, sizes = known, graph.groupBy("context").agg(F.count("*").alias("total"))
     while True:
         patterns = (
-            edges.join(known, "instance")
+            graph.join(known, "instance")
             .groupBy("context", "kind")
             .agg(F.count("*").alias("hits"))
             .filter(F.col("hits") >= support)
@@ -90,15 +110,16 @@ def _bootstrap(
             .withColumn("precision", F.col("hits") / F.col("total"))
             .filter(F.col("precision") >= precision)
         )
-        doubt = F.log(F.greatest(1 - F.col("precision"), F.lit(1e-6)))
         scored = (
-            edges.join(known.select("instance").distinct(), "instance", "left_anti")
+            graph.join(known.select("instance").distinct(), "instance", "left_anti")
             .join(patterns, "context")
+            .groupBy("instance", "kind", "near")
+            .agg(F.max("precision").alias("precision"))
             .groupBy("instance", "kind")
-            .agg((1 - F.exp(F.sum(doubt))).alias("confidence"))
-            .filter(F.col("confidence") >= confidence)
+            .agg(F.product(1 - F.col("precision")).alias("doubt"))
+            .filter(F.col("doubt") <= 1 - confidence)
             .groupBy("instance")
-            .agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
+            .agg(F.min_by("kind", F.struct("doubt", "kind")).alias("kind"))
         )
         new = written(scored, "found")
         if new.isEmpty():
@@ -116,54 +137,58 @@ def scan(
     """doc_id and the arrays base and discovered (ord, start, end) for every row.
 
     ord numbers KINDS. ``base`` holds the plain kinds, leftmost and not overlapping per kind,
-    matches that fail their check dropped. ``discovered`` holds identifiers that no plain kind
-    overlaps and that the bootstrapped contexts take for one of a kind. Positions are code
-    points, end exclusive.
+    matches that fail their check dropped: these are the seeds. ``discovered`` holds the
+    candidates that no plain kind overlaps and that the bootstrapped contexts take for one of a
+    kind; of a discovered row of words the words are not listed again. Contexts are one to three
+    words to the left or right, in lower case. Positions are code points, end exclusive.
 
     Null and empty texts hold nothing. Repeated rows give repeated, equal results and count once
-    in the scores; an empty table gives no rows; other columns are ignored.
+    in the scores; an empty table gives no rows; other columns are ignored. Time is in proportion
+    to the text, however long and however many identifiers it holds.
     """
     keyed = with_row_key(docs.select("doc_id", "text"), "d", "t")
-    text = "coalesce(text, '')"
+    text, more, types = "coalesce(text, '')", _CONTEXTS, ",left:string,right:string"
     spanned = keyed.select(
         "doc_id",
         "d",
         "t",
-        "text",
-        F.expr(all_spans(text, BASE)).alias("base"),
-        F.expr(all_spans(text, [CANDIDATE], len(BASE))).alias("runs"),
+        F.expr(all_spans(text, BASE, 0, more, types)).alias("base"),
+        F.expr(all_spans(text, CANDIDATES, len(BASE), more, types)).alias("runs"),
     )
-    seen = written(
-        spanned.select(
-            "doc_id",
-            "d",
-            "t",
-            F.expr("transform(base, x -> struct(x.ord AS ord, x.start AS start, x.end AS end))").alias(
-                "base"
-            ),
-            F.expr(
-                _with_context(f"concat(base, filter(runs, r -> NOT {overlaps('base', 'r')}))")
-            ).alias("marks"),
-        ),
-        "personal",
+    seen = written(spanned, "personal")
+    plain = seen.select("d", "t", F.explode("base").alias("span")).distinct()
+    runs = seen.select("d", "t", F.explode("runs").alias("span")).distinct()
+    marks = plain.unionByName(apart(runs, plain)).select("d", "t", "span.*")
+    kind = F.when(F.col("ord") < len(BASE), F.col("ord"))
+    marks = marks.select(
+        "d", "t", "ord", "start", "end", F.lower("m").alias("instance"), "left", "right", kind.alias("kind")
     )
-    marks = seen.filter("size(marks) > 0").select("d", "t", F.explode("marks").alias("mark"))
-    marks = marks.select("d", "t", "mark.*").filter("context <> ''").distinct()
-    marks = written(marks.withColumn("kind", F.expr(f"IF(ord < {len(BASE)}, ord, NULL)")), "marks")
-    names = _bootstrap(marks, support, precision, confidence)
-    discovered = (
+    marks = written(marks, "marks")
+    known = marks.filter("kind IS NOT NULL").select("instance", "kind").distinct()
+    graph = marks.select("instance", F.inline(_contexts())).distinct()
+    names = _bootstrap(
+        written(known, "known"), written(graph, "graph"), support, precision, confidence
+    )
+    named = written(
         marks.filter("kind IS NULL")
         .drop("kind")
         .join(names, "instance")
+        .select("d", "t", F.struct("ord", "start", "end").alias("span"), "kind"),
+        "named",
+    )
+    rows, words = (named.filter(F.col("span.ord") == len(BASE) + i) for i in range(2))
+    discovered = (
+        rows.unionByName(apart(words, rows))
         .groupBy("d", "t")
         .agg(
             F.collect_set(
-                F.struct((F.col("kind") + len(BASE)).alias("ord"), "start", "end")
+                F.struct((F.col("kind") + len(BASE)).alias("ord"), "span.start", "span.end")
             ).alias("discovered")
         )
     )
+    base = F.transform("base", lambda x: F.struct(x.ord.alias("ord"), x.start.alias("start"), x.end.alias("end")))
     return seen.join(discovered, ["d", "t"], "left").select(
         "doc_id",
-        "base",
-        F.coalesce("discovered", F.filter("base", lambda x: F.lit(False))).alias("discovered"),
+        base.alias("base"),
+        F.coalesce("discovered", F.filter(base, lambda x: F.lit(False))).alias("discovered"),
     )

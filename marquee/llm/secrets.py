@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import with_row_key, written
-from marquee.llm.spans import Kind, all_spans, overlaps
+from marquee.llm.spans import Kind, all_spans, apart
 
 _ASSIGN = (
     r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
@@ -112,14 +112,11 @@ def scan(docs: DataFrame, scope: int = 400) -> DataFrame:
         F.expr(all_spans("coalesce(text, '')", BASE)).alias("base"),
         F.expr(all_spans("coalesce(text, '')", WEAK, len(BASE))).alias("weak"),
     )
-    apart = F.expr(f"filter(weak, w -> NOT {overlaps('base', 'w')})")
-    seen = written(spanned.withColumn("weak", apart), "secrets")
-    parts = (
-        seen.filter("size(weak) > 0")
-        .select("d", "t", F.explode(F.concat("base", "weak")).alias("span"))
-        .withColumn("role", _role())
-        .distinct()
-    )
+    seen = written(spanned, "secrets")
+    spans = seen.filter("size(weak) > 0").select("d", "t", "base", "weak").distinct()
+    plain = spans.select("d", "t", F.explode("base").alias("span"))
+    weak = spans.select("d", "t", F.explode("weak").alias("span"))
+    parts = plain.unionByName(apart(weak, plain)).withColumn("role", _role())
     parts = written(parts, "parts")
     linked = None
     for role, needs in NEEDS.items():

@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +31,6 @@ def nulls_first(*values):
 
 def ids_of(name: str):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -272,3 +272,219 @@ def hilbert_2d(order: int):
         + [(x + half, y + half) for x, y in inner]
         + [(2 * half - 1 - y, half - 1 - x) for x, y in inner]
     )
+
+
+def op11(docs):
+    groups = defaultdict(list)
+    for doc_id, text in docs:
+        groups[(text or "").translate(LOWER)].append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        ids.sort(key=lambda d: nulls_first(d), reverse=True)
+        out += [(d, ids[0], len(ids), i == 0, sha(text)) for i, d in enumerate(ids)]
+    return out
+
+
+def smallest_period(words):
+    """By the failure function."""
+    fail, k = [0] * len(words), 0
+    for i in range(1, len(words)):
+        while k and words[i] != words[k]:
+            k = fail[k - 1]
+        k += words[i] == words[k]
+        fail[i] = k
+    return len(words) - fail[-1]
+
+
+def runs(words, min_length=24):
+    """(start, length, period): every stretch equal to itself moved by q, for each q in turn."""
+    out = set()
+    for q in range(1, len(words) // 3 + 1):
+        start = None
+        for i in range(len(words) - q + 1):
+            same = i < len(words) - q and words[i] == words[i + q]
+            if same and start is None:
+                start = i
+            if not same and start is not None:
+                length = i + q - start
+                if length >= max(min_length, 3 * q):
+                    if smallest_period(words[start : start + length]) == q:
+                        out.add((start, length, q))
+                start = None
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def planted(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def op12(docs):
+    out = []
+    for doc_id, text in docs:
+        words = planted(doc_id, WORD.findall(text or ""))
+        found = runs(words)
+        dropped = {i for s, n, q in found for i in range(s + q, s + n)}
+        best = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None,) * 3)
+        out.append(
+            (
+                doc_id,
+                len(found),
+                *best,
+                1000 * best[1] // best[2] if found else None,
+                sha("".join(f"{s},{n},{q}\n" for s, n, q in found)),
+                sha(" ".join(w for i, w in enumerate(words) if i not in dropped)),
+            )
+        )
+    return out
+
+
+def op13(docs, max_words=3, min_count=10, cover=50, top=2000):
+    """docs: (lang, text)"""
+    counts = defaultdict(Counter)
+    for lang, text in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in range(1, max_words + 1):
+                for i in range(len(words) - size + 1):
+                    counts["und" if lang is None else lang][tuple(words[i : i + size])] += 1
+    out = []
+    for lang, f in counts.items():
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        candidates = {p: c for p, c in f.items() if len(p) > 1 and c >= min_count}
+        gone = {
+            p[i : i + size]
+            for p, c in candidates.items()
+            for size in range(2, len(p))
+            for i in range(len(p) - size + 1)
+            if 100 * c >= cover * f[p[i : i + size]]
+        }
+        rows = []
+        for p, a in candidates.items():
+            if p not in gone:
+                score, k = min(
+                    (10**6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))
+                )
+                rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        rows.sort()
+        out += [
+            (lang, i + 1, phrase.decode(), -a, left, right, n, -score)
+            for i, (score, a, phrase, left, right) in enumerate(rows[:top])
+        ]
+    return out
+
+
+def linked_secrets(text, weak_patterns, roles, needs, scope=400):
+    """(name, start, end) of weak parts with the other parts they need; roles by name."""
+    own = secrets(text)
+    parts = [(k, s, e) for k, spans in own.items() for s, e in spans]
+    weak = [
+        (name, s, e)
+        for name, pattern, keep in weak_patterns
+        for s, e in matches(text, pattern, keep)
+        if not any(s < f and b < e for _, b, f in parts)
+    ]
+    everything = parts + weak
+
+    def near(part, role):
+        name, s, e = part
+        return any(
+            roles[n] == role
+            and b <= e + scope
+            and f >= s - scope
+            and (roles[name] == "endpoint" or b >= e or f <= s)
+            for n, b, f in everything
+        )
+
+    return [p for p in weak if all(near(p, role) for role in needs[roles[p[0]]])]
+
+
+SIGN = "A-Za-z0-9@._%+()/-"
+IDENTIFIER = (
+    rf"(?:(?=[A-Za-z@._%+()/-]*[0-9])|(?=[A-Za-z0-9]+[._@][A-Za-z0-9]))"
+    rf"[A-Za-z0-9+(](?:[{SIGN}]*[A-Za-z0-9)])?"
+)
+
+
+def _gapped(text, pattern):
+    """(match, up to three words before, up to three after), to the third match on a side."""
+    found = list(re.finditer(pattern, text or "", re.ASCII))
+    for i, m in enumerate(found):
+        first = found[i - 3].end() if i >= 3 else 0
+        last = found[i + 3].start() if i + 3 < len(found) else len(text)
+        before = WORD.findall(text[first : m.start()].lower())[-3:]
+        after = WORD.findall(text[m.end() : last].lower())[:3]
+        yield m, before, after
+
+
+PERSONAL = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def discovered(docs, support=3, precision=0.6, confidence=0.8):
+    """{(doc_id, text): sorted (kind number, start, end)} that contexts discover."""
+    marks = []
+    for key in set(docs):
+        text = key[1]
+        plain = personal(text)
+        spans = [span for own in plain.values() for span in own]
+        for k, (name, pattern) in enumerate(PERSONAL.items()):
+            for m, before, after in _gapped(text, pattern):
+                if m.span() in plain[name]:
+                    marks.append((key, m.span(), m.group().lower(), before, after, k))
+        one = rf"(?<![{SIGN}]){IDENTIFIER}"
+        for pattern in (rf"{one}(?:\x20{IDENTIFIER})+", one):
+            for m, before, after in _gapped(text, pattern):
+                if not any(s < m.end() and m.start() < e for s, e in spans):
+                    marks.append((key, m.span(), m.group().lower(), before, after, None))
+    known = {(x, k) for _, _, x, _, _, k in marks if k is not None}
+    seeds = {x for x, _ in known}
+    edges = set()
+    for _, _, x, before, after, _ in marks:
+        for n in range(1, len(before) + 1):
+            edges.add(("left " + before[-1], "left " + " ".join(before[-n:]), x))
+        for n in range(1, len(after) + 1):
+            edges.add(("right " + after[0], "right " + " ".join(after[:n]), x))
+    members = defaultdict(set)
+    for _, context, x in edges:
+        members[context].add(x)
+    while True:
+        patterns = {}
+        for context, own in members.items():
+            for k in range(4):
+                hits = sum((x, k) in known for x in own)
+                if hits >= support and hits / len(own) >= precision:
+                    patterns[context, k] = hits / len(own)
+        best = defaultdict(dict)
+        old = {x for x, _ in known}
+        for near, context, x in edges:
+            for k in range(4):
+                if x not in old and (context, k) in patterns:
+                    own = best[x, k]
+                    own[near] = max(own.get(near, 0), patterns[context, k])
+        chosen = {}
+        for (x, k), own in best.items():
+            doubt = 1.0
+            for p in own.values():
+                doubt *= 1 - p
+            if doubt <= 1 - confidence:
+                chosen[x] = min(chosen.get(x, (2, 0)), (doubt, k))
+        if not chosen:
+            break
+        known |= {(x, k) for x, (_, k) in chosen.items()}
+    names = {x: k for x, k in known if x not in seeds}
+    out = defaultdict(list)
+    for key, (s, e), x, _, _, k in marks:
+        if k is None and x in names:
+            out[key].append((4 + names[x], s, e))
+    inside = lambda x, own: any(s <= x[1] and x[2] <= e and e - s > x[2] - x[1] for _, s, e in own)
+    return {key: sorted(x for x in own if not inside(x, own)) for key, own in out.items()}

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,8 +79,11 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[objec
         yield [tuple(row) for row in own.toLocalIterator()]
 
 
-def _hits(docs: DataFrame, items: list[tuple], size: int) -> DataFrame:
-    """doc_id, n_words, hit (runs of hit words as first, end) and items for every row."""
+def _hits(docs: DataFrame, items: list[tuple], size: int, kind: str) -> tuple[DataFrame, Broadcast]:
+    """doc_id, n_words, hit (runs of hit words as first, end) and items for every row.
+
+    Also the broadcast that these rows read; ``kind`` is the type of item ids.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(items)
     block = uuid.uuid4().hex
 
@@ -94,9 +98,9 @@ def _hits(docs: DataFrame, items: list[tuple], size: int) -> DataFrame:
             edges = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
             yield *rest, len(own), [int(e) for e in edges], sorted(ids, key=repr)
 
-    rest = [f"{name} {kind}" for name, kind in docs.dtypes if name != "text"]
-    schema = ", ".join([*rest, "n_words long, hit array<int>, items array<long>"])
-    return rows_mapped(docs, run, schema)
+    rest = [f"{name} {type_}" for name, type_ in docs.dtypes if name != "text"]
+    schema = ", ".join([*rest, f"n_words long, hit array<int>, items array<{kind}>"])
+    return rows_mapped(docs, run, schema), shared
 
 
 def find(
@@ -108,24 +112,29 @@ def find(
     other; ``items`` the distinct item_ids whose windows occur, in ascending order. A window is
     ``size`` consecutive words of an item, or all of a shorter item.
 
-    The benchmark's texts are broadcast in blocks of ``block_bytes``; one block needs one pass
-    without a shuffle, more blocks a pass each and a merge by row key. Null texts have no words;
+    The benchmark's texts are broadcast in blocks of ``block_bytes``, one at a time; one block
+    needs one pass without a shuffle, more blocks a pass each and a merge by row key. Item ids
+    are of any type that Arrow knows. Null texts have no words;
     a benchmark without words hits nothing. Repeated rows give repeated results, an empty table
     none; null item_ids count as no item, though their windows hit. Other columns are ignored.
     """
     keyed = with_row_key(docs.select("doc_id", "text"), "d", "t").select("doc_id", "d", "t", "text")
-    blocks = [_hits(keyed, items, size) for items in _blocks(benchmark, block_bytes)]
-    if not blocks:
-        blocks = [_hits(keyed, [], size)]
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    blocks = _blocks(benchmark, block_bytes)
+    found, shared = _hits(keyed, next(blocks, []), size, kind)
     known = "filter(items, i -> i IS NOT NULL)"
-    if len(blocks) == 1:
-        return blocks[0].withColumn("items", F.array_sort(F.expr(known)))
-    # Later blocks give rows for documents with hits only.
-    first = written(blocks[0], "hits")
+    if (items := next(blocks, None)) is None:
+        return found.withColumn("items", F.array_sort(F.expr(known)))
+    first = written(found, "hits")
     more = first.drop("doc_id", "n_words")
-    for block in blocks[1:]:
-        found = block.filter("size(hit) > 0").drop("doc_id", "n_words")
+    while items is not None:
+        shared.destroy()
+        found, shared = _hits(keyed, items, size, kind)
+        # Later blocks give rows for documents with hits only.
+        found = found.filter("size(hit) > 0").drop("doc_id", "n_words")
         more = more.unionByName(written(found, "hits"))
+        items = next(blocks, None)
+    shared.destroy()
     merged = (
         more.filter("size(hit) > 0")
         .groupBy("d", "t")
@@ -144,9 +153,7 @@ def find(
             "t",
             "n_words",
             F.coalesce("hit", none).alias("hit"),
-            F.array_sort(F.expr("filter(coalesce(items, array()), i -> i IS NOT NULL)")).alias(
-                "items"
-            ),
+            F.array_sort(F.expr(f"coalesce({known}, filter(array(NULL), i -> false))")).alias("items"),
         )
     )
 

@@ -19,6 +19,8 @@ LINE = ["h1", "h2", "d", "t", "pos"]
 #: documents (n) that such a hash has in one partition.
 PASS = "kind int, h1 long, h2 long, d long, t long, pos int, n long"
 DROP, PENDING, EDGE = 0, 1, 2
+#: Lines of a run that are held until it is decided; those of a longer one are all pending.
+HELD_LINES = 100_000
 
 
 def lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -42,9 +44,23 @@ class _Runs:
         self.held = None  # lines of the open run, while it has too few documents
         self.over = None  # (h1, h2, whether the run began the partition) once it has enough
         self.edge = True  # the open run began the partition
+        self.long = None  # (h1, h2, documents, last document) of a run too long to hold
 
     def add(self, rows: np.ndarray) -> Iterator[np.ndarray]:
         """rows: a column per line, in the order of LINE."""
+        if self.long is not None:
+            run, docs, last = self.long
+            other = np.flatnonzero((rows[0] != run[0]) | (rows[1] != run[1]))
+            until = other[0] if len(other) else rows.shape[1]
+            if until:
+                own = rows[2:4, :until]
+                moved = (np.diff(own, axis=1, prepend=last) != 0).any(axis=0)
+                self.long = (run, docs + int(moved.sum()), own[:, -1:])
+                yield self._out(PENDING, rows[:, :until])
+            if not len(other):
+                return
+            yield self._summary(run, self.long[1])
+            self.long, self.edge, rows = None, False, rows[:, until:]
         if self.over is not None:
             other = np.flatnonzero((rows[0] != self.over[0]) | (rows[1] != self.over[1]))
             until = other[0] if len(other) else rows.shape[1]
@@ -81,9 +97,16 @@ class _Runs:
             yield self._out(PENDING, self.held[:, :lead])
             yield self._out(DROP, self.held[:, lead:])
             self.over, self.held = (self.held[0, 0], self.held[1, 0]), None
+        elif self.held.shape[1] > HELD_LINES:
+            # Few documents that say one line very often: the join decides, not this stream.
+            yield self._out(PENDING, self.held)
+            self.long = ((self.held[0, 0], self.held[1, 0]), int(docs[-1]), self.held[2:4, -1:])
+            self.held = None
 
     def end(self) -> Iterator[np.ndarray]:
-        if self.over is not None:
+        if self.long is not None:
+            yield self._summary(*self.long[:2])
+        elif self.over is not None:
             yield self._summary(self.over)
         elif self.held is not None and self.held.shape[1]:
             yield from self._edge(self.held, self._starts(self.held)[1][0])

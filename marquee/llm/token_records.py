@@ -68,7 +68,8 @@ def write_records(
 ) -> DataFrame:
     """Write the ids of all texts below ``folder`` (shared by all executors); the index.
 
-    Records stand in ascending doc_id (null first; equal ids by text), one file a range of ids.
+    Records stand in ascending doc_id (null first; equal ids by text), one file a range of
+    doc_id and the text's beginning, so that many rows of one id are several files.
     A null text is empty: its record holds ``end_id`` alone. Repeated rows are repeated records;
     an empty table makes an empty index. Other columns are ignored. A task that runs again
     writes a file of its own; only files of the attempt that the index took are ever read.
@@ -95,7 +96,9 @@ def write_records(
         if sink is not None:
             sink.close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id")
+    ordered = docs.select("doc_id", "text").repartitionByRange(
+        "doc_id", F.substring("text", 1, 64)
+    )
     ordered = ordered.sortWithinPartitions("doc_id", "text")
     rows_mapped(ordered, write, INDEX).write.parquet(f"{folder}/index")
     return docs.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")

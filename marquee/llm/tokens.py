@@ -75,7 +75,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Texts with an added token's string are left to the tokenizer, in whatever case.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = re.compile("|".join(re.escape(a.content) for a in added) or "(?!)", re.I)
         self.cut = cut
         self.width = id_width(self.tokenizer.get_vocab_size())
         self.dtype = f"<u{self.width}"
@@ -94,7 +96,8 @@ class Encoder:
         """For each text (None: empty) its ids and ``end_id``."""
         end, known = self._bytes([end_id]), self.words.__getitem__
         for text in texts:
-            own = self.cut(text or "")
+            text = text or ""
+            own = None if self.added.search(text) else self.cut(text)
             if own is None:
                 yield self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids) + end
             else:

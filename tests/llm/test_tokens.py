@@ -14,8 +14,6 @@ ENCODERS = [
     (Encoder(public_tokenizers.path(n), cut), Tokenizer.from_file(public_tokenizers.path(n)))
     for n, cut in CASES
 ]
-for _, plain in ENCODERS:
-    plain.encode_special_tokens = True
 
 
 def check(case, text):
@@ -42,3 +40,12 @@ def test_awkward(case, text):
 def test_every_latin_character(case):
     for code in range(0x2B0):
         check(case, f"a{chr(code)}b {chr(code)}{chr(code)} 1{chr(code)}")
+
+
+@pytest.mark.parametrize("case", range(len(CASES)))
+def test_added_tokens_have_their_own_ids(case):
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "<|ENDOFTEXT|> <|startoftext|>x", "<|endoftext"):
+        check(case, text)
+    encoder, _ = ENCODERS[case]
+    assert len(next(encoder.ids([None], 2))) == encoder.width
+    assert list(encoder.ids([None, ""], 2)) == [next(encoder.ids([""], 2))] * 2

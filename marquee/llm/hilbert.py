@@ -43,21 +43,32 @@ def hilbert_index(axes: str, n: int, bits: int) -> Column:
     )
 
 
+def _number(docs: DataFrame, dimension: str) -> Column | None:
+    """A dimension with an order as a number; None for other types."""
+    kind = docs.schema[dimension].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(dimension)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(dimension)
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(F.col(dimension).cast("timestamp"))
+    return None
+
+
 def _cells(docs: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column]:
-    """A coordinate per dimension: numbers by quantiles over all rows, other types by hash."""
-    kinds = {f.name: f.dataType for f in docs.schema.fields}
-    numeric = [d for d in dimensions if isinstance(kinds[d], T.NumericType)]
+    """A coordinate per dimension: numbers and times by quantiles over all rows, others by hash."""
+    numbers = {d: n for d in dimensions if (n := _number(docs, d)) is not None}
     levels = 1 << bits
     cuts: dict[str, list] = {}
-    if numeric:
+    if numbers:
         shares = [i / levels for i in range(1, levels)]
-        row = docs.agg(*(F.percentile_approx(d, shares).alias(d) for d in numeric)).head()
-        cuts = {d: sorted(set(row[d] or [])) for d in numeric}
+        row = docs.agg(*(F.percentile_approx(n, shares).alias(d) for d, n in numbers.items())).head()
+        cuts = {d: sorted(set(row[d] or [])) for d in numbers}
 
     def cell(d: str) -> Column:
         if d in cuts:
             bounds = F.array(*(F.lit(v) for v in cuts[d] or [0]))
-            place = F.size(F.filter(bounds, lambda bound: bound < F.col(d)))
+            place = F.size(F.filter(bounds, lambda bound: bound < numbers[d]))
         else:
             place = F.pmod(F.xxhash64(d), F.lit(levels))
         return F.when(F.col(d).isNull(), F.lit(0)).otherwise(place).cast("long")
@@ -65,6 +76,24 @@ def _cells(docs: DataFrame, dimensions: Sequence[str], bits: int) -> list[Column
     return [cell(d) for d in dimensions]
 
 
+def _dealt(placed: DataFrame, order: Sequence[str], part_bytes: int) -> DataFrame:
+    """``placed`` (curve, tie, bytes and more) in partitions of about equal bytes along the curve.
+
+    The bytes of each place on the curve, at most as many rows as the curve has places, are
+    added up along it. Within a place rows are spread by ``tie``, so that one place of many or
+    long rows is several partitions too. The order is that of curve, then tie.
+    """
+    places = placed.groupBy("curve").agg(F.sum("bytes").alias("total"))
+    places = written(running_base(places, "curve", "total", "base").join(places, "curve"), "places")
+    whole = max(1, places.agg(F.sum("total")).head()[0] or 0)
+    parts = -(-whole // part_bytes)
+    share = F.col("tie") / F.lit(float(1 << 63))
+    at = (F.col("base") + share * F.col("total")) * parts / whole
+    part = F.least(F.lit(parts - 1), F.floor(at)).cast("int")
+    dealt = placed.join(F.broadcast(places), "curve").withColumn("part", part)
+    return dealt.repartitionById(parts, "part").sortWithinPartitions(*order)
+
+
 def assign_shards(
     docs: DataFrame,
     dimensions: Sequence[str],
@@ -72,27 +101,34 @@ def assign_shards(
     bits: int = 6,
     keys: Sequence[str] = (),
     carried: Sequence[str] = (),
+    size: Column | None = None,
+    part_bytes: int = 32 << 20,
 ) -> DataFrame:
     """``keys`` of all rows with their curve position, shard (0 to shards - 1) and slot in it.
 
-    ``carried``: further columns, which take no part in the order.
+    ``carried``: further columns, which take no part in the order; ``size``: a row's bytes, from
+    which the shuffle makes partitions of about ``part_bytes``.
 
-    Rows are sorted by curve position, then by ``keys``, and cut into runs whose lengths differ
-    by one at most. Only keys, positions and what is carried are shuffled. A null dimension counts as 0; rows
-    that agree in all keys are interchangeable; an empty table gives no rows. Sorted partitions
-    number their rows, and running sums over the written partitions make the numbers global.
+    Rows are sorted by curve position, then by a hash of ``keys``, then by ``keys``, and cut into
+    runs whose lengths differ by one at most. Only keys, positions and what is carried are
+    shuffled. A null dimension counts as 0; rows that agree in all keys are interchangeable; an
+    empty table gives no rows. Sorted partitions number their rows, and running sums over the
+    written partitions make the numbers global.
     """
     axes = ", ".join(f"a{i}" for i in range(len(dimensions)))
     curve = hilbert_index(f"array({axes})", len(dimensions), bits)
     cells = [c.alias(f"a{i}") for i, c in enumerate(_cells(docs, dimensions, bits))]
     kept = F.struct(*keys, *carried).alias("own")
-    placed = docs.select(kept, *cells).select("own", curve.alias("curve"))
-    order = ["curve", *(f"own.{k}" for k in keys)]
-    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
+    tie = F.shiftrightunsigned(F.xxhash64(*(keys or dimensions)), 1).alias("tie")
+    weight = (F.lit(100) if size is None else size).cast("long").alias("bytes")
+    placed = docs.select(kept, tie, weight, *cells)
+    placed = placed.select("own", "tie", "bytes", curve.alias("curve"))
+    order = ["curve", "tie", *(f"own.{k}" for k in keys)]
     numbered = written(
-        ordered.withColumns(
-            {"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}
-        ).withColumn("row", F.col("row").bitwiseAND((1 << 33) - 1)),
+        _dealt(placed, order, part_bytes)
+        .drop("base", "total", "bytes")
+        .withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()})
+        .withColumn("row", F.col("row").bitwiseAND((1 << 33) - 1)),
         "curve",
         compression="zstd",
     )
@@ -129,27 +165,14 @@ def cut_shards(
     bits: int = 6,
     keys: Sequence[str] = (),
     row: str = "row",
+    size: Column | None = None,
 ) -> DataFrame:
     """Write the struct column ``row`` of all rows as one folder a shard; the files, to be read.
 
     They hold ``row``, curve_position and slot, each file in slot order. Rows travel with their
     positions, so nulls and repeated rows are rows like others.
     """
-    assigned = assign_shards(docs, dimensions, shards, bits, keys, carried=[row])
+    assigned = assign_shards(docs, dimensions, shards, bits, keys, [row], size)
     placed = assigned.select(row, "curve_position", "slot", "shard")
     _write(placed, folder)
     return docs.sparkSession.read.schema(placed.schema).parquet(folder)
-
-
-def write_shards(docs: DataFrame, assigned: DataFrame, key: str, folder: str) -> None:
-    """Write whole rows as one folder a shard, in slot order, by a ``key`` of both tables.
-
-    Null is a key. A repeated key does not tell which row is meant and is refused; ``cut_shards``
-    needs no key.
-    """
-    again = assigned.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
-    if not again.isEmpty():
-        raise ValueError(f"{key} is not unique; use cut_shards")
-    places = assigned.select(F.col(key).alias("its_key"), "shard", "slot")
-    joined = docs.join(places, F.col(key).eqNullSafe(F.col("its_key"))).drop("its_key")
-    _write(joined.repartitionByRange("shard", "slot"), folder)

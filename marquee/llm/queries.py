@@ -66,7 +66,7 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.select("row", *digest, *(F.col(f"row.{d}").alias(d) for d in dimensions))
     folder = shared_dir(spark, "shards")
     keys = ["doc_id", "size", "text_crc32"]
-    return hilbert.cut_shards(docs, dimensions, SHARDS, folder, keys=keys).select(
+    return hilbert.cut_shards(docs, dimensions, SHARDS, folder, keys=keys, size=size).select(
         *digest,
         F.lit("rows").alias("law"),
         "shard",
@@ -107,9 +107,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _documents(spark, sf_dir)
-    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"), at_blanks, END_ID)
-    return pieces.select(
+    docs, folder = _documents(spark, sf_dir), shared_dir(spark, "sequences")
+    path = vocabulary("word_bpe_49k.json")
+    sequences = packing.write_sequences(docs, path, at_blanks, END_ID, folder)
+    return packing.boundaries(sequences).select(
         "doc_id",
         "start",
         "length",
@@ -182,7 +183,7 @@ PLANTED = r"""
 IF(crc32(cast(cast(doc_id AS string) AS binary)) % 10 = 0,
    transform(
      array(struct(
-       filter(split(text, '[\x20\x09-\x0D]+'), w -> w <> '') AS words,
+       filter(split(text, r'[\x20\x09-\x0D]+'), w -> w <> '') AS words,
        crc32(cast(cast(doc_id AS string) AS binary)) div 10 AS g)),
      x -> IF(size(x.words) = 0, '', array_join(transform(
        array(struct(

@@ -1,11 +1,14 @@
 """What the registered queries do not show of the operators' own interfaces."""
 
 import random
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -92,23 +95,55 @@ def test_curve_visits_neighbours(spark, n, bits):
         assert [tuple(r[:2]) for r in rows] in turns
 
 
+def files_of(folder):
+    return sorted(Path(folder).glob("shard=*/*.parquet"))
+
+
 def test_shards_are_written_and_prune(spark):
     rows = spark.range(2000).select(
         F.col("id").alias("doc_id"),
         (F.col("id") % 50).alias("x"),
-        (F.col("id") % 40).cast("double").alias("y"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 40).cast("int")).alias("day"),
         F.concat(F.lit("t"), "id").alias("text"),
     )
-    assigned = hilbert.assign_shards(rows, ["x", "y"], 16, bits=5, keys=["doc_id"])
     folder = shared_dir(spark, "shards")
-    hilbert.write_shards(rows, assigned, "doc_id", folder)
+    docs = rows.select(F.struct("*").alias("row"), "doc_id", "x", "day")
+    hilbert.cut_shards(docs, ["x", "day"], 16, folder, bits=5, keys=["doc_id"])
     back = spark.read.parquet(folder)
     assert back.count() == 2000
     spans = back.groupBy("shard").agg(
-        (F.max("x") - F.min("x")).alias("x"), (F.max("y") - F.min("y")).alias("y")
+        (F.max("row.x") - F.min("row.x")).alias("x"),
+        F.datediff(F.max("row.day"), F.min("row.day")).alias("y"),
     )
     # A shard of a random cut would span nearly everything in both dimensions.
     assert spans.agg(F.avg(F.col("x") * F.col("y"))).head()[0] < 0.25 * 49 * 39
+    # A filter on either dimension leaves most files out by their statistics.
+    for column, few in (("row.x", lambda low, high: low <= 2), ("row.day", lambda low, high: str(low) <= "2024-01-03")):
+        hits = 0
+        for file in files_of(folder):
+            group = pq.ParquetFile(file).metadata.row_group(0)
+            own = next(group.column(i) for i in range(group.num_columns) if group.column(i).path_in_schema == column)
+            hits += few(own.statistics.min, own.statistics.max)
+        assert 0 < hits <= len(files_of(folder)) / 2
+
+
+def test_shuffled_partitions_have_equal_bytes(spark):
+    """A hundredth of the rows hold nine tenths of the bytes, at one place of the curve."""
+    rows = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 100 == 0, F.lit(90_000)).otherwise(F.lit(100)).cast("long").alias("n"),
+    )
+    placed = rows.select(
+        F.struct("doc_id", "n").alias("own"),
+        F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("tie"),
+        F.col("n").alias("bytes"),
+        F.when(F.col("n") > 100, F.lit(7)).otherwise(F.col("doc_id") % 9).cast("long").alias("curve"),
+    )
+    dealt = hilbert._dealt(placed, ["curve", "tie"], 400_000).withColumn("p", F.spark_partition_id())
+    parts = {r.p: r for r in dealt.groupBy("p").agg(F.sum("bytes").alias("b"), F.min("curve").alias("low"), F.max("curve").alias("high")).collect()}
+    assert len(parts) >= 8 and max(r.b for r in parts.values()) < 1_300_000
+    ordered = [parts[p] for p in sorted(parts)]
+    assert all(a.high <= b.low for a, b in zip(ordered, ordered[1:]))
 
 
 def test_shards_hold_null_and_repeated_ids(spark):
@@ -123,14 +158,6 @@ def test_shards_hold_null_and_repeated_ids(spark):
     assert Counter(map(tuple, back.select("row.*").collect())) == Counter(data)
     for s, own in back.groupBy("shard").agg(F.sort_array(F.collect_list("slot"))).collect():
         assert own == list(range(len(own))) and len(own) in (76, 77)
-    assigned = hilbert.assign_shards(rows, ["x"], 4, keys=["doc_id"])
-    with pytest.raises(ValueError, match="not unique"):
-        hilbert.write_shards(rows, assigned, "doc_id", shared_dir(spark, "shards"))
-    few = rows.filter("doc_id > 1 AND doc_id < 20").unionByName(rows.limit(1))
-    assigned = hilbert.assign_shards(few, ["x"], 4, keys=["doc_id"])
-    hilbert.write_shards(few, assigned, "doc_id", folder := shared_dir(spark, "shards"))
-    kept = spark.read.parquet(folder).select("doc_id", "x", "text").collect()
-    assert Counter(map(tuple, kept)) == Counter(map(tuple, few.collect()))
 
 
 def test_op2_writes_whole_rows(spark, odd, monkeypatch):
@@ -213,11 +240,16 @@ def test_many_parts_in_one_document_make_no_pairs(spark):
     assert len(row.linked) == 4000
 
 
+MATCH = (
+    "struct(x.start AS start, x.end AS end, x.m AS m)", "struct<start:int,end:int,m:string>"
+)
+
+
 @settings(max_examples=60, deadline=None)
 @given(texts=st.lists(st.text(st.sampled_from("ab1 é🎉"), max_size=20), min_size=1, max_size=8))
 def test_found_gives_code_points(spark, texts):
     rows = spark.createDataFrame([(t,) for t in texts], "text string")
-    got = [r[0] for r in rows.select(F.expr(found("text", "[ab]+1?")).alias("x")).collect()]
+    got = [r[0] for r in rows.select(F.expr(found("text", "[ab]+1?", *MATCH)).alias("x")).collect()]
     want = [[(s, e, t[s:e]) for s, e in brute.matches(t, "[ab]+1?")] for t in texts]
     assert [[tuple(x) for x in spans] for spans in got] == want
 
@@ -313,17 +345,31 @@ def test_components(spark, shape):
 # --- packing ---
 
 
-def test_sequences_hold_all_ids_and_pad(spark, docs):
-    path = public_tokenizers.path("word_bpe_49k.json")
-    pieces = packing.pack(docs, path, at_blanks, 2, window=64)
-    rows = packing.sequences(pieces, pad_id=0, window=64).orderBy("sequence_id").collect()
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_sequences_hold_all_ids_and_pad(spark, docs, partitions):
+    path, folder = public_tokenizers.path("word_bpe_49k.json"), shared_dir(spark, "sequences")
+    written = packing.write_sequences(
+        docs.repartition(partitions), path, at_blanks, 2, folder, window=64
+    )
+    rows = written.orderBy("sequence_id").collect()
     encode = brute.ids_of("word_bpe_49k.json")
+    texts = {d: encode(t) for d, t in docs.collect()}
     total = sum(len(encode(t)) for _, t in docs.collect())
+    assert [r.sequence_id for r in rows] == list(range(len(rows)))
     assert sum(r.length for r in rows) == total
     assert all(r.length == 64 for r in rows[:-1])
     for r in rows:
         full = r.length if r.length & (r.length - 1) == 0 else 64
         assert len(r.ids) == 4 * full and not any(r.ids[4 * r.length :])
+        assert [p.offset for p in r.pieces] == [sum(q.length for q in r.pieces[:i]) for i in range(len(r.pieces))]
+        assert sum(p.length for p in r.pieces) == r.length
+    seen = Counter()
+    for piece in packing.boundaries(written).collect():
+        ids = np.frombuffer(piece.ids, "<u4").tolist()
+        seen[piece.doc_id] += len(ids)
+        if piece.doc_id is not None and piece.doc_id != 206:  # ids that stand once
+            assert ids == texts[piece.doc_id][piece.start : piece.start + piece.length]
+    assert seen.total() == total
 
 
 # --- line dedup ---
@@ -369,7 +415,30 @@ def test_runs_do_not_depend_on_partitions(data):
     for own in groups.values():
         if len({x[:2] for x in own}) >= min_docs:
             want += sorted(own)[1:] if keep_first else own
-    assert streamed(rows, cuts, min_docs, keep_first) == sorted(want)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(line_dedup, "HELD_LINES", data.draw(st.sampled_from([0, 1, 5, 100_000])))
+        assert streamed(rows, cuts, min_docs, keep_first) == sorted(want)
+
+
+def test_one_line_said_millions_of_times_is_not_held():
+    """Time in proportion and bounded memory: a document of equal lines, in batches."""
+
+    def stream(n):
+        runs, most = line_dedup._Runs(10, False), 0
+        start = time.monotonic()
+        for first in range(0, n, 10_000):
+            batch = np.zeros((5, 10_000), dtype=np.int64)
+            batch[4] = np.arange(first, first + 10_000)
+            list(runs.add(batch))
+            most = max(most, 0 if runs.held is None else runs.held.shape[1])
+        list(runs.end())
+        return time.monotonic() - start, most
+
+    stream(1_000_000)
+    short, held = stream(2_000_000)
+    long, most = stream(20_000_000)
+    assert most == held <= line_dedup.HELD_LINES + 10_000
+    assert long < 30 * max(short, 0.02)
 
 
 def test_first_occurrences_stay(spark, docs):
@@ -398,6 +467,16 @@ def test_blocks_give_one_blocks_answer(spark, odd):
     assert shape(whole) == shape(split)
 
 
+def test_item_ids_of_text(spark):
+    docs = spark.createDataFrame([(1, "so one two three it is"), (2, "four")], DOCS)
+    items = spark.createDataFrame(
+        [("a1", "one two three"), ("b", "two three it"), (None, "four")], "item_id string, text string"
+    )
+    for block_bytes in (1 << 20, 5):
+        found = decontaminate.find(docs, items, size=3, block_bytes=block_bytes)
+        assert [(r.doc_id, r["items"]) for r in found.orderBy("doc_id").collect()] == [(1, ["a1", "b"]), (2, [])]
+
+
 def test_copies_of_an_item_fill_no_block(spark):
     items = [(7, "one two three")] * 500 + [(i, f"word{i} more") for i in range(20)]
     benchmark = spark.createDataFrame(items, "item_id long, text string").repartition(4)

@@ -54,7 +54,7 @@ def test_op2(spark, tables):
         slots[r.shard].append(r)
     counts = [len(slots[s]) for s in range(24)]
     assert set(slots) <= set(range(24)) and max(counts) - min(counts) <= 1
-    key = lambda r: (r.curve_position, brute.nulls_first(r.doc_id), r.size, r.text_crc32)
+    key = lambda r: r.curve_position
     run = []
     for s in range(24):
         own = sorted(slots[s], key=lambda r: r.slot)
@@ -153,6 +153,28 @@ def test_op10(spark, tables):
     assert not any(r.kept for r in rows if r.base_failed)
 
 
+def test_op11(spark, tables):
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert result(spark, "op11", tables[0], *columns) == Counter(brute.op11(tables[1]))
+
+
+def test_op12(spark, tables):
+    # The plain version takes quadratic time: two texts of 60000 words are left to it elsewhere.
+    docs = [r for r in tables[1] if len(r[1] or "") < 100_000]
+    columns = [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+        "collapsed_sha256",
+    ]
+    found = result(spark, "op12", tables[0], *columns)
+    assert not Counter(brute.op12(docs)) - found and found.total() == len(tables[1])
+
+
+def test_op13(spark, tables):
+    docs = rows_of(tables[0], "documents", "lang", "text")
+    columns = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert result(spark, "op13", tables[0], *columns) == Counter(brute.op13(docs))
+
+
 @pytest.mark.parametrize("name", [k for k in QUERIES if k.startswith("op") or k == "pipeline"])
 def test_empty_tables(spark, empty, name):
     rows = QUERIES[name](spark, empty).collect()

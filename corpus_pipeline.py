@@ -14,6 +14,7 @@ from marquee.llm import decontaminate, line_dedup, packing, quality, simhash
 from marquee.llm.common import table, with_row_key, written
 from marquee.llm.queries import END_ID, vocabulary
 from marquee.llm.tokens import at_blanks
+from marquee.session import shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boundary records of sequences of 4096 tokens; ids as in the operator, with their digest."""
-    pieces = packing.pack(docs, vocabulary("word_bpe_49k.json"), at_blanks, END_ID)
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    path, folder = vocabulary("word_bpe_49k.json"), shared_dir(spark, "sequences")
+    sequences = packing.write_sequences(docs, path, at_blanks, END_ID, folder)
+    return packing.boundaries(sequences).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 STAGES = [

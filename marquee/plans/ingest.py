@@ -231,7 +231,8 @@ def _produce_run(
         "source_file",
         F.col("updated_at").alias("created_at"),
     )
-    store.write_run(event.coalesce(1), "events", f"writer=producer/batch={number}-{state.resume_after}")
+    here = f"gen={store.generation()}/writer=producer/batch={number}-{state.resume_after}"
+    store.write_run(event.coalesce(1), "events", here)
     merged = manifest.upsert_progress(progress, update).coalesce(1)
     store.write_snapshot(merged, "progress", version + 1)
     return Produced(name, dataset.table, counts.enqueued, counts.malformed, completed)
@@ -275,7 +276,8 @@ def _messages(
 
 def event_log(store: Store) -> DataFrame:
     """The events of all producer and consumer batches."""
-    return store.read("events", f"{EVENT_LOG}, writer STRING, batch STRING").drop("writer", "batch")
+    rows = store.read(f"events/gen={store.generation()}", f"{EVENT_LOG}, writer STRING, batch STRING")
+    return rows.drop("writer", "batch")
 
 
 def dead_letter_log(store: Store) -> DataFrame:
@@ -289,18 +291,18 @@ def land(
     batch: DataFrame,
     dataset: Dataset,
     target: DataFrame,
-    parents: Callable[[str], DataFrame] | None = None,
+    parents: Callable[[str, str], DataFrame] | None = None,
     rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows to insert, ids to retry) for one table's accepted messages (id, columns).
 
     The first message of a key wins and keys the target holds are left alone. With
-    ``parents`` (table name to rows) messages whose parents are missing are retried; the
-    others of the batch are not held up by them.
+    ``parents`` (table and referring column to rows) messages whose parents are missing are
+    retried; the others of the batch are not held up by them.
     """
     insertable, orphans = batch, batch.limit(0)
     if parents and dataset.references:
-        references = [(fk, parents(table), pk) for fk, table, pk in dataset.references]
+        references = [(fk, parents(table, fk), pk) for fk, table, pk in dataset.references]
         insertable, orphans = rel.split_orphans(batch, references, rows)
     first = rel.first_per_key(insertable, dataset.key, ["id"])
     fresh = rel.without_existing(first, target, dataset.key, rows)

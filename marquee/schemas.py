@@ -170,6 +170,21 @@ def _dataset(table: str) -> Dataset:
 
 DATASETS: dict[str, Dataset] = {table: _dataset(table) for table in _DUMPS}
 
+
+
+def _levels() -> tuple[tuple[Dataset, ...], ...]:
+    depth: dict[str, int] = {}
+    for table, dataset in DATASETS.items():  # parents come first
+        depth[table] = 1 + max((depth[parent] for _, parent, _ in dataset.references), default=-1)
+    return tuple(
+        tuple(d for d in DATASETS.values() if depth[d.table] == level)
+        for level in range(max(depth.values()) + 1)
+    )
+
+
+#: The tables by how far their references reach: each refers to tables of earlier levels only.
+LEVELS = _levels()
+
 MESSAGE_QUEUE = (
     """id BIGINT, queue_name STRING, payload STRING, status STRING,
     created_at TIMESTAMP, updated_at TIMESTAMP, attempt_count INT, max_attempts INT,

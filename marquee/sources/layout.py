@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators.relational import inverted_index
@@ -79,8 +81,50 @@ def posting_counts(df: DataFrame, array: str, key: str) -> DataFrame:
     return inverted_index(df, array, key).groupBy("value").agg(F.count("*").alias("n"))
 
 
-def write_inverted_index(df: DataFrame, array: str, key: str, path: str) -> None:
-    """Postings ranged and sorted on (value, id): a lookup reads the few files whose
-    value range fits, and a hot value fills several of them."""
-    postings = inverted_index(df, array, key).repartitionByRange("value", key)
-    postings.sortWithinPartitions("value", key).write.parquet(path)
+def _bucket(value: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+
+
+def write_inverted_index(df: DataFrame, array: str, key: str, path: str, buckets: int = 64) -> None:
+    """Postings in folders by a hash of the value, ranged and sorted on (value, id) in each.
+
+    A lookup opens the folders of the values it asks for; a hot value fills several files.
+    """
+    postings = inverted_index(df, array, key).withColumn("bucket", _bucket(F.col("value"), buckets))
+    ranged = postings.repartitionByRange("bucket", "value", key)
+    ordered = ranged.sortWithinPartitions("bucket", "value", key)
+    ordered.write.partitionBy("bucket").parquet(path)
+
+
+def postings_of(
+    spark: SparkSession, path: str, key: str, values: Sequence[str], buckets: int = 64
+) -> DataFrame:
+    """(value, key) rows of the asked values from a stored index; other folders stay closed."""
+    schema = f"value STRING, {key} STRING, bucket INT"
+    wanted = sorted(set(values))
+    # The hashes of literals are worked out while planning, so this prunes folders.
+    folders = F.col("bucket").isin(*(_bucket(F.lit(v), buckets) for v in wanted))
+    rows = spark.read.schema(schema).parquet(path).filter(folders & F.col("value").isin(*wanted))
+    return rows.select("value", key)
+
+
+def holding_all(
+    spark: SparkSession, path: str, key: str, values: Sequence[str], buckets: int = 64
+) -> DataFrame:
+    """Keys whose array holds every one of ``values``, from the postings alone.
+
+    Relational division: a key's postings of the asked values are as many as the values. The
+    counts fold in the map tasks; the arrays are not read.
+    """
+    if not values:
+        raise ValueError("ask for at least one value")
+    rows = postings_of(spark, path, key, values, buckets)
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") == len(set(values))).select(key)
+
+
+def holding_any(
+    spark: SparkSession, path: str, key: str, values: Sequence[str], buckets: int = 64
+) -> DataFrame:
+    """Keys whose array holds one of ``values`` or more, from the postings alone."""
+    return postings_of(spark, path, key, values, buckets).select(key).distinct()

@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,8 @@ from pyspark.sql.streaming import StreamingQuery
 from marquee.operators import normalize
 from marquee.operators.queue import DEFAULT_ATTEMPTS, MAX_ERROR_CHARS, backoff
 from marquee.plans.ingest import PRODUCED, batch_event, land
-from marquee.schemas import DATASETS, Dataset
+from marquee.schemas import DATASETS, LEVELS, Dataset
+from marquee.sources.buckets import bucket_of, buckets, spread, touched_buckets
 from marquee.sources.store import Store
 
 log = logging.getLogger("marquee")
@@ -37,7 +40,8 @@ REFUSED = "refused"
 WAITING = "id BIGINT, payload STRING, attempts INT, available_at TIMESTAMP"
 #: Messages that never land, kept as they came.
 REJECTED = "id BIGINT, payload STRING, outcome STRING, reason STRING"
-ROUND = "run STRING, epoch BIGINT, round INT"
+PLACE = "run STRING, epoch BIGINT, round INT"
+ROUND = f"{PLACE}, bucket INT"
 
 Writer = Callable[[DataFrame, str, str], None]
 
@@ -47,9 +51,9 @@ def produced_messages(
 ) -> DataFrame:
     """Stream of the messages ``plans.ingest.produce`` wrote.
 
-    Landing a batch passes once over the keys of its tables and their parents, however small
-    the batch, so by default everything that waits makes one batch. ``files_per_batch``
-    bounds it where latency or back-pressure matters more.
+    Landing a batch reads the keys in those buckets of its tables and their parents that it
+    touches, which for a large batch are all, so by default everything that waits makes one
+    batch. ``files_per_batch`` bounds it where latency or back-pressure matters more.
     """
     reader = spark.readStream.schema(f"{PRODUCED}, source INT, after BIGINT")
     if files_per_batch:
@@ -59,23 +63,44 @@ def produced_messages(
 
 
 def landed(
-    store: Store, dataset: Dataset, run: str, epoch: int, turn: int, inclusive: bool
+    store: Store,
+    dataset: Dataset,
+    run: str,
+    epoch: int,
+    turn: int,
+    inclusive: bool,
+    within: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Rows of a table as of a round of a batch of ``run``: without it, or with it included."""
-    rows = store.read(f"tables/{dataset.table}", f"{_ddl(dataset)}, {ROUND}")
+    """Rows of a table as of a round of a batch of ``run``: without it, or with it included.
+
+    ``within`` names the buckets to read; the others' files are not opened.
+    """
+    rows = _stored(store, dataset)
+    if within is not None:
+        rows = rows.filter(F.col("bucket").isin(*within))
     last = turn if inclusive else turn - 1
     earlier = (F.col("epoch") < epoch) | ((F.col("epoch") == epoch) & (F.col("round") <= last))
     return rows.filter((F.col("run") != run) | earlier)
 
 
-def _ddl(dataset: Dataset) -> str:
+def _stored(store: Store, dataset: Dataset) -> DataFrame:
+    here = f"tables/{dataset.table}/gen={store.generation()}"
+    return store.read(here, f"{ddl(dataset)}, {ROUND}")
+
+
+def ddl(dataset: Dataset) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dataset.schema.fields)
 
 
+def outcome_log(store: Store) -> DataFrame:
+    """What became of the messages of every batch: a row per message and attempt."""
+    rows = store.read(f"outcomes/gen={store.generation()}", OUTCOMES)
+    return rows.select("id", "table_name", "outcome", "reason", "attempts")
+
+
 def table(spark: SparkSession, store_dir: str, name: str) -> DataFrame:
     """All landed rows of a table."""
-    rows = Store(spark, store_dir).read(f"tables/{name}", f"{_ddl(DATASETS[name])}, {ROUND}")
-    return rows.drop("run", "epoch", "round")
+    return _stored(Store(spark, store_dir), DATASETS[name]).drop("run", "epoch", "round", "bucket")
 
 
 def _waiting(store: Store, run: str, epoch: int, turn: int) -> DataFrame:
@@ -101,18 +126,54 @@ def consume(
 
     Messages that wait and are due at ``as_of`` (by default, now) join the batch; the others
     wait on. ``turn`` numbers the rounds of a batch, of which the stream's own is 0.
-
-    The parsed batch is written once, split by target table, and everything after reads its
-    part of that: nothing is parsed again, for another table or after a lost executor.
     """
-    write = write or store.write_run
     now = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of.cast("timestamp")
-    here = f"run={run}/epoch={epoch}/round={turn}"
     _refuse_lost_checkpoint(store, run, epoch)
+    write, store = write or store.write_run, store.pin()
     waiting = _waiting(store, run, epoch, turn)
     claimed = batch.select("id", "payload", F.lit(0).alias("attempts")).unionByName(
         waiting.filter(F.col("available_at") <= now).drop("available_at")
     )
+    place = (run, epoch, turn)
+    parsed, written = land_messages(claimed, store, place, references, write)
+    retry = written.filter(F.col("outcome") == "retry")
+    retries = retry.groupBy("id").agg(F.max("attempts").alias("attempts"))
+    again = parsed.select("id", "payload").join(retries, "id")
+    again = again.withColumn("available_at", now + backoff(F.col("attempts")))
+    mark = store.spark.createDataFrame([(None, None, None, None)], WAITING)
+    later = waiting.filter(F.col("available_at") > now)
+    here = f"run={run}/epoch={epoch}/round={turn}"
+    store.write_run(mark.unionByName(again).unionByName(later), "waiting", here)
+    record_batch(store, place, batch_event(written, now))
+
+
+def record_batch(store: Store, place: tuple[str, int, int], event: DataFrame) -> None:
+    """Write the event of the batch at ``place``, the last thing a batch does."""
+    run, epoch, turn = place
+    name = f"{run}-{epoch}-{turn}" if turn else f"{run}-{epoch}"
+    here = f"gen={store.generation()}/writer=consumer/batch={name}"
+    store.write_run(event, "events", here)
+
+
+def land_messages(
+    claimed: DataFrame,
+    store: Store,
+    place: tuple[str, int, int],
+    references: bool = True,
+    write: Writer | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(parsed messages, their outcomes), both as written, of messages (id, payload, attempts).
+
+    The parsed batch is written once, split by target table, and everything after reads its
+    part of that: nothing is parsed again, for another table or after a lost executor. Tables
+    land in waves: all at once that refer to earlier waves only, so that a parent and its child
+    may come in one batch.
+    """
+    run, epoch, turn = place
+    here = f"run={run}/epoch={epoch}/round={turn}"
+    recorded = f"gen={store.generation()}/{here}"
+    write = write or store.write_run
+    count = buckets(store)
     part = F.when(F.col("reason").isNull(), F.col("table_name")).otherwise(F.lit(REFUSED))
     parsed = normalize.normalize_messages(claimed).withColumn("part", part)
     inbox = f"{store.path('inbox')}/{here}"
@@ -127,17 +188,15 @@ def consume(
         normalize.permanent_reason().alias("reason"),
         (F.col("attempts") + 1).alias("attempts"),
     )
-    store.write_run(outcomes, "outcomes", f"{here}/part={REFUSED}")
-    for dataset in DATASETS.values():
-        if dataset.table not in counts:
-            continue
+    store.write_run(outcomes, "outcomes", f"{recorded}/part={REFUSED}")
+
+    def land_one(dataset: Dataset) -> None:
         mine = normalize.accepted_messages(
             parsed.filter(F.col("part") == dataset.table), dataset, "id", "attempts"
         )
         try:
             rows = counts[dataset.table]
-            place = (run, epoch, turn)
-            retry = _land_table(mine, dataset, store, place, references, rows, write)
+            retry = _land_table(mine, dataset, store, place, references, rows, write, count)
         except AnalysisException:
             raise  # a fault of the job, not of its data or the store
         except (PySparkException, Py4JJavaError, OSError) as error:
@@ -146,20 +205,26 @@ def consume(
             text = f"landing error: {error}"[:MAX_ERROR_CHARS]
             retry = mine.select("id").distinct().withColumn("reason", F.lit(text))
         done = mine.select("id", "attempts").join(retry, "id", "left")
-        store.write_run(_outcomes(done, dataset.table), "outcomes", f"{here}/part={dataset.table}")
-    written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{here}")
-    retry = written.filter(F.col("outcome") == "retry")
-    retries = retry.groupBy("id").agg(F.max("attempts").alias("attempts"))
-    again = parsed.select("id", "payload").join(retries, "id")
-    again = again.withColumn("available_at", now + backoff(F.col("attempts")))
+        store.write_run(_outcomes(done, dataset.table), "outcomes", f"{recorded}/part={dataset.table}")
+
+    for level in LEVELS:
+        _at_once(store.spark, land_one, [d for d in level if d.table in counts])
+    written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{recorded}")
     ended = written.filter(F.col("outcome").isin("permanent", "failed"))
     rejected = parsed.select("id", "payload").join(ended, "id")
-    store.write_run(rejected.select("id", "payload", "outcome", "reason"), "rejected", here)
-    mark = store.spark.createDataFrame([(None, None, None, None)], WAITING)
-    later = waiting.filter(F.col("available_at") > now)
-    store.write_run(mark.unionByName(again).unionByName(later), "waiting", here)
-    name = f"{run}-{epoch}-{turn}" if turn else f"{run}-{epoch}"
-    store.write_run(batch_event(written, now), "events", f"writer=consumer/batch={name}")
+    store.write_run(rejected.select("id", "payload", "outcome", "reason"), "rejected", recorded)
+    return parsed, written
+
+
+def _at_once(spark: SparkSession, job: Callable[[Dataset], None], datasets: list[Dataset]) -> None:
+    """``job`` for each table, side by side; the first fault is raised once all have ended."""
+    if len(datasets) == 1:
+        job(datasets[0])
+    elif datasets:
+        with ThreadPoolExecutor(len(datasets)) as pool:
+            done = [pool.submit(inheritable_thread_target(spark)(job), d) for d in datasets]
+        for one in done:
+            one.result()
 
 
 def retry_due(
@@ -213,18 +278,26 @@ def drain(
         sleep(max(0.1, (due - datetime.now(timezone.utc)).total_seconds()))
 
 
-def _land_table(mine, dataset, store, place, references, rows, write) -> DataFrame:
-    """Insert one table's rows; (id, reason) of the messages to retry."""
+def _land_table(mine, dataset, store, place, references, rows, write, count) -> DataFrame:
+    """Insert one table's rows; (id, reason) of the messages to retry.
+
+    Rows are kept by bucket of their key, and only the buckets that the batch's keys and
+    references fall in are read.
+    """
     run, epoch, turn = place
 
-    def parents(name: str) -> DataFrame:
-        return landed(store, DATASETS[name], *place, inclusive=True)
+    def parents(name: str, column: str) -> DataFrame:
+        within = touched_buckets(mine, [column], count, rows)
+        return landed(store, DATASETS[name], *place, inclusive=True, within=within)
 
-    target = landed(store, dataset, *place, inclusive=False)
+    within = touched_buckets(mine, dataset.key, count, rows)
+    target = landed(store, dataset, *place, inclusive=False, within=within)
     fresh, orphans = land(
         mine.drop("attempts"), dataset, target, parents if references else None, rows
     )
-    write(fresh, f"tables/{dataset.table}", f"run={run}/epoch={epoch}/round={turn}")
+    fresh = fresh.withColumn("bucket", bucket_of(dataset.key, count))
+    here = f"gen={store.generation()}/run={run}/epoch={epoch}/round={turn}"
+    write(spread(fresh, ["bucket"], dataset.key, rows / count), f"tables/{dataset.table}", here)
     return orphans.distinct().select("id", F.lit("a referenced row is missing").alias("reason"))
 
 
@@ -274,7 +347,8 @@ def purge_produced(spark: SparkSession, store_dir: str, run: str = "main") -> in
     batch before the last one begun: the stream will not ask for those again. Dead letters stay.
     """
     store = Store(spark, store_dir)
-    outcomes = store.read("outcomes", f"{OUTCOMES}, run STRING, epoch BIGINT").filter(
+    here = f"outcomes/gen={store.generation()}"
+    outcomes = store.read(here, f"{OUTCOMES}, run STRING, epoch BIGINT").filter(
         (F.col("run") == run) & (F.col("outcome") != "retry")
     )
     begun = store.read(f"inbox/run={run}", "id BIGINT, epoch BIGINT, round INT, part STRING")

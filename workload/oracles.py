@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from workload import catalog
 from workload.views import AS_OF, duck_ctes
 
 NOW = f"timestamp'{AS_OF}'"
@@ -340,10 +341,8 @@ SELECT id, concat('[permanent] validation error: ', reason) AS reason
 FROM routed WHERE reason IS NOT NULL
 UNION ALL
 SELECT id, concat('[permanent] validation error: ', reason) FROM ratings WHERE reason IS NOT NULL""",
-        "fanout_counts": f"""{routed}
-SELECT 'title_ratings' AS table_name, count(*) AS accepted FROM ratings WHERE reason IS NULL
-UNION ALL SELECT 'title_crew', count(*) FROM crew""",
         "upsert_first_wins": f"{routed} {first}",
+        "land_pruned": f"{routed} {first}",
         "batch_event": f"""{routed}
 SELECT 'consumer_batch_complete' AS event_type,
        to_json({{'claimed': (SELECT count(*) FROM routed),
@@ -470,7 +469,31 @@ def _queue() -> dict[str, str]:
        count(*) FILTER (WHERE status = 'done') AS done,
        count(*) FILTER (WHERE status = 'failed') AS failed, count(*) AS total,
        min(created_at) FILTER (WHERE status = 'pending') AS oldest_pending_at"""
+    def step(name: str, changes: dict[str, str], before: str) -> str:
+        return f"{name} AS (SELECT {_changed(changes)} FROM {before})"
+
+    even = {c: v.replace("o_orderkey IS NOT NULL", "cid % 2 = 0") for c, v in ack.items()}
+    given = {c: _case("seq IS NOT NULL", v, c) for c, v in nack.items()}
+    stored = ",\n".join([
+        f"""q0 AS (SELECT {', '.join(_QUEUE_COLUMNS)} FROM message_queue UNION ALL
+  SELECT -1 - (conv_id * 1000 + turn), role, to_json({{'text': text}}), 'pending', {NOW}, {NOW}, 0, 5,
+         {NOW}, NULL, NULL, NULL, NULL FROM conversations
+  WHERE text IS NOT NULL AND trim(role) <> '')""",
+        f"""claim AS (SELECT id AS cid FROM q0
+  WHERE queue_name = 'q1' AND {claimable} ORDER BY id LIMIT 100)""",
+        step("q1", expire, "q0"),
+        step("q2", claimed, "q1 LEFT JOIN claim ON cid = id"),
+        step("q3", even, "q2 LEFT JOIN claim ON cid = id"),
+        """why AS (SELECT cid AS seq, CASE WHEN cid % 3 = 0 THEN '[permanent] bad' ELSE 'boom' END
+  AS reason FROM claim WHERE cid % 2 <> 0)""",
+        step("q4", given, "q3 LEFT JOIN why ON seq = id"),
+        victims.replace("message_queue", "q4"),
+        "kept AS (SELECT * FROM q4 WHERE id NOT IN (SELECT id FROM victims))",
+    ])
     return {
+        "queue_store_roundtrip": f"{queue}, {stored} SELECT * FROM kept",
+        "queue_metrics_incremental": f"""{queue}, {stored}
+SELECT queue_name, {counts} FROM kept GROUP BY queue_name""",
         "queue_enqueue": f"""
 SELECT conv_id * 1000 + turn AS id, role AS queue_name, to_json({{'text': text}}) AS payload,
        'pending' AS status, {NOW} AS created_at, {NOW} AS updated_at, 0 AS attempt_count,
@@ -536,6 +559,8 @@ SELECT c.tconst, n.nconst, n.primary_name
 FROM (SELECT DISTINCT tconst, unnest(directors) AS nconst FROM title_crew) c
 JOIN name_basics n ON n.nconst = c.nconst""",
         "genres_contains_all": f"""{basics}
+SELECT tconst, genres FROM title_basics WHERE list_has_all(genres, ['Drama', 'Comedy'])""",
+        "genres_by_postings": f"""{basics}
 SELECT tconst, genres FROM title_basics WHERE list_has_all(genres, ['Drama', 'Comedy'])""",
         "genres_overlap": f"""{basics}
 SELECT tconst, genres FROM title_basics WHERE list_has_any(genres, ['Film-Noir', 'Western'])""",
@@ -547,6 +572,8 @@ SELECT DISTINCT value, tconst FROM {opened} WHERE value IS NOT NULL""",
         "genre_posting_counts": f"""{basics}
 SELECT value, count(DISTINCT tconst) AS n FROM {opened} WHERE value IS NOT NULL GROUP BY value""",
         "column_stats": f"{duck_ctes('title_ratings')} {stats}",
+        "column_stats_merged": f"""{duck_ctes('title_ratings')}
+SELECT "column", "rows", nulls, smallest, largest, true AS near FROM ({stats})""",
         "curate_movies": f"""{basics}
 SELECT start_year, tconst, primary_title, genres, runtime_minutes FROM title_basics
 WHERE title_type = 'movie'""",
@@ -625,14 +652,11 @@ FROM queue_ops WHERE op <> 'ack'"""
     return {
         "queue_lifecycle": lives("SELECT *, 1 AS batch FROM queue_ops"),
         "queue_lifecycle_late": lives(late),
-        "stream_ingest": _messages()["upsert_first_wins"].replace(
-            "AND tconst NOT IN (SELECT tconst FROM title_ratings)", ""
-        ),
     }
 
 
 def oracles() -> dict[str, str]:
-    return {
+    found = {
         **_scenarios(),
         **_dumps(),
         **_other_dumps(),
@@ -641,4 +665,6 @@ def oracles() -> dict[str, str]:
         **_queue(),
         **_tables(),
         **_streams(),
+        **catalog.oracles(),
     }
+    return {**found, "constraint_audit_delta": found["constraint_audit"]}

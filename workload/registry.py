@@ -14,6 +14,9 @@ from marquee.plans import ingest, scenarios
 from marquee.schemas import DATASETS
 from marquee.session import shared_dir
 from marquee.sources import layout, manifest, tsv
+from marquee.sources.buckets import bucket_of, buckets, touched_buckets
+from marquee.sources.queue_store import QueueStore
+from marquee.sources.store import Store
 from marquee.streaming import ingest as stream_ingest
 from marquee.streaming import lifecycle
 from workload.views import AS_OF, stream_view, table, view
@@ -185,6 +188,23 @@ def _first_wins(messages: DataFrame, title_ratings: DataFrame) -> DataFrame:
     )
 
 
+def _land_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``upsert_first_wins`` against ratings stored by buckets of their key."""
+    store = Store(spark, shared_dir(spark, "land"))
+    count = buckets(store)
+    held = view(spark, sf_dir, "title_ratings").withColumn("metadata", F.lit("{}"))
+    held = held.withColumn("bucket", bucket_of(RATINGS.key, count))
+    store.write_run(held, "tables/title_ratings", "gen=0/run=seed/epoch=0/round=0")
+    batch = _ratings(view(spark, sf_dir, "ingest_messages"))
+    rows = batch.count()
+    within = touched_buckets(batch, RATINGS.key, count, rows)
+    target = stream_ingest.landed(store, RATINGS, "main", 0, 0, inclusive=False, within=within)
+    fresh, _ = ingest.land(batch, RATINGS, target, rows=rows)
+    return fresh.select(
+        "tconst", F.col("average_rating").cast("double").alias("average_rating"), "num_votes"
+    )
+
+
 def _dedupe(principals: DataFrame) -> DataFrame:
     return rel.first_per_key(principals, ["tconst", "ordering"], ["nconst", "category"])
 
@@ -212,6 +232,59 @@ def _batch_event(messages: DataFrame) -> DataFrame:
     return ingest.batch_event(_outcomes(messages), F.lit(AS_OF).cast("timestamp_ntz"))
 
 
+def _audit_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``constraint_audit`` over two batches: kept violations, and touched buckets grouped again."""
+    store = Store(spark, shared_dir(spark, "audit"))
+    checks = audit.queue_checks() | {
+        "failed_has_time": (F.col("status") != "failed") | F.col("failed_at").isNotNull()
+    }
+    audits = []
+    for name, key, constraint, late, checked in (
+        ("message_queue", ["id"], "message_queue_pk", F.col("id") % 3 == 0, checks),
+        ("title_principals", ["tconst", "ordering"], "title_principals_natural", F.col("ordering") > 3, {}),
+    ):
+        count = buckets(store)
+        rows = view(spark, sf_dir, name).withColumn("bucket", bucket_of(key, count))
+        schema, kept = f"{_columns(rows)}, batch INT", None
+        for number, part in enumerate((~late, late)):
+            batch = rows.filter(part)
+            store.write_run(batch, name, f"batch={number}")
+            batch = store.read(f"{name}/batch={number}", rows.schema)
+            if checked:  # a row's checks hang on no other row
+                audits.append(audit.check_violations(batch, key, checked))
+            held = store.read(name, schema)
+            if kept is None:
+                found = audit.bucket_duplicates(held, key, constraint)
+            else:
+                touched = touched_buckets(batch, key, count, batch.count())
+                found = audit.renewed_duplicates(kept, held, touched, key, constraint)
+            store.write_snapshot(found, f"kept/{name}", number + 1)
+            kept = store.snapshot(f"kept/{name}", audit.KEPT)[0]
+        audits.append(kept.drop("bucket"))
+    return audit.constraint_audit(audits)
+
+
+def _columns(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the ratings in four batches, stored and merged, beside the exact ones."""
+    ratings = view(spark, sf_dir, "title_ratings")
+    store = Store(spark, shared_dir(spark, "stats"))
+    batches = ratings.withColumn("batch", F.pmod(F.xxhash64("tconst"), F.lit(4)))
+    store.write_run(audit.batch_stats(batches, "batch"), "ratings", "of=all")
+    stored = spark.read.parquet(store.path("ratings/of=all"))
+    merged = audit.merged_stats(stored, "batch")
+    exact = audit.column_stats(ratings, exact=True).select(
+        "column", F.col("distinct_values").alias("exact")
+    )
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    return merged.join(exact, "column").select(
+        "column", "rows", "nulls", "smallest", "largest", (off <= 0.08 * F.col("exact")).alias("near")
+    )
+
+
 def _events_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return ingest.events_latest(events, "error", 20, at="ts", key="event_id").select(
@@ -238,12 +311,14 @@ def _ingestion() -> dict[str, Query]:
         "normalize_messages": _over(_normalize_ratings, messages),
         "normalize_crew_messages": _over(_normalize_crew, messages),
         "rejected_messages": _over(_rejected, messages),
-        "fanout_counts": _over(_fanout, messages),
+        "fanout_counts": _over(_fanout, "catalog_messages"),
         "upsert_first_wins": _over(_first_wins, messages, "title_ratings"),
+        "land_pruned": _land_pruned,
         "dedupe_principals": _over(_dedupe, "title_principals"),
         "orphans_principals": _over(lambda *t: _references(*t)[1], *parents),
         "insertable_principals": _over(lambda *t: _references(*t)[0], *parents),
         "constraint_audit": _over(_audit, "message_queue", "title_principals"),
+        "constraint_audit_delta": _audit_delta,
         "batch_event": _over(_batch_event, messages),
         "events_latest": _events_latest,
     }
@@ -268,6 +343,44 @@ def _nack(message_queue: DataFrame, ops: DataFrame) -> DataFrame:
     return queue.nack(message_queue, reasons, AS_OF)
 
 
+def _stored_queue(spark: SparkSession, sf_dir: str) -> QueueStore:
+    """A stored queue after every transition: each reads, changes and writes the table."""
+    queued = QueueStore(Store(spark, shared_dir(spark, "queue")))
+    queued.load(view(spark, sf_dir, "message_queue"))
+    turns = table(spark, sf_dir, "conversations").select(
+        (-1 - (F.col("conv_id") * 1000 + F.col("turn"))).alias("id"),
+        F.col("role").alias("queue_name"),
+        F.when(F.col("text").isNotNull(), F.to_json(F.struct("text"))).alias("payload"),
+    )
+    queued.enqueue(turns, AS_OF)
+    claimed = queued.dequeue("q1", AS_OF, n=100).select(F.col("msg_id").alias("id"))
+    queued.ack(claimed.filter("id % 2 = 0"), AS_OF)
+    why = F.when(F.col("id") % 3 == 0, F.lit("[permanent] bad")).otherwise(F.lit("boom"))
+    queued.nack(claimed.filter("id % 2 <> 0").withColumn("reason", why), AS_OF)
+    queued.compact()
+    queued.purge("q1", AS_OF)
+    return queued
+
+
+TIMES = (
+    "created_at", "updated_at", "available_at", "processing_started_at", "completed_at",
+    "failed_at", "oldest_pending_at",
+)
+
+
+def _plain_times(df: DataFrame) -> DataFrame:
+    times = {c: F.col(c).cast("timestamp_ntz") for c in TIMES if c in df.columns}
+    return df.withColumns(times)
+
+
+def _queue_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_times(_stored_queue(spark, sf_dir).rows())
+
+
+def _queue_store_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_times(_stored_queue(spark, sf_dir).metrics())
+
+
 def _queue() -> dict[str, Query]:
     half_minute = timedelta(seconds=30)
     q = "message_queue"
@@ -287,6 +400,8 @@ def _queue() -> dict[str, Query]:
         ),
         "queue_purge_victims": _over(lambda m: queue.purge_victims(m, "q1", AS_OF), q),
         "queue_after_purge": _over(lambda m: queue.purge(m, "q1", AS_OF), q),
+        "queue_store_roundtrip": _queue_store,
+        "queue_metrics_incremental": _queue_store_metrics,
     }
 
 
@@ -295,6 +410,14 @@ def _json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.json_contains(events, "props", {"k": 42})
 
 
+def _by_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``genres_contains_all`` answered from a stored index; the titles are fetched for its ids."""
+    titles, path = view(spark, sf_dir, "title_basics"), shared_dir(spark, "postings")
+    layout.write_inverted_index(titles, "genres", "tconst", path)
+    ids = layout.holding_all(spark, path, "tconst", ["Drama", "Comedy"])
+    return titles.join(ids, "tconst", "left_semi").select("tconst", "genres")
+
+
 def _top_votes(title_ratings: DataFrame) -> DataFrame:
     top = layout.curate_top_votes(title_ratings)
     return top.withColumn("average_rating", F.col("average_rating").cast("double"))
@@ -317,10 +440,12 @@ def _tables() -> dict[str, Query]:
         "genres_overlap": _over(
             lambda t: rel.with_genres(t, some=["Film-Noir", "Western"]).select(*genres), b
         ),
+        "genres_by_postings": _by_postings,
         "json_path_filter": _json_path,
         "genre_postings": _over(lambda t: rel.inverted_index(t, "genres", "tconst"), b),
         "genre_posting_counts": _over(lambda t: layout.posting_counts(t, "genres", "tconst"), b),
         "column_stats": _over(lambda t: audit.column_stats(t, exact=True), "title_ratings"),
+        "column_stats_merged": _stats_merged,
         "curate_movies": _over(layout.curate_movies, b),
         "curate_by_runtime": _over(layout.curate_by_runtime, b),
         "curate_top_votes": _over(_top_votes, "title_ratings"),
@@ -364,17 +489,43 @@ def _lifecycle_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(spark, folder)
 
 
-def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _consumed(spark: SparkSession, sf_dir: str) -> str:
+    """A store into which one run of the consumer landed messages of all seven tables."""
     folder = shared_dir(spark, "ingest")
-    messages = stream_view(spark, sf_dir, "ingest_messages")
-    # The messages hold ratings and crews only, so there are no titles to refer to.
-    stream_ingest.run_ingest(
-        messages, f"{folder}/store", f"{folder}/checkpoint", references=False
-    ).awaitTermination()
-    landed = stream_ingest.table(spark, f"{folder}/store", "title_ratings")
-    return landed.select(
-        "tconst", F.col("average_rating").cast("double").alias("average_rating"), "num_votes"
-    )
+    messages = stream_view(spark, sf_dir, "catalog_messages")
+    query = stream_ingest.run_ingest(messages, f"{folder}/store", f"{folder}/checkpoint")
+    query.awaitTermination()
+    return f"{folder}/store"
+
+
+#: What the result of ``stream_ingest`` shows of each table, beside the key.
+SHOWN = {
+    "title_basics": "primary_title, start_year, array_join(genres, ',')",
+    "name_basics": "primary_name, birth_year",
+    "title_ratings": "average_rating, num_votes",
+    "title_crew": "array_join(directors, ',')",
+    "title_episode": "parent_tconst, season_number, episode_number",
+    "title_akas": "title, is_original_title",
+    "title_principals": "nconst, category, characters",
+}
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, out = _consumed(spark, sf_dir), None
+    for name, shown in SHOWN.items():
+        key = ", ".join(DATASETS[name].key)
+        rows = stream_ingest.table(spark, store, name).select(
+            F.lit(name).alias("table_name"),
+            F.expr(f"concat_ws('|', {key})").alias("key"),
+            F.expr(f"concat_ws('|', {shown})").alias("shown"),
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _consume_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = stream_ingest.outcome_log(Store(spark, _consumed(spark, sf_dir)))
+    return log.select("id", "table_name", "outcome", "reason", "attempts")
 
 
 def _streams() -> dict[str, Query]:
@@ -382,6 +533,7 @@ def _streams() -> dict[str, Query]:
         "queue_lifecycle": _lifecycle,
         "queue_lifecycle_late": _lifecycle_late,
         "stream_ingest": _stream_ingest,
+        "consume_outcomes": _consume_outcomes,
     }
 
 

@@ -279,6 +279,47 @@ SELECT event_id AS id, ts AS created_at,
 FROM events"""
 
 
+def _catalog_messages(d: Dialect) -> str:
+    """Messages of all seven tables: of twenty consecutive events, those of one title and one name.
+
+    Every ninth title and name is missing (its message repeats the one before), keys come more
+    than once, and some messages are of no table, hold no valid key or a rating beyond its range.
+    """
+    k = d.div("event_id", 20)
+    title = f"cast({k} - CASE WHEN {k} % 9 = 4 THEN 1 ELSE 0 END AS string)"
+    name = f"cast({k} - CASE WHEN {k} % 9 = 5 THEN 1 ELSE 0 END AS string)"
+    own, after = f"cast({k} AS string)", f"cast({k} + 1 AS string)"
+    event = "cast(event_id AS string)"
+
+    def message(table: str, *parts: str) -> str:
+        data = ", ".join(p if p.startswith("cast(") else f"'{p}'" for p in parts)
+        return f"""concat('{{"table":"{table}","data":{{', {data}, '}}}}')"""
+
+    cases = [
+        message("title_basics", '"tconst":"tt', title, '","title_type":"movie","primary_title":"T', event,
+                '","start_year":"', "cast(1950 + event_id % 70 AS string)", '","genres":["Drama","","G', own, '"]'),
+        message("title_basics", '"tconst":"xx', event, '","title_type":"movie"'),
+        message("name_basics", '"nconst":"nm', name, '","primary_name":"N', event, '","birth_year":1970'),
+        message("name_basics", '"nconst":"nm', name, '","primary_name":"late ', event, '"'),
+        message("title_ratings", '"tconst":"tt', own, '","average_rating":"', "cast(event_id % 10 AS string)", '.5","num_votes":', event),
+        message("title_ratings", '"tconst":"tt', own, '","average_rating":"1.0","num_votes":', event),
+        message("title_ratings", '"tconst":"tt', own, '","average_rating":"11.0","num_votes":1'),
+        message("title_crew", '"tconst":"tt', own, '","directors":["nm', own, '","","nm', after, '"]'),
+        message("title_crew", '"tconst":"tt99', own, '","directors":["nm1"]'),
+        message("title_episode", '"tconst":"tt', own, '","parent_tconst":"tt', after, '","season_number":"2","episode_number":', event),
+        message("title_episode", '"tconst":"tt', own, '","parent_tconst":"tt', own, '","season_number":null'),
+        *(message("title_akas", '"title_id":"tt', own, f'","ordering":{n},"title":"A', event, '","is_original_title":"1"') for n in (1, 2, 2)),
+        message("title_principals", '"tconst":"tt', own, '","ordering":"1","nconst":"nm', own, '","category":"actor","characters":["Self"]'),
+        message("title_principals", '"tconst":"tt', own, '","ordering":2,"nconst":null,"category":"writer"'),
+        message("title_principals", '"tconst":"tt', own, '","ordering":3,"nconst":"nm', after, '","category":"self"'),
+        """'{"table":"nope","data":{}}'""",
+        "'[1]'",
+        message("name_basics", '"nconst":"tt', event, '"'),
+    ]
+    whens = " ".join(f"WHEN {i} THEN {case}" for i, case in enumerate(cases))
+    return f"SELECT event_id AS id, CASE event_id % 20 {whens} END AS payload FROM events"
+
+
 def _source_manifest(d: Dialect) -> str:
     return """
 SELECT concat(lower(n_name), '.tsv.gz') AS source_file, 'title_basics' AS table_name,
@@ -333,6 +374,7 @@ VIEWS: dict[str, View] = {
     "raw_title_akas": View(("documents",), _raw_title_akas),
     "raw_title_principals": View(("lineitem",), _raw_title_principals),
     "ingest_messages": View(("events",), _ingest_messages),
+    "catalog_messages": View(("events",), _catalog_messages),
     "source_manifest": View(("nation",), _source_manifest),
     "producer_progress": View(("nation",), _producer_progress),
     "queue_ops": View(("events",), _queue_ops),

@@ -21,7 +21,6 @@ def exact_copies(
     carry: Mapping[str, Column] | None = None,
     first_bytes: int = 32,
     growth: int = 8,
-    broadcast_bytes: int = 16 << 20,
 ) -> DataFrame:
     """(doc_id, the columns of ``carry``, keep_id, group_size, kept) for every row.
 
@@ -34,8 +33,8 @@ def exact_copies(
     those whose text ended: all its bytes were then compared, no digest stands for them. Only the
     others go on, with the bytes that are left. Buckets are counted with partial sums in the map
     tasks, so a bucket of a third of all rows is one row a task there; the rows then meet the
-    shared buckets in a broadcast join if these were counted to at most ``broadcast_bytes``, else
-    in a shuffled one, of which adaptive execution splits hot keys.
+    shared buckets in a merge join, of which adaptive execution splits hot keys. It is asked for
+    at every size, as the number of shared buckets grows with the documents.
 
     Null doc_ids are smaller than any other; a group of them has a null ``keep_id``. Of rows
     with equal doc_id and text one is ``kept``; ``group_size`` counts every row. An empty table
@@ -56,13 +55,10 @@ def exact_copies(
         )
         buckets = written(buckets.withColumn("next", F.monotonically_increasing_id()), "buckets")
         whole = F.octet_length("digit") == width
-        size, going_on = buckets.agg(
-            F.sum(F.octet_length("digit") + 64), F.count(F.when(whole, 1))
-        ).first()
-        shared = F.broadcast(buckets) if (size or 0) <= broadcast_bytes else buckets
+        going_on = not buckets.filter(whole).isEmpty()
         alone = F.col("next").isNull()
         ended = ~alone & ~whole
-        dealt = dealt.join(shared, ["bucket", "digit"], "left").select(
+        dealt = dealt.join(buckets.hint("merge"), ["bucket", "digit"], "left").select(
             "own",
             "next",
             F.monotonically_increasing_id().alias("row"),

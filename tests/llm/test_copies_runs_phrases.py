@@ -1,0 +1,202 @@
+"""Radix rounds, runs and phrases beyond what the registered queries show."""
+
+import random
+
+import brute
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from marquee.llm import periodic, phrases, radix
+
+
+def as_docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, own string, digit string, n long")
+
+
+def with_extras(rows):
+    return [(d, t, "x", "y", 3) for d, t in rows]
+
+
+# --- exact copies
+
+
+def test_copies_that_part_late(spark):
+    """Texts that end or differ at, before and after every digit's edge, some of them hot."""
+    base = "".join(random.Random(1).choice("abé🎉 ") for _ in range(3000))
+    rows, n = [], 0
+    for cut in (0, 1, 3, 4, 5, 11, 12, 13, 35, 36, 37, 500, 3000):
+        for tail in ("", "x", "X", "y", "\x00"):
+            rows.append((n, base[:cut] + tail))
+            n += 1
+    rows += [(10_000 + i, base) for i in range(400)] + [(10_000, base)] * 3
+    rows += [(None, "only nulls"), (None, "only nulls"), (None, None), (5, ""), (5, "")]
+    found = radix.exact_copies(
+        as_docs(spark, with_extras(rows)),
+        {"text_sha256": F.sha2(radix.normalised(), 256)},
+        first_bytes=4, growth=2,
+    )
+    found = found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(brute.op11(rows), key=repr)
+
+
+def test_copies_carry_whole_rows(spark):
+    rows = [(1, "Copy"), (2, "copy"), (3, "other")]
+    found = radix.exact_copies(as_docs(spark, with_extras(rows)), {"row": F.struct("*")})
+    kept = found.filter("kept").select("row.*").collect()
+    assert sorted((r.doc_id, r.text, r.digit, r.n) for r in kept) == [
+        (2, "copy", "y", 3), (3, "other", "y", 3)
+    ]
+
+
+# --- runs
+
+
+def runs_in(texts, min_length=24):
+    return periodic._batch_runs([t.encode().split() for t in texts], min_length)
+
+
+def fibonacci(n):
+    a, b = "a", "ab"
+    while len(b) < n:
+        a, b = b, b + a
+    return b[:n]
+
+
+def periodic_texts(seed):
+    rng = random.Random(seed)
+    kind = rng.randrange(6)
+    letters = "ab" if rng.random() < 0.5 else "abcdefgh"
+    block = lambda n: [rng.choice(letters) for _ in range(n)]
+    if kind == 0:
+        words = block(rng.randint(0, 300))
+    elif kind == 1:  # a run with noise around it
+        u = block(rng.randint(1, 60))
+        words = block(rng.randint(0, 20)) + (u * 8)[: len(u) * 3 + rng.randint(0, 90)] + block(9)
+    elif kind == 2:  # runs within the period of a run
+        u = (block(rng.randint(1, 9)) * rng.randint(1, 12)) + block(rng.randint(0, 30))
+        words = block(5) + u * rng.randint(2, 5) + u[: rng.randint(0, len(u))] + block(5)
+    elif kind == 3:  # a period that is nearly all one letter
+        u = ["a"] * rng.randint(1, 90) + block(rng.randint(0, 3))
+        words = u[rng.randint(0, len(u)) :] + u * 3 + ["a"] * rng.randint(0, 90)
+    elif kind == 4:
+        words = list(fibonacci(rng.randint(10, 400)))
+    else:  # blocks in the order of a word of few letters, so that contexts repeat in a period
+        parts = {c: block(rng.randint(3, 25)) for c in "ab"}
+        order = [rng.choice("ab") for _ in range(rng.randint(2, 8))] * rng.randint(2, 4)
+        words = [w for c in order for w in parts[c]]
+    return words
+
+
+@given(st.lists(st.integers(0, 10**9), min_size=1, max_size=6))
+@settings(max_examples=250, deadline=None)
+def test_runs_as_the_plain_version(seeds):
+    texts = [periodic_texts(s) for s in seeds]
+    assert runs_in([" ".join(t) for t in texts]) == [brute.runs(t) for t in texts]
+    assert runs_in([" ".join(t) for t in texts], 9) == [brute.runs(t, 9) for t in texts]
+
+
+def test_long_periods():
+    rng = np.random.default_rng(5)
+    u = list(map(str, rng.integers(0, 50_000, 20_000)))
+    text = ["head", *(u * 3), *u[:77], "tail"]
+    assert runs_in([" ".join(text)]) == [[(1, 60_077, 20_000)]]
+    assert runs_in(["a " * 500_000 + "b"]) == [[(0, 500_000, 1)]]
+
+
+def test_synchronising_set():
+    """Equal contexts are chosen alike, and no stretch without a small period goes without."""
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        symbols = rng.integers(0, 2 if _ % 2 else 30, 400)
+        if _ % 3 == 0:
+            symbols[50:250] = np.tile(symbols[50:53], 67)[:200]
+        symbols = np.append(symbols, 99)
+        text = periodic.Text(symbols)
+        runs = periodic._small_runs(symbols, 3)
+        for tau in (2, 4, 8, 16):
+            chosen = set(periodic.synchronising_set(text, len(symbols), tau, runs).tolist())
+            seen = {}
+            for i in range(len(symbols) - 2 * tau + 1):
+                context = tuple(symbols[i : i + 2 * tau])
+                assert seen.setdefault(context, i in chosen) == (i in chosen)
+            for i in range(len(symbols) - 3 * tau + 2):
+                stretch = symbols[i : i + 3 * tau - 1].tolist()
+                regular = brute.smallest_period(stretch) * 3 <= tau
+                assert bool(chosen & set(range(i, i + tau))) or regular
+
+
+def test_collapsed_text(spark):
+    rows = [(1, "x " + "a b c " * 9 + "y"), (2, None), (3, "  one two\x1c \x0b three")]
+    found = {
+        r.doc_id: (r.runs, r.collapsed)
+        for r in periodic.periodic_runs(as_docs(spark, with_extras(rows))).collect()
+    }
+    assert found[1][1] == "x a b c y" and tuple(found[1][0][0]) == (1, 27, 3)
+    assert found[2] == ([], "") and found[3] == ([], "  one two\x1c three")
+
+
+# --- phrases
+
+
+def phrase_rows(spark, docs, **options):
+    df = spark.createDataFrame(docs, "lang string, text string").selectExpr(
+        "lang", "text", "'x' AS phrase", "1L AS n", "'y' AS chunk"
+    )
+    return sorted(map(tuple, phrases.collocations(df, **options).collect()))
+
+
+@pytest.mark.parametrize("max_words", [2, 3, 5])
+@pytest.mark.parametrize("batch", [50, 1_000_000])
+def test_phrases_of_any_length(spark, monkeypatch, max_words, batch):
+    rng = random.Random(max_words)
+    vocabulary = [*"abcdefg", "é", "漢字", " ", "x\x00y", "Ä"]
+    docs = [
+        (
+            rng.choice(["en", "de", None, ""]),
+            "".join(
+                rng.choice(vocabulary).upper() + rng.choice([" ", " ", " \t", ". ", "\n", "  ", ",\r"])
+                for _ in range(rng.randint(0, 60))
+            ),
+        )
+        for _ in range(120)
+    ]
+    docs += [(docs[0][0], docs[0][1])] * 40 + [("en", None), ("en", "a " * 3000), ("fr", "?!")]
+    monkeypatch.setattr(phrases, "BATCH_BYTES", batch)
+    options = {"max_words": max_words, "min_count": 4, "cover": 60, "top": 30}
+    assert phrase_rows(spark, docs, **options) == sorted(brute.op13(docs, **options))
+
+
+def test_chunks_own_every_start_once():
+    rng = random.Random(2)
+    pieces = [[str(rng.randrange(30)).encode() for _ in range(rng.randint(1, 200))] for _ in range(50)]
+    lines = [b" ".join(p).decode() for p in pieces] + ["", "  "]
+
+    def chunks_of(lines, overlap):
+        chunks, owned = phrases._chunks(pa.array(lines, pa.string()), overlap)
+        return [(c.split(" "), o) for c, o in zip(chunks.to_pylist(), owned)]
+
+    for overlap in (0, 1, 2, 4):
+        whole = []
+        for words, owned in chunks_of(lines, overlap):
+            assert owned in (len(words), len(words) - overlap)
+            whole += words[:owned]
+        assert whole == [w.decode() for p in pieces for w in p]
+    assert chunks_of([" ", ""], 2) == [] == chunks_of([], 2)
+    assert sorted(chunks_of(lines * 2, 2)) == sorted(chunks_of(lines, 2) * 2)
+
+
+def test_marked_table_covers_all_hashes(spark):
+    from marquee.llm.common import table_of_bits
+
+    hashes = [0, 1, -1, 1 << 62, -(1 << 63), (1 << 63) - 1, 123456789 << 30]
+    df = spark.createDataFrame([(h,) for h in hashes], "hash long")
+    for bits in (8, 27):
+        table = np.unpackbits(
+            np.frombuffer(table_of_bits(df, "hash", bits).value, np.uint8), bitorder="little"
+        )
+        want = {(h & (1 << 64) - 1) >> (64 - bits) for h in hashes}
+        assert set(np.flatnonzero(table).tolist()) == want and len(table) == 1 << bits

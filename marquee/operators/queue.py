@@ -169,7 +169,7 @@ def claim(
 ) -> DataFrame:
     """(msg_id, payload) of the messages a dequeue hands out.
 
-    Only ids go through the top-n; payloads are fetched for the ids that won.
+    Only ids go through the top-n; payloads are fetched for the ids that won, at most MAX_BATCH.
     """
     ids = claim_ids(queue, name, as_of, n, timeout)
     return queue.join(F.broadcast(ids), "id", "left_semi").select(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.arrays import contains_all, contains_any, sorted_distinct
 from marquee.functions.json import bracketed, document, keep_last_key, variant_contains
+from marquee.session import shared_dir
 
 # A broadcast needs a counted side; beyond this many rows the join shuffles both sides.
 BROADCAST_ROWS = 100_000
@@ -100,15 +101,19 @@ def top_n_per_group(
     return ranked.filter(F.col(rank) <= n)
 
 
-def lowest_n(df: DataFrame, key: str, n: int, direct: int = 100) -> DataFrame:
+def lowest_n(df: DataFrame, key: str, n: int, direct: int = 10_000) -> DataFrame:
     """The ``n`` rows with the smallest values of the unique, non-negative long ``key``.
 
-    Up to ``direct`` it is a plain top-n, which merges n rows of every task in one place; beyond
-    that the cut-off comes from a histogram of key ranges and only the one range that
-    crosses it, at most 65536 rows, is ranked.
+    Up to ``direct`` it is a plain top-n: n rows of every task pass through one that keeps n.
+    Beyond that the rows, which should be narrow, are written once, the cut-off comes from a
+    histogram of key ranges, and only the one range that crosses it, at most 65536 rows, is
+    ranked.
     """
     if n <= direct:
         return df.orderBy(key).limit(n)
+    path = shared_dir(df.sparkSession, "keys")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     bucket = F.shiftright(F.col(key), 16)
     running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     edge = (

@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +24,11 @@ _PLAIN = bytes.maketrans(
 )
 #: One in so many windows of words ends a chunk.
 TRIGGER = 16
-BATCH_WORDS = 1_000_000
+#: Texts are worked on in batches of about so many bytes, of one language each.
+BATCH_BYTES = 8 << 20
 #: Bits of the table that says which phrases may be frequent: 16 MB, whatever the input.
 BITS = 27
+OUT_CHUNKS = 50_000
 CHUNKS = "lang string, chunk string, owned int, n bigint"
 HASHES = "hash bigint, n bigint"
 PHRASES = "lang string, phrase string, n bigint"
@@ -48,57 +51,59 @@ def _joined_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 
 class _Words:
-    """Words of many sequences as numbers, hashes by number."""
-
-    def __init__(self, seed: int = 0):
-        self.numbers: dict[bytes, int] = {}
-        self.flat: list[int] = []
-        self.sizes: list[int] = []
-        self.seed = seed
-
-    def add(self, words: list[bytes]) -> None:
-        numbers = self.numbers
-        for word in words:
-            if word not in numbers:
-                numbers[word] = len(numbers)
-        self.flat.extend(map(numbers.__getitem__, words))
-        self.sizes.append(len(words))
-
-    def hashes(self) -> np.ndarray:
+    """Pieces of words as one row of numbers; nothing is done word by word outside Arrow and numpy."""
+
+    def __init__(self, pieces: pa.StringArray, seed: int = 0):
+        """``pieces``: words parted by blanks. Those without a word are left out."""
+        lists = pc.split_pattern(pieces, " ")
+        tokens = lists.flatten()
+        filled = pc.binary_length(tokens).to_numpy(zero_copy_only=False) > 0
+        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[filled]
+        encoded = tokens.filter(pa.array(filled)).dictionary_encode()
+        self.vocabulary, self.flat = encoded.dictionary, encoded.indices.to_numpy()
         digest = xxhash.xxh64_intdigest
-        return np.fromiter(
-            (digest(w, self.seed) for w in self.numbers), dtype=np.uint64, count=len(self.numbers)
-        )
+        words = self.vocabulary.cast(pa.binary()).to_pylist()
+        hashes = np.fromiter((digest(w, seed) for w in words), dtype=np.uint64, count=len(words))
+        self.hashes = hashes[self.flat]
+        sizes = np.bincount(owner, minlength=len(lists))
+        self.sizes = sizes[sizes > 0]
+        #: Where the pieces end, and for each place the end of its piece.
+        self.stops = np.cumsum(self.sizes)
+        self.ends = np.repeat(self.stops, self.sizes)
 
+    def starts(self) -> np.ndarray:
+        """Where pieces begin."""
+        return self.stops - self.sizes
 
-def _chunks(pieces: list[list[bytes]], overlap: int) -> Iterator[tuple[bytes, int]]:
-    """Each piece as chunks: their words, and how many of these start a phrase of the chunk's own.
+    def room(self) -> np.ndarray:
+        """How many words a piece has from each place on."""
+        return self.ends - np.arange(len(self.flat))
+
+
+def _chunks(pieces: pa.StringArray, overlap: int) -> tuple[pa.StringArray, np.ndarray]:
+    """The pieces' chunks as words, and how many of these start a phrase of the chunk's own.
 
     A chunk ends with a window of ``overlap`` words that its hash picks, and the next one begins
     with it. Phrases of up to ``overlap`` + 1 words lie whole in the chunk that owns their start.
     """
-    words = _Words()
-    for piece in pieces:
-        words.add(piece)
-    sizes = np.array(words.sizes, dtype=np.int64)
-    ends = np.cumsum(sizes)
-    chosen = np.zeros(0, dtype=np.int64)
-    if overlap and len(words.flat) >= overlap:
-        own = words.hashes()[np.array(words.flat, dtype=np.int64)]
-        window = _joined_hashes(own, overlap) >> np.uint64(40)
-        chosen = np.flatnonzero(window % np.uint64(TRIGGER) == 0)
-    piece = np.searchsorted(ends, chosen, side="right")
-    begins = ends - sizes
-    inside = (chosen > begins[piece]) & (chosen + overlap <= ends[piece])
-    cuts: dict[int, list[int]] = {}
-    for p, at in zip(piece[inside].tolist(), (chosen - begins[piece])[inside].tolist()):
-        cuts.setdefault(p, []).append(at)
-    for p, own_words in enumerate(pieces):
-        start = 0
-        for cut in cuts.get(p, ()):
-            yield b" ".join(own_words[start : cut + overlap]), cut - start
-            start = cut
-        yield b" ".join(own_words[start:] if start else own_words), len(own_words) - start
+    words = _Words(pieces)
+    first = np.zeros(len(words.flat), dtype=bool)
+    first[words.starts()] = True
+    if overlap:
+        window = _joined_hashes(words.hashes, overlap) >> np.uint64(40)
+        chosen = np.zeros(len(first), dtype=bool)
+        chosen[: len(window)] = window % np.uint64(TRIGGER) == 0
+        first |= chosen & (words.room() >= overlap)
+    starts = np.flatnonzero(first)
+    # A chunk's own words go up to the next chunk of its piece, or to the piece's end.
+    ends = words.ends[starts]
+    until = np.minimum(np.append(starts[1:], len(first)), ends) if len(starts) else starts
+    sizes = np.where(until < ends, until + overlap, ends) - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    own = words.vocabulary.take(pa.array(words.flat[places]))
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), own)
+    return pc.binary_join(lists, " "), until - starts
 
 
 def parse(docs: DataFrame, max_words: int) -> DataFrame:
@@ -109,32 +114,33 @@ def parse(docs: DataFrame, max_words: int) -> DataFrame:
     schema = arrow_schema(T.StructType.fromDDL(CHUNKS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: dict[str, list[list[bytes]]] = {}
-        held = 0
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            rows: Counter = Counter()
-            for lang, own in pieces.items():
-                rows.update((lang, *chunk) for chunk in _chunks(own, max_words - 1))
-            if rows:
-                langs, chunks, owned = zip(*rows)
-                columns = [langs, [c.decode() for c in chunks], owned, list(rows.values())]
-                yield pa.record_batch(
-                    [pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-                )
+        held: dict[str, list[bytes]] = {}
+        room: Counter = Counter()
+
+        def counted(lang: str) -> Iterator[pa.RecordBatch]:
+            lines = pa.array([b"\n".join(held.pop(lang))], pa.binary()).cast(pa.string())
+            del room[lang]
+            pieces = pc.split_pattern(lines, "\n").flatten()
+            chunks, owned = _chunks(pieces, max_words - 1)
+            for s in range(0, len(chunks), OUT_CHUNKS):
+                some = chunks.slice(s, OUT_CHUNKS)
+                columns = [
+                    pa.repeat(lang, len(some)),
+                    some,
+                    pa.array(owned[s : s + OUT_CHUNKS], pa.int32()),
+                    pa.repeat(pa.scalar(1, pa.int64()), len(some)),
+                ]
+                yield pa.record_batch(columns, schema=schema)
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-                own = pieces.setdefault(lang, [])
-                for piece in text.encode().translate(_PLAIN).split(b"\n"):
-                    words = [w for w in piece.split(b" ") if w]
-                    if words:
-                        own.append(words)
-                        held += len(words)
-                if held >= BATCH_WORDS:
-                    yield from counted()
-                    pieces, held = {}, 0
-        yield from counted()
+                own = text.encode().translate(_PLAIN)
+                held.setdefault(lang, []).append(own)
+                room[lang] += len(own)
+                if room[lang] >= BATCH_BYTES:
+                    yield from counted(lang)
+        for lang in list(held):
+            yield from counted(lang)
 
     texts = docs.select(
         F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
@@ -154,46 +160,43 @@ def _counted(hashes: np.ndarray, at: np.ndarray, weights: np.ndarray):
 class _Batch:
     """Chunks of one language, ready for counting the phrases they own."""
 
-    def __init__(self, lang: str, chunks: list[bytes], owned: list[int], n: list[int]):
-        words = _Words(seed=xxhash.xxh32_intdigest(lang.encode()))
-        for chunk in chunks:
-            words.add(chunk.split(b" "))
-        self.vocabulary = list(words.numbers)
-        self.numbers = np.array(words.flat, dtype=np.int64)
-        self.hashes = words.hashes()[self.numbers]
-        sizes = np.array(words.sizes, dtype=np.int64)
-        ends = np.repeat(np.cumsum(sizes), sizes)
-        begins = ends - np.repeat(sizes, sizes)
-        position = np.arange(len(self.numbers))
-        self.owned = position < begins + np.repeat(np.array(owned, dtype=np.int64), sizes)
-        self.room = ends - position
-        self.weights = np.repeat(np.array(n, dtype=np.int64), sizes)
+    def __init__(self, lang: str, chunks: pa.StringArray, owned: np.ndarray, n: np.ndarray):
+        words = _Words(chunks, seed=xxhash.xxh32_intdigest(lang.encode()))
+        self.vocabulary, self.flat = words.vocabulary, words.flat
+        self.hashes, self.room = words.hashes, words.room()
+        until = np.repeat(words.starts() + owned, words.sizes)
+        self.owned = np.arange(len(words.flat)) < until
+        self.weights = np.repeat(n, words.sizes)
 
     def starts(self, size: int) -> np.ndarray:
         return np.flatnonzero(self.owned & (self.room >= size))
 
-    def phrases(self, at: np.ndarray, size: int) -> list[str]:
-        words = self.vocabulary
-        columns = [self.numbers[at + k].tolist() for k in range(size)]
-        return [b" ".join(map(words.__getitem__, row)).decode() for row in zip(*columns)]
+    def phrases(self, at: np.ndarray, size: int) -> pa.Array:
+        columns = [self.vocabulary.take(pa.array(self.flat[at + k])) for k in range(size)]
+        return pc.binary_join_element_wise(*columns, " ") if size > 1 else columns[0]
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Batch]]:
     """Chunks in groups of one language and bounded size."""
-    held: dict[str, tuple[list, list, list]] = {}
+    held: dict[str, list[pa.RecordBatch]] = {}
     room: Counter = Counter()
+
+    def batch_of(lang: str) -> tuple[str, _Batch]:
+        own = pa.Table.from_batches(held.pop(lang)).combine_chunks()
+        chunks, owned, n = (own.column(c).chunk(0) for c in ("chunk", "owned", "n"))
+        return lang, _Batch(lang, chunks, owned.to_numpy(), n.to_numpy())
+
     for batch in batches:
-        for lang, chunk, owned, n in zip(*(c.to_pylist() for c in batch.columns)):
-            chunks, owners, weights = held.setdefault(lang, ([], [], []))
-            chunks.append(chunk.encode())
-            owners.append(owned)
-            weights.append(n)
-            room[lang] += owned
-            if room[lang] >= BATCH_WORDS:
-                yield lang, _Batch(lang, *held.pop(lang))
+        langs = batch.column("lang")
+        for lang in langs.unique().to_pylist():
+            own = batch.filter(pc.equal(langs, lang))
+            held.setdefault(lang, []).append(own)
+            room[lang] += own.nbytes
+            if room[lang] >= BATCH_BYTES:
                 del room[lang]
-    for lang, own in held.items():
-        yield lang, _Batch(lang, *own)
+                yield batch_of(lang)
+    for lang in list(held):
+        yield batch_of(lang)
 
 
 def _pair_hashes(chunks: DataFrame) -> DataFrame:
@@ -238,12 +241,10 @@ def phrase_counts(chunks: DataFrame, max_words: int, min_count: int) -> DataFram
                     break
                 hashes = _joined_hashes(own.hashes, size)[at]
                 _, first, n = _counted(hashes, at, own.weights[at])
-                for s in range(0, len(first), 100_000):
-                    phrases = own.phrases(first[s : s + 100_000], size)
-                    yield pa.record_batch(
-                        [pa.array([lang] * len(phrases)), pa.array(phrases), pa.array(n[s : s + 100_000])],
-                        schema=schema,
-                    )
+                for s in range(0, len(first), OUT_CHUNKS):
+                    phrases = own.phrases(first[s : s + OUT_CHUNKS], size)
+                    columns = [pa.repeat(lang, len(phrases)), phrases, pa.array(n[s : s + OUT_CHUNKS])]
+                    yield pa.record_batch(columns, schema=schema)
 
     counted = chunks.mapInArrow(run, T.StructType.fromDDL(PHRASES))
     total = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -324,7 +325,8 @@ def collocations(
         .filter(F.coalesce(100 * F.col("longest") < cover * F.col("a"), F.lit(True)))
     )
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    ranked = top_n_per_group(kept, ["lang"], order, top, salt_by=["phrase"])
+    # Of each slice of a language at most ``top`` rows reach the task that ranks it.
+    ranked = top_n_per_group(kept, ["lang"], order, top, salt_by=["phrase"], salts=64)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

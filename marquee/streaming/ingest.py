@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators import normalize
 from marquee.operators.queue import DEFAULT_ATTEMPTS, MAX_ERROR_CHARS, backoff
+from marquee.operators.relational import shuffled_side
 from marquee.plans.ingest import PRODUCED, batch_event, land
 from marquee.schemas import DATASETS, LEVELS, Dataset
 from marquee.sources.buckets import bucket_of, buckets, spread, touched_buckets
@@ -138,7 +139,7 @@ def consume(
     parsed, written = land_messages(claimed, store, place, references, write)
     retry = written.filter(F.col("outcome") == "retry")
     retries = retry.groupBy("id").agg(F.max("attempts").alias("attempts"))
-    again = parsed.select("id", "payload").join(retries, "id")
+    again = parsed.select("id", "payload").join(shuffled_side(retries), "id")
     again = again.withColumn("available_at", now + backoff(F.col("attempts")))
     mark = store.spark.createDataFrame([(None, None, None, None)], WAITING)
     later = waiting.filter(F.col("available_at") > now)
@@ -204,6 +205,7 @@ def land_messages(
             log.exception("landing %s failed; its messages are retried", dataset.table)
             text = f"landing error: {error}"[:MAX_ERROR_CHARS]
             retry = mine.select("id").distinct().withColumn("reason", F.lit(text))
+        retry = shuffled_side(retry, rows)
         done = mine.select("id", "attempts").join(retry, "id", "left")
         store.write_run(_outcomes(done, dataset.table), "outcomes", f"{recorded}/part={dataset.table}")
 
@@ -211,7 +213,8 @@ def land_messages(
         _at_once(store.spark, land_one, [d for d in level if d.table in counts])
     written = store.spark.read.schema(OUTCOMES).parquet(f"{store.path('outcomes')}/{recorded}")
     ended = written.filter(F.col("outcome").isin("permanent", "failed"))
-    rejected = parsed.select("id", "payload").join(ended, "id")
+    few = sum(counts.values())
+    rejected = parsed.select("id", "payload").join(shuffled_side(ended, few), "id")
     store.write_run(rejected.select("id", "payload", "outcome", "reason"), "rejected", recorded)
     return parsed, written
 

@@ -29,6 +29,14 @@ def titles(n, first=0):
     return [message("title_basics", tconst=f"tt{first + i}", title_type="movie") for i in range(n)]
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """A broadcast of 2 MB or more fails, as larger ones do where memory is short."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "2m")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
 def read_buckets(df):
     """The buckets that the plan's scan is limited to, None if it is not."""
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -173,3 +181,16 @@ def test_hot_bucket_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
     buckets.spread(rows, ["bucket"], ["tconst"], 1000).write.partitionBy("bucket").parquet(f"{tmp_path}/t")
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(spark.read.parquet(f"{tmp_path}/t").inputFiles()) > 1
+
+
+def test_large_batch_broadcasts_no_outcomes(spark, tmp_path, small_broadcasts):
+    store, n = Store(spark, str(tmp_path)), 110_000
+    orphan = """concat('{"table":"title_ratings","data":{"tconst":"tt', id, '","average_rating":"5.0","num_votes":1}}')"""
+    batch = spark.range(2 * n).selectExpr("id", f"IF(id % 2 = 0, '[1]', {orphan}) AS payload")
+    stream.consume(batch, 0, store)
+    outcomes = {r.outcome: r["count"] for r in stream.outcome_log(store).groupBy("outcome").count().collect()}
+    assert outcomes == {"permanent": n, "retry": n}
+    rejected = store.read("rejected", stream.REJECTED)
+    assert rejected.filter("payload = '[1]' AND id % 2 = 0").select("id").distinct().count() == n == rejected.count()
+    waiting = store.read("waiting", stream.WAITING).filter("id IS NOT NULL")
+    assert waiting.filter("id % 2 = 1").select("id").distinct().count() == n == waiting.count()

@@ -164,10 +164,13 @@ def _held(
 ) -> DataFrame:
     """Rows of ``target``, cut to the keys in ``batch`` when that is counted and small.
 
-    The batch's keys are broadcast then, so the target is scanned without a shuffle.
+    The batch's keys are broadcast then, so the target is scanned without a shuffle. Where it is
+    counted and large, the target is no broadcast either, however few its files' bytes.
     """
-    if rows is None or not is_small(rows):
+    if rows is None:
         return target
+    if not is_small(rows):
+        return shuffled_side(target)
     wanted = batch.select(*(F.col(b).alias(k) for b, k in zip(batch_key, key))).distinct()
     return target.join(F.broadcast(wanted), list(key), "left_semi")
 

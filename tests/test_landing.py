@@ -194,3 +194,15 @@ def test_large_batch_broadcasts_no_outcomes(spark, tmp_path, small_broadcasts):
     assert rejected.filter("payload = '[1]' AND id % 2 = 0").select("id").distinct().count() == n == rejected.count()
     waiting = store.read("waiting", stream.WAITING).filter("id IS NOT NULL")
     assert waiting.filter("id % 2 = 1").select("id").distinct().count() == n == waiting.count()
+
+
+def test_large_batch_broadcasts_no_keys(spark, tmp_path, small_broadcasts):
+    store, n = Store(spark, str(tmp_path)), 110_000
+    title = """concat('{"table":"title_basics","data":{"tconst":"tt', id div 2, '","title_type":"movie"}}')"""
+    rating = """concat('{"table":"title_ratings","data":{"tconst":"tt', id div 2, '","average_rating":"5.0","num_votes":1}}')"""
+    batch = spark.range(2 * n).selectExpr("id", f"IF(id % 2 = 0, {title}, {rating}) AS payload")
+    for epoch in (0, 1):  # the second time all keys are there
+        stream.consume(batch, epoch, store)
+        assert [r.outcome for r in stream.outcome_log(store).select("outcome").distinct().collect()] == ["ack"]
+        for name in ("title_basics", "title_ratings"):
+            assert stream.table(spark, str(tmp_path), name).count() == n

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marquee.llm.common import rows_mapped, running_base, written
-from marquee.llm.tokens import Cut, encoder, slices
+from marquee.llm.common import arrow_schema, rows_mapped, running_base, written
+from marquee.llm.tokens import Cut, at_blanks, encoder, text_slices
 
 TOKENS = "doc_id long, part int, part_start long, doc_tokens long, ids binary"
 PIECES = "array<struct<offset:bigint,doc_id:bigint,start:bigint,length:bigint,doc_tokens:bigint>>"
@@ -27,19 +29,37 @@ def _positions(
     partitions' totals turn them into global positions.
     """
 
-    def encode(rows: Iterator[tuple]) -> Iterator[tuple]:
+    by_chunk = cut is at_blanks
+    target = T.StructType.fromDDL(TOKENS)
+    schema = arrow_schema(target)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
         worker = encoder(vocabulary, cut)
-        for some in slices(rows, 1):
-            for (doc_id, _), ids in zip(some, worker.ids([text for _, text in some], end_id)):
-                n = len(ids) // worker.width
-                wide = np.frombuffer(ids, dtype=worker.dtype).astype("<u4").tobytes()
-                yield doc_id, part, start, n, wide
-                start += n
-
-    tokens = written(
-        rows_mapped(docs.select("doc_id", "text"), encode, TOKENS), "tokens", compression="zstd"
-    )
+        for batch in batches:
+            for some in text_slices(batch, 1):
+                texts = some.column(1).to_pylist()
+                if by_chunk:
+                    ids, counts = worker.ids_by_chunk(texts, end_id)
+                else:
+                    each = list(worker.ids(texts, end_id))
+                    ids = np.frombuffer(b"".join(each), dtype=worker.dtype)
+                    counts = np.array([len(own) // worker.width for own in each], "i8")
+                ends = np.cumsum(counts)
+                offsets = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype("<i4"))
+                wide = pa.py_buffer(ids.astype("<u4"))
+                columns = [
+                    some.column(0),
+                    pa.array(np.full(len(texts), part, "i4")),
+                    pa.array(start + ends - counts),
+                    pa.array(counts),
+                    pa.Array.from_buffers(pa.binary(), len(texts), [None, offsets, wide]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                start += int(ends[-1])
+
+    tokens = docs.select("doc_id", "text").mapInArrow(encode, target)
+    tokens = written(tokens, "tokens", compression="zstd")
     totals = tokens.groupBy("part").agg(F.sum("doc_tokens").alias("total"))
     bases = running_base(totals, "part", "total", "base")  # as many rows as partitions
     return tokens.join(F.broadcast(bases), "part").select(

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from marquee.llm.common import memo
 
@@ -24,6 +27,8 @@ _SPACED = re.compile(
     f"{_ENDINGS}| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?{_OTHER}|[ \n]+(?![^ \n])|[ \n]+"
 )
 _BARE = re.compile(f"{_ENDINGS}|[{_LETTERS}]+|[{_NUMBERS}]|{_OTHER}")
+# Where ``at_blanks`` cuts in any case: between a letter and a point or comma.
+_POINTS = "([a-z])([.,])"
 
 #: The words that a vocabulary's tokenizer parts a text into, or None to leave it to that.
 Cut = Callable[[str], list[str] | None]
@@ -41,7 +46,10 @@ def at_spaces(text: str) -> list[str] | None:
 
 def at_blanks(text: str) -> list[str] | None:
     """Words of byte-level vocabularies in lower case that drop blanks."""
-    return None if _UNUSUAL.search(text) else _BARE.findall(text.lower())
+    if _UNUSUAL.search(text):
+        return None
+    text = text.lower()
+    return [text] if text.isalpha() else _BARE.findall(text)
 
 
 def _byte_letters() -> dict[int, str]:
@@ -90,7 +98,7 @@ class Encoder:
         self.words = _Memo(word)
 
     def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
     def ids(self, texts: list[str | None], end_id: int) -> Iterator[bytes]:
         """For each text (None: empty) its ids and ``end_id``."""
@@ -103,6 +111,46 @@ class Encoder:
             else:
                 yield b"".join(map(known, own)) + end
 
+    def ids_by_chunk(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``ids`` of all texts end to end, and how many each has; for ``at_blanks``.
+
+        No word crosses a blank there, so each distinct chunk between blanks is looked up once,
+        and Arrow and numpy put the ids of all chunks in their places.
+        """
+        # A chunk that no text left to the cut can hold marks the end of each text. What is left
+        # to the tokenizer has a chunk of its own, that mark with a number.
+        end, whole = "\x00", {}
+        parts = []
+        for text in texts:
+            text = text or ""
+            if self.added.search(text) or _UNUSUAL.search(text):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                text = f"{end}{len(whole)}"
+                whole[text] = self._bytes(ids)
+            parts.append(text)
+        if not parts:
+            return np.empty(0, self.dtype), np.empty(0, "i8")
+        whole[end] = self._bytes([end_id])
+        joined = pa.array([f" {end}\n".join([*parts, ""])], pa.large_string())
+        joined = pc.replace_substring_regex(pc.ascii_lower(joined), _POINTS, r"\1 \2")
+        chunks = pc.ascii_split_whitespace(joined).flatten().dictionary_encode()
+        distinct = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = chunks.indices.to_numpy()
+        # A remembered word is a chunk of its own too, as the cut leaves it as it is.
+        known, words, cut = self.words.get, self.words.__getitem__, self.cut
+        held = [
+            known(c) or (whole[c] if c in whole else b"".join(map(words, cut(c)))) for c in distinct
+        ]
+        flat = np.frombuffer(b"".join(held), dtype=self.dtype)
+        sizes = np.fromiter(map(len, held), "i8", len(held)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[at]
+        ends = np.cumsum(counts)
+        places = np.repeat(starts[at] - ends + counts, counts)
+        places += np.arange(len(places))
+        bounds = ends[at == distinct.index(end)]
+        return flat[places], np.diff(bounds, prepend=0)
+
 
 def id_width(vocabulary: int) -> int:
     """Bytes that hold every id."""
@@ -129,3 +177,15 @@ def slices(rows: Iterator[tuple], texts_at: int, characters: int = 1 << 20) -> I
             held, size = [], 0
     if held:
         yield held
+
+
+def text_slices(
+    batch: pa.RecordBatch, texts_at: int, size: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about so many bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(texts_at)), 0).to_numpy()
+    group = np.cumsum(sizes, dtype="i8") // size
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    for start, end in zip(edges, edges[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)

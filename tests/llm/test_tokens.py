@@ -49,3 +49,29 @@ def test_added_tokens_have_their_own_ids(case):
     encoder, _ = ENCODERS[case]
     assert len(next(encoder.ids([None], 2))) == encoder.width
     assert list(encoder.ids([None, ""], 2)) == [next(encoder.ids([""], 2))] * 2
+
+
+AWKWARD = st.text(st.sampled_from(" \n\t'sStTvel1²½ªµßÿİıǅɏΣéÀ.,! \u0301\x00\x85\xa0漢"), max_size=30)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | AWKWARD | st.sampled_from(["x <|endoftext|>", "\x001", "it's, don't."]), max_size=6))
+def test_ids_by_chunk(texts):
+    encoder, plain = ENCODERS[1]
+    ids, counts = encoder.ids_by_chunk(texts, 2)
+    expected = [[*plain.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == [i for own in expected for i in own]
+    assert counts.tolist() == [len(own) for own in expected]
+
+
+def test_equal_chunks_are_cut_once():
+    seen = []
+
+    def cut(text):
+        seen.append(text)
+        return at_blanks(text)
+
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"), cut)
+    ids, _ = encoder.ids_by_chunk(["one-two three " * 500] * 4, 2)
+    assert len(ids) == 4 * (500 * 4 + 1)
+    assert sorted(filter(None, seen)) == ["one-two", "three"]
